@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, substring_dedup
+from . import decontamination, exact_dedup, jaccard_join, langid, licences, packing, pii, substring_dedup, token_store, warc_audit
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
+    "op2_licence_scan": licences.query,
+    "op3_warc_audit": warc_audit.query,
+    "op4_exact_dedup": exact_dedup.query,
+    "op5_token_store": token_store.query,
+    "op6_best_fit_packing": packing.query,
     "op7_substring_dedup": substring_dedup.query,
+    "op8_language_id": langid.query,
+    "op9_pii": pii.query,
+    "op10_decontamination": decontamination.query,
+}
+
+#: SQL where it can express an operator and runs on whole tables; the others are tested against brute force.
+ORACLES = {
+    "op3_warc_audit": warc_audit.ORACLE,
+    "op4_exact_dedup": exact_dedup.ORACLE,
 }
-ORACLES = {}
