@@ -1,6 +1,671 @@
-"""Every registered query with its SQL."""
+"""Every registered query of the reference operators with its SQL. Queries with no SQL (files, sinks, streams, user code) are tested on their own."""
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLES = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import redact, urls
+from ..operators import collections as col
+from ..operators import edits, fleet, frames, quality
+from ..sources import files, tables
+from . import sinks
+from .views import oracle, table, view
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def register(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = oracle(sql)
+        return f
+
+    return register
+
+
+# ---------------------------------------------------------------- frames and episodes
+
+
+@query("episode_frames", """
+    SELECT device, frame_index, CAST(trunc(CAST(frame_index AS DOUBLE) / 30.0 * 1e9) AS BIGINT) AS timestamp_ns, type, value
+    FROM (SELECT *, row_number() OVER (PARTITION BY device ORDER BY ts, uid) - 1 AS frame_index FROM v_events)""")
+def _(s, d):
+    return frames.episode_frames(view(s, d, "v_events"), "device", ["ts", "uid"], 30).select("device", "frame_index", "timestamp_ns", "type", "value")
+
+
+@query("episode_runs", """
+    WITH o AS (SELECT *, CASE WHEN lag(type) OVER (PARTITION BY device ORDER BY ts, uid) = type THEN 0 ELSE 1 END AS new FROM v_events),
+    r AS (SELECT *, sum(new) OVER (PARTITION BY device ORDER BY ts, uid ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM o),
+    g AS (SELECT device, CAST(run AS BIGINT) AS run, type, count(*) AS n_frames FROM r GROUP BY device, run, type)
+    SELECT *, row_number() OVER (PARTITION BY device, type ORDER BY run) > 1 AS repeated FROM g""")
+def _(s, d):
+    return frames.episode_runs(view(s, d, "v_events"), ["device"], ["ts", "uid"], "type")
+
+
+def sequences(s, d):
+    """Conversations as sequences with nested frames."""
+    v = view(s, d, "v_frames")
+    image = F.struct(F.concat(F.lit("u"), F.col("width")).alias("image_url"), F.col("camera").alias("camera_id"), F.lit(None).cast("string").alias("camera"), F.lit("").alias("sensor_id"), F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"), *[(F.col("width") / k).alias(n) for n, k in (("fx", 2), ("fy", 4), ("cx", 8), ("cy", 16))], F.lit("").alias("model"), F.lit(None).cast("string").alias("camera_model"), F.when(F.col("width") % 3 == 0, 0.0).alias("xi"), F.lit(None).cast("double").alias("alpha"))
+    pose = F.struct(*[(F.col("width") * k).cast("double").alias(n) for n, k in (("x", 1), ("y", 2), ("z", 3))])
+    head = F.struct(*[F.when((F.col("width") % 4 != 0) | (n != "w"), F.lit(float(k))).alias(n) for n, k in (("x", 0), ("y", 0), ("z", 1), ("w", 2))])
+    frame = F.struct("frame_index", F.col("camera").alias("model"), F.lit("").alias("camera_model"), F.lit(0.5).alias("xi"), F.col("width").cast("double").alias("alpha"), pose.alias("device_position"), head.alias("device_heading"), F.array(image).alias("images"), F.array(F.when(F.col("width") % 2 == 0, "").otherwise("a"), F.concat(F.lit("b"), F.col("width"))).alias("image_urls"))
+    got = v.groupBy("sequence_uid").agg(F.array_sort(F.collect_list(frame)).alias("frames"))
+    return got.withColumns({"uid": F.col("sequence_uid"), "key": F.concat(F.lit("seq"), F.col("sequence_uid")), "status": F.lit("created"), "dataset_uid": F.col("sequence_uid") % 5, "lidar_calibration_enabled": F.col("sequence_uid") % 2 == 0, "camera_calibration_enabled": F.lit(None).cast("boolean")})
+
+
+@query("frames_explode", "SELECT sequence_uid, CAST(frame_index AS BIGINT) AS frame_index, camera AS model, CAST(width AS DOUBLE) AS alpha FROM (SELECT *, row_number() OVER (PARTITION BY sequence_uid ORDER BY frame_index) - 1 AS i FROM v_frames)")
+def _(s, d):
+    return frames.frames_explode(sequences(s, d)).select("sequence_uid", "frame_index", "frame.model", "frame.alpha")
+
+
+@query("frame_at", "SELECT sequence_uid, CAST(1 AS BIGINT) AS frame_index, camera AS model, camera AS camera_model, CAST(0.5 AS DOUBLE) AS xi, CAST(width AS DOUBLE) AS alpha FROM v_frames WHERE frame_index = 1")
+def _(s, d):
+    return frames.frame_at(sequences(s, d), 1).select("sequence_uid", "frame_index", "model", "camera_model", "xi", "alpha")
+
+
+@query("calibration", """
+    SELECT sequence_uid, CAST(0 AS BIGINT) AS camera_index, camera AS camera_id, width / 2.0 AS fx, width / 4.0 AS fy, width / 8.0 AS cx, width / 16.0 AS cy, CAST(width AS BIGINT) AS width, CAST(height AS BIGINT) AS height,
+      camera AS model, CASE WHEN width % 3 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS xi, CAST(width AS DOUBLE) AS alpha FROM v_frames WHERE frame_index = 0""")
+def _(s, d):
+    return frames.calibration(sequences(s, d))
+
+
+@query("sequence_summary", "SELECT sequence_uid AS uid, concat('seq', CAST(sequence_uid AS VARCHAR)) AS key, 'created' AS status, count(*) AS frame_count, sequence_uid % 5 AS dataset_uid, CASE WHEN sequence_uid % 2 = 0 THEN 'on' ELSE 'off' END AS calibration FROM v_frames GROUP BY sequence_uid")
+def _(s, d):
+    return frames.sequence_summary(sequences(s, d))
+
+
+@query("camera_urls", """
+    SELECT sequence_uid, CAST(frame_index AS BIGINT) AS frame_index, 'cam0' AS camera, 'a' AS url FROM v_frames WHERE width % 2 <> 0
+    UNION ALL SELECT sequence_uid, CAST(frame_index AS BIGINT), 'cam1', concat('b', CAST(width AS VARCHAR)) FROM v_frames""")
+def _(s, d):
+    return frames.camera_urls(frames.frames_explode(sequences(s, d)).select("sequence_uid", "frame_index", "frame.image_urls", "frame.images"), "sequence_uid", "frame_index")
+
+
+@query("state_vector", """
+    SELECT vec_id, CASE WHEN vec_id % 3 = 0 THEN CAST(NULL AS DOUBLE) ELSE round(list_sum(list_transform(state, lambda x: CAST(x AS DOUBLE))), 4) END AS total,
+      CASE vec_id % 9 WHEN 0 THEN 'no list at obs.state' WHEN 3 THEN 'empty list at obs.state' WHEN 6 THEN 'not all numbers at obs.state' END AS problem FROM v_states""")
+def _(s, d):
+    v = view(s, d, "v_states")
+    good = F.to_json(F.struct(F.struct("state").alias("obs")))
+    raw = F.when(F.col("vec_id") % 9 == 0, '{"obs":{}}').when(F.col("vec_id") % 9 == 3, '{"obs":{"state":[]}}').when(F.col("vec_id") % 9 == 6, '{"obs":{"state":[1,true,"2"]}}').otherwise(good)
+    got = frames.state_vector(v.withColumn("raw", F.parse_json(raw)), "obs.state", "vec_id")
+    return got.select("vec_id", F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"), "problem")
+
+
+@query("ego_pose", """
+    SELECT sequence_uid, CAST(frame_index AS BIGINT) AS frame_index, CASE WHEN width % 4 = 0 THEN CAST(NULL AS DOUBLE) ELSE width * 6.0 + 3.0 END AS total, CASE WHEN width % 4 = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(2 AS DOUBLE) END AS qw,
+      CASE WHEN width % 4 = 0 THEN 'incomplete pose' END AS problem FROM v_frames""")
+def _(s, d):
+    f = frames.frames_explode(sequences(s, d)).select("sequence_uid", "frame_index", "frame.device_position", "frame.device_heading")
+    got = frames.ego_pose(f, "sequence_uid", "frame_index")
+    return got.select("sequence_uid", "frame_index", F.aggregate("pose", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("total"), F.get("pose", F.lit(3)).cast("double").alias("qw"), "problem")
+
+
+FIRST = "f AS (SELECT camera, CAST(min(height) AS BIGINT) AS height, CAST(min(width) AS BIGINT) AS width FROM v_frames WHERE sequence_uid = (SELECT min(sequence_uid) FROM v_frames) AND frame_index = (SELECT min(frame_index) FROM v_frames WHERE sequence_uid = (SELECT min(sequence_uid) FROM v_frames)) GROUP BY camera)"
+
+
+@query("feature_schema", f"WITH {FIRST} SELECT * FROM f")
+def _(s, d):
+    return frames.feature_schema(view(s, d, "v_frames"))
+
+
+@query("schema_drift", f"""
+    WITH {FIRST} SELECT sequence_uid, v.frame_index, CASE WHEN f.camera IS NULL THEN 'unknown camera' ELSE 'resolution' END AS kind, v.camera,
+      CASE WHEN f.camera IS NOT NULL THEN concat(CAST(f.height AS VARCHAR), 'x', CAST(f.width AS VARCHAR)) END AS expected, concat(CAST(v.height AS VARCHAR), 'x', CAST(v.width AS VARCHAR)) AS actual
+    FROM v_frames v LEFT JOIN f ON v.camera = f.camera WHERE f.camera IS NULL OR v.height <> f.height OR v.width <> f.width""")
+def _(s, d):
+    v = view(s, d, "v_frames")
+    return frames.schema_drift(v, frames.feature_schema(v))
+
+
+@query("camera_set_diff", f"""
+    WITH {FIRST} SELECT sequence_uid, frame_index, CASE WHEN camera = (SELECT min(camera) FROM f) THEN '' ELSE (SELECT min(camera) FROM f) END AS missing, CASE WHEN camera = (SELECT min(camera) FROM f) THEN '' ELSE camera END AS extra
+    FROM (SELECT DISTINCT sequence_uid, frame_index, camera FROM v_frames)""")
+def _(s, d):
+    v = view(s, d, "v_frames")
+    return frames.camera_set_diff(v, frames.feature_schema(v))
+
+
+def numbered(s, d):
+    return frames.episode_frames(view(s, d, "v_events"), "device", ["ts", "uid"], 30)
+
+
+NUMBERED = "n AS (SELECT *, CAST(trunc(CAST(i AS DOUBLE) / 30.0 * 1e9) AS BIGINT) AS ns FROM (SELECT *, row_number() OVER (PARTITION BY device ORDER BY ts, uid) - 1 AS i FROM v_events) q)"
+
+
+@query("episode_messages", f"""
+    WITH {NUMBERED} SELECT device, '/observation/images/cam' AS topic, ns AS timestamp_ns, 'CompressedImage' AS schema_name, 'observation.images.cam' AS frame_id, type AS value FROM n
+    UNION ALL SELECT device, '/observation/state', ns, 'Float32MultiArray', 'observation.state', severity FROM n""")
+def _(s, d):
+    return frames.episode_messages(numbered(s, d), "device", {"observation.images.cam": "type"}, {"observation.state": "severity"})
+
+
+@query("episode_export", f"WITH {NUMBERED} SELECT device AS episode_index, i AS frame_index, i / 30.0 AS timestamp, 'drive' AS task, value FROM n")
+def _(s, d):
+    rows = numbered(s, d).select(F.col("device").alias("episode_index"), "frame_index", "value")
+    out = sinks.folder(s)
+    frames.episode_export(rows, out, 30, "drive")
+    return s.read.parquet(out).select(F.col("episode_index").cast("long").alias("episode_index"), "frame_index", "timestamp", "task", "value")
+
+
+@query("episode_scan", "SELECT CAST(episode_index AS BIGINT) AS episode_index, frame_index, vec_id FROM (SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY vec_id) - 1 AS frame_index FROM v_states) WHERE episode_index IN (0, 2, 3)")
+def _(s, d):
+    rows = frames.episode_frames(view(s, d, "v_states"), "episode_index", ["vec_id"], 30).select("episode_index", "frame_index", "vec_id")
+    out = sinks.folder(s)
+    frames.episode_export(rows, out, 30, "t")
+    return tables.episode_scan(s, out, [0, 2, 3], ["vec_id"]).select(F.col("episode_index").cast("long").alias("episode_index"), "frame_index", "vec_id")
+
+
+# ---------------------------------------------------------------- messages
+
+IMAGE = "msgtype IN ('sensor_msgs/Image', 'sensor_msgs/msg/Image', 'sensor_msgs/CompressedImage', 'sensor_msgs/msg/CompressedImage')"
+GOOD = "((msgtype IN ('sensor_msgs/CompressedImage', 'sensor_msgs/msg/CompressedImage') AND NOT contains(format, 'compressedDepth')) OR (msgtype IN ('sensor_msgs/Image', 'sensor_msgs/msg/Image') AND lower(encoding) IN ('rgb8', 'bgr8', 'rgba8', 'bgra8', 'mono8', 'mono16')))"
+WANTED = ["/camera/0/image", "/camera/1/image", "/camera/2/image"]
+IN_WANTED = "topic IN ('/camera/0/image', '/camera/1/image', '/camera/2/image')"
+
+
+@query("message_scan", "SELECT event_id, topic, msgtype, log_time_ns FROM v_messages")
+def _(s, d):
+    return view(s, d, "v_messages").select("event_id", "topic", "msgtype", "log_time_ns")
+
+
+@query("message_shape", """
+    SELECT event_id, CASE WHEN header_sec <> 0 OR header_nanosec <> 0 THEN header_sec * 1000000000 + header_nanosec ELSE log_time_ns END AS timestamp_ns,
+      CASE WHEN frame_id <> '' THEN frame_id ELSE replace(trim(topic, '/'), '/', '.') END AS frame_id, CASE WHEN contains(lower(format), 'png') THEN 'png' ELSE 'jpeg' END AS image_format FROM v_messages""")
+def _(s, d):
+    return frames.message_shape(view(s, d, "v_messages")).select("event_id", "timestamp_ns", "frame_id", "image_format")
+
+
+@query("image_messages", f"SELECT event_id, topic FROM v_messages WHERE {GOOD} AND {IN_WANTED}")
+def _(s, d):
+    return frames.image_messages(view(s, d, "v_messages"), WANTED).select("event_id", "topic")
+
+
+@query("conversion_report", f"""
+    SELECT count(*) FILTER (WHERE {GOOD} AND {IN_WANTED}) AS written, (SELECT string_agg(topic, ',' ORDER BY topic) FROM (SELECT DISTINCT topic FROM v_messages WHERE NOT ({GOOD} AND {IN_WANTED}) AND NOT ({IMAGE} AND NOT {IN_WANTED}))) AS skipped_topics FROM v_messages""")
+def _(s, d):
+    return frames.conversion_report(view(s, d, "v_messages"), WANTED)
+
+
+@query("recording_rollup", """
+    WITH t AS (SELECT recording, topic, count(*) AS n, min(log_time_ns) AS lo, max(log_time_ns) AS hi, sum(strlen(data)) AS size FROM v_messages GROUP BY recording, topic)
+    SELECT recording, count(*) AS topic_count, string_agg(concat(topic, '=', CAST(n AS VARCHAR)), ',' ORDER BY topic) AS topics, min(lo) AS started_ns, max(hi) AS ended_ns, (max(hi) - min(lo)) / 1e9 AS duration_seconds, CAST(sum(size) AS BIGINT) AS size_bytes FROM t GROUP BY recording""")
+def _(s, d):
+    return frames.recording_rollup(view(s, d, "v_messages"))
+
+
+# ---------------------------------------------------------------- edits
+
+ORDER = ["ts", "k1", "k2", "k3", "k4", "k5"]
+BAD = """CASE WHEN action NOT IN ('upsert', 'delete') THEN 'action' WHEN action = 'upsert' AND object_type NOT IN ('cuboid', 'cuboid 3d', 'point cloud polyline') THEN 'object_type'
+    WHEN action = 'upsert' AND object_data IS NULL THEN 'object_data' WHEN dataset_item_uid IS NOT NULL AND sequence_uid IS NOT NULL THEN 'both targets' WHEN dataset_item_uid IS NULL AND sequence_uid IS NULL THEN 'no target'
+    WHEN dataset_item_uid IS NOT NULL AND object_type <> 'cuboid' THEN 'item object_type' WHEN sequence_uid IS NOT NULL AND object_type NOT IN ('cuboid 3d', 'point cloud polyline') THEN 'sequence object_type' END"""
+
+
+@query("edit_validate", f"SELECT k1, k2, k3, k4, ts, coalesce({BAD}, 'ok') AS verdict FROM v_edits")
+def _(s, d):
+    ok, bad = edits.edit_validate(view(s, d, "v_edits"))
+    return ok.withColumn("reason", F.lit("ok")).unionByName(bad).select("k1", "k2", "k3", "k4", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("reason").alias("verdict"))
+
+
+@query("object_name_counts", "SELECT CASE WHEN object_name IS NULL OR object_name = '' THEN 'Object' ELSE object_name END AS object_name, count(*) AS n FROM v_edits GROUP BY 1")
+def _(s, d):
+    return edits.object_name_counts(view(s, d, "v_edits"))
+
+
+@query("missing_refs", """
+    WITH e AS (SELECT 'item' AS kind, dataset_item_uid AS uid FROM v_edits WHERE dataset_item_uid IS NOT NULL UNION SELECT 'sequence', sequence_uid FROM v_edits WHERE sequence_uid IS NOT NULL),
+    k AS (SELECT DISTINCT 'item' AS kind, CAST(o_orderkey AS VARCHAR) AS uid FROM orders WHERE o_orderkey % 10 <> 3 UNION SELECT DISTINCT 'sequence', CAST(s_suppkey AS VARCHAR) FROM supplier WHERE s_suppkey % 10 <> 3),
+    m AS (SELECT e.kind, e.uid, k.uid IS NULL AS gone FROM e LEFT JOIN k ON e.kind = k.kind AND e.uid = k.uid),
+    f AS (SELECT kind, string_agg(uid, ',' ORDER BY uid) AS sample FROM (SELECT kind, uid, row_number() OVER (PARTITION BY kind ORDER BY uid) AS r FROM m WHERE gone) q WHERE r <= 10 GROUP BY kind)
+    SELECT m.kind, count(*) FILTER (WHERE gone) AS missing, count(*) AS needed, min(f.sample) AS sample FROM m JOIN f ON m.kind = f.kind GROUP BY m.kind""")
+def _(s, d):
+    items = table(s, d, "orders").filter("o_orderkey % 10 <> 3").select(F.col("o_orderkey").alias("uid"))
+    return edits.missing_refs(view(s, d, "v_edits"), items, table(s, d, "supplier").filter("s_suppkey % 10 <> 3").select(F.col("s_suppkey").alias("uid")))
+
+
+@query("latest_edit", """
+    SELECT k2, k1, action, object_name, k3, k4 FROM (SELECT *, row_number() OVER (PARTITION BY k2, k1 ORDER BY ts DESC, k3 DESC, k4 DESC, k5 DESC) AS r FROM v_edits) WHERE r = 1""")
+def _(s, d):
+    e = view(s, d, "v_edits")
+    return edits.latest_edit(e, ["k2", "k1"], [F.col(c) for c in ("ts", "k3", "k4", "k5")]).select("k2", "k1", "action", "object_name", "k3", "k4")
+
+
+@query("edit_merge", """
+    WITH a AS (SELECT o_orderkey AS k1, o_custkey % 2000 AS k2, 'old' AS object_name FROM orders),
+    e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k2, k1 ORDER BY ts DESC, k3 DESC, k4 DESC, k5 DESC) AS r FROM v_edits) q WHERE r = 1)
+    SELECT coalesce(e.k1, a.k1) AS k1, coalesce(e.k2, a.k2) AS k2, CASE WHEN e.k1 IS NULL THEN a.object_name ELSE e.object_name END AS object_name
+    FROM a FULL OUTER JOIN e ON a.k1 = e.k1 AND a.k2 = e.k2 WHERE e.action IS NULL OR e.action <> 'delete'""")
+def _(s, d):
+    old = table(s, d, "orders").select(F.col("o_orderkey").alias("k1"), (F.col("o_custkey") % 2000).alias("k2"), F.lit("old").alias("object_name"))
+    return edits.edit_merge(old, view(s, d, "v_edits"), ["k1", "k2"], [F.col(c) for c in ("ts", "k3", "k4", "k5")], ["object_name"])
+
+
+@query("edit_chunks", "SELECT event_id, CAST((r - 1) // 500 AS BIGINT) AS chunk_index, CAST((r - 1) % 500 AS BIGINT) AS chunk_row FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS r FROM events)")
+def _(s, d):
+    return edits.edit_chunks(table(s, d, "events").select("event_id", "ts"), ["ts", "event_id"]).select("event_id", "chunk_index", "chunk_row")
+
+
+@query("edits_read", "SELECT object_uuid, dataset_item_uid, action, k1, k2, k3, k4 FROM v_edits")
+def _(s, d):
+    e = view(s, d, "v_edits").select("object_uuid", "dataset_item_uid", "action", "k1", "k2", "k3", "k4")
+    out = sinks.folder(s) + ".jsonl"
+    sinks.write_lines(col.rows_json(e, {c: c for c in e.columns}), out)
+    return tables.edits_read(s, out, "object_uuid string, dataset_item_uid string, action string, k1 long, k2 long, k3 long, k4 long")
+
+
+# ---------------------------------------------------------------- quality
+
+ONE = "b AS (SELECT item, task, annotator, avg(x0) AS x0, avg(y0) AS y0, avg(x1) AS x1, avg(y1) AS y1 FROM v_boxes GROUP BY item, task, annotator)"
+IW, IH = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0)", "greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)"
+PAIRS = f"p AS (SELECT a.item, a.task, a.annotator AS annotator_a, b.annotator AS annotator_b, {IW} * {IH} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {IW} * {IH}) AS iou FROM b a JOIN b ON a.item = b.item AND a.task = b.task AND a.annotator < b.annotator)"
+SCORES = "s AS (SELECT item, task, avg(iou) AS score, CAST(round((1 + sqrt(1 + 8 * count(*))) / 2) AS BIGINT) AS annotator_count, count(*) FILTER (WHERE iou >= 0.5) / count(*) >= 0.5 AS agreed FROM p GROUP BY item, task)"
+
+
+@query("annotator_pairs", f"WITH {ONE}, {PAIRS} SELECT item, task, annotator_a, annotator_b, round(iou, 6) AS iou FROM p")
+def _(s, d):
+    return quality.annotator_pairs(view(s, d, "v_boxes")).withColumn("iou", F.round("iou", 6))
+
+
+@query("consensus_scores", f"WITH {ONE}, {PAIRS}, {SCORES} SELECT item, task, round(score, 6) AS score, annotator_count, agreed FROM s")
+def _(s, d):
+    return quality.consensus_scores(view(s, d, "v_boxes")).withColumn("score", F.round("score", 6))
+
+
+@query("consensus_summary", f"""
+    WITH {ONE}, {PAIRS}, {SCORES} SELECT round(avg(score), 6) AS mean_score, round(median(score), 6) AS median_score, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score, count(*) AS total_items,
+      count(*) FILTER (WHERE agreed) AS items_with_consensus, (SELECT concat('{{', string_agg(concat('"', k, '":', CAST(v AS VARCHAR)), ',' ORDER BY k), '}}') FROM (SELECT CASE WHEN score >= 0.5 THEN '0.5-1.0' ELSE '0.0-0.5' END AS k, count(*) AS v FROM s GROUP BY 1) q) AS score_distribution,
+      (SELECT concat('{{', string_agg(concat('"', task, '":"', printf('%.4f', m), '"'), ',' ORDER BY task), '}}') FROM (SELECT task, avg(score) AS m FROM s GROUP BY task) q) AS by_task_name FROM s""")
+def _(s, d):
+    got = quality.consensus_summary(quality.consensus_scores(view(s, d, "v_boxes")))
+    return got.withColumns({c: F.round(c, 6) for c in ("mean_score", "median_score", "min_score", "max_score")})
+
+
+TARGETS = "t AS (SELECT r_regionkey AS uid, CAST(r_regionkey AS VARCHAR) AS metric, CASE r_regionkey WHEN 0 THEN 'gt' WHEN 1 THEN 'gte' WHEN 2 THEN 'lt' ELSE 'lte' END AS operator, CAST(4500 AS DOUBLE) AS threshold, r_regionkey <> 4 AS is_active FROM region)"
+
+
+def targets(s, d):
+    op = F.when(F.col("r_regionkey") == 0, "gt").when(F.col("r_regionkey") == 1, "gte").when(F.col("r_regionkey") == 2, "lt").otherwise("lte")
+    return table(s, d, "region").select(F.col("r_regionkey").alias("uid"), F.col("r_regionkey").cast("string").alias("metric"), op.alias("operator"), F.lit(4500.0).alias("threshold"), (F.col("r_regionkey") != 4).alias("is_active"), F.lit("high").alias("severity"))
+
+
+BREACH = "NOT CASE operator WHEN 'gt' THEN v > threshold WHEN 'gte' THEN v >= threshold WHEN 'lt' THEN v < threshold ELSE v <= threshold END"
+
+
+@query("quality_evaluate", f"""
+    WITH {TARGETS}, m AS (SELECT CAST(n_regionkey AS VARCHAR) AS metric, avg(c_acctbal) AS v FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
+    SELECT uid, t.metric, operator, threshold, round(v, 6) AS current_value, {BREACH} AS is_breached, 'high' AS severity FROM t LEFT JOIN m ON t.metric = m.metric WHERE is_active""")
+def _(s, d):
+    c = table(s, d, "customer").join(table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    metrics = c.groupBy(F.col("n_regionkey").cast("string").alias("metric")).agg(F.avg("c_acctbal").alias("current_value"))
+    return quality.quality_evaluate(targets(s, d), metrics).withColumn("current_value", F.round("current_value", 6))
+
+
+@query("quality_history", f"""
+    WITH {TARGETS}, e AS (SELECT t.uid, ts, e.uid AS tie, value AS v, {BREACH.replace(" v ", " value * 100 ")} AS b FROM v_events e JOIN t ON e.device % 5 = t.uid)
+    SELECT uid, round(max_by(v, (ts, tie)), 6) AS last_value, epoch_us(max(ts)) AS last_evaluated_us, max_by(b, (ts, tie)) AS is_breached, count(*) FILTER (WHERE b) AS breach_count, epoch_us(max(CASE WHEN b THEN ts END)) AS last_breached_us FROM e WHERE b IS NOT NULL GROUP BY uid""")
+def _(s, d):
+    t = targets(s, d).select(F.col("uid").alias("t"), "operator", "threshold")
+    e = view(s, d, "v_events").join(F.broadcast(t), F.col("device") % 5 == F.col("t"))  # five targets
+    evals = e.select(F.col("t").alias("uid"), "ts", F.col("uid").alias("tie"), F.col("value").alias("current_value"), quality.breached(F.col("value") * 100, F.col("operator"), F.col("threshold")).alias("is_breached"))
+    got = quality.quality_history(evals)
+    return got.select("uid", F.round("last_value", 6).alias("last_value"), F.unix_micros("last_evaluated_at").alias("last_evaluated_us"), "is_breached", "breach_count", F.unix_micros("last_breached_at").alias("last_breached_us"))
+
+
+def tools(s, d):
+    problems = F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.struct(i.cast("long").alias("uid"), F.concat(F.lit("problem "), i).alias("title")))
+    return table(s, d, "region").select(F.col("r_regionkey").cast("long").alias("uid"), F.col("r_name").alias("name"), F.lit("lidar").alias("dataset_type"), problems.alias("problems"))
+
+
+@query("issue_enrich", "SELECT uid, tool_uid, problem_uid, CASE WHEN problem_uid <= 5 THEN r_name END AS tool_name, CASE WHEN problem_uid <= 5 THEN concat('problem ', CAST(problem_uid AS VARCHAR)) END AS problem_title FROM v_issues LEFT JOIN region ON tool_uid = r_regionkey")
+def _(s, d):
+    return quality.issue_enrich(view(s, d, "v_issues"), tools(s, d)).select("uid", "tool_uid", "problem_uid", "tool_name", "problem_title")
+
+
+def _counts(column, value="count(*)"):
+    return f"""(SELECT concat('{{', string_agg(concat('"', k, '":', CAST(v AS VARCHAR)), ',' ORDER BY k), '}}') FROM (SELECT CAST({column} AS VARCHAR) AS k, {value} AS v FROM v_issues GROUP BY 1) q)"""
+
+
+TOOK, AGE = "epoch(closed_at) - epoch(created_at)", "CASE WHEN closed_at IS NULL THEN epoch(TIMESTAMP '2000-01-01') - epoch(created_at) END"
+
+
+@query("issue_metrics", f"""
+    SELECT CAST(trunc(avg({TOOK})) AS BIGINT) AS mean_seconds_close_time_all, CAST(trunc(avg(CASE WHEN reporter_type = 'customer' THEN {TOOK} END)) AS BIGINT) AS mean_seconds_close_time_customer,
+      CAST(trunc(avg({AGE})) AS BIGINT) AS mean_unresolved_issue_age_all, CAST(trunc(avg(CASE WHEN reporter_type = 'customer' THEN {AGE} END)) AS BIGINT) AS mean_unresolved_issue_age_customer,
+      {_counts("status")} AS status_count, {_counts("priority")} AS priority_count, {_counts("severity")} AS severity_count, {_counts("problem_uid", "count(DISTINCT object_uid)")} AS object_count_by_problem FROM v_issues""")
+def _(s, d):
+    return quality.issue_metrics(view(s, d, "v_issues"), F.lit("2000-01-01 00:00:00").cast("timestamp"))
+
+
+@query("dataset_health", """
+    WITH i AS (SELECT dataset, count(*) AS item_count FROM v_items GROUP BY dataset),
+    q AS (SELECT conv_id, concat('src', CAST(conv_id % 20 AS VARCHAR)) AS dataset, count(*) AS actual, max(turn) + CASE WHEN conv_id % 50 = 7 THEN 2 ELSE 1 END AS declared FROM conversations GROUP BY conv_id),
+    r AS (SELECT dataset, count(*) AS n, sum(actual) AS f, count(*) FILTER (WHERE actual <> declared) AS wrong FROM q GROUP BY dataset),
+    d AS (SELECT DISTINCT source AS dataset, CASE WHEN source = 'src3' THEN 'creating' ELSE 'created' END AS status FROM documents)
+    SELECT d.dataset, coalesce(item_count, 0) AS item_count, coalesce(n, 0) AS sequence_count, CAST(coalesce(f, 0) AS BIGINT) AS total_frames,
+      concat(CASE WHEN status <> 'created' THEN concat('status ', status) ELSE '' END, CASE WHEN status <> 'created' AND coalesce(wrong, 0) > 0 THEN '; ' ELSE '' END, CASE WHEN coalesce(wrong, 0) > 0 THEN concat(CAST(wrong AS VARCHAR), ' sequences with a wrong frame count') ELSE '' END) AS issues,
+      status = 'created' AND coalesce(wrong, 0) = 0 AS ingest_ok FROM d LEFT JOIN i ON d.dataset = i.dataset LEFT JOIN r ON d.dataset = r.dataset""")
+def _(s, d):
+    items = view(s, d, "v_items")
+    datasets = items.select("dataset").distinct().withColumn("status", F.when(F.col("dataset") == "src3", "creating").otherwise("created"))
+    seq = table(s, d, "conversations").groupBy("conv_id").agg(F.count("*").alias("actual"), F.max("turn").alias("t"))
+    seq = seq.select(F.concat(F.lit("src"), F.col("conv_id") % 20).alias("dataset"), "actual", (F.col("t") + F.when(F.col("conv_id") % 50 == 7, 2).otherwise(1)).alias("declared"), F.lit(None).cast("timestamp").alias("updated_at"))
+    return quality.dataset_health(datasets, items, seq).drop("last_updated_at")
+
+
+@query("autolabel_progress", """
+    SELECT job, count(*) AS total_items, count(*) FILTER (WHERE quality IS NOT NULL) AS processed_items, count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS successful_items, count(*) FILTER (WHERE quality = 0) AS failed_items, count(*) FILTER (WHERE quality = 1 AND toxic <> 0) AS skipped_items,
+      100.0 * count(*) FILTER (WHERE quality IS NOT NULL) / count(*) AS progress_pct FROM (SELECT dataset AS job, quality, toxic FROM v_items) GROUP BY job""")
+def _(s, d):
+    status = F.when(F.col("quality").isNull(), "pending").when(F.col("quality") == 0, "failed").when(F.col("toxic") == 0, "successful").otherwise("skipped")
+    return quality.autolabel_progress(view(s, d, "v_items").select(F.col("dataset").alias("job"), status.alias("status")))
+
+
+@query("detections_filter", "SELECT uid, label, (n_chars % 100) / 100.0 AS confidence FROM v_items WHERE (n_chars % 100) / 100.0 >= 0.5 AND label IN ('en', 'fr')")
+def _(s, d):
+    return quality.detections_filter(view(s, d, "v_items").select("uid", "label", ((F.col("n_chars") % 100) / 100.0).alias("confidence")), 0.5, ["en", "fr"])
+
+
+@query("execution_stats", """
+    WITH c AS (SELECT device AS agent, type AS k, count(*) AS v FROM v_events GROUP BY device, type UNION ALL SELECT device, 'total', count(*) FROM v_events GROUP BY device)
+    SELECT agent, concat('{', string_agg(concat('"', k, '":', CAST(v AS VARCHAR)), ',' ORDER BY k), '}') AS stats FROM c GROUP BY agent""")
+def _(s, d):
+    return quality.execution_stats(view(s, d, "v_events").select(F.col("device").alias("agent"), F.col("type").alias("status")))
+
+
+# ---------------------------------------------------------------- listings and collections
+
+
+@query("entity_filter", "SELECT uid, name, type, status FROM v_devices WHERE status = 'online' AND type = 'BUILDING'")
+def _(s, d):
+    return col.entity_filter(view(s, d, "v_devices"), "devices", status="online", type="BUILDING").select("uid", "name", "type", "status")
+
+
+@query("entity_get", "SELECT uid, name, type, status FROM v_devices WHERE uid = 42")
+def _(s, d):
+    return col.entity_get(view(s, d, "v_devices"), uid=42).select("uid", "name", "type", "status")
+
+
+@query("keyset_page", "SELECT uid, type, true AS has_more, replace(replace(to_base64(CAST(concat('[', CAST((SELECT max(uid) FROM (SELECT uid FROM v_events WHERE uid > 99 ORDER BY uid LIMIT 100) m) AS VARCHAR), ']') AS BLOB)), '+', '-'), '/', '_') AS next_cursor FROM v_events WHERE uid > 99 ORDER BY uid LIMIT 100")
+def _(s, d):
+    return col.keyset_page(view(s, d, "v_events").select("uid", "type"), ["uid"], 100, col.encode_cursor([99])).select("uid", "type", "has_more", "next_cursor")
+
+
+@query("latest_n", "SELECT uid, device, status FROM v_recordings ORDER BY started_at DESC, uid DESC LIMIT 5")
+def _(s, d):
+    return col.latest_n(view(s, d, "v_recordings"), 5, ["started_at", "uid"]).select("uid", "device", "status")
+
+
+@query("rows_json", "SELECT concat('{\"id\":', CAST(uid AS VARCHAR), ',\"name\":\"', name, '\",\"state\":\"', status, '\"}') AS json FROM v_devices")
+def _(s, d):
+    return col.rows_json(view(s, d, "v_devices"), {"id": "uid", "name": "name", "state": "status"})
+
+
+@query("status_overview", """
+    SELECT 'members' AS section, n_name AS name, count(c_custkey) AS value FROM nation LEFT JOIN customer ON n_nationkey = c_nationkey GROUP BY n_name
+    UNION ALL SELECT 'recordings', 'shown', least(count(*), 5) FROM v_recordings UNION ALL SELECT 'recordings', 'has_more', CAST(count(*) > 5 AS BIGINT) FROM v_recordings
+    UNION ALL SELECT 'exports', 'pending', count(*) FROM v_recordings WHERE status = 'processing' UNION ALL SELECT 'fleet', 'online', count(*) FROM v_devices WHERE status = 'online' UNION ALL SELECT 'fleet', 'offline', count(*) FROM v_devices WHERE status <> 'online'""")
+def _(s, d):
+    orgs = table(s, d, "nation").select(F.col("n_nationkey").alias("organization"), F.col("n_name").alias("name"))
+    dev, rec = view(s, d, "v_devices"), view(s, d, "v_recordings")
+    return col.status_overview(orgs, dev, {"recordings": rec}, rec, dev)
+
+
+@query("org_rollup", """
+    WITH m AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1), t AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1), p AS (SELECT c_nationkey AS k, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
+    SELECT n_nationkey AS organization, n_name AS name, coalesce(m.n, 0) AS member_count, coalesce(t.n, 0) AS team_count, coalesce(p.n, 0) AS project_count FROM nation LEFT JOIN m ON m.k = n_nationkey LEFT JOIN t ON t.k = n_nationkey LEFT JOIN p ON p.k = n_nationkey""")
+def _(s, d):
+    orgs = table(s, d, "nation").select(F.col("n_nationkey").alias("organization"), F.col("n_name").alias("name"))
+    members = table(s, d, "customer").select(F.col("c_nationkey").alias("organization"), "c_custkey")
+    projects = table(s, d, "orders").join(members, F.col("o_custkey") == F.col("c_custkey"))
+    return col.org_rollup(orgs, member=members, team=table(s, d, "supplier").select(F.col("s_nationkey").alias("organization")), project=projects)
+
+
+@query("random_selection", "SELECT uid FROM v_items ORDER BY md5(concat(CAST(uid AS VARCHAR), 'seed')), uid LIMIT 50")
+def _(s, d):
+    return col.random_selection(view(s, d, "v_items").select("uid"), 50, "seed")
+
+
+@query("slice_compose", "SELECT uid, dataset, label FROM v_items WHERE (dataset = 'src0' AND label = 'en') OR dataset = 'src3' OR (dataset = 'src5' AND quality = 1)")
+def _(s, d):
+    return col.slice_compose(view(s, d, "v_items"), [{"dataset": "src0", "query": "label=en"}, {"dataset": "src3", "query": ""}, {"dataset": "src5", "query": "quality=1"}]).select("uid", "dataset", "label")
+
+
+@query("related_items", """
+    SELECT uid, v.related_sequence_uid, n - 1 AS n_siblings, first_uid, last_uid FROM v_items v JOIN (SELECT related_sequence_uid, count(*) AS n, min(uid) AS first_uid, max(uid) AS last_uid FROM v_items GROUP BY 1) g ON v.related_sequence_uid = g.related_sequence_uid""")
+def _(s, d):
+    return col.related_items(view(s, d, "v_items").select("uid", "related_sequence_uid"))
+
+
+@query("item_samples", "SELECT uid, key, label, text FROM v_items WHERE dataset = 'src1'")
+def _(s, d):
+    return tables.item_samples(view(s, d, "v_items"), dataset="src1")
+
+
+@query("annotation_export", "SELECT uid, dataset, key, CAST(quality AS VARCHAR) AS annotations FROM v_items WHERE quality IS NOT NULL AND dataset = 'src2'")
+def _(s, d):
+    return col.annotation_export(view(s, d, "v_items").withColumn("annotations", F.col("quality").cast("string")), dataset="src2")
+
+
+@query("shard_assign", "SELECT uid, shard, shard // 2 AS rank, shard % 2 AS worker FROM (SELECT uid, CAST((row_number() OVER (ORDER BY ts, uid) - 1) % 6 AS BIGINT) AS shard FROM v_events)")
+def _(s, d):
+    return edits.shard_assign(view(s, d, "v_events").select("uid", "ts"), 3, 2, ["ts", "uid"]).select("uid", "shard", "rank", "worker")
+
+
+@query("shard_cover_check", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_shared, CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_foreign FROM events")
+def _(s, d):
+    rows = view(s, d, "v_events").select("uid")
+    return edits.shard_cover_check(edits.shard_assign(rows, 4, 2), rows)
+
+
+@query("sample_transform")
+def _(s, d):
+    return col.sample_transform(view(s, d, "v_items").select("uid", "text"), lambda r: {"uid": r["uid"], "n_upper": sum(c.isupper() for c in r["text"] or "")}, "uid long, n_upper long")
+
+
+# ---------------------------------------------------------------- files and URLs
+
+MEDIA = "CASE uid % 7 WHEN 0 THEN 'image' WHEN 1 THEN 'image' WHEN 2 THEN 'video' WHEN 3 THEN 'lidar' WHEN 4 THEN 'splat' WHEN 6 THEN 'mcap' END"
+
+
+@query("media_type", f"SELECT uid, key, {MEDIA} AS media_type FROM v_items")
+def _(s, d):
+    return view(s, d, "v_items").select("uid", "key", files.media_type(F.col("key")).alias("media_type"))
+
+
+@query("resolve_data_type", "SELECT CAST(NULL AS VARCHAR) AS data_type, 'several types: image, lidar, mcap, splat, video' AS problem FROM (SELECT count(*) FROM documents) q")
+def _(s, d):
+    return files.resolve_data_type(view(s, d, "v_items"))
+
+
+@query("indexable_guard", "SELECT 'lidar' AS data_type, count(*) > 0 AS indexable FROM documents WHERE doc_id % 7 = 3")
+def _(s, d):
+    return files.indexable_guard(view(s, d, "v_items"), "lidar")
+
+
+@query("object_filter", "SELECT uid, key FROM v_items WHERE (uid % 7 IN (0, 1)) AND NOT (dataset IN ('src1', 'src10', 'src11', 'src12', 'src13', 'src14', 'src15', 'src16', 'src17', 'src18', 'src19'))")
+def _(s, d):
+    return files.object_filter(view(s, d, "v_items"), "key", " jpg, png ", "data/src1*").select("uid", "key")
+
+
+@query("inventory_summary", f"""
+    WITH m AS (SELECT coalesce({MEDIA}, 'unknown') AS media_type, n_chars AS size FROM v_items), g AS (SELECT media_type, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS n_bytes FROM m GROUP BY media_type UNION ALL SELECT 'all', count(*), CAST(sum(size) AS BIGINT) FROM m)
+    SELECT *, CASE WHEN n_bytes < 1024 THEN printf('%.1f B', n_bytes / 1.0) WHEN n_bytes < 1048576 THEN printf('%.1f KB', n_bytes / 1024.0) WHEN n_bytes < 1073741824 THEN printf('%.1f MB', n_bytes / 1048576.0) ELSE printf('%.1f GB', n_bytes / 1073741824.0) END AS size FROM g""")
+def _(s, d):
+    return files.inventory_summary(view(s, d, "v_items").select("key", F.col("n_chars").alias("size_bytes")), "key")
+
+
+@query("file_inventory")
+def _(s, d):
+    return files.file_inventory(s, d)
+
+
+@query("object_scan")
+def _(s, d):
+    out = sinks.folder(s)
+    sinks.write_media(view(s, d, "v_states"), out)
+    return files.object_scan(s, out, "mcap", ignored="*episode_index=1/*").select("relative_path", "size_bytes")
+
+
+@query("url_audit", """
+    SELECT page_id, url, false AS traversal, false AS line_break, contains(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '//') AS double_slash, regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) AS origin, false AS allowed_host FROM v_urls""")
+def _(s, d):
+    return urls.url_audit(view(s, d, "v_urls"), "url").select("page_id", "url", "traversal", "line_break", "double_slash", "origin", "allowed_host")
+
+
+@query("cursor_of", "SELECT page_id, CASE WHEN regexp_extract(url, '[?&]cursor=([^&#]*)', 1) <> '' THEN regexp_extract(url, '[?&]cursor=([^&#]*)', 1) WHEN regexp_extract(url, '[?&]page=([^&#]*)', 1) <> '' THEN regexp_extract(url, '[?&]page=([^&#]*)', 1) END AS cursor FROM v_urls")
+def _(s, d):
+    return view(s, d, "v_urls").select("page_id", tables.cursor_of(F.col("url")).alias("cursor"))
+
+
+@query("envelope_scan", "SELECT uid, name, CASE WHEN uid // 100 < (SELECT max(uid) // 100 FROM v_devices) THEN CAST(uid // 100 + 1 AS VARCHAR) END AS next_cursor FROM v_devices")
+def _(s, d):
+    v = view(s, d, "v_devices").withColumn("p", F.floor(F.col("uid") / 100))
+    last = v.agg(F.max("p").alias("last"))
+    pages = v.groupBy("p").agg(F.collect_list(F.struct("uid", "name")).alias("results")).crossJoin(last)  # one row
+    nxt = F.when(F.col("p") < F.col("last"), F.concat(F.lit("https://h.example/v1/?limit=100&cursor="), F.col("p") + 1))
+    rows = pages.select(F.to_json(F.struct("results", nxt.alias("next"))).alias("json"))
+    return tables.envelope_scan(rows, "struct<uid:bigint,name:string>").select("uid", "name", "next_cursor")
+
+
+# ---------------------------------------------------------------- redaction
+
+CHAIN = "text"
+for _name, _p in redact.PATTERNS:
+    CHAIN = f"""regexp_replace({CHAIN}, '{_p.replace("'", "''")}', '[redacted]', 'g')"""
+
+
+@query("redact_text", f"SELECT doc_id, {CHAIN} AS text FROM documents")
+def _(s, d):
+    return table(s, d, "documents").select("doc_id", redact.redact_text(F.col("text")).alias("text"))
+
+
+@query("secret_report", " UNION ALL ".join(f"""SELECT '{n}' AS pattern, count(*) FILTER (WHERE c > 0) AS n_rows, CAST(coalesce(sum(c), 0) AS BIGINT) AS n_matches FROM (SELECT len(regexp_extract_all(text, '{p.replace("'", "''")}')) AS c FROM documents) q""" for n, p in redact.PATTERNS))
+def _(s, d):
+    return redact.secret_report(table(s, d, "documents"), "text")
+
+
+@query("redact_json")
+def _(s, d):
+    rows = table(s, d, "documents").select("doc_id", F.to_json(F.struct(F.struct(F.col("doc_id").alias("apiKey"), "text").alias("body"), F.col("source").alias("secret"))).alias("json"))
+    return redact.redact_json(rows, "json")
+
+
+# ---------------------------------------------------------------- fleet
+
+
+@query("fleet_enrich", """
+    SELECT e.uid, e.device, r.status AS recording_status, d.name AS device_name, d.type AS device_type FROM v_events e LEFT JOIN v_recordings r ON e.uid = r.uid LEFT JOIN v_devices d ON e.device = d.uid""")
+def _(s, d):
+    ev = view(s, d, "v_events").withColumn("recording", F.col("uid"))
+    return fleet.fleet_enrich(ev, view(s, d, "v_recordings"), view(s, d, "v_devices")).select("uid", "device", "recording_status", "device_name", "device_type")
+
+
+RULES = [
+    {"uid": 1, "field": "value", "op": "gt", "value": 50.0, "device_type": None, "actions": ["alert", "tag"], "severity": "warning"},
+    {"uid": 2, "field": "value", "op": "lte", "value": 5.0, "device_type": "BUILDING", "actions": ["alert"], "severity": "critical"},
+    {"uid": 3, "field": "value", "op": "gte", "value": 0.0, "device_type": None, "enabled": False},
+    {"uid": 4, "field": "value", "op": "lt", "value": 20.0, "device_type": "MACHINERY", "actions": ["tag"]},
+]
+MATCH = """m AS (SELECT e.uid, e.device, e.ts, d.type AS dt, r.rule FROM v_events e JOIN v_devices d ON e.device = d.uid JOIN (SELECT 1 AS rule UNION ALL SELECT 2 UNION ALL SELECT 4) r
+    ON (r.rule = 1 AND value > 50) OR (r.rule = 2 AND value <= 5 AND d.type = 'BUILDING') OR (r.rule = 4 AND value < 20 AND d.type = 'MACHINERY'))"""
+
+
+def matches(s, d):
+    return fleet.rule_match(view(s, d, "v_events"), view(s, d, "v_devices"), RULES)
+
+
+@query("rule_match", f"WITH {MATCH} SELECT rule, uid, device, dt AS device_type FROM m")
+def _(s, d):
+    return matches(s, d).select("rule", "uid", "device", "device_type")
+
+
+@query("rule_alerts", f"WITH {MATCH} SELECT rule, uid AS event, device, CASE rule WHEN 1 THEN 'warning' ELSE 'critical' END AS severity, 'open' AS status FROM m WHERE rule IN (1, 2)")
+def _(s, d):
+    return fleet.alerts_of(matches(s, d)).drop("triggered_at")
+
+
+@query("rule_hits", f"WITH {MATCH} SELECT rule, count(*) AS hit_count, epoch_us(max(ts)) AS last_hit_us FROM m GROUP BY rule")
+def _(s, d):
+    return fleet.rule_hits(matches(s, d)).select("rule", "hit_count", F.unix_micros("last_hit_at").alias("last_hit_us"))
+
+
+@query("alert_lifecycle", """
+    WITH l AS (SELECT uid % 1000 AS alert, CASE WHEN type = 'click' THEN 'acknowledge' WHEN type = 'error' THEN 'resolve' ELSE 'note' END AS action, epoch_us(ts) AS t, uid AS tie, device AS who FROM v_events),
+    k AS (SELECT alert, min(CASE WHEN action = 'acknowledge' THEN (t, tie) END) AS a, min(CASE WHEN action = 'resolve' THEN (t, tie) END) AS r FROM l GROUP BY alert),
+    j AS (SELECT k.alert, r, x.t AS ts, x.who, y.t AS rt, x.t IS NOT NULL AND (y.t IS NULL OR x.t < y.t OR (x.t = y.t AND x.tie < y.tie)) AS ack FROM k LEFT JOIN l x ON k.alert = x.alert AND (x.t, x.tie) = k.a AND x.action = 'acknowledge' LEFT JOIN l y ON k.alert = y.alert AND (y.t, y.tie) = k.r AND y.action = 'resolve')
+    SELECT alert, CASE WHEN rt IS NOT NULL THEN 'resolved' WHEN ack THEN 'acknowledged' ELSE 'open' END AS status, CASE WHEN ack THEN ts END AS acknowledged_us, CASE WHEN ack THEN CAST(who AS VARCHAR) END AS acknowledged_by, rt AS resolved_us FROM j""")
+def _(s, d):
+    got = fleet.alert_lifecycle(actions(s, d))
+    return got.select("alert", "status", F.unix_micros("acknowledged_at").alias("acknowledged_us"), "acknowledged_by", F.unix_micros("resolved_at").alias("resolved_us"))
+
+
+def actions(s, d):
+    action = F.when(F.col("type") == "click", "acknowledge").when(F.col("type") == "error", "resolve").otherwise("note")
+    return view(s, d, "v_events").select((F.col("uid") % 1000).alias("alert"), action.alias("action"), "ts", F.col("uid").alias("tie"), F.col("device").cast("string").alias("by"))
+
+
+@query("device_last_seen", """
+    SELECT d.uid AS device, epoch_us(t) AS last_seen_us, CASE WHEN t IS NOT NULL AND epoch(TIMESTAMP '2024-01-31') - epoch(t) <= 172800 THEN 'online' ELSE 'offline' END AS status
+    FROM v_devices d LEFT JOIN (SELECT device, max(ts) AS t FROM v_events GROUP BY device) e ON d.uid = e.device""")
+def _(s, d):
+    got = fleet.device_last_seen(view(s, d, "v_events"), view(s, d, "v_devices"), F.lit("2024-01-31 00:00:00").cast("timestamp"), 172800)
+    return got.select("device", F.unix_micros("last_seen_at").alias("last_seen_us"), "status")
+
+
+def event_json(s, d):
+    v = view(s, d, "v_events")
+    when = F.when(F.col("uid") % 50 == 7, "soon").when(F.col("uid") % 50 != 9, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    return v.select(F.to_json(F.struct(F.col("uid").cast("string").alias("recording"), F.when(F.col("uid") % 50 != 3, F.col("device").cast("string")).alias("device"), F.lit("l").alias("label"), "type", when.alias("timestamp"), "severity", F.lit(1).alias("unknown"))).alias("json"))
+
+
+@query("typed_read", """
+    SELECT uid AS recording, CASE uid % 50 WHEN 3 THEN 'missing device' WHEN 9 THEN 'missing timestamp' WHEN 7 THEN 'bad time in timestamp' ELSE 'ok' END AS verdict, CASE WHEN uid % 50 NOT IN (3, 7, 9) THEN epoch_us(ts) END AS us FROM v_events""")
+def _(s, d):
+    got = tables.typed(event_json(s, d), "event")
+    good = F.col("reason").isNull()
+    return got.select(F.col("recording").cast("long").alias("recording"), F.coalesce("reason", F.lit("ok")).alias("verdict"), F.when(good, F.unix_micros("timestamp")).alias("us"))
+
+
+@query("event_ingest", "SELECT count(*) FILTER (WHERE uid % 50 NOT IN (3, 7, 9)) AS created, count(*) FILTER (WHERE uid % 50 IN (3, 7, 9)) AS rejected FROM v_events")
+def _(s, d):
+    ok, bad = tables.typed_read(event_json(s, d), "event")
+    return ok.agg(F.count("*").alias("created")).crossJoin(bad.agg(F.count("*").alias("rejected")))  # one row each
+
+
+@query("ingest_resume")
+def _(s, d):
+    return sinks.resumed(s, table(s, d, "events").select("event_id", "user_id", "event_type", "value"))
+
+
+# ---------------------------------------------------------------- uploads
+
+
+def manifest(s, d):
+    return table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("path"), F.col("o_totalprice").cast("long").alias("size_bytes"), "o_orderkey")
+
+
+@query("upload_coverage", "SELECT CAST(o_orderkey AS VARCHAR) AS path, CASE WHEN o_orderkey % 4 <> 1 THEN concat('u', CAST(o_orderkey AS VARCHAR)) END AS put_url, o_orderkey % 4 = 1 AS failed FROM orders")
+def _(s, d):
+    m = manifest(s, d)
+    return fleet.upload_coverage(m.select("path"), m.filter("o_orderkey % 4 <> 1").select("path", F.concat(F.lit("u"), F.col("path")).alias("put_url")))
+
+
+@query("upload_reconcile", "SELECT CAST(o_orderkey AS VARCHAR) AS path, o_orderkey % 3 = 0 OR o_orderkey % 5 <> 0 AS confirmed, NOT (o_orderkey % 3 = 0 OR o_orderkey % 5 <> 0) AS remaining FROM orders")
+def _(s, d):
+    m = manifest(s, d)
+    return fleet.upload_reconcile(m, m.filter("o_orderkey % 3 = 0"), m.filter("o_orderkey % 5 = 0"))
+
+
+@query("upload_progress", """
+    SELECT count(*) AS total_files, CAST(sum(b) AS BIGINT) AS total_bytes, count(*) FILTER (WHERE k % 7 > 1) AS uploaded_files, CAST(sum(CASE WHEN k % 7 > 1 THEN b END) AS BIGINT) AS uploaded_bytes, count(*) FILTER (WHERE k % 7 = 1) AS failed_files, count(*) FILTER (WHERE k % 7 = 1) = 0 AS can_finalize
+    FROM (SELECT o_orderkey AS k, CAST(trunc(o_totalprice) AS BIGINT) AS b FROM orders) q""")
+def _(s, d):
+    m = manifest(s, d)
+    return fleet.upload_progress(m, m.filter("o_orderkey % 7 <> 0").select("path", (F.col("o_orderkey") % 7 > 1).alias("ok")))
