@@ -54,7 +54,7 @@ def inventory_summary(files: DataFrame, path: str = "relative_path") -> DataFram
 
 def clean_csv(value: Column) -> Column:
     """Comma-separated values without padding and empty entries."""
-    return F.array_join(F.filter(F.transform(F.split(value, ","), F.trim), lambda x: x != ""), ",")
+    return F.array_join(F.filter(F.transform(F.split(value, ","), lambda x: F.trim(x)), lambda x: x != ""), ",")
 
 
 def parse_uri(uri: str) -> tuple[str, str, str]:
