@@ -19,6 +19,9 @@ QUERIES = {
 
 #: SQL where it can express an operator and runs on whole tables; the others are tested against brute force.
 ORACLES = {
+    "op1_jaccard_join": jaccard_join.ORACLE,
+    "op2_licence_scan": licences.oracle(),
+    "op7_substring_dedup": substring_dedup.ORACLE,
     "op3_warc_audit": warc_audit.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
 }

@@ -278,18 +278,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
-), s AS (
-  SELECT doc_id, unnest(generate_series(1, len(ws) - 49)) AS i, ws FROM w WHERE len(ws) >= 50
 ), h AS (
-  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS k FROM s
-), m AS (
-  SELECT k, min(doc_id) AS least FROM h GROUP BY k
+  SELECT doc_id, unnest(range(1, len(ws) - 48)) AS i, unnest(list_transform(range(1, len(ws) - 48), lambda j: md5(array_to_string(ws[j:j + 49], ' ')))) AS k FROM w WHERE len(ws) >= 50
 ), c AS (
-  SELECT DISTINCT h.doc_id, unnest(generate_series(h.i, h.i + 49)) AS p FROM h JOIN m ON h.k = m.k WHERE m.least < h.doc_id
+  SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY k) AS least FROM h) q WHERE least < doc_id
 ), g AS (
-  SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id
+  SELECT doc_id, list_distinct(flatten(list(range(i, i + 50)))) AS gone FROM c GROUP BY doc_id
 )
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
-  sha256(array_to_string(list_filter(ws, lambda x, i: gone IS NULL OR NOT list_contains(gone, i)), ' ')) AS kept_sha256
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN ws ELSE list_transform(list_filter(list_zip(ws, range(1, len(ws) + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END, ' ')) AS kept_sha256
 FROM w LEFT JOIN g ON w.doc_id = g.doc_id
 """
