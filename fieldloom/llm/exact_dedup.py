@@ -174,10 +174,16 @@ def group_equal(docs: DataFrame, memory: int = MEMORY, fold: int = FOLD) -> Data
 
 def keep_rows(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns; of repeated rows one."""
-    kept = group_equal(docs).filter("kept").select(F.col("doc_id").alias("kept_doc_id"), F.col("text_sha256").alias("kept_sha256"))
-    tagged = docs.withColumn("kept_sha256_of", F.sha2(F.encode(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), "utf-8"), 256))
+    spark = docs.sparkSession
+    groups = C.stored(group_equal(docs), C.shared_dir(spark))
+    kept = groups.filter("kept").select(F.col("doc_id").alias("kept_doc_id"), F.col("text_sha256").alias("kept_sha256"))
+    low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tagged = docs.withColumn("kept_sha256_of", F.sha2(F.encode(low, "utf-8"), 256))
     hit = tagged["doc_id"].eqNullSafe(kept["kept_doc_id"]) & (tagged["kept_sha256_of"] == kept["kept_sha256"])
-    return tagged.join(kept, hit, "left_semi").drop("kept_sha256_of").select(docs.columns)
+    out = tagged.join(kept, hit, "left_semi")
+    if groups.filter("kept").join(groups.filter("not kept"), ["doc_id", "text_sha256"], "left_semi").count() or groups.filter("kept and doc_id is null").count():
+        out = out.dropDuplicates(["doc_id", "kept_sha256_of"])  # only where rows are repeated: it moves the texts once more
+    return out.select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

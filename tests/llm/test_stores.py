@@ -39,6 +39,7 @@ def test_exact_dedup_matches_brute_force(spark, hard, memory):
     assert sorted((tuple(r) for r in got.collect()), key=str) == want
     kept = exact_dedup.keep_rows(docs.withColumn("h", F.lit(1)))
     assert kept.columns == ["doc_id", "text", "h"]
+    assert sorted(str((r.doc_id, hashlib.sha256(brute.lower(r.text)).hexdigest())) for r in kept.collect()) == sorted(str((g[0], g[4])) for g in want if g[3])
 
 
 def test_exact_dedup_empty_and_keep(spark, empty):
