@@ -1,8 +1,9 @@
 """Licence scans by a positional rare-token index. DataFrame functions only.
 
 Licence templates give postings: word -> (template, position). The words of the templates are the
-licence vocabulary, whose document frequencies are counted over all documents. In a document, the
-RARE licence words with the highest inverse document frequency are looked up; a place p of
+licence vocabulary, whose document frequencies are counted over all documents. Each template is indexed by the word
+of its mandatory key phrase with the highest inverse document frequency; a document's words of that index, its
+highest-IDF licence words, are looked up (no match can miss: its key phrase holds such a word); a place p of
 a word with template position t votes for (template, p - t), so equal relative positions meet in one offset. At
 each offset the template's words are compared in place; it counts when its mandatory key phrase stands
 at its place and LEAST of its words agree. Base phrases are found directly from the places of vocabulary words.
@@ -23,32 +24,32 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RARE = 24
 LEAST = 0.75
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: ASCII characters that are in no word once A-Z are lower-cased.
+PARTING = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 #: Base phrases and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
 
-#: Fixed values: (label, template, mandatory key phrase, word that only documents with the phrase can contain).
+#: Fixed values: (label, template, mandatory key phrase, the word of the key phrase that the pre-test looks for).
 TEMPLATES = [
-    ("agpl-3.0", "licensed under the gnu affero general public license version 3", "affero general public license", "affero"),
-    ("apache-2.0", "licensed under the apache license version 2 0", "apache license", "apache"),
-    ("artistic-2.0", "licensed under the artistic license 2 0", "artistic license", "artistic"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms", "redistribution"),
+    ("agpl-3.0", "licensed under the gnu affero general public license version 3", "affero general public license", "license"),
+    ("apache-2.0", "licensed under the apache license version 2 0", "apache license", "license"),
+    ("artistic-2.0", "licensed under the artistic license 2 0", "artistic license", "license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "source and binary forms", "binary"),
     ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4", "cc"),
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc", "cc"),
     ("cc-by-sa-4.0", "licensed under cc by sa 4 0", "cc by sa", "cc"),
-    ("cc0-1.0", "dedicated to the public domain under cc0 1 0", "cc0", "cc0"),
-    ("epl-2.0", "made available under the terms of the eclipse public license 2 0", "eclipse public license", "eclipse"),
+    ("cc0-1.0", "dedicated to the public domain under cc0 1 0", "cc0", "cc"),
+    ("epl-2.0", "made available under the terms of the eclipse public license 2 0", "eclipse public license", "license"),
     ("gpl-2.0", "licensed under the gnu general public license version 2", "general public license version 2", "license"),
     ("gpl-3.0", "this work is licensed under the gnu general public license version 3", "general public license version 3", "license"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee", "permission"),
-    ("lgpl-3.0", "licensed under the gnu lesser general public license version 3", "lesser general public license", "lesser"),
-    ("mit", "released under the mit license", "mit license", "mit"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge", "permission"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license", "mozilla"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "with or without fee", "without"),
+    ("lgpl-3.0", "licensed under the gnu lesser general public license version 3", "lesser general public license", "license"),
+    ("mit", "released under the mit license", "mit license", "license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge", "hereby"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license", "license"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software", "unencumbered"),
 ]
 
@@ -56,13 +57,19 @@ VOCABULARY = sorted({w for _, t, _, _ in TEMPLATES for w in t.split()} | {w for
 GATE = sorted({g for *_, g in TEMPLATES} | {"cc", "license", "reserved"})
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), 0)
+def spaced(text: Column) -> Column:
+    """Lower-cased text with a space for every character that parts words."""
+    return F.translate(F.coalesce(text, F.lit("")), UPPER + PARTING, LOWER + " " * len(PARTING))
+
+
+def words(low: Column) -> Column:
+    """Its words. A plain split at single spaces is several times as fast as a regular expression."""
+    return F.array_remove(F.split(low, " "), "")
 
 
 def frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
     """Documents, and how many of them have each vocabulary word: at most one row for each of these words."""
-    own = docs.select(F.array_intersect(words(F.col("text")), F.array(*[F.lit(w) for w in VOCABULARY])).alias("ws"))
+    own = docs.select(F.array_intersect(words(spaced(F.col("text"))), F.array(*[F.lit(w) for w in VOCABULARY])).alias("ws"))
     rows = own.select(F.explode(F.concat("ws", F.array(F.lit("")))).alias("w")).groupBy("w").count().collect()
     n = {r.w: r["count"] for r in rows}
     return n.pop("", 0), n
@@ -72,7 +79,7 @@ def _literal(rows: list[tuple], names: tuple[str, ...]) -> Column:
     return F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in zip(names, r, strict=True)]) for r in rows])
 
 
-def scan(docs: DataFrame, rare: int = RARE, least: float = LEAST) -> DataFrame:
+def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document."""
     total, df = frequencies(docs)
     idf = {w: math.log((1 + total) / (1 + df.get(w, 0))) for w in VOCABULARY}
@@ -81,7 +88,7 @@ def scan(docs: DataFrame, rare: int = RARE, least: float = LEAST) -> DataFrame:
         for at, w in enumerate(template.split()):
             postings[w].append((k, at))
     post = F.create_map(*[x for w in sorted(postings) for x in (F.lit(w), _literal(postings[w], ("t", "at")))])
-    weight = F.create_map(*[x for w in VOCABULARY for x in (F.lit(w), F.lit(float(idf[w])))])
+    rare = sorted({max(key.split(), key=lambda w: (idf[w], w)) for *_, key, _ in TEMPLATES})
     templates = F.array(*[F.array(*[F.lit(w) for w in t.split()]) for _, t, _, _ in TEMPLATES])
     keys = []
     for _, t, key, _ in TEMPLATES:
@@ -91,12 +98,12 @@ def scan(docs: DataFrame, rare: int = RARE, least: float = LEAST) -> DataFrame:
     key_of = _literal(keys, ("at", "n"))
     names = F.array(*[F.lit(label) for label, *_ in TEMPLATES])
 
-    low = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    low = spaced(F.col("text"))
     gate = F.lit(False)
     for w in GATE:
         gate = gate | F.contains("low", F.lit(w))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), low.alias("low"))
-    out = out.select("doc_id", F.regexp_extract_all("low", F.lit(WORD), 0).alias("ws"), gate.alias("live"))
+    out = out.select("doc_id", words(F.col("low")).alias("ws"), gate.alias("live"))
 
     # places of vocabulary words, in order
     empty = F.array().cast("array<struct<w:string,p:int>>")
@@ -121,10 +128,7 @@ def scan(docs: DataFrame, rare: int = RARE, least: float = LEAST) -> DataFrame:
     base_labels = F.array_compact(F.array(*[F.when(F.size(f"base{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(base)]))
 
     # the highest-IDF licence words of the document, all their places, and the offsets that they vote for
-    own = F.array_distinct(F.transform("hits", lambda h: h.w))
-    ranked = F.array_sort(F.transform(own, lambda w: F.struct((-F.element_at(weight, w)).alias("o"), w.alias("w"))))
-    out = out.withColumn("top", F.transform(F.slice(ranked, 1, rare), lambda r: r.w))
-    looked = F.filter("hits", lambda h: F.array_contains(F.col("top"), h.w))
+    looked = F.filter("hits", lambda h: h.w.isin(rare))
     votes = F.flatten(F.transform(looked, lambda h: F.transform(F.coalesce(F.element_at(post, h.w), F.array().cast("array<struct<t:int,at:int>>")), lambda q: F.struct(q.t.alias("t"), (h.p - q["at"]).alias("off")))))
     out = out.withColumn("votes", F.array_distinct(F.filter(votes, lambda v: v.off > -8)))
 
@@ -152,3 +156,33 @@ def scan(docs: DataFrame, rare: int = RARE, least: float = LEAST) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def oracle() -> str:
+    """The same as SQL, by brute force over all places of each key phrase, written from the tables above."""
+    at = lambda i: f"CASE WHEN i + {i} >= 1 THEN ws[i + {i}] END"
+    same = lambda i, w: f"({at(i)}) IS NOT DISTINCT FROM '{w}'"
+    places = lambda ks: f"list_filter(range(1, len(ws) + 1), lambda i: {' AND '.join(same(j, w) for j, w in enumerate(ks))})"
+    cols = [f"{places(p.split())} AS b{k}" for k, (p, _) in enumerate(BASE)]
+    for k, (_, t, key, _) in enumerate(TEMPLATES):
+        t, key = t.split(), key.split()
+        off = next(i for i in range(len(t)) if t[i : i + len(key)] == key)
+        hits = " + ".join(f"CASE WHEN {same(j - off, w)} THEN 1 ELSE 0 END" for j, w in enumerate(t))
+        cols.append(f"coalesce(list_max(list_transform({places(key)}, lambda i: ({hits}) / {len(t)}.0)), 0.0) AS t{k}")
+    spots = "list_concat(" * (len(BASE) - 1) + "b0" + "".join(f", b{k})" for k in range(1, len(BASE)))
+    base = ", ".join(f"CASE WHEN len(b{k}) > 0 THEN '{label}' END" for k, (_, label) in enumerate(BASE))
+    own = ", ".join(f"CASE WHEN t{k} >= {LEAST} THEN '{label}' END" for k, (label, *_) in enumerate(TEMPLATES))
+    best = f"greatest({', '.join(f'CASE WHEN t{k} >= {LEAST} THEN t{k} ELSE 0.0 END' for k in range(len(TEMPLATES)))})"
+    joined = lambda xs: f"coalesce(array_to_string(list_sort(list_distinct([{xs}])), ','), '')"
+    return f"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
+), f AS (
+  SELECT doc_id, ws, {", ".join(cols)} FROM w
+), g AS (
+  SELECT *, {spots} AS spots FROM f
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(spots) AS BIGINT) AS n_base, CAST(list_min(spots) - 1 AS BIGINT) AS first_word, CAST(list_max(spots) - 1 AS BIGINT) AS last_word,
+  {joined(base)} AS base_labels, {joined(base + ", " + own)} AS labels, CAST(CASE WHEN len(spots) > 0 THEN 1.0 ELSE {best} END AS DOUBLE) AS score
+FROM g
+"""

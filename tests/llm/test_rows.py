@@ -63,7 +63,7 @@ def test_licences_match_brute_force(spark, sf_dir, hard):
 
 def test_licences_empty_nulls_and_clashing_names(spark, empty):
     assert licences.scan(empty).collect() == []
-    df = spark.createDataFrame([(None, "cc by"), (1, None), (1, "")], "doc_id long, text string").withColumns({"ws": F.lit(1), "hits": F.lit(1), "low": F.lit("q")})
+    df = spark.createDataFrame([(None, "cc by"), (1, None), (1, "")], "doc_id long, text string").withColumns({"ws": F.lit(1), "hits": F.lit(1), "votes": F.lit(1), "low": F.lit("q")})
     got = sorted(map(str, (tuple(r) for r in licences.scan(df).collect())))
     assert got == sorted(map(str, [(None, 2, 1, 0, 0, "cc-by", "cc-by", 1.0), (1, 0, 0, None, None, "", "", 0.0), (1, 0, 0, None, None, "", "", 0.0)]))
 
