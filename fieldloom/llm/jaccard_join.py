@@ -14,11 +14,12 @@ it, with band and segment number. The order puts keys that are common in the cor
 a third of all documents share makes no candidates among documents that have enough text of their own.
 The order only decides which keys are sent; any order gives the same links.
 
-Verify. Candidates are first held against short sketches (two bits a shingle: Hamming distance over d
-rejects), then against the shingle sets of the whole texts. Only components matter, so the first round verifies for each
-document one partner, and in large segment groups neighbours; the second round takes what is left between
-different components: all further pairs, and in large groups the members of different
-components, held against each other sketch by sketch in blocks without emitting them.
+Verify. Candidates are first held against sketches (four bits a shingle or more: Hamming distance over d
+rejects), then against the shingle sets of the whole texts. Only components matter, so verification goes in rounds: the
+first ones verify for each document the candidate with the nearest sketch in another component, the
+last one everything that is left between different components, so no link between components is lost. Segment groups of
+more than GROUP documents give neighbours only as pairs; their members of different components are held against each other
+sketch by sketch, in blocks, and pairs come out only where sketches are near enough.
 
 Defined cases: null, empty or blank text has an empty set and is linked with nothing. Equal sets
 are linked without verification. Repeated rows with one doc_id give one output row each. Null doc_id rows are
@@ -35,9 +36,12 @@ from pyspark.sql import functions as F
 from . import common as C
 
 HOT_KEYS = 1 << 17
+ROUNDS = 3
 HELD = 3_000_000  # keys that a task holds before it sends them
 GROUP = 32  # segment groups up to this size give all their pairs at once
-BLOCK = 512  # members in a block of a large group
+FEW = 3  # large groups of a document that the first rounds look into
+BLOCK = 2048  # members in a block of a large group
+BUCKET = 512  # documents in a bucket of the verification
 U64 = C.U64
 
 
@@ -74,9 +78,9 @@ def distinct_sets(batch: pa.RecordBatch, width: int):
 
 
 def sketch(h: np.ndarray) -> bytes:
-    """Parity of the shingles on each bit; two bits a shingle or more, a power of two in all."""
+    """Parity of the shingles on each bit; four bits a shingle or more, a power of two in all."""
     m = 64
-    while m < 2 * len(h):
+    while m < 4 * len(h):
         m *= 2
     return np.packbits((np.bincount(((h >> U64(9)) & U64(m - 1)).astype(np.int64), minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -256,59 +260,75 @@ def _pairs_in_groups(group):
 
 
 def _near(percent):
-    """Drops pairs whose sketches are further apart than linked sets can be."""
+    """Drops pairs whose sketches are further apart than linked sets can be; s is their distance in thousandths of both sizes."""
 
     def run(batches):
         for b in batches:
             na, nb, sa, sb = (b.column(k) for k in ("na", "nb", "sa", "sb"))
-            keep = [hamming(x.as_buffer(), y.as_buffer()) * (100 + percent) <= (100 - percent) * (m + n) for x, y, m, n in zip(sa, sb, na.to_pylist(), nb.to_pylist(), strict=True)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n = np.array(na.to_pylist(), np.int64) + np.array(nb.to_pylist(), np.int64)
+            far = np.array([hamming(x.as_buffer(), y.as_buffer()) for x, y in zip(sa, sb, strict=True)], np.int64)
+            got = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(1000 * far // np.maximum(n, 1), pa.int64())], names=["a", "b", "s"])
+            yield got.filter(pa.array(far * (100 + percent) <= (100 - percent) * n, pa.bool_()))
 
     return run
 
 
 def _verify(width, percent):
-    def run(batches):
-        last: tuple = (None, None)
-        for batch in batches:
-            good = []
-            for a, ta, tb in zip(batch.column("a").to_pylist(), batch.column("ta"), batch.column("tb"), strict=True):
-                sets = []
-                if last[0] != a:
-                    last = (a, _one(ta, width))
-                sets = (last[1], _one(tb, width))
-                both = len(np.intersect1d(*sets, assume_unique=True))
-                good.append(100 * both >= percent * (len(sets[0]) + len(sets[1]) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
+    """Pairs of two buckets, and the texts that they name, each once: the pairs whose sets are similar."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    def run(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+        sets = {}
+        for batch in C.chunks(texts.select(["id", "text"]).to_batches(), "text"):
+            sets.update(zip(batch.column("id").to_pylist(), distinct_sets(batch, width), strict=True))
+        out = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True):
+            x, y = sets[a], sets[b]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                out.append((a, b))
+        return pa.Table.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], schema=schema)
 
-def _one(text, width):
-    raw, off = C.utf8(pa.array([text.as_py()], pa.string()))
-    return np.unique(shingles(raw, off, width)[0])
+    return run
 
 
-def _between(percent):
-    """Pairs of two blocks of one large group that are in different components and whose sketches are near enough."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _between(percent, nearest):
+    """Of two blocks of one large group: pairs in different components whose sketches are near enough; with `nearest` the
+    nearest for each document of the first block."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("s", pa.int64())])
 
     def run(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         blk, ids, comp, size = (t.column(k).to_numpy() for k in ("blk", "id", "component", "n"))
-        sk = t.column("sketch").to_pylist()
-        left, right, out = np.flatnonzero(blk == i), np.flatnonzero(blk == j), []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((ids[right] > ids[x]) if i == j else True)]
-            y = y[(size[y] * 100 >= percent * size[x]) & (size[x] * 100 >= percent * size[y])]
-            out += [(min(ids[x], ids[z]), max(ids[x], ids[z])) for z in y if hamming(sk[x], sk[z]) * (100 + percent) <= (100 - percent) * (size[x] + size[z])]
-        return pa.Table.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())], schema=schema)
+        rows = [np.frombuffer(x, np.uint8) for x in t.column("sketch").to_pylist()]
+        least = min(len(x) for x in rows)
+        sk = np.stack([np.bitwise_xor.reduce(x.reshape(-1, least), 0) for x in rows]).view(np.uint64)
+        left, right, out = np.flatnonzero(blk == i), np.flatnonzero(blk == j), [np.zeros((0, 3), np.int64)]
+        for at in range(0, len(left), 32):
+            x = left[at : at + 32]
+            far = np.bitwise_count(sk[x][:, None] ^ sk[right][None]).sum(2, dtype=np.int64)
+            n = size[x][:, None] + size[right][None]
+            ok = (comp[x][:, None] != comp[right][None]) & (far * (100 + percent) <= (100 - percent) * n)
+            ok &= (size[x][:, None] * 100 >= percent * size[right][None]) & (size[right][None] * 100 >= percent * size[x][:, None])
+            if i == j:
+                ok &= ids[x][:, None] != ids[right][None] if nearest else ids[x][:, None] < ids[right][None]
+            s = 1000 * far // np.maximum(n, 1)
+            if nearest and len(right):
+                best = np.where(ok, s, 1 << 40).argmin(1)
+                p, q = np.arange(len(x)), best
+                p, q = p[ok[p, q]], q[ok[p, q]]
+            else:
+                p, q = np.nonzero(ok)
+            one, two = ids[x[p]], ids[right[q]]
+            out.append(np.stack([np.minimum(one, two), np.maximum(one, two), s[p, q]], 1))
+        got = np.concatenate(out)
+        return pa.Table.from_arrays([pa.array(got[:, k]) for k in range(3)], schema=schema)
 
     return run
 
 
-def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: int = GROUP, held: int = HELD, block: int = BLOCK) -> DataFrame:
+def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: int = GROUP, held: int = HELD, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, text -> doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), set_id (smallest doc_id with an equal set)."""
     spark = docs.sparkSession
     n, parts, base = C.partitions(spark), 4 * C.partitions(spark), C.shared_dir(spark)
@@ -338,40 +358,61 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
     two = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
     pairs = reps(found.filter("b is not null").select("a", "b")).join(one, "a").join(two, "b")
     pairs = pairs.filter((F.col("na") * 100 >= percent * F.col("nb")) & (F.col("nb") * 100 >= percent * F.col("na")))
-    pairs = C.stored(pairs.mapInArrow(_near(percent), "a long, b long"), f"{base}/pairs")
+    pairs = C.stored(pairs.mapInArrow(_near(percent), "a long, b long, s long"), f"{base}/pairs")
 
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id")))
     large = found.filter("b is null").select(F.col("a").alias("doc_id")).join(rep, "doc_id").select(F.col("id").alias("doc_id"))
     texts = C.stored(known.join(ids.union(large).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), f"{base}/texts")
 
-    def verified(pairs):
-        got = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
-        got = got.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
-        return got.mapInArrow(_verify(width, percent), "a long, b long")
-
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    chained = reps(_neighbours(found)).join(pairs, ["a", "b"], "left_semi") if _any(found.filter("b is null")) else None
-    first = first if chained is None else first.union(chained).distinct()
-    links = C.stored(verified(first), f"{base}/links1")
-    comp = C.stored(C.components(links), f"{base}/components1")
+    buckets = max(1, texts.count() // BUCKET)
+    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
-    def other(pairs):
+    def verified(pairs):
+        """The linked ones. A pair goes to the two buckets of its documents, and a text once to each pair of buckets that names it."""
+        dealt = pairs.select("a", "b", F.least(bucket("a"), bucket("b")).alias("i"), F.greatest(bucket("a"), bucket("b")).alias("j"))
+        need = dealt.select("i", "j", F.col("a").alias("id")).union(dealt.select("i", "j", F.col("b").alias("id"))).distinct()
+        rows = need.join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select(F.col("i").alias("ri"), F.col("j").alias("rj"), "id", "text")
+        return dealt.groupBy("i", "j").cogroup(rows.groupBy("ri", "rj")).applyInArrow(_verify(width, percent), "a long, b long")
+
+    members = found.filter("b is null").select(F.col("a").alias("doc_id"), "key").join(rep, "doc_id").select("key", "id").distinct()
+    large = _any(found.filter("b is null"))
+    few = members.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FEW).alias("ks")).select("id", F.explode("ks").alias("key"))
+    comp = spark.createDataFrame([], "id long, component long")
+
+    def across(pairs):
+        """Pairs between different components."""
         got = pairs.join(comp.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
         got = got.join(comp.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-        return got.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    more = other(pairs)
-    if chained is not None:
-        members = found.filter("b is null").select(F.col("a").alias("doc_id"), "key").join(rep, "doc_id").select("key", "id").distinct()
-        members = members.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
-        spread = members.join(mixed.select("key", F.ceil(F.col("m") / block).cast("int").alias("nb")), "key").join(sets.select("id", "n", "sketch"), "id")
+        return got.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "s")
+
+    def inside(nearest):
+        """Pairs between different components in large groups. The rounds that look for the nearest take the first few of a document's groups, the last one all."""
+        rows = few if nearest else members
+        own = rows.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+        mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
+        spread = own.join(mixed.select("key", F.ceil(F.col("m") / block).cast("int").alias("nb")), "key").join(sets.select("id", "n", "sketch"), "id")
         spread = spread.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
         spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         spread = spread.select("key", "id", "component", "n", "sketch", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
-        more = more.union(spread.groupBy("key", "i", "j").applyInArrow(_between(percent), "a long, b long")).distinct()
-    links2 = C.stored(verified(more), f"{base}/links2")
-    final = C.components(links.union(links2)) if _any(links2) else comp
+        return spread.groupBy("key", "i", "j").applyInArrow(_between(percent, nearest), "a long, b long, s long")
+
+    tried = links = None
+    for k in range(rounds):
+        last = k == rounds - 1
+        pool = across(pairs)
+        if large and k:  # the first round has the neighbours
+            pool = pool.union(inside(not last))
+        if not last:
+            ways = pool.union(pool.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+            pool = ways.groupBy("a").agg(F.min(F.struct("s", "b")).alias("x")).select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b"))
+        pool = pool.select("a", "b").distinct()
+        pool = C.stored(pool if tried is None else pool.join(tried, ["a", "b"], "left_anti"), f"{base}/pool{k}")
+        more = C.stored(verified(pool), f"{base}/links{k}")
+        tried, had = pool if tried is None else tried.union(pool), links
+        links = more if had is None else had.union(more)
+        if had is None or _any(more):
+            comp = C.stored(C.components(links), f"{base}/components{k}")
+    final = comp
     label = rep.join(final, "id", "left").select("doc_id", F.col("id").alias("set_id"), F.coalesce("component", "id").alias("component_id")).distinct()
     out = profile.filter("hot is null").select("doc_id", "n_shingles").join(label, "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("set_id", "doc_id").alias("set_id"))
@@ -381,11 +422,27 @@ def _any(df: DataFrame) -> bool:
     return bool(df.limit(1).count())
 
 
-def _neighbours(found: DataFrame) -> DataFrame:
-    """Neighbours in large groups are among the pairs; those of members of large groups are verified in the first round."""
-    inside = found.filter("b is null").select(F.col("a").alias("x")).distinct()
-    return found.filter("b is not null").select("a", "b").join(inside, F.col("a") == F.col("x"), "left_semi").groupBy("a").agg(F.min("b").alias("b"))
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return link_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda j: array_to_string(ws[j:j + 4], ' ')) END) AS g FROM w WHERE len(ws) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id AS id, doc_id AS reached FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON r.reached = e.a
+), m AS (
+  SELECT id, min(reached) AS component_id FROM r GROUP BY id
+)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN m ON m.id = w.doc_id
+"""
