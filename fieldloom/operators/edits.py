@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+
 #: What an edit may say.
 ACTIONS = ["upsert", "delete"]
 ITEM_TYPES = ["cuboid"]
@@ -78,8 +80,10 @@ def global_index(df: DataFrame, order_by: list[str], name: str = "index") -> Dat
     comes to the driver)."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(parts, *order_by).withColumn("_p", F.spark_partition_id())
-    # the split points are sampled anew in each job, so the numbered rows are kept where every later job finds them
-    ranged = ranged.checkpoint() if ranged.sparkSession.sparkContext.getCheckpointDir() else ranged.persist()
+    # the split points are sampled anew in each job, so the dealt rows are kept where every later job finds them
+    path = scratch.folder(df.sparkSession)
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
     offsets, at = [], 0
     for r in sorted(ranged.groupBy("_p").count().collect()):
         offsets.append((r["_p"], at))

@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.scratch import folder
 from ..streaming import jobs
 
 
-def folder(spark: SparkSession) -> str:
-    """A new path under the shared folder that the cluster names; a temporary one where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/fieldloom-{uuid.uuid4().hex}"
-
-
 def write_lines(json_rows: DataFrame, path: str) -> None:
     json_rows.write.text(path)
 
 
 def write_media(rows: DataFrame, path: str) -> None:
     """One .mcap object for each row's episode, so that a scan has objects to list."""
-    rows.selectExpr("cast(vec_id as string) as value", "episode_index").repartition("episode_index").write.partitionBy("episode_index").option("fileExtension", "mcap").option("extension", "mcap").format("csv").save(path)
+    rows.selectExpr("cast(vec_id as string) as value", "episode_index").repartition("episode_index").write.partitionBy("episode_index").option("extension", "mcap").format("csv").save(path)
 
 
 def resumed(spark: SparkSession, rows: DataFrame) -> DataFrame:
