@@ -9,7 +9,7 @@ Spark writes; a reader needs the row of the shard that holds a key's range.
 
 Encoding. White space parts words for this tokenizer: encoding word by word and joining the ids
 is the same as encoding the text (special tokens in a text have no white space either). So each worker process
-keeps the ids of words it has met (at most CACHE words, then it starts anew) and gives only new words to the library.
+keeps the ids of words it has met (about CACHE words, then those met once go) and gives only new words to the library.
 
 Defined cases: a null text counts as empty and has the end id alone. A null doc_id comes first.
 Repeated doc_ids are separate documents, keyed by occurrence in the order of their texts.
@@ -18,13 +18,15 @@ An empty table gives no rows. Only doc_id and text are read, so further columns
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -36,6 +38,7 @@ U64 = C.U64
 HEADER = struct.Struct("<4sIIIIQQ")  # magic, version, documents, buckets, bytes an id, ids, hash seed
 MAGIC = b"FLTK"
 NULL_KEY = -(1 << 63)
+LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 # ------------------------------------------------------------------ encoding
@@ -45,37 +48,80 @@ class WordCoder:
     """Ids of texts by way of a cache of words."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
+        vocab = self.tok.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.reset()
 
     def reset(self):
         self.at: dict[int, int] = {}
         self.second = np.zeros(1 << 16, np.uint64)
+        self.seen = np.zeros(1 << 16, np.int32)
         self.edge = np.zeros((1 << 16) + 1, np.int64)
         self.ids = np.zeros(1 << 18, np.uint32)
 
-    def learn(self, first: list[int], second: np.ndarray, words: list[str]) -> None:
-        coded = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+    def trim(self):
+        """Forget words that came in one chunk only; all of them, if that isn't enough."""
+        n = len(self.at)
+        keep = np.flatnonzero(self.seen[:n] > 1)
+        if len(keep) > 3 * n // 4:
+            self.reset()
+            return
+        lens = self.edge[keep + 1] - self.edge[keep]
+        to = np.concatenate([[0], np.cumsum(lens)])
+        self.ids = self.ids[np.repeat(self.edge[keep] - to[:-1], lens) + np.arange(to[-1])]
+        new = np.full(n, -1)
+        new[keep] = np.arange(len(keep))
+        new = new.tolist()
+        self.at = {h: new[k] for h, k in self.at.items() if new[k] >= 0}
+        self.second[: len(keep)], self.seen[: len(keep)] = self.second[keep], 1
+        self.edge[: len(to)] = to
+
+    def coded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of single words, end to end, and their numbers. Words of letters are one piece each, whose last id is an end-of-word id, so they
+        can go to the library many at once, parted by spaces."""
+        plain = [LETTERS.fullmatch(w) is not None for w in words]
+        lens, ids = np.zeros(len(words), np.int64), [None, None]
+        some = [w.decode() for w, p in zip(words, plain, strict=True) if p]
+        lines = [" ".join(some[k : k + 24]) for k in range(0, len(some), 24)]
+        flat = [i for e in self.tok.encode_batch_fast(lines, add_special_tokens=False) for i in e.ids]
+        ids[0] = np.array(flat, np.uint32)
+        last = np.flatnonzero(self.ends[ids[0]])
+        plain = np.array(plain, bool)
+        if len(last) != len(some):
+            raise ValueError("a word of letters must be one piece for the tokenizer")
+        lens[plain] = np.diff(last, prepend=-1)
+        rest = [e.ids for e in self.tok.encode_batch_fast([w.decode() for w, p in zip(words, plain, strict=True) if not p], add_special_tokens=False)]
+        lens[~plain] = [len(r) for r in rest]
+        ids[1] = np.array([i for r in rest for i in r], np.uint32)
+        out, owner = np.zeros(int(lens.sum()), np.uint32), np.repeat(plain, lens)
+        out[owner], out[~owner] = ids
+        return out, lens
+
+    def learn(self, first: list[int], second: np.ndarray, words: list[bytes]) -> None:
+        ids, lens = self.coded(words)
         n, m = len(self.at), len(words)
-        lens = np.fromiter(map(len, coded), np.int64, m)
         end = self.edge[n] + np.cumsum(lens)
         while n + m > len(self.second):
             self.second = np.concatenate([self.second, np.zeros_like(self.second)])
+            self.seen = np.concatenate([self.seen, np.zeros_like(self.seen)])
             self.edge = np.concatenate([self.edge, np.zeros(len(self.edge), np.int64)])
         while end[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.edge[n] : end[-1]] = np.fromiter((i for c in coded for i in c), np.uint32, int(lens.sum()))
+            self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + 1024, np.uint32)])
+        self.ids[self.edge[n] : end[-1]] = ids
         self.edge[n + 1 : n + m + 1] = end
-        self.second[n : n + m] = second
+        self.second[n : n + m], self.seen[n : n + m] = second, 0
         self.at.update(zip(first, range(n, n + m), strict=True))
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents of a chunk and the offsets by document."""
         if len(self.at) > CACHE:
-            self.reset()
+            self.trim()
         if b"<|" not in raw.tobytes():  # else a special token in capitals would turn into one
             raw = C.LOWER[raw]
         starts, ends, by = C.word_spans(raw, off)
@@ -91,7 +137,7 @@ class WordCoder:
         new = np.flatnonzero(slot < 0)
         if len(new):
             data = raw.tobytes()
-            words = [data[a:b].decode() for a, b in zip(s[new].tolist(), e[new].tolist(), strict=True)]
+            words = [data[a:b] for a, b in zip(s[new].tolist(), e[new].tolist(), strict=True)]
             slot[new] = np.arange(len(self.at), len(self.at) + len(new))
             self.learn([keys[i] for i in new], second[new], words)
         if (self.second[slot] != second).any():  # two words with one 64-bit hash: whole texts instead
@@ -99,6 +145,7 @@ class WordCoder:
             texts = [data[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
             coded = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
             return np.concatenate(coded), np.concatenate([[0], np.cumsum([len(c) for c in coded])])
+        self.seen[slot] += 1
         slot = slot[back]
         lens = self.edge[slot + 1] - self.edge[slot]
         to = np.concatenate([[0], np.cumsum(lens)])
@@ -230,19 +277,19 @@ class Shard:
 
 # ------------------------------------------------------------------ jobs
 
-SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int64())), ("image", pa.binary())])
+SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("inside", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int64())), ("image", pa.binary())])
 
 
 def _write(path, end_id, per_shard):
     def run(batches):
-        code, part, seq = coder(path), TaskContext.get().partitionId(), 0
+        code, part, seq, inside = coder(path), TaskContext.get().partitionId(), 0, 0
         docs, ids, lens, held, seen = [], [], [], 0, (None, 0)
 
         def flush():
             doc = [d for ds in docs for d, _ in ds]
             keys = np.array([(NULL_KEY if d is None else d, k) for ds in docs for d, k in ds], np.int64).reshape(-1, 2)
             off = np.concatenate([[0], np.cumsum(np.concatenate(lens))])
-            row = [part, seq, int(off[-1]), doc, image(keys, np.concatenate(ids), off, code.width)]
+            row = [part, seq, inside, int(off[-1]), doc, image(keys, np.concatenate(ids), off, code.width)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, SHARDS, strict=True)], schema=SHARDS)
 
         for batch in C.chunks(batches, "text"):
@@ -259,7 +306,7 @@ def _write(path, end_id, per_shard):
             held += len(full)
             if held >= per_shard:
                 yield flush()
-                docs, ids, lens, held, seq = [], [], [], 0, seq + 1
+                docs, ids, lens, held, seq, inside = [], [], [], 0, seq + 1, inside + held
         if docs:
             yield flush()
 
@@ -271,7 +318,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     n = C.partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id")
     rows = rows.sortWithinPartitions("doc_id", "text")
-    made = rows.mapInArrow(_write(tokenizer, end_id, per_shard), "part int, seq int, n_ids long, ids array<long>, image binary")
+    made = rows.mapInArrow(_write(tokenizer, end_id, per_shard), "part int, seq int, inside long, n_ids long, ids array<long>, image binary")
     made.write.option("compression", "zstd").parquet(folder)
 
 
@@ -300,10 +347,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
         starts.append((part, at))
         at += n
     before = spark.createDataFrame(starts, "part int, before long")
-    inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    base = shards.select("part", "seq", "n_ids").withColumn("inside", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)))
-    base = base.join(F.broadcast(before), "part").select("part", "seq", (F.col("before") + F.col("inside")).alias("base"))
-    rows = shards.select("part", "seq", "ids", "image").join(base, ["part", "seq"]).select("ids", "image", "base")
+    rows = shards.join(F.broadcast(before), "part").select("ids", "image", (F.col("before") + F.col("inside")).alias("base"))  # a row for each range of the write
     return rows.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
