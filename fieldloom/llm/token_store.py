@@ -24,6 +24,7 @@ import struct
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -129,11 +130,14 @@ class WordCoder:
             return np.zeros(0, np.uint32), np.zeros(len(off), np.int64)
         starts, ends, by = self.part_stops(raw, starts, ends, by)
         first = C.span_hashes(raw, starts, ends)
-        key, where, back = np.unique(first, return_index=True, return_inverse=True)
+        back, key = pd.factorize(first)
+        where = np.empty(len(key), np.int64)
+        where[back[::-1]] = np.arange(len(back) - 1, -1, -1)  # where each comes first
         s, e = starts[where], ends[where]
         second = self.other_hash(raw, s, e)
         keys = key.tolist()
-        slot = np.fromiter((self.at.get(k, -1) for k in keys), np.int64, len(keys))
+        known = self.at.get
+        slot = np.array([known(k, -1) for k in keys], np.int64)
         new = np.flatnonzero(slot < 0)
         if len(new):
             data = raw.tobytes()
@@ -226,7 +230,7 @@ def build_index(keys: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarr
         d = 1
         while True:
             tries = np.arange(d, d + 64)
-            at = np.stack([slots_of(h[mine], np.full(len(mine), t), n) for t in tries])
+            at = slots_of(h[mine][None], tries[:, None], n)
             ok = free[at].all(1) & (np.diff(np.sort(at, 1), axis=1) > 0).all(1)
             if ok.any():
                 k = int(np.argmax(ok))
