@@ -1,12 +1,12 @@
 """Benchmark decontamination by the q-gram lemma.
 
 Texts are lower-cased (A-Z) and their white space is made single spaces. A benchmark item is cut
-into passages: the whole item if it has at most WHOLE bytes, else overlapping windows of WINDOW bytes, so that a part
-of an item is found too. A document holds a passage when some region of it is within the passage's edit
+into passages: the whole item if it has at most WHOLE bytes, and every window of WINDOW bytes of an item longer than that, so that a part
+of an item is found wherever it starts. A document holds a passage when some region of it is within the passage's edit
 budget (BUDGET of its bytes). Lemma: a region within e edits of n bytes shares at least n - q + 1 - q * e of its
 q-grams, on diagonals that differ by at most e. So shared q-grams are counted by item in overlapping
-diagonal bands; bands that reach a passage's bound are retained, and banded alignment of the passage with
-the region decides.
+diagonal bands; in bands that reach the bound, sums slid over the item's positions leave the passages that can hold, and banded
+alignment of these with the region decides.
 
 The benchmark is a stated query set: its index is broadcast in blocks of at most BLOCK_BYTES of
 items, and each block scans all documents in one pass, whatever the benchmark's size.
@@ -29,7 +29,6 @@ Q = 8  # bytes in a q-gram: one 64-bit number
 BUDGET = 0.1
 WHOLE = 160
 WINDOW = 128
-STEP = 32
 EXACT = 40
 BLOCK_BYTES = 16 << 20
 U64 = C.U64
@@ -55,16 +54,21 @@ def grams(text: np.ndarray) -> np.ndarray:
     return np.ndarray((n,), "<u8", np.ascontiguousarray(text), strides=(1,)) if n > 0 else np.zeros(0, np.uint64)
 
 
-def passages(n: int, budget: float) -> list[tuple[int, int, int, int]]:
-    """(start, length, edits, least shared q-grams) of an item's passages."""
-    spans = [(0, n)] if n <= WHOLE else sorted({(min(a, n - WINDOW), WINDOW) for a in range(0, n - WINDOW + STEP, STEP)})
+def cuts(n: int, budget: float) -> list[tuple[np.ndarray, int, int, int]]:
+    """(starts, length, edits, least shared q-grams) of an item's passages, by length."""
     out = []
-    for a, m in spans:
-        e = 0 if m < EXACT else min(int(m * budget), (m - Q) // Q)
-        out.append((a, m, e, m - Q + 1 - Q * e))
+    for starts, m in ((np.zeros(1, np.int64), n if n <= WHOLE else 0), (np.arange(n - WINDOW + 1), WINDOW if n > WINDOW else 0)):
+        if m:
+            e = 0 if m < EXACT else min(int(m * budget), (m - Q) // Q)
+            out.append((starts, m, e, m - Q + 1 - Q * e))
     return out
 
 
+def passages(n: int, budget: float) -> list[tuple[int, int, int, int]]:
+    """(start, length, edits, least shared q-grams) of an item's passages."""
+    return [(int(a), m, e, t) for starts, m, e, t in cuts(n, budget) for a in starts]
+
+
 def index(items: list[tuple[int, str]], budget: float) -> dict:
     """The sorted q-grams of the items with their postings."""
     ids, texts = [], []
@@ -83,30 +87,59 @@ def index(items: list[tuple[int, str]], budget: float) -> dict:
     edges = C.runs(code)
     bits = np.zeros(1 << 22, bool)
     bits[_bucket(code)] = True
-    parts = [passages(len(t), budget) for t in texts]
+    parts = [cuts(len(t), budget) for t in texts]
     width = 1 + max((e for p in parts for _, _, e, _ in p), default=0)
     least = np.array([min(t for _, _, _, t in p) for p in parts], np.int64)
-    return {"ids": ids, "texts": texts, "code": code[edges[:-1]], "edges": edges, "item": item, "pos": pos, "bits": np.packbits(bits), "passages": parts, "width": width, "least": least}
+    return {"ids": ids, "texts": texts, "code": code[edges[:-1]], "edges": edges, "item": item, "pos": pos, "bits": np.packbits(bits), "cuts": parts, "width": width, "least": least}
 
 
 def _bucket(code: np.ndarray) -> np.ndarray:
     return ((code * U64(0x9E3779B97F4A7C15)) >> U64(42)).astype(np.int64)
 
 
-def within(passage: np.ndarray, region: np.ndarray, edits: int) -> bool:
-    """Whether a part of the region is within `edits` of the passage: alignment row by row, free at the region's ends; rows over budget end it."""
+def likely(have: np.ndarray, starts: np.ndarray, m: int, edits: int, least: int) -> np.ndarray:
+    """The starts whose passage can be within its edits, by which of the item's q-grams are shared. An edit spoils at most Q grams in a row: so enough are
+    shared, and `edits` stretches of Q cover the others."""
+    n, last = len(have), starts + m - Q
+    total = np.concatenate([[0], np.cumsum(have)])
+    keep = total[last + 1] - total[starts] >= least
+    starts, last = starts[keep], last[keep]
+    if not len(starts):
+        return starts
+    gap = np.full(n + 1, n + Q)  # the next q-gram that is not shared
+    gap[:n][~have] = np.flatnonzero(~have)
+    gap = np.minimum.accumulate(gap[::-1])[::-1]
+    at = gap[starts]
+    for _ in range(edits):
+        at = gap[np.minimum(at + Q, n)]
+    return starts[at > last]
+
+
+def within(item: np.ndarray, starts: np.ndarray, m: int, edits: int, text: np.ndarray, lo: int, hi: int, first: int, last: int) -> bool:
+    """Whether text[lo:hi] has a part within `edits` of one of the passages item[start : start + m], on diagonals (place in text less place in item) that are at most
+    `edits` off first..last. Alignment of all passages at once, row by row, free at the ends; those over budget leave."""
     if edits == 0:
-        return passage.tobytes() in region.tobytes()
-    m = len(region)
-    ramp = np.arange(m + 1)
-    row = np.zeros(m + 1, np.int64)
-    for c in passage:
-        nxt = np.empty(m + 1, np.int64)
-        nxt[0] = row[0] + 1
-        nxt[1:] = np.minimum(row[1:] + 1, row[:-1] + (region != c))
-        row = np.minimum.accumulate(nxt - ramp) + ramp
-        if row.min() > edits:
-            return False
+        return any(item[a : a + m].tobytes() in text[max(lo, a + first) : min(hi, a + m + last)].tobytes() for a in starts.tolist())
+    first, width = first - edits, last - first + 2 * edits + 1
+    a, b = int(starts[0]) + first, int(starts[-1]) + first + m + width - 1
+    region = np.full(b - a, 255, np.uint8)  # no byte of a text is 255
+    x, y = max(a, lo), min(b, hi)
+    if x < y:
+        region[x - a : y - a] = text[x:y]
+    region = np.lib.stride_tricks.sliding_window_view(region, width)
+    ramp = np.arange(width, dtype=np.int16)
+    row, place = np.zeros((len(starts), width), np.int16), starts - starts[0]
+    for r in range(m):
+        nxt = row + (region[place + r] != item[starts + r][:, None])
+        np.minimum(nxt[:, :-1], row[:, 1:] + 1, out=nxt[:, :-1])
+        nxt -= ramp
+        row = np.minimum.accumulate(nxt, axis=1) + ramp
+        if r % 8 == 7:
+            keep = row.min(1) <= edits
+            if not keep.all():
+                row, place, starts = row[keep], place[keep], starts[keep]
+                if not len(starts):
+                    return False
     return bool(row.min() <= edits)
 
 
@@ -143,13 +176,17 @@ def search(ix: dict, bits: np.ndarray, raw: np.ndarray, off: np.ndarray) -> dict
         if i in found.get(d, ()):
             continue
         p, diag = pos[mine], at[mine] - pos[mine]
-        for start, m, edits, least in ix["passages"][i]:
-            here = (p >= start) & (p <= start + m - Q)
-            if here.sum() < least:
+        have = np.zeros(len(ix["texts"][i]) - Q + 1, bool)
+        have[p] = True
+        for starts, m, edits, least in ix["cuts"][i]:
+            starts = likely(have, starts, m, edits, least)
+            if not len(starts):
                 continue
-            lo = max(int(diag[here].min()) + start - edits, int(off[d]))
-            hi = min(int(diag[here].max()) + start + m + edits, int(off[d + 1]))
-            if within(ix["texts"][i][start : start + m], text[lo:hi], edits):
+            total = np.concatenate([[0], np.cumsum(have)])
+            best = np.argmax(total[starts + m - Q + 1] - total[starts])
+            here = diag[(p >= starts[0]) & (p <= starts[-1] + m - Q)]
+            bounds = int(off[d]), int(off[d + 1]), int(here.min()), int(here.max())
+            if within(ix["texts"][i], starts[best : best + 1], m, edits, text, *bounds) or (len(starts) > 1 and within(ix["texts"][i], starts, m, edits, text, *bounds)):
                 found.setdefault(d, set()).add(i)
                 break
     return found

@@ -233,3 +233,32 @@ def test_decontamination_blocks_and_empty(spark, empty, sf_dir, monkeypatch):
     assert decontamination.mark(empty, bench).collect() == []
     assert decontamination.mark(docs, bench.limit(0)).filter("contaminated").count() == 0
     assert pa.__version__
+
+
+def test_decontamination_judges_every_window(spark):
+    r = random.Random(31)
+    say = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(2, 7))) for _ in range(n))
+    items = [(1, norm(say(90))[:360].decode().strip()), (2, norm(say(50))[:150].decode().strip())]
+    part = lambda t, a, n: say(6) + " Z" + t[a : a + n] + "Z " + say(6)
+    docs, whole = [], {}
+    for i, t in items:
+        for a in range(len(t) - 128 + 1):
+            docs.append((len(docs), part(t, a, 128)))
+            whole[docs[-1][0]] = str(i)
+    judged = []
+    for _ in range(10):  # parts around the length and the budget, with edits
+        i, t = r.choice(items)
+        n = r.randint(114, 145)
+        w = list(t[(a := r.randrange(max(1, len(t) - n))) : a + n])
+        for _ in range(r.randint(4, 13)):
+            w[r.randrange(len(w))] = r.choice(["", "z", "zz"])
+        judged.append((len(docs), part("".join(w), 0, len(w))))
+        docs.append(judged[-1])
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string").repartition(8), spark.createDataFrame(items, "item_id long, text string")
+    got = {x.doc_id: x.item_ids for x in decontamination.mark(df, bench).collect()}
+    assert {d: got[d] for d in whole} == whole
+    for d, x in judged:
+        cut = {i: [norm(t)[a : a + 128] for a in range(len(norm(t)) - 128 + 1)] for i, t in items}
+        held = [i for i, t in items if any(edits(p, norm(x)) <= 12 for p in cut[i]) or (len(norm(t)) <= 160 and edits(norm(t), norm(x)) <= len(norm(t)) // 10)]
+        assert got[d] == ",".join(map(str, held))
+    assert {got[d] == "" for d, _ in judged} == {True, False}
