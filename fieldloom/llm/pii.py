@@ -4,7 +4,7 @@ Base kinds (email, ip, card, phone) are found by linear scans that give the left
 non-overlapping matches of the patterns below; long runs cost no more than their length.
 
 The field adds spans: phone numbers in national form, spelled-out e-mail addresses, and identity numbers.
-It reads tokens (letter runs, digit runs, single signs) in segments around digits and at-signs (also "(at)" in words), with
+It reads tokens (letter runs, digit runs, single signs) in segments around digits, at-signs (also "(at)" in words) and the words "at" and "dot", with
 word-shape features of a token and its neighbours hashed into WEIGHTS rows; it is trained by gradient descent on the
 likelihood (forward-backward in numpy) from a small labelled table, and decoded by Viterbi over padded batches
 of segments. Tokens without any of these within REACH tokens are outside by definition. A
@@ -103,7 +103,8 @@ BASE = {"email": emails, "ip": ips, "card": cards, "phone": phones}
 
 TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^\sA-Za-z0-9]")
 SPELLED = re.compile(r"[(\[]\s*at\s*[)\]]", re.I)  # an at-sign in words
-CUES = frozenset("phone tel telephone call mobile cell fax ring dial email mail contact write reach ssn passport id number no licence license social security at dot".split())
+SAID = re.compile(r"(?<![A-Za-z])(?:at|dot)(?![A-Za-z])", re.I)  # signs of an address as words
+CUES = frozenset("phone tel telephone call mobile cell fax ring dial email mail contact write reach ssn passport id number no licence license social security at dot com org net edu gov io info co uk the a an this that".split())
 
 
 def shape(token: str) -> str:
@@ -133,7 +134,7 @@ N_FEATURES = 24
 def segments(text: str):
     """(tokens, spaced, spans) around triggers, at most LONGEST tokens each."""
     spans = [m.span() for m in TOKEN.finditer(text)]
-    spelled = {m.start() for m in SPELLED.finditer(text)}
+    spelled = {m.start() for signs in (SPELLED, SAID) for m in signs.finditer(text)}
     near = [k for k, (a, _) in enumerate(spans) if text[a] in "@0123456789" or a in spelled]
     out, k = [], 0
     while k < len(near):
@@ -246,12 +247,17 @@ def viterbi(model: dict, items: list[list[list[int]]]) -> list[list[int]]:
 
 def fits(kind: str, text: str) -> bool:
     digits = sum(c.isdigit() for c in text)
-    return {"phone": 9 <= digits <= 12, "id": 7 <= digits <= 12, "email": "dot" in text.lower() or "." in text}[kind]
+    return {"phone": 7 <= digits <= 15, "id": 7 <= digits <= 12, "email": "dot" in text.lower() or "." in text}[kind]
+
+
+def can_hold(text: str) -> bool:
+    """Whether any part of the text can fit a kind of the field."""
+    return "." in text or "dot" in text.lower() or any(map(str.isdigit, text))
 
 
 def labelled_table(seed: int = 3) -> list[tuple[str, list[tuple[int, int, str]]]]:
-    """The small labelled table: sentences with slots, filled from a seeded generator. {p} phone, {e} e-mail, {i} identity number; {n}
-    and the rest are numbers that are none."""
+    """The small labelled table: sentences with slots, filled from a seeded generator. {p} phone, {s} a short or long one, {g} a long one in one run, {e} e-mail, {d} one in
+    words without digits, {i} identity number; {w} and {W} are words, {n} and the rest numbers that are none."""
     #: The sentences.
     sentences = [
         "Call {p} today.", "phone: {p}", "Tel. {p}, ask for Ann.", "You can reach me at {p} after noon", "my number is {p}", "Fax {p}", "mobile {p} or {p}", "for help dial {p} now",
@@ -260,13 +266,21 @@ def labelled_table(seed: int = 3) -> list[tuple[str, list[tuple[int, int, str]]]
         "the total was {n} in all", "in {y} there were {n} of them", "version {v} was released", "Licensed under CC BY-NC {v}.", "License, Version {v}.", "see page {n} and section {v}",
         "the value {x} of token", "token = \"{x}\"", "a b {l} c d", "{l} and {l} were there", "chapter {n} of {y}", "at {t} on {y}-{m}-{m}", "about {n} dot matrix lines", "score {n} - {n} at half", "({n}) the item", "room {n}-{n} at the dot",
         "{b} is a mail", "it {b} an re", "+1 ({a}) 555-{f} th on", "{o} in the er", "th {o} re", "{n} | {n} | {n}", "order {n}-{y}-{n} sent", "ratio {v} to {v}", "x {l}.", "isbn {l}",
+        "Call {s} today.", "call {s}", "phone: {s}", "my number is {s}, ask for Ann", "for help dial {s} now", "Tel. {s}", "she said: ring {s} or {s} after six", "mobile {s} or {s}", "dial {p} or {s}", "call {g}", "phone: {g}",
+        "write to {d}", "Please contact {d} for details.", "email: {d}", "my address is {d}, thanks", "{w} or mail {d} and call {p}.", "reach us through {d} today", "{d}", "{d} is my mail", "{d}, {w}", "{W} {w} {d} {w} {w}",
+        "pages {a}-{f} of it", "from {y}-{y} in {w}", "lines {a}-{f}", "the {w} {y}-{m}-{m} {w}", "{w} {f}-{f} {w} {w}", "{w} {a}-{f} {w}", "{f} {f} {f} {f} {w}", "{w} {f} {f} units",
+        "look at the dot on the {w}", "{w} at a dot of {w} in the {w}", "{W} was at {w}. {W} {w}", "{w} {w} at {w} {w} {w}.", "{w} at {w}.{W} {w}", "the dot {w} at {w} {w}", "{w} at the {w}. {W} {w} at {w}, {w}", "{W} at {w}. {w}", "at {w} the dot and the {w} dot {w}",
     ]
     r = np.random.default_rng(seed)
     num = lambda k: "".join(str(int(d)) for d in r.integers(0, 10, k))
     name = lambda: "".join(r.choice(list("abcdefghilmnorstu"), int(r.integers(3, 9))))
+    end = lambda: r.choice(["com", "org", "net", "edu", "info", "fr", "se"])
     make = {
         "p": lambda: r.choice([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"({num(3)}) {num(3)} {num(4)}", f"{num(3)}.{num(3)}.{num(4)}"]),
         "e": lambda: r.choice([f"{name()} (at) {name()} (dot) com", f"{name()} [at] {name()}.org", f"{name()}{num(2)} at {name()} dot net", f"{name()} (at) {name()}.com"]),
+        "s": lambda: r.choice([f"{num(3)}-{num(4)}", f"{num(3)} {num(4)}", f"{num(4)}-{num(4)}", f"{num(4)} {num(4)}", f"00{num(2)} {num(2)} {num(4)} {num(4)}", f"00{num(2)}-{num(3)}-{num(4)}-{num(4)}", f"00{num(2)} {num(3)} {num(3)} {num(3)}"]),
+        "d": lambda: r.choice([f"{name()} at {name()} dot {end()}", f"{name()} at {name()} dot {end()}", f"{name()} dot {name()} at {name()} dot {end()}", f"{name()} at {name()} dot {name()} dot {end()}", f"{name()} at {name()}.{end()}"]),
+        "g": lambda: f"00{num(int(r.integers(11, 14)))}", "w": name, "W": lambda: name().capitalize(),
         "i": lambda: r.choice([f"{num(3)}-{num(2)}-{num(4)}", num(9), f"{num(3)}-{num(2)}-{num(4)}"]),
         "n": lambda: num(int(r.integers(1, 6))), "y": lambda: f"20{num(2)}", "v": lambda: f"{num(1)}.{num(1)}", "x": lambda: "".join(r.choice(list("0123456789abcdef"), 40)),
         "l": lambda: num(int(r.integers(10, 20))), "t": lambda: f"{num(2)}:{num(2)}", "m": lambda: num(2), "b": lambda: f"{name()}.{num(2)}@mail{num(1)}.example.com", "a": lambda: num(3), "f": lambda: num(4),
@@ -279,8 +293,8 @@ def labelled_table(seed: int = 3) -> list[tuple[str, list[tuple[int, int, str]]]
             for part in re.split(r"(\{\w\})", sentence):
                 if re.fullmatch(r"\{\w\}", part):
                     got = str(make[part[1]]())
-                    if part[1] in "pei":
-                        spans.append((len(text), len(text) + len(got), {"p": "phone", "e": "email", "i": "id"}[part[1]]))
+                    if part[1] in "psgedi":
+                        spans.append((len(text), len(text) + len(got), {"p": "phone", "s": "phone", "g": "phone", "e": "email", "d": "email", "i": "id"}[part[1]]))
                     text += got
                 else:
                     text += part
@@ -300,8 +314,9 @@ def added_spans(model: dict, texts: list[str], known: list[list[tuple]]) -> list
     parts, owner = [], []
     for k, t in enumerate(texts):
         for seg in segments(t):
-            parts.append(seg)
-            owner.append(k)
+            if can_hold(t[seg[2][0][0] : seg[2][-1][1]]):
+                parts.append(seg)
+                owner.append(k)
     out: list[set] = [set() for _ in texts]
     order = sorted(range(len(parts)), key=lambda i: len(parts[i][0]))  # like lengths together: little padding
     for at in range(0, len(order), 512):
@@ -337,6 +352,21 @@ def joined(spans) -> str:
 SPELLED_BYTES = re.compile(SPELLED.pattern.encode().replace(rb"\s", rb"[^!-~]"), re.I)  # lets a few more texts through: other white space is several bytes
 TRIGGER_BYTES = np.zeros(256, bool)
 TRIGGER_BYTES[[*range(48, 58), 64]] = True
+
+
+def said(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where a word "at" or "dot" of one of the texts starts."""
+    low = np.concatenate([C.LOWER[raw], np.zeros(3, np.uint8)])
+    cut = np.ones(len(raw) + 4, bool)  # no letter just before this byte, or a text's start
+    cut[1:] = (low < 97) | (low > 122)
+    cut[off] = True
+    n = len(raw)
+    is_ = lambda word: np.all([low[k : n + k] == ord(c) for k, c in enumerate(word)], axis=0) & cut[:n]
+    ends = np.concatenate([cut[1:], [True]])  # no letter at this byte, or a text's start
+    ends[off] = True
+    return np.flatnonzero((is_("at") & ends[2 : n + 2]) | (is_("dot") & ends[3 : n + 3]))
+
+
 RESULT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 
 
@@ -352,6 +382,7 @@ def find(docs: DataFrame) -> DataFrame:
             raw, off = C.utf8(b.column("text"))
             marks = np.concatenate([[0], np.cumsum(TRIGGER_BYTES[raw])])
             marks[1:] += np.cumsum(np.bincount([m.start() for m in SPELLED_BYTES.finditer(raw.tobytes())], minlength=len(raw))[: len(raw)])
+            marks[1:] += np.cumsum(np.bincount(said(raw, off), minlength=len(raw))[: len(raw)])
             live = np.flatnonzero(np.diff(marks[off]))
             counts, digest, spans = np.zeros((4, b.num_rows), np.int64), [empty] * b.num_rows, [""] * b.num_rows
             texts = [b.column("text")[int(i)].as_py() for i in live]

@@ -151,6 +151,23 @@ def test_pii_field_finds_more():
     assert good / len(table) > 0.93
 
 
+def test_pii_field_reads_addresses_in_words_and_other_phones(spark):
+    texts = ["write to anna at example dot org", "please contact anna dot berg at mail dot example dot com today", "call 555-0147", "call 0044 20 7946 0958 now"]
+    plain = ["look at the dot on the page", "They met at noon. Then left at dusk.", "the years 2019-2020 and pages 100-1200", "on 2024-01-15 at home"]
+    want = ["email:9:32", "email:15:56", "phone:5:13", "phone:5:22"] + [""] * 4
+    docs = spark.createDataFrame(list(enumerate(texts + plain)), "doc_id long, text string").coalesce(1)
+    assert [r.spans for r in pii.find(docs).orderBy("doc_id").collect()] == want
+
+
+def test_pii_words_are_found_in_bytes():
+    r = random.Random(2)
+    for _ in range(500):
+        texts = ["".join(r.choice(["at", "dot", "b", " ", "é", ".", "AT", "Dot", "a", "t"]) for _ in range(r.randint(0, 5))) for _ in range(6)]
+        off = np.cumsum([0] + [len(t.encode()) for t in texts])
+        got = set(pii.said(np.frombuffer("".join(texts).encode(), np.uint8), off).tolist())
+        assert {off[k] + len(t[: m.start()].encode()) for k, t in enumerate(texts) for m in pii.SAID.finditer(t)} <= got
+
+
 def test_viterbi_equals_all_paths():
     r = np.random.default_rng(4)
     s = len(pii.TAGS)
