@@ -86,11 +86,13 @@ def quality_history(evals: DataFrame) -> DataFrame:
     return evals.filter("is_breached is not null").groupBy("uid").agg(last("current_value").alias("last_value"), F.max("ts").alias("last_evaluated_at"), last("is_breached").alias("is_breached"), F.count_if("is_breached").alias("breach_count"), F.max(F.when(F.col("is_breached"), F.col("ts"))).alias("last_breached_at"))
 
 
-def issue_enrich(issues: DataFrame, tools: DataFrame) -> DataFrame:
-    """Issues with the names of their tool and problem; tools have `problems`, an array of (uid, title)."""
-    flat = tools.select(F.col("uid").alias("tool_uid"), F.col("name").alias("tool_name"), "dataset_type", F.explode("problems").alias("p"))
-    flat = flat.select("tool_uid", "tool_name", "dataset_type", F.col("p.uid").alias("problem_uid"), F.col("p.title").alias("problem_title"))
-    return issues.join(flat, ["tool_uid", "problem_uid"], "left")
+def issue_enrich(issues: DataFrame, tools: DataFrame, projects: DataFrame | None = None) -> DataFrame:
+    """Issues with the names of their tool, problem and project, each null on its own; tools have `problems`, an array of (uid, title), projects uid and name.
+    Without projects there is no project_name."""
+    named = tools.select(F.col("uid").alias("tool_uid"), F.col("name").alias("tool_name"), "dataset_type")
+    listed = tools.select(F.col("uid").alias("tool_uid"), F.explode("problems").alias("p")).select("tool_uid", F.col("p.uid").alias("problem_uid"), F.col("p.title").alias("problem_title"))
+    got = issues.join(named, "tool_uid", "left").join(listed, ["tool_uid", "problem_uid"], "left")
+    return got if projects is None else got.join(projects.select(F.col("uid").alias("project_uid"), F.col("name").alias("project_name")), "project_uid", "left")
 
 
 def issue_metrics(issues: DataFrame, as_of: Column, sequence_uid=None, cfg: Choices = OURS) -> DataFrame:

