@@ -9,21 +9,26 @@ Join. In each band of sizes (a band spans a factor of four; sizes just above a b
 appear in the band below) the vector is cut into k segments. Pigeonhole: linked documents differ in
 at most d segments, so of the first d + 1 of the non-empty segments of either, in one global order,
 they share one. A segment travels as a 51-bit key: the XOR of the 64-bit hashes of the shingles in
-it, with band and segment number. The order puts keys that are common in the corpus last
-(at most HOT_KEYS of them are broadcast, which is the proven bound of that list), so a passage that
-a third of all documents share makes no candidates among documents that have enough text of their own.
-The order only decides which keys are sent; any order gives the same links.
-
-Verify. Candidates are first held against sketches (four bits a shingle or more: Hamming distance over d
-rejects), then against the shingle sets of the whole texts. Only components matter, so verification goes in rounds: the
-first ones verify for each document the candidate with the nearest sketch in another component, the
-last one everything that is left between different components, so no link between components is lost. Segment groups of
-more than GROUP documents give neighbours only as pairs; their members of different components are held against each other
-sketch by sketch, in blocks, and pairs come out only where sketches are near enough.
-
-Defined cases: null, empty or blank text has an empty set and is linked with nothing. Equal sets
-are linked without verification. Repeated rows with one doc_id give one output row each. Null doc_id rows are
-returned with a null component. Only doc_id and text are read, so further columns may have any name.
+it, with band and segment number. The order only decides which keys are sent; any order gives the same links.
+It puts keys that are common in the corpus last (at most HOT_KEYS of them are broadcast, which is the proven
+bound of that list), so a passage that a third of all documents share makes no candidates among documents that
+have enough text of their own.
+
+Groups of documents under one key are never paired out. They travel on as packed lists, dealt by their smallest member: a passage of fifty words
+makes dozens of keys, but the lists of these keys have nearly the same members and mostly one smallest member, so each document's sketch is sent once or twice for a passage and
+not once for each key. Where lists meet, sketches (3 bits for 2 shingles or more) are held against each other, list by list: a Hamming distance over d rejects a pair. Where the lists
+of one smallest member have more than 2 * BLOCK documents together, and for keys known to have more than SPLIT documents, which are dealt to several tasks, members
+travel by key instead: groups are split by size (sets that link differ by less than a third) and compared in blocks.
+
+Verify. Only components matter. So of each place each set gives the nearest candidate alone; the nearest of these is verified with the shingle sets of the whole texts. (In
+groups compared in blocks this first round takes neighbours in the list that meet under most keys.) The second round does the same between
+different components. The last one takes all candidates that are left between different components, so no link between components is lost. A pair is
+dealt by that of its sets that has more pairs.
+
+Nodes are distinct shingle sets, not doc_ids. Defined cases: null, empty or blank text has an empty set and is linked with nothing.
+Equal sets are linked without verification. Each row is a document of its own: repeated rows give one output row each, and rows with one doc_id
+and different texts each get the component of their own text. Null doc_id rows are returned with a null component and link nothing. Only doc_id
+and text are read, so further columns may have any name.
 """
 
 from __future__ import annotations
@@ -36,12 +41,12 @@ from pyspark.sql import functions as F
 from . import common as C
 
 HOT_KEYS = 1 << 17
-ROUNDS = 3
 HELD = 3_000_000  # keys that a task holds before it sends them
-GROUP = 32  # segment groups up to this size give all their pairs at once
-FEW = 3  # large groups of a document that the first rounds look into
-BLOCK = 2048  # members in a block of a large group
-BUCKET = 512  # documents in a bucket of the verification
+GROUP = 64  # lists up to this size are compared many at a time
+SPLIT = 1 << 16  # members of a key that one task takes
+BLOCK = 1024  # members in a block of a large group
+TOGETHER = 4096  # documents in a bucket of lists
+BUCKET = 512  # pairs that are verified together
 U64 = C.U64
 
 
@@ -78,23 +83,13 @@ def distinct_sets(batch: pa.RecordBatch, width: int):
 
 
 def sketch(h: np.ndarray) -> bytes:
-    """Parity of the shingles on each bit; four bits a shingle or more, a power of two in all."""
+    """Parity of the shingles on each bit; three bits for two shingles or more, a power of two in all."""
     m = 64
-    while m < 4 * len(h):
+    while 2 * m < 3 * len(h):
         m *= 2
     return np.packbits((np.bincount(((h >> U64(9)) & U64(m - 1)).astype(np.int64), minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def hamming(a: bytes, b: bytes) -> int:
-    """Distance of two sketches; the longer is folded to the shorter's length."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    while len(x) > len(y):
-        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
-    while len(y) > len(x):
-        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
-    return int(np.bitwise_count(x ^ y).sum())
-
-
 def fingerprint(h: np.ndarray) -> bytes:
     """128 bits of a set: sums of two mixes of its members."""
     if not len(h):
@@ -105,8 +100,8 @@ def fingerprint(h: np.ndarray) -> bytes:
 # ------------------------------------------------------------------ segment keys
 
 
-def segment_keys(sets: list[np.ndarray], percent: int, hot: np.ndarray):
-    """(document, key) of the first d + 1 non-empty segments of each set in each of its bands."""
+def segment_keys(sets: list[np.ndarray], percent: int, hot: np.ndarray, ranks: np.ndarray | None = None):
+    """(document, key) of the first d + 1 non-empty segments of each set in each of its bands. Hot keys come last, by rank."""
     size = np.array([len(s) for s in sets], np.int64)
     band = np.array([(max(int(a), 1).bit_length() - 1) // 2 for a in size], np.int64)
     lo = 4**band
@@ -136,23 +131,29 @@ def segment_keys(sets: list[np.ndarray], percent: int, hot: np.ndarray):
     few = np.flatnonzero(np.bincount(row, minlength=len(doc)) <= most)
     row, key = np.concatenate([row, few]), np.concatenate([key, C.mix(at_band[few].astype(np.uint64) + U64(77)) >> U64(13)])
     most[few] += 1
-    late = np.zeros(len(key), np.uint64)
+    order_of = key  # 12 bits of row, one for hot, 51 of key or rank: sorted as plain numbers
     if len(hot):
-        late = (hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key).astype(np.uint64)
+        at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+        order_of = np.where(hot[at] == key, U64(1 << 51) | ranks[at].astype(np.uint64), key)
+        by_rank = hot[np.argsort(ranks)]
     got = [np.zeros(0, np.uint64)]
-    for base in range(0, len(doc), 4096):  # 12 bits of row, one for hot, 51 of key: sorted as plain numbers
+    for base in range(0, len(doc), 4096):
         mine = (row >= base) & (row < base + 4096)
-        got.append(np.sort(((row[mine] - base).astype(np.uint64) << U64(52)) | (late[mine] << U64(51)) | key[mine]))
+        got.append(np.sort(((row[mine] - base).astype(np.uint64) << U64(52)) | order_of[mine]))
         r = (got[-1] >> U64(52)).astype(np.int64) + base
         head = np.concatenate([[0], np.flatnonzero(r[1:] != r[:-1]) + 1]) if len(r) else np.zeros(0, np.int64)
         rank = np.arange(len(r)) - np.repeat(head, np.diff(np.append(head, len(r))))
         keep = rank <= most[r]
-        got[-1] = np.stack([doc[r[keep]].astype(np.uint64), got[-1][keep] & U64((1 << 51) - 1)], 1).ravel()
+        low = got[-1][keep] & U64((1 << 51) - 1)
+        if len(hot):
+            late = (got[-1][keep] & U64(1 << 51)) > 0
+            low[late] = by_rank[low[late].astype(np.int64)]
+        got[-1] = np.stack([doc[r[keep]].astype(np.uint64), low], 1).ravel()
     flat = np.concatenate(got).reshape(-1, 2)
     return flat[:, 0].astype(np.int64), flat[:, 1]
 
 
-PROFILE = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("fp", pa.binary()), ("sketch", pa.binary()), ("hot", pa.binary())])
+PROFILE = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("fp", pa.binary()), ("sketch", pa.binary()), ("hot", pa.binary())])
 
 
 def _profile(width, percent, most):
@@ -163,13 +164,13 @@ def _profile(width, percent, most):
         pick = n >= 8
         if pick.any():
             blob = C.pack(key[edges[:-1][pick]], n[pick].astype("<i8"))
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.binary()), pa.array([None], pa.binary()), pa.array([blob], pa.binary())], schema=PROFILE)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, f.type) for f in list(PROFILE)[:-1]), pa.array([blob], pa.binary())], schema=PROFILE)
 
     def run(batches):
         held, n = [], 0
         for batch in C.chunks(batches, "text"):
             sets = distinct_sets(batch, width)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array([sketch(s) for s in sets], pa.binary()), pa.nulls(len(sets), pa.binary())], schema=PROFILE)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array([sketch(s) for s in sets], pa.binary()), pa.nulls(len(sets), pa.binary())], schema=PROFILE)
             held.append(segment_keys(sets, percent, np.zeros(0, np.uint64))[1])
             n += len(held[-1])
             if n > most:
@@ -188,16 +189,23 @@ def _unpack_hot(batches):
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n)], names=["key", "n"])
 
 
-def _send_keys(width, percent, parts, hot, most):
+def _send_keys(width, percent, parts, hot, most, split):
+    """Blocks of (key, doc_id) by part. `hot` are (keys, ranks, members), by key."""
     schema = pa.schema([("part", pa.int32()), ("payload", pa.binary())])
 
     def send(held):
-        doc, key = (np.concatenate(x) for x in zip(*held, strict=True))
-        out = list(C.blocks((key % U64(parts)).astype(np.int64), parts, key, doc))
+        table, shares = hot.value[0], -(-hot.value[2] // split)
+        key, ids = (np.concatenate(x) for x in zip(*held, strict=True))
+        salt = np.zeros(len(key), np.uint64)
+        if len(table) and shares.max() > 1:
+            at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+            share = np.where(table[at] == key, shares[at], 1).astype(np.uint64)
+            salt = C.mix(ids.view(np.uint64)) % share
+        out = list(C.blocks(((key + salt) % U64(parts)).astype(np.int64), parts, key, ids))
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())], schema=schema)
 
     def run(batches):
-        table, seen, held, n = hot.value, set(), [], 0
+        seen, held, n = set(), [], 0
         for batch in C.chunks(batches, "text"):
             sets = distinct_sets(batch, width)
             ids, fresh, mine = batch.column("doc_id").to_numpy(zero_copy_only=False), [], []
@@ -207,8 +215,8 @@ def _send_keys(width, percent, parts, hot, most):
                     fresh.append(s)
                     mine.append(ids[i])
             if fresh:
-                doc, key = segment_keys(fresh, percent, table)
-                held.append((np.array(mine, np.int64)[doc], key))
+                doc, key = segment_keys(fresh, percent, *hot.value[:2])
+                held.append((key, np.array(mine, np.int64)[doc]))
                 n += len(key)
             if n > most:
                 yield send(held)
@@ -219,56 +227,181 @@ def _send_keys(width, percent, parts, hot, most):
     return run
 
 
-CANDIDATES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
+def _sorted(key, doc):
+    """Distinct rows by key and document, and the edges of the keys."""
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    if len(key):
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+        key, doc = key[new], doc[new]
+    return key, doc, C.runs(key)
 
 
-def _pairs_in_groups(group):
-    """Pairs a < b of the documents that share a key; of large groups neighbours, and its members with the key."""
+def _groups(parts, split, hot):
+    """Groups of two or more as blocks of (key, doc_id), dealt by the smallest doc_id of each; part -1: keys that were dealt to several tasks."""
+    schema = pa.schema([("part", pa.int32()), ("payload", pa.binary())])
 
     def run(batches):
-        key, doc = C.gather(batches, "payload", "<u8", "<i8")
-        order = np.lexsort((doc, key))
-        key, doc = key[order], doc[order]
-        if len(key):
-            new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-            key, doc = key[new], doc[new]
-        edges = C.runs(key)
-        size = np.diff(edges)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for m in np.unique(size[(size > 1) & (size <= group)]):
-            at = edges[:-1][size == m]
-            i, j = np.triu_indices(m, 1)
-            a.append(doc[at[:, None] + i].ravel())
-            b.append(doc[at[:, None] + j].ravel())
-        big = np.repeat(size > group, size)
-        inner = np.flatnonzero(big[1:] & (key[1:] == key[:-1])) if len(key) else np.zeros(0, np.int64)
-        a, b = np.concatenate([*a, doc[inner]]), np.concatenate([*b, doc[inner + 1]])
-        if len(a):
-            order = np.lexsort((b, a))
-            a, b = a[order], b[order]
-            new = np.ones(len(a), bool)
-            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-            a, b = a[new], b[new]
-        yield from C.batches_of(CANDIDATES, [a, b, pa.nulls(len(a), pa.int64())])
-        yield from C.batches_of(CANDIDATES, [doc[big], pa.nulls(int(big.sum()), pa.int64()), key[big].view(np.int64)])
+        key, doc, edges = _sorted(*C.gather(batches, "payload", "<u8", "<i8"))
+        first, size = edges[:-1], np.diff(edges)
+        part = (C.mix(doc[first].view(np.uint64)) % U64(parts)).astype(np.int64) + 1
+        parted = np.isin(key[first], hot.value[0][hot.value[2] > split])
+        part[parted] = 0
+        keep = np.repeat((size > 1) | parted, size)
+        for k, blob in C.blocks(np.repeat(part, size)[keep], parts + 1, key[keep], doc[keep]):
+            yield pa.RecordBatch.from_arrays([pa.array([k - 1], pa.int32()), pa.array([blob], pa.binary())], schema=schema)
 
     return run
 
 
-# ------------------------------------------------------------------ verification
+MET = pa.schema([("i", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("lists", pa.binary())])
+
 
+def _members(batches):
+    """(key, doc_id) of blocks."""
+    for b in batches:
+        for blob in b.column(0):
+            key, doc = C.unpack(blob.as_buffer(), "<u8", "<i8")
+            yield from C.batches_of(MET, [pa.nulls(len(key), pa.int64()), doc, key.view(np.int64), pa.nulls(len(key), pa.binary())])
 
-def _near(percent):
-    """Drops pairs whose sketches are further apart than linked sets can be; s is their distance in thousandths of both sizes."""
+
+def _meet(together, most):
+    """Buckets of lists, of at most `together` documents or those of one smallest member: the lists (i, lists) and their documents (i, doc_id). Members with their keys,
+    where the lists of one smallest member have more than `most` documents."""
 
     def run(batches):
-        for b in batches:
-            na, nb, sa, sb = (b.column(k) for k in ("na", "nb", "sa", "sb"))
-            n = np.array(na.to_pylist(), np.int64) + np.array(nb.to_pylist(), np.int64)
-            far = np.array([hamming(x.as_buffer(), y.as_buffer()) for x, y in zip(sa, sb, strict=True)], np.int64)
-            got = pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(1000 * far // np.maximum(n, 1), pa.int64())], names=["a", "b", "s"])
-            yield got.filter(pa.array(far * (100 + percent) <= (100 - percent) * n, pa.bool_()))
+        key, doc, edges = _sorted(*C.gather(batches, "payload", "<u8", "<i8"))
+        if not len(key):
+            return
+        low = np.repeat(doc[edges[:-1]], np.diff(edges))
+        order = np.argsort(low, kind="stable")
+        key, doc, low = key[order], doc[order], low[order]
+        heads = C.runs(low)
+        ids, held, at = [], 0, 0
+        for k in range(len(heads)):  # the last turn sends what is left
+            lo, hi = (heads[k], heads[k + 1]) if k < len(heads) - 1 else (len(low), len(low))
+            own = np.unique(doc[lo:hi])
+            if held and (len(own) > most or held + len(own) > together or hi == lo):
+                i, docs = int(low[at]), np.unique(np.concatenate(ids))
+                yield from C.batches_of(MET, [np.full(len(docs), i), docs, pa.nulls(len(docs), pa.int64()), pa.nulls(len(docs), pa.binary())])
+                yield from C.batches_of(MET, [[i], [None], [None], [C.pack(key[at:lo], doc[at:lo])]])
+                ids, held, at = [], 0, lo
+            if len(own) > most:
+                yield from C.batches_of(MET, [pa.nulls(hi - lo, pa.int64()), doc[lo:hi], key[lo:hi].view(np.int64), pa.nulls(hi - lo, pa.binary())])
+                at = hi
+            else:
+                ids.append(own)
+                held += len(own)
+
+    return run
+
+
+def _neighbours(batches):
+    """Neighbours a < b of (key, doc_id), in each task by key, with the number of keys."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+    got = [np.zeros((2, 0), np.int64)]
+    for b in batches:
+        got.append(np.stack([b.column(k).to_numpy() for k in ("key", "doc_id")]))
+    key, doc, _ = _sorted(*np.concatenate(got, 1))
+    same = np.flatnonzero(key[1:] == key[:-1])
+    pairs, n = np.unique(np.stack([doc[same], doc[same + 1]], 1), axis=0, return_counts=True)
+    yield from C.batches_of(schema, [pairs[:, 0], pairs[:, 1], n])
+
+
+# ------------------------------------------------------------------ verification
+
+
+PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("s", pa.int64())])
+
+
+def _folded(blobs: list[bytes]) -> dict[int, np.ndarray]:
+    """The sketches as rows of words, folded to each length (in bytes) that one of them has; shorter ones are left out as zeros."""
+    size = np.array([len(x) for x in blobs])
+    out, below = {}, None
+    for n in sorted(set(size.tolist()), reverse=True):
+        m = np.zeros((len(blobs), n // 8), np.uint64)
+        if below is not None:
+            wide = below
+            while wide.shape[1] > n // 8:
+                wide = wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2 :]
+            m = wide.copy()
+        mine = np.flatnonzero(size == n)
+        m[mine] = np.frombuffer(b"".join(blobs[k] for k in mine), np.uint64).reshape(-1, n // 8)
+        out[n] = below = m
+    return out
+
+
+def _best(x, y, s, ids):
+    """For each set its pair with the least distance."""
+    both, other, far = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([s, s])
+    order = np.lexsort((ids[other], far, both))
+    head = order[C.runs(both[order])[:-1]]
+    return both[head], other[head], far[head]
+
+
+def _pairs_of(ids, x, y, s) -> pa.Table:
+    one, two = ids[x], ids[y]
+    got, at = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)], 1), axis=0, return_index=True) if len(one) else (np.zeros((0, 2), np.int64), np.zeros(0, np.int64))
+    return pa.Table.from_arrays([pa.array(got[:, 0]), pa.array(got[:, 1]), pa.array(s[at])], schema=PAIRS)
+
+
+def _compare(percent, group, nearest):
+    """The sets of a bucket, and its lists: pairs in one list, of different components, whose sizes and sketches allow a link; with `nearest` one for each set."""
+
+    def near(n, x, y, far):
+        total = n[x] + n[y]
+        return (far * (100 + percent) <= (100 - percent) * total) & (n[x] * 100 >= percent * n[y]) & (n[y] * 100 >= percent * n[x])
+
+    def run(docs: pa.Table, lists: pa.Table) -> pa.Table:
+        doc = docs.column("doc_id").to_numpy()
+        order = np.argsort(doc, kind="stable")
+        doc, raw = doc[order], docs.column("id").to_numpy()[order]
+        ids, first, own = np.unique(raw, return_index=True, return_inverse=True)
+        comp, n = (docs.column(k).to_numpy()[order][first] for k in ("component", "n"))
+        blobs = docs.column("sketch").to_pylist()
+        blobs = [blobs[k] for k in order[first]]
+        size, words = np.array([len(x) for x in blobs], np.int64), _folded(blobs)
+        key, member, _ = _sorted(*(np.concatenate(x) for x in zip(*(C.unpack(x.as_buffer(), "<u8", "<i8") for x in lists.column("lists").combine_chunks()), strict=True))) if len(lists) and len(doc) else (np.zeros(0, np.uint64), np.zeros(0, np.int64), None)
+        lo, hi = np.searchsorted(doc, member), np.searchsorted(doc, member, "right")
+        at = np.repeat(lo - np.concatenate([[0], np.cumsum(hi - lo)[:-1]]), hi - lo) + np.arange((hi - lo).sum()) if len(member) else lo
+        key, row, edges = _sorted(np.repeat(key, hi - lo), own[at])
+        start, m = edges[:-1], np.diff(edges)
+        xs, ys, ss = [], [], []
+
+        def take(x, y):
+            keep = comp[x] != comp[y]
+            x, y = x[keep], y[keep]
+            least = np.minimum(size[x], size[y])
+            for w in np.unique(least):
+                mine = np.flatnonzero(least == w)
+                for k in range(0, len(mine), 20_000):
+                    p, q = x[mine[k : k + 20_000]], y[mine[k : k + 20_000]]
+                    far = np.bitwise_count(words[int(w)][p] ^ words[int(w)][q]).sum(1, dtype=np.int64)
+                    ok = near(n, p, q, far)
+                    xs.append(p[ok])
+                    ys.append(q[ok])
+                    ss.append(1000 * far[ok] // np.maximum(n[p[ok]] + n[q[ok]], 1))
+
+        some = [np.zeros((0, 2), np.int64)]
+        for k in np.unique(m[(m > 1) & (m <= group)]):
+            members = row[start[m == k][:, None] + np.arange(k)]
+            i, j = np.triu_indices(k, 1)
+            some.append(np.unique(np.stack([members[:, i].ravel(), members[:, j].ravel()], 1), axis=0))
+        pairs = np.unique(np.concatenate(some), axis=0)
+        take(pairs[:, 0], pairs[:, 1])
+        if (m > group).any():  # long lists overlap much: each pair once
+            met = np.zeros((len(ids), len(ids)), bool)
+            for k in np.flatnonzero(m > group):
+                members = row[start[k] : start[k] + m[k]]
+                met[np.ix_(members, members)] = True
+            for c in range(0, len(ids), 64):
+                i, j = np.nonzero(met[c : c + 64])
+                take(i[i + c < j] + c, j[i + c < j])
+        x, y, s = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys, ss))
+        if nearest:
+            x, y, s = _best(x, y, s, ids)
+        return _pairs_of(ids, x, y, s)
 
     return run
 
@@ -293,18 +426,15 @@ def _verify(width, percent):
 
 
 def _between(percent, nearest):
-    """Of two blocks of one large group: pairs in different components whose sketches are near enough; with `nearest` the
-    nearest for each document of the first block."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("s", pa.int64())])
+    """Of two blocks of one large group: pairs of different components whose sketches are near enough; with `nearest` one for each set."""
 
     def run(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         blk, ids, comp, size = (t.column(k).to_numpy() for k in ("blk", "id", "component", "n"))
-        rows = [np.frombuffer(x, np.uint8) for x in t.column("sketch").to_pylist()]
-        least = min(len(x) for x in rows)
-        sk = np.stack([np.bitwise_xor.reduce(x.reshape(-1, least), 0) for x in rows]).view(np.uint64)
-        left, right, out = np.flatnonzero(blk == i), np.flatnonzero(blk == j), [np.zeros((0, 3), np.int64)]
+        blobs = t.column("sketch").to_pylist()
+        sk = min(_folded(blobs).items())[1]
+        left, right, out = np.flatnonzero(blk == i), np.flatnonzero(blk == j), [np.zeros((3, 0), np.int64)]
         for at in range(0, len(left), 32):
             x = left[at : at + 32]
             far = np.bitwise_count(sk[x][:, None] ^ sk[right][None]).sum(2, dtype=np.int64)
@@ -312,110 +442,143 @@ def _between(percent, nearest):
             ok = (comp[x][:, None] != comp[right][None]) & (far * (100 + percent) <= (100 - percent) * n)
             ok &= (size[x][:, None] * 100 >= percent * size[right][None]) & (size[right][None] * 100 >= percent * size[x][:, None])
             if i == j:
-                ok &= ids[x][:, None] != ids[right][None] if nearest else ids[x][:, None] < ids[right][None]
-            s = 1000 * far // np.maximum(n, 1)
-            if nearest and len(right):
-                best = np.where(ok, s, 1 << 40).argmin(1)
-                p, q = np.arange(len(x)), best
-                p, q = p[ok[p, q]], q[ok[p, q]]
-            else:
-                p, q = np.nonzero(ok)
-            one, two = ids[x[p]], ids[right[q]]
-            out.append(np.stack([np.minimum(one, two), np.maximum(one, two), s[p, q]], 1))
-        got = np.concatenate(out)
-        return pa.Table.from_arrays([pa.array(got[:, k]) for k in range(3)], schema=schema)
+                ok &= ids[x][:, None] < ids[right][None]
+            p, q = np.nonzero(ok)
+            got = np.stack([x[p], right[q], 1000 * far[p, q] // n[p, q]])
+            out.append(np.stack(_best(*got, ids)) if nearest else got)
+        got = np.concatenate(out, 1)
+        return _pairs_of(ids, *(_best(*got, ids) if nearest else got))
 
     return run
 
 
-def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: int = GROUP, held: int = HELD, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
+def _hot(spark: SparkSession, keys: DataFrame):
+    """Broadcast of the HOT_KEYS keys with the largest `order`, as (keys, ranks, members) by key."""
+    rows = keys.orderBy(F.desc("order"), "key").limit(HOT_KEYS).collect()
+    key = np.array([r.key for r in rows], np.int64).view(np.uint64)
+    by = np.argsort(key)
+    return spark.sparkContext.broadcast((key[by], (len(rows) - 1 - np.arange(len(rows)))[by], np.array([r.n for r in rows], np.int64)[by]))
+
+
+def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: int = GROUP, held: int = HELD, block: int = BLOCK, split: int = SPLIT) -> DataFrame:
     """doc_id, text -> doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), set_id (smallest doc_id with an equal set)."""
     spark = docs.sparkSession
     n, parts, base = C.partitions(spark), 4 * C.partitions(spark), C.shared_dir(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    profile = C.stored(rows.mapInArrow(_profile(width, percent, held), "doc_id long, n_shingles long, fp binary, sketch binary, hot binary"), f"{base}/profile")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
+    profile = C.stored(rows.mapInArrow(_profile(width, percent, held), "doc_id long, th long, n_shingles long, fp binary, sketch binary, hot binary"), f"{base}/profile")
     common = profile.filter("hot is not null").select("hot").mapInArrow(_unpack_hot, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = common.filter(F.col("n") > group).orderBy(F.desc("n"), "key").limit(HOT_KEYS)
-    hot = spark.sparkContext.broadcast(np.sort(np.array([r.key for r in top.select("key").collect()], np.int64).view(np.uint64)))
-
-    known = rows.filter("doc_id is not null")
-    sent = known.mapInArrow(_send_keys(width, percent, parts, hot, held), "part int, payload binary").repartition(n, "part")
-    found = C.stored(sent.mapInArrow(_pairs_in_groups(group), "a long, b long, key long"), f"{base}/found")
+    hot = _hot(spark, common.filter(F.col("n") > group).withColumn("order", F.col("n")))
 
+    # distinct sets, each with one row that has its text
     of_set = profile.filter("hot is null and doc_id is not null and n_shingles > 0")
-    sets = of_set.groupBy("fp").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    sets = C.stored(sets, f"{base}/sets")
-    rep = C.stored(of_set.select("doc_id", "fp").join(sets.select("fp", "id"), "fp").select("doc_id", "id"), f"{base}/rep")
-
-    def reps(pairs):
-        """Pairs of documents -> distinct pairs of the smallest documents with these sets."""
-        one = rep.select(F.col("doc_id").alias("a"), F.col("id").alias("ra"))
-        two = rep.select(F.col("doc_id").alias("b"), F.col("id").alias("rb"))
-        got = pairs.distinct().join(one, "a").join(two, "b").filter("ra <> rb")
-        return got.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-
-    one = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    two = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
-    pairs = reps(found.filter("b is not null").select("a", "b")).join(one, "a").join(two, "b")
-    pairs = pairs.filter((F.col("na") * 100 >= percent * F.col("nb")) & (F.col("nb") * 100 >= percent * F.col("na")))
-    pairs = C.stored(pairs.mapInArrow(_near(percent), "a long, b long, s long"), f"{base}/pairs")
-
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id")))
-    large = found.filter("b is null").select(F.col("a").alias("doc_id")).join(rep, "doc_id").select(F.col("id").alias("doc_id"))
-    texts = C.stored(known.join(ids.union(large).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), f"{base}/texts")
-
-    buckets = max(1, texts.count() // BUCKET)
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    sets = of_set.groupBy("fp").agg(F.min("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.min_by("th", "doc_id").alias("th"))
+    sets = C.stored(sets.withColumn("id", F.monotonically_increasing_id()), f"{base}/sets")
+    sketches = sets.select("fp", "id", "n", "doc_id", "th").join(of_set.select("fp", "doc_id", "th", "sketch"), ["fp", "doc_id", "th"]).select("id", "n", "sketch")
+    sketches = C.stored(sketches.dropDuplicates(["id"]), f"{base}/sketches")
+    rep = C.stored(of_set.select("doc_id", "fp").join(sets.select("fp", "id"), "fp").select("doc_id", "id").distinct(), f"{base}/rep")
+
+    # lists of documents by key, met by smallest member
+    known = rows.filter("doc_id is not null and text is not null")
+    sent = known.select("doc_id", "text").mapInArrow(_send_keys(width, percent, parts, hot, held, split), "part int, payload binary").repartition(n, "part")
+    found = C.stored(sent.mapInArrow(_groups(parts, split, hot), "part int, payload binary"), f"{base}/found")
+    kind = "i long, doc_id long, key long, lists binary"
+    met = found.filter("part >= 0").repartition(n, "part").mapInArrow(_meet(TOGETHER, 2 * block), kind)
+    met = C.stored(met.union(found.filter("part < 0").select("payload").mapInArrow(_members, kind)), f"{base}/met")
+    lists = met.filter("lists is not null").select("i", "lists")
+    places = C.stored(met.filter("lists is null and i is not null").select("i", "doc_id").join(rep, "doc_id"), f"{base}/places")
+    large = met.filter("key is not null").select("key", "doc_id")
+    members = C.stored(large.join(rep, "doc_id").select("key", "id").distinct(), f"{base}/members")
+
+    none = spark.createDataFrame([], "id long, component long")
+    comp = none
+
+    def labelled(rows):
+        return rows.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def candidates(rows, nearest):
+        """Pairs of different components in the buckets of lists."""
+        own = labelled(rows)
+        if comp is not none:
+            mixed = own.groupBy("i").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("i")
+            own = own.join(mixed, "i")
+        own = own.join(sketches, "id").select(F.col("i").alias("at"), "doc_id", "id", "component", "n", "sketch")
+        return own.groupBy("at").cogroup(lists.groupBy("i")).applyInArrow(_compare(percent, group, nearest), "a long, b long, s long")
+
+    first = C.stored(candidates(places, True), f"{base}/first")
+
+    # texts of all that may be verified
+    ids = first.select(F.col("a").alias("id")).union(first.select(F.col("b").alias("id"))).distinct()
+    ids = C.stored(ids, f"{base}/ids")
+    cand = sets.select("id", "doc_id", "th").join(ids.union(members.select("id")).distinct(), "id").join(known, ["doc_id", "th"])
+    cand = C.stored(cand.groupBy("doc_id", "th", "id").agg(F.first("text").alias("text")).select("id", "text"), f"{base}/texts")
 
     def verified(pairs):
-        """The linked ones. A pair goes to the two buckets of its documents, and a text once to each pair of buckets that names it."""
-        dealt = pairs.select("a", "b", F.least(bucket("a"), bucket("b")).alias("i"), F.greatest(bucket("a"), bucket("b")).alias("j"))
-        need = dealt.select("i", "j", F.col("a").alias("id")).union(dealt.select("i", "j", F.col("b").alias("id"))).distinct()
-        rows = need.join(texts.select(F.col("doc_id").alias("id"), "text"), "id").select(F.col("i").alias("ri"), F.col("j").alias("rj"), "id", "text")
-        return dealt.groupBy("i", "j").cogroup(rows.groupBy("ri", "rj")).applyInArrow(_verify(width, percent), "a long, b long")
-
-    members = found.filter("b is null").select(F.col("a").alias("doc_id"), "key").join(rep, "doc_id").select("key", "id").distinct()
-    large = _any(found.filter("b is null"))
-    few = members.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FEW).alias("ks")).select("id", F.explode("ks").alias("key"))
-    comp = spark.createDataFrame([], "id long, component long")
-
-    def across(pairs):
-        """Pairs between different components."""
-        got = pairs.join(comp.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
-        got = got.join(comp.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
-        return got.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b", "s")
+        """The linked ones. A pair is dealt by that of its two sets that is in more pairs, in parts if these are many; each part gets a text once."""
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).groupBy("id").agg(F.count("*").alias("m"))
+        both = pairs.select("a", "b").join(ends.select(F.col("id").alias("a"), F.col("m").alias("ma")), "a").join(ends.select(F.col("id").alias("b"), F.col("m").alias("mb")), "b")
+        hub, leaf = F.expr("if(ma >= mb, a, b)"), F.expr("if(ma >= mb, b, a)")
+        part = F.pmod(F.xxhash64(leaf), F.ceil(F.greatest("ma", "mb") / BUCKET))
+        dealt = both.select("a", "b", F.pmod(F.xxhash64(hub, part), F.lit(max(1, pairs.count() // BUCKET))).cast("int").alias("i"))
+        need = dealt.select("i", F.col("a").alias("id")).union(dealt.select("i", F.col("b").alias("id"))).distinct()
+        texts = need.join(cand.select("id", "text"), "id").select(F.col("i").alias("ri"), "id", "text")
+        return dealt.groupBy("i").cogroup(texts.groupBy("ri")).applyInArrow(_verify(width, percent), "a long, b long")
+
+    tried = links = None
+
+    def settle(pairs, name):
+        """Verify the pairs that are new, and take what is linked into the components."""
+        nonlocal tried, links, comp
+        new = pairs.select("a", "b").distinct()
+        new = C.stored(new if tried is None else new.join(tried, ["a", "b"], "left_anti"), f"{base}/{name}-pairs")
+        tried = new if tried is None else tried.union(new)
+        more = C.stored(verified(new), f"{base}/{name}-links")
+        links = more if links is None else links.union(more)
+        if _any(more):
+            comp = C.stored(C.components(links), f"{base}/{name}-components")
+
+    def nearest(pairs):
+        """For each set the pair with the nearest sketch."""
+        ways = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
+        best = ways.groupBy("a").agg(F.min_by("b", "s").alias("b"))
+        return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     def inside(nearest):
-        """Pairs between different components in large groups. The rounds that look for the nearest take the first few of a document's groups, the last one all."""
-        rows = few if nearest else members
-        own = rows.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).filter("lo < hi")
-        spread = own.join(mixed.select("key", F.ceil(F.col("m") / block).cast("int").alias("nb")), "key").join(sets.select("id", "n", "sketch"), "id")
+        """Pairs of different components in large groups. Linked sets have sizes of one class or of the next."""
+        own = labelled(members)
+        mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+        spread = own.join(mixed.select("key"), "key").join(sketches, "id")
+        kind = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
+        spread = spread.select("key", "id", "component", "n", "sketch", F.explode(F.array(kind, kind + 1)).alias("kind"))
+        sizes = spread.groupBy("key", "kind").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+        spread = spread.join(sizes.select("key", "kind", F.ceil(F.col("m") / block).cast("int").alias("nb")), ["key", "kind"])
         spread = spread.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
         spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-        spread = spread.select("key", "id", "component", "n", "sketch", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
-        return spread.groupBy("key", "i", "j").applyInArrow(_between(percent, nearest), "a long, b long, s long")
-
-    tried = links = None
-    for k in range(rounds):
-        last = k == rounds - 1
-        pool = across(pairs)
-        if large and k:  # the first round has the neighbours
-            pool = pool.union(inside(not last))
-        if not last:
-            ways = pool.union(pool.select(F.col("b").alias("a"), F.col("a").alias("b"), "s"))
-            pool = ways.groupBy("a").agg(F.min(F.struct("s", "b")).alias("x")).select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b"))
-        pool = pool.select("a", "b").distinct()
-        pool = C.stored(pool if tried is None else pool.join(tried, ["a", "b"], "left_anti"), f"{base}/pool{k}")
-        more = C.stored(verified(pool), f"{base}/links{k}")
-        tried, had = pool if tried is None else tried.union(pool), links
-        links = more if had is None else had.union(more)
-        if had is None or _any(more):
-            comp = C.stored(C.components(links), f"{base}/components{k}")
-    final = comp
-    label = rep.join(final, "id", "left").select("doc_id", F.col("id").alias("set_id"), F.coalesce("component", "id").alias("component_id")).distinct()
-    out = profile.filter("hot is null").select("doc_id", "n_shingles").join(label, "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("set_id", "doc_id").alias("set_id"))
+        spread = spread.select("key", "kind", "id", "component", "n", "sketch", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
+        return spread.groupBy("key", "kind", "i", "j").applyInArrow(_between(percent, nearest), "a long, b long, s long")
+
+    # three rounds: the nearest, the nearest of another component, all of other components
+    crowded = _any(members)
+    start = nearest(first)
+    if crowded:
+        beside = large.mapInArrow(_neighbours, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+        one, two = (rep.select(F.col("doc_id").alias(c), F.col("id").alias(f"r{c}")) for c in "ab")
+        beside = beside.join(one, "a").join(two, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"), (-F.col("n")).alias("s"))
+        start = start.union(nearest(beside))
+    settle(start, "1")
+    for name, closest in (("2", True), ("3", False)):
+        left = candidates(places.join(ids, "id", "left_semi"), closest)
+        left = C.stored(left.union(inside(closest)) if crowded else left, f"{base}/left{name}")
+        if not _any(left):
+            break
+        settle(nearest(left) if closest else left, name)
+
+    # the smallest doc_id of each component
+    label = labelled(sets.select("fp", "id", F.col("doc_id").alias("set_id")))
+    least = label.groupBy("component").agg(F.min("set_id").alias("component_id"))
+    label = label.join(least, "component").select("fp", "set_id", "component_id")
+    out = profile.filter("hot is null").select("doc_id", "n_shingles", "fp").join(label, "fp", "left")
+    own = lambda c: F.when(F.col("doc_id").isNotNull(), F.coalesce(c, "doc_id")).alias(c)
+    return out.select("doc_id", "n_shingles", own("component_id"), own("set_id"))
 
 
 def _any(df: DataFrame) -> bool:

@@ -28,6 +28,42 @@ def test_components_small_groups_limit(spark, hard):
     assert got == want
 
 
+@pytest.mark.parametrize("split", [3, 20])
+def test_components_hot_keys_dealt_to_several_tasks(spark, hard, split):
+    want = brute.components(rows(hard))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(hard, group=2, block=5, split=split).collect()}
+    assert got == want
+
+
+def test_components_one_id_with_several_texts(spark):
+    """Each row is a document of its own, by its text."""
+    say = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    p, q, z = say("p", 40), say("q", 40), " z0 z1"
+    df = spark.createDataFrame([(1, p), (2, p + z), (1, q), (3, q + z), (5, q), (5, say("r", 40)), (4, say("r", 40) + z)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.link_components(df).collect())
+    assert got == [(1, 36, 1), (1, 36, 1), (2, 38, 1), (3, 38, 1), (4, 38, 4), (5, 36, 1), (5, 36, 4)]
+
+
+def test_components_many_templates_share_a_passage(spark):
+    """A key that all have, in groups over every limit, with links only inside of each template."""
+    import random
+
+    r = random.Random(3)
+    say = lambda n: [f"v{r.randrange(9999)}" for _ in range(n)]
+    passage, out, k = say(60), [], 0
+    for _ in range(6):
+        own = say(16)
+        for _ in range(9):
+            w = own[:]
+            w[r.randrange(16)] = f"x{k}"
+            out.append((k, " ".join(w + passage)))
+            k += 1
+    df = spark.createDataFrame(out, "doc_id long, text string")
+    want = brute.components(out)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(df, group=4, block=7).collect()}
+    assert got == want
+
+
 def test_components_on_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.query(spark, sf_dir).collect()}
