@@ -209,10 +209,30 @@ def runs(keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- connected components
 
 
+def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each id of a task's links with the smallest that it reaches by them: minima are passed along until none changes."""
+    got = [np.stack([b.column(k).to_numpy() for k in (0, 1)]) for b in batches]
+    ids, ends = np.unique(np.concatenate([np.zeros((2, 0), np.int64), *got], 1), return_inverse=True)
+    u, v = ends.reshape(2, -1)
+    low = np.arange(len(ids))
+    while True:
+        new = low.copy()
+        least = np.minimum(low[u], low[v])
+        np.minimum.at(new, low[u], least)
+        np.minimum.at(new, low[v], least)
+        new = new[new]
+        if (new == low).all() and (low[u] == low[v]).all():
+            break
+        low = new
+    mine = np.flatnonzero(low != np.arange(len(ids)))
+    yield from batches_of(pa.schema([("u", pa.int64()), ("v", pa.int64())]), [ids[mine], ids[low[mine]]])
+
+
 def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(a, b) links of long ids -> (id, component): the smallest id that each linked id reaches.
 
-    Alternating large-star and small-star rounds; each round is two aggregations and two joins on
+    First each task replaces its own links by stars about the smallest ids that these reach, so long chains are short before
+    anything is shuffled. Then alternating large-star and small-star rounds; each round is two aggregations and two joins on
     edges only, its result is a table in the shared folder, and nothing but a count and a checksum
     comes to the driver. Hubs: the minimum is aggregated before the shuffle, and the join that
     gives it back has one row for each id on one side, so Spark can split a hub's partition.
@@ -220,7 +240,7 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
     spark = links.sparkSession
     base = shared_dir(spark)
     pair = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    edges, seen = stored(pair, f"{base}/0"), None
+    edges, seen = stored(stored(pair, f"{base}/pairs").mapInArrow(_stars, "u long, v long").distinct(), f"{base}/0"), None
     for k in range(1, most_rounds + 1):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -16,13 +16,13 @@ have enough text of their own.
 
 Groups of documents under one key are never paired out. They travel on as packed lists, dealt by their smallest member: a passage of fifty words
 makes dozens of keys, but the lists of these keys have nearly the same members and mostly one smallest member, so each document's sketch is sent once or twice for a passage and
-not once for each key. Where lists meet, sketches (3 bits for 2 shingles or more) are held against each other, list by list: a Hamming distance over d rejects a pair. Where the lists
-of one smallest member have more than 2 * BLOCK documents together, and for keys known to have more than SPLIT documents, which are dealt to several tasks, members
+not once for each key. Where lists meet, sketches (COARSE bits for a shingle, FINE ones in later rounds) are held against each other, list by list: a Hamming distance over d rejects a pair. Where the lists
+of one smallest member have more than 4 * BLOCK documents together, and for keys known to have more than SPLIT documents, which are dealt to several tasks, members
 travel by key instead: groups are split by size (sets that link differ by less than a third) and compared in blocks.
 
 Verify. Only components matter. So of each place each set gives the nearest candidate alone; the nearest of these is verified with the shingle sets of the whole texts. (In
 groups compared in blocks this first round takes neighbours in the list that meet under most keys.) The second round does the same between
-different components. The last one takes all candidates that are left between different components, so no link between components is lost. A pair is
+different components, in each place. The last one takes all candidates that are left between different components, so no link between components is lost. A pair is
 dealt by that of its sets that has more pairs.
 
 Nodes are distinct shingle sets, not doc_ids. Defined cases: null, empty or blank text has an empty set and is linked with nothing.
@@ -46,6 +46,7 @@ GROUP = 64  # lists up to this size are compared many at a time
 SPLIT = 1 << 16  # members of a key that one task takes
 BLOCK = 1024  # members in a block of a large group
 TOGETHER = 4096  # documents in a bucket of lists
+COARSE, FINE = 1.5, 6  # bits of a sketch for each shingle, in the first round and later
 BUCKET = 512  # pairs that are verified together
 U64 = C.U64
 
@@ -82,10 +83,10 @@ def distinct_sets(batch: pa.RecordBatch, width: int):
     return [np.unique(hashes[at[i] : at[i + 1]]) for i in range(batch.num_rows)]
 
 
-def sketch(h: np.ndarray) -> bytes:
-    """Parity of the shingles on each bit; three bits for two shingles or more, a power of two in all."""
+def sketch(h: np.ndarray, bits: float) -> bytes:
+    """Parity of the shingles on each bit; `bits` for each shingle or more, a power of two in all."""
     m = 64
-    while 2 * m < 3 * len(h):
+    while m < bits * len(h):
         m *= 2
     return np.packbits((np.bincount(((h >> U64(9)) & U64(m - 1)).astype(np.int64), minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -170,7 +171,7 @@ def _profile(width, percent, most):
         held, n = [], 0
         for batch in C.chunks(batches, "text"):
             sets = distinct_sets(batch, width)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array([sketch(s) for s in sets], pa.binary()), pa.nulls(len(sets), pa.binary())], schema=PROFILE)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array([len(s) for s in sets], pa.int64()), pa.array([fingerprint(s) for s in sets], pa.binary()), pa.array([sketch(s, COARSE) for s in sets], pa.binary()), pa.nulls(len(sets), pa.binary())], schema=PROFILE)
             held.append(segment_keys(sets, percent, np.zeros(0, np.uint64))[1])
             n += len(held[-1])
             if n > most:
@@ -332,6 +333,17 @@ def _folded(blobs: list[bytes]) -> dict[int, np.ndarray]:
     return out
 
 
+def _with_sketch(width):
+    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("sketch", pa.binary()), ("text", pa.string())])
+
+    def run(batches):
+        for batch in C.chunks(batches, "text"):
+            made = pa.array([sketch(s, FINE) for s in distinct_sets(batch, width)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n"), made, batch.column("text").cast(pa.string())], schema=schema)
+
+    return run
+
+
 def _best(x, y, s, ids):
     """For each set its pair with the least distance."""
     both, other, far = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([s, s])
@@ -426,10 +438,15 @@ def _verify(width, percent):
 
 
 def _between(percent, nearest):
-    """Of two blocks of one large group: pairs of different components whose sketches are near enough; with `nearest` one for each set."""
+    """Of any two blocks of one large group each: pairs of different components whose sketches are near enough; with `nearest` one for each set."""
 
     def run(t: pa.Table) -> pa.Table:
-        t = t.combine_chunks()
+        t = t.sort_by([(k, "ascending") for k in ("key", "kind", "i", "j")]).combine_chunks()
+        names = np.stack([t.column(k).to_numpy().astype(np.int64) for k in ("key", "kind", "i", "j")])
+        edges = np.concatenate([[0], np.flatnonzero((names[:, 1:] != names[:, :-1]).any(0)) + 1, [t.num_rows]])
+        return pa.concat_tables([one(t.slice(a, b - a)) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)])
+
+    def one(t: pa.Table) -> pa.Table:
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         blk, ids, comp, size = (t.column(k).to_numpy() for k in ("blk", "id", "component", "n"))
         blobs = t.column("sketch").to_pylist()
@@ -482,7 +499,7 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
     sent = known.select("doc_id", "text").mapInArrow(_send_keys(width, percent, parts, hot, held, split), "part int, payload binary").repartition(n, "part")
     found = C.stored(sent.mapInArrow(_groups(parts, split, hot), "part int, payload binary"), f"{base}/found")
     kind = "i long, doc_id long, key long, lists binary"
-    met = found.filter("part >= 0").repartition(n, "part").mapInArrow(_meet(TOGETHER, 2 * block), kind)
+    met = found.filter("part >= 0").repartition(n, "part").mapInArrow(_meet(TOGETHER, 4 * block), kind)
     met = C.stored(met.union(found.filter("part < 0").select("payload").mapInArrow(_members, kind)), f"{base}/met")
     lists = met.filter("lists is not null").select("i", "lists")
     places = C.stored(met.filter("lists is null and i is not null").select("i", "doc_id").join(rep, "doc_id"), f"{base}/places")
@@ -495,7 +512,7 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
     def labelled(rows):
         return rows.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
-    def candidates(rows, nearest):
+    def candidates(rows, sketches, nearest):
         """Pairs of different components in the buckets of lists."""
         own = labelled(rows)
         if comp is not none:
@@ -504,13 +521,15 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
         own = own.join(sketches, "id").select(F.col("i").alias("at"), "doc_id", "id", "component", "n", "sketch")
         return own.groupBy("at").cogroup(lists.groupBy("i")).applyInArrow(_compare(percent, group, nearest), "a long, b long, s long")
 
-    first = C.stored(candidates(places, True), f"{base}/first")
+    first = C.stored(candidates(places, sketches, True), f"{base}/first")
 
     # texts of all that may be verified
     ids = first.select(F.col("a").alias("id")).union(first.select(F.col("b").alias("id"))).distinct()
     ids = C.stored(ids, f"{base}/ids")
-    cand = sets.select("id", "doc_id", "th").join(ids.union(members.select("id")).distinct(), "id").join(known, ["doc_id", "th"])
-    cand = C.stored(cand.groupBy("doc_id", "th", "id").agg(F.first("text").alias("text")).select("id", "text"), f"{base}/texts")
+    want = sets.select("id", "n", "doc_id", "th").join(ids.union(members.select("id")).distinct(), "id").hint("merge")  # by a shuffle at every size
+    cand = want.join(known, ["doc_id", "th"]).groupBy("doc_id", "th", "id", "n").agg(F.first("text").alias("text")).select("id", "n", "text")
+    cand = C.stored(cand.mapInArrow(_with_sketch(width), "id long, n long, sketch binary, text string"), f"{base}/texts")
+    fine = cand.select("id", "n", "sketch")
 
     def verified(pairs):
         """The linked ones. A pair is dealt by that of its two sets that is in more pairs, in parts if these are many; each part gets a text once."""
@@ -523,18 +542,27 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
         texts = need.join(cand.select("id", "text"), "id").select(F.col("i").alias("ri"), "id", "text")
         return dealt.groupBy("i").cogroup(texts.groupBy("ri")).applyInArrow(_verify(width, percent), "a long, b long")
 
-    tried = links = None
+    tried = None
+
+    def across(pairs):
+        """Pairs of sets as pairs of their different components."""
+        one, two = (comp.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
+        pairs = pairs.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+        return pairs.filter("a <> b").distinct()
 
     def settle(pairs, name):
         """Verify the pairs that are new, and take what is linked into the components."""
-        nonlocal tried, links, comp
+        nonlocal tried, comp
         new = pairs.select("a", "b").distinct()
         new = C.stored(new if tried is None else new.join(tried, ["a", "b"], "left_anti"), f"{base}/{name}-pairs")
         tried = new if tried is None else tried.union(new)
-        more = C.stored(verified(new), f"{base}/{name}-links")
-        links = more if links is None else links.union(more)
-        if _any(more):
-            comp = C.stored(C.components(links), f"{base}/{name}-components")
+        links = C.stored(across(verified(new)), f"{base}/{name}-links")
+        if _any(links):
+            more = C.components(links)
+            joined = more.select(F.col("id").alias("component"), F.col("component").alias("to"))
+            old = comp.join(joined, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+            fresh = more.join(comp.select("id"), "id", "left_anti")
+            comp = C.stored(old.union(fresh), f"{base}/{name}-components")
 
     def nearest(pairs):
         """For each set the pair with the nearest sketch."""
@@ -546,7 +574,7 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
         """Pairs of different components in large groups. Linked sets have sizes of one class or of the next."""
         own = labelled(members)
         mixed = own.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        spread = own.join(mixed.select("key"), "key").join(sketches, "id")
+        spread = own.join(mixed.select("key"), "key").join(fine, "id")
         kind = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
         spread = spread.select("key", "id", "component", "n", "sketch", F.explode(F.array(kind, kind + 1)).alias("kind"))
         sizes = spread.groupBy("key", "kind").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
@@ -554,7 +582,8 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
         spread = spread.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
         spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         spread = spread.select("key", "kind", "id", "component", "n", "sketch", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
-        return spread.groupBy("key", "kind", "i", "j").applyInArrow(_between(percent, nearest), "a long, b long, s long")
+        buckets = max(1, spread.count() // TOGETHER)
+        return spread.groupBy(F.pmod(F.xxhash64("key", "kind", "i", "j"), F.lit(buckets))).applyInArrow(_between(percent, nearest), "a long, b long, s long")
 
     # three rounds: the nearest, the nearest of another component, all of other components
     crowded = _any(members)
@@ -566,11 +595,11 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
         start = start.union(nearest(beside))
     settle(start, "1")
     for name, closest in (("2", True), ("3", False)):
-        left = candidates(places.join(ids, "id", "left_semi"), closest)
+        left = candidates(places.join(ids, "id", "left_semi"), fine, closest)
         left = C.stored(left.union(inside(closest)) if crowded else left, f"{base}/left{name}")
         if not _any(left):
             break
-        settle(nearest(left) if closest else left, name)
+        settle(left, name)
 
     # the smallest doc_id of each component
     label = labelled(sets.select("fp", "id", F.col("doc_id").alias("set_id")))
