@@ -8,11 +8,11 @@ q-grams, on diagonals that differ by at most e. So shared q-grams are counted by
 diagonal bands; in bands that reach the bound, sums slid over the item's positions leave the passages that can hold, and banded
 alignment of these with the region decides.
 
-The benchmark is a stated query set: its index is broadcast in blocks of at most BLOCK_BYTES of
-items, and each block scans all documents in one pass, whatever the benchmark's size.
+The benchmark is a stated query set: it is searched in blocks of at most BLOCK_BYTES of items (or one longer item). Only one block at a time is read and
+broadcast; between blocks what was found is stored. A benchmark of one block takes one pass over the documents. Within a chunk of documents postings are expanded
+a bounded slice at a time: counts of bands in a hashed table, which can only be too large, come first, and only what passes these is counted exactly.
 
-Defined cases: null text and null items hold nothing; items below q bytes are too short to search and
-are ignored; items below EXACT bytes must occur without edits. Repeated rows each get their own result. An empty
+Defined cases: null text and null items hold nothing; items below q bytes must occur exactly, as whole words; other items below EXACT bytes must occur without edits. Repeated rows each get their own result. An empty
 table gives no rows, an empty benchmark marks nothing. Extra columns may have any name.
 """
 
@@ -31,6 +31,7 @@ WHOLE = 160
 WINDOW = 128
 EXACT = 40
 BLOCK_BYTES = 16 << 20
+SLICE = 1 << 21  # postings that are expanded at once
 U64 = C.U64
 
 
@@ -45,7 +46,7 @@ def normal(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keep[heads] = ~space[heads]
     text = C.LOWER[raw]
     text[space] = 32
-    return text[keep], np.concatenate([[0], np.cumsum(keep)])[off].astype(np.int64)
+    return text[keep], off - np.searchsorted(np.flatnonzero(~keep), off)
 
 
 def grams(text: np.ndarray) -> np.ndarray:
@@ -71,7 +72,7 @@ def passages(n: int, budget: float) -> list[tuple[int, int, int, int]]:
 
 def index(items: list[tuple[int, str]], budget: float) -> dict:
     """The sorted q-grams of the items with their postings."""
-    ids, texts = [], []
+    ids, texts, short = [], [], []
     for i, t in items:
         raw = np.frombuffer((t or "").encode(), np.uint8)
         text, _ = normal(raw, np.array([0, len(raw)], np.int64))
@@ -79,6 +80,8 @@ def index(items: list[tuple[int, str]], budget: float) -> dict:
         if len(text) >= Q:
             ids.append(i)
             texts.append(text)
+        elif len(text):
+            short.append((text.tobytes(), i))
     code = np.concatenate([grams(t) for t in texts]) if texts else np.zeros(0, np.uint64)
     item = np.concatenate([np.full(len(t) - Q + 1, k) for k, t in enumerate(texts)]) if texts else np.zeros(0, np.int64)
     pos = np.concatenate([np.arange(len(t) - Q + 1) for t in texts]) if texts else np.zeros(0, np.int64)
@@ -90,13 +93,22 @@ def index(items: list[tuple[int, str]], budget: float) -> dict:
     parts = [cuts(len(t), budget) for t in texts]
     width = 1 + max((e for p in parts for _, _, e, _ in p), default=0)
     least = np.array([min(t for _, _, _, t in p) for p in parts], np.int64)
-    return {"ids": ids, "texts": texts, "code": code[edges[:-1]], "edges": edges, "item": item, "pos": pos, "bits": np.packbits(bits), "cuts": parts, "width": width, "least": least}
+    return {"ids": ids, "texts": texts, "code": code[edges[:-1]], "edges": edges, "item": item, "pos": pos, "bits": np.packbits(bits), "cuts": parts, "width": width, "least": least, "short": sorted(short, key=lambda x: (x[0], x[1] is None, x[1] or 0))}
 
 
 def _bucket(code: np.ndarray) -> np.ndarray:
     return ((code * U64(0x9E3779B97F4A7C15)) >> U64(42)).astype(np.int64)
 
 
+def tables(ix: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Which places of the hash table of q-grams are taken, and by which code: -1 for several."""
+    place = _bucket(ix["code"])
+    slots = np.zeros(1 << 22, np.int32)
+    slots[place] = np.arange(len(place))
+    slots[place[slots[place] != np.arange(len(place))]] = -1
+    return np.unpackbits(ix["bits"]).astype(bool), slots
+
+
 def likely(have: np.ndarray, starts: np.ndarray, m: int, edits: int, least: int) -> np.ndarray:
     """The starts whose passage can be within its edits, by which of the item's q-grams are shared. An edit spoils at most Q grams in a row: so enough are
     shared, and `edits` stretches of Q cover the others."""
@@ -143,28 +155,89 @@ def within(item: np.ndarray, starts: np.ndarray, m: int, edits: int, text: np.nd
     return bool(row.min() <= edits)
 
 
-def search(ix: dict, bits: np.ndarray, raw: np.ndarray, off: np.ndarray) -> dict[int, set[int]]:
-    """Document of the chunk -> the items (by number) that it holds."""
+def exact(short: list[tuple[bytes, int]], text: np.ndarray, off: np.ndarray) -> dict[int, set[int]]:
+    """Document -> the short items that stand in it as whole words."""
+    found: dict[int, set[int]] = {}
+    if not short or not len(text):
+        return found
+    part = text == 32
+    first = ~part
+    first[1:] &= part[:-1]
+    first[off[:-1][off[:-1] < off[1:]]] = ~part[off[:-1][off[:-1] < off[1:]]]
+    starts = np.flatnonzero(first)
+    doc = np.searchsorted(off, starts, "right") - 1
+    padded = np.concatenate([text, np.full(Q + 1, 32, np.uint8)])
+    code = np.ndarray((len(text),), "<u8", padded, strides=(1,))[starts]
+    for m in sorted({len(t) for t, _ in short}):
+        names: dict[int, list[int]] = {}
+        for t, i in short:
+            if len(t) == m:
+                names.setdefault(int.from_bytes(t, "little"), []).append(i)
+        end = starts + m
+        whole = (end <= off[doc + 1]) & ((end == off[doc + 1]) | (padded[end] == 32))
+        low = code & U64((1 << 8 * m) - 1)
+        for k in np.flatnonzero(whole & np.isin(low, np.array(list(names), np.uint64))):
+            found.setdefault(int(doc[k]), set()).update(names[int(low[k])])
+    return found
+
+
+def search(ix: dict, bits: np.ndarray, slots: np.ndarray, raw: np.ndarray, off: np.ndarray) -> dict[int, set[int]]:
+    """Document of the chunk -> the ids of the items that it holds."""
     text, off = normal(raw, off)
+    out = exact(ix["short"], text, off)
+    for d, items in _long(ix, bits, slots, text, off).items():
+        out.setdefault(d, set()).update(ix["ids"][i] for i in items)
+    return out
+
+
+def _long(ix: dict, bits: np.ndarray, slots: np.ndarray, text: np.ndarray, off: np.ndarray) -> dict[int, set[int]]:
+    """Document -> the items (by number) of q bytes or more."""
+    found: dict[int, set[int]] = {}
+    if not len(ix["code"]):
+        return found
     code = grams(text)
-    at = np.flatnonzero(bits[_bucket(code)])
-    k = np.minimum(np.searchsorted(ix["code"], code[at]), max(len(ix["code"]) - 1, 0))
-    hit = ix["code"][k] == code[at] if len(ix["code"]) else np.zeros(0, bool)
-    at, k = at[hit], k[hit]
+    place = _bucket(code)
+    at = np.flatnonzero(bits[place])
+    k = slots[place[at]]
+    more = np.flatnonzero(k < 0)  # several codes in one place
+    k[more] = np.minimum(np.searchsorted(ix["code"], code[at[more]]), len(ix["code"]) - 1)
     doc = np.searchsorted(off, at, "right") - 1
-    inside = at + Q <= off[doc + 1]
-    at, k, doc = at[inside], k[inside], doc[inside]
+    hit = (ix["code"][k] == code[at]) & (at + Q <= off[doc + 1])
+    at, k, doc = at[hit], k[hit], doc[hit]
     n = ix["edges"][k + 1] - ix["edges"][k]
-    post = np.repeat(ix["edges"][k] - np.concatenate([[0], np.cumsum(n)[:-1]]) if len(n) else n, n) + np.arange(n.sum())
-    at, doc, item, pos = np.repeat(at, n), np.repeat(doc, n), ix["item"][post], ix["pos"][post]
+    ends = np.cumsum(n)
     # bands of twice the width, each starting in the middle of the one before
     width = ix["width"]
-    half = (at - pos + len(text)) // width
-    key = (doc * len(ix["ids"]) + item) * (2 * len(text) // width + 3)
-    both = np.concatenate([key + half, key + half + 1])  # number of the band that starts with this half, or with the one before
+
+    def expand(lo, hi):
+        """(place, document, item, place in it, number of the band that starts with this half) for the hits lo..hi, a row for each posting."""
+        m = n[lo:hi]
+        post = np.repeat(ix["edges"][k[lo:hi]] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+        here, d, item, pos = np.repeat(at[lo:hi], m), np.repeat(doc[lo:hi], m), ix["item"][post], ix["pos"][post]
+        half = (here - pos + len(text)) // width
+        return here, d, item, pos, (d * len(ix["ids"]) + item) * (2 * len(text) // width + 3) + half
+
+    counter = lambda band: ((band.astype(np.uint64) * U64(0x9E3779B97F4A7C15)) >> U64(46)).astype(np.int64)
+    cuts = [0]
+    while cuts[-1] < len(at):
+        base = ends[cuts[-1] - 1] if cuts[-1] else 0
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, base + SLICE, "right"))))
+    total, slices, kept = np.zeros(1 << 18, np.int64), [], []
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        rows = expand(lo, hi)
+        slices = [rows] if len(cuts) == 2 else []
+        total += np.bincount(counter(rows[4]), minlength=1 << 18) + np.bincount(counter(rows[4] + 1), minlength=1 << 18)
+    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+        rows = slices[0] if slices else expand(lo, hi)
+        need = ix["least"][rows[2]]
+        ok = (total[counter(rows[4])] >= need) | (total[counter(rows[4] + 1)] >= need)
+        kept.append([x[ok] for x in rows])
+    if not kept:
+        return found
+    at, doc, item, pos, key = (np.concatenate(x) for x in zip(*kept, strict=True))
+    both = np.concatenate([key, key + 1])  # the band that starts with this half, or with the one before
     names, back, count = np.unique(both, return_inverse=True, return_counts=True)
     live = (count[back] >= ix["least"][np.concatenate([item, item])]).nonzero()[0]
-    found: dict[int, set[int]] = {}
     if not len(live):
         return found
     live = live[np.argsort(back[live], kind="stable")]
@@ -184,6 +257,10 @@ def search(ix: dict, bits: np.ndarray, raw: np.ndarray, off: np.ndarray) -> dict
                 continue
             total = np.concatenate([[0], np.cumsum(have)])
             best = np.argmax(total[starts + m - Q + 1] - total[starts])
+            a, whole = int(starts[best]), ix["texts"][i]
+            if total[a + m - Q + 1] - total[a] == m - Q + 1 and whole[a : a + m].tobytes() in text[off[d] : off[d + 1]].tobytes():  # no edit at all
+                found.setdefault(d, set()).add(i)
+                break
             here = diag[(p >= starts[0]) & (p <= starts[-1] + m - Q)]
             bounds = int(off[d]), int(off[d + 1]), int(here.min()), int(here.max())
             if within(ix["texts"][i], starts[best : best + 1], m, edits, text, *bounds) or (len(starts) > 1 and within(ix["texts"][i], starts, m, edits, text, *bounds)):
@@ -192,53 +269,64 @@ def search(ix: dict, bits: np.ndarray, raw: np.ndarray, off: np.ndarray) -> dict
     return found
 
 
-def _indexes(spark: SparkSession, benchmark: DataFrame, budget: float) -> list:
-    """Broadcast indexes of the benchmark, a block each: no block holds more than BLOCK_BYTES, or one item."""
+def _blocks(benchmark: DataFrame, budget: float):
+    """Indexes of the benchmark's blocks, one at a time, with whether another one follows."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(size // BLOCK_BYTES) + 1
-    made = []
     for k in range(n):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        made.append(spark.sparkContext.broadcast(index(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])), budget)))
-    return made
+        yield k, index(sorted(((r.item_id, r.text) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1])), budget), k < n - 1
 
 
-def _found(indexes, batches):
-    """(chunk, items found by document) over all blocks."""
-    loaded = [(ix.value, np.unpackbits(ix.value["bits"]).astype(bool)) for ix in indexes]
+def _found(ix, batches):
+    """(chunk, ids of the items found by document)."""
+    held = tables(ix.value)
     for b in C.chunks(batches, "text"):
-        raw, off = C.utf8(b.column(b.schema.get_field_index("text")))
-        items: dict[int, set] = {}
-        for ix, bits in loaded:
-            for d, got in search(ix, bits, raw, off).items():
-                items.setdefault(d, set()).update(ix["ids"][i] for i in got)
-        yield b, items
+        yield b, search(ix.value, *held, *C.utf8(b.column(b.schema.get_field_index("text"))))
+
+
+def _passes(rows: DataFrame, benchmark: DataFrame, budget: float, step, schema) -> DataFrame:
+    """step(index) as a pass over the rows for each block of the benchmark."""
+    spark = rows.sparkSession
+    base = C.shared_dir(spark)
+    for k, made, more in _blocks(benchmark, budget):
+        ix = spark.sparkContext.broadcast(made)
+        rows = rows.mapInArrow(step(ix), schema)
+        if more:
+            rows = C.stored(rows, f"{base}/{k}")
+            ix.destroy()
+    return rows
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET) -> DataFrame:
     """doc_id, contaminated, item_ids (sorted, comma-joined) of every document."""
-    indexes = _indexes(docs.sparkSession, benchmark, budget)
-    schema = pa.schema([("doc_id", pa.int64()), ("contaminated", pa.bool_()), ("item_ids", pa.string())])
 
-    def run(batches):
-        for b, items in _found(indexes, batches):
-            hit = [i in items for i in range(b.num_rows)]
-            names = [",".join(map(str, sorted(x for x in items.get(i, ()) if x is not None))) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(hit), pa.array(names)], schema=schema)
+    def step(ix):
+        def run(batches):
+            for b, items in _found(ix, batches):
+                hit = [had or i in items for i, had in enumerate(b.column("contaminated").to_pylist())]
+                names = [had + sorted(x for x in items.get(i, ()) if x is not None) for i, had in enumerate(b.column("items").to_pylist())]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(hit, pa.bool_()), pa.array(names, pa.list_(pa.int64()))], names=["doc_id", "text", "contaminated", "items"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, contaminated boolean, item_ids string")
+        return run
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(False).alias("contaminated"), F.array().cast("array<long>").alias("items"))
+    rows = _passes(rows, benchmark, budget, step, "doc_id long, text string, contaminated boolean, items array<long>")
+    return rows.select("doc_id", "contaminated", F.array_join(F.transform(F.array_sort(F.array_distinct("items")), lambda x: x.cast("string")), ",").alias("item_ids"))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, budget: float = BUDGET) -> DataFrame:
     """The rows of docs without a benchmark passage, all columns as they are."""
-    indexes = _indexes(docs.sparkSession, benchmark, budget)
 
-    def run(batches):
-        for b, items in _found(indexes, batches):
-            yield b.filter(pa.array([i not in items for i in range(b.num_rows)], pa.bool_()))
+    def step(ix):
+        def run(batches):
+            for b, items in _found(ix, batches):
+                yield b.filter(pa.array([i not in items for i in range(b.num_rows)], pa.bool_()))
+
+        return run
 
-    return docs.mapInArrow(run, docs.schema)
+    return _passes(docs, benchmark, budget, step, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

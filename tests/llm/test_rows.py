@@ -208,7 +208,7 @@ def norm(t):
 def holds(doc, item):
     p = norm(item)
     if len(p) < decontamination.Q:
-        return False
+        return bool(p) and b" " + p + b" " in b" " + norm(doc) + b" "
     return any(edits(p[a : a + m], norm(doc)) <= e for a, m, e, _ in decontamination.passages(len(p), decontamination.BUDGET))
 
 
@@ -237,6 +237,25 @@ def test_decontamination_matches_brute_force(spark):
     assert kept.columns == ["doc_id", "text", "part"]
 
 
+def test_decontamination_short_items_and_common_grams(spark, monkeypatch):
+    """Items below q bytes count as whole words; a gram that hundreds of items share, in slices of few postings, changes nothing."""
+    items = [(1, "Abc  de"), (2, "x"), (3, "q"), (4, "  "), *((10 + k, f"the common start of all items {k:03d} and its end {k * 7:05d}") for k in range(300))]
+    docs = [(1, "w abc de y"), (2, "abc dex"), (3, "wabc de"), (4, "ABC\n de"), (5, "y x"), (6, "xx"), (7, ""), (8, None), (9, "x"), (20, "so the common start of all items 044 and its end 00308 it is"), (21, "the common start of all items")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = {d: ",".join(str(i) for i, t in items if holds(x, t)) for d, x in docs}
+    assert {d: x for d, x in want.items() if x and d < 20} == {1: "1", 4: "1", 5: "2", 9: "2"}
+    assert "54" in want[20].split(",") and want[21] == ""
+    one = {r.doc_id: r.item_ids for r in decontamination.mark(df, bench).collect()}
+    raw, off = np.frombuffer(b"".join((t or "").encode() for _, t in docs), np.uint8), np.cumsum([0, *(len((t or "").encode()) for _, t in docs)])
+    ix = decontamination.index(items, decontamination.BUDGET)
+    held = decontamination.tables(ix)
+    whole = decontamination.search(ix, *held, raw, off)
+    monkeypatch.setattr(decontamination, "SLICE", 100)
+    assert decontamination.search(ix, *held, raw, off) == whole
+    assert one == want and {docs[d][0]: ",".join(map(str, sorted(x))) for d, x in whole.items()} == {d: x for d, x in want.items() if x}
+
+
 def test_decontamination_blocks_and_empty(spark, empty, sf_dir, monkeypatch):
     docs, bench = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     one = sorted(map(tuple, decontamination.mark(docs, bench).collect()))
