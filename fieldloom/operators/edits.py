@@ -31,8 +31,8 @@ def edit_problem(has_object_uuid: Column | None = None) -> Column:
 
 
 def edit_validate(edits: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted edits, rejected edits with reason)."""
-    got = edits.withColumn("reason", edit_problem())
+    """(accepted edits, rejected edits with reason). Without a column object_uuid every edit lacks that field."""
+    got = edits.withColumn("reason", edit_problem(F.lit("object_uuid" in edits.columns)))
     return got.filter("reason is null").drop("reason"), got.filter("reason is not null")
 
 
@@ -44,20 +44,22 @@ def object_name_counts(edits: DataFrame) -> DataFrame:
 
 def missing_refs(edits: DataFrame, items: DataFrame, sequences: DataFrame) -> DataFrame:
     """Uids that edits need and a dataset does not have: kind, missing, needed, a sorted sample of ten."""
-    out = None
-    for kind, column, known in (("item", "dataset_item_uid", items), ("sequence", "sequence_uid", sequences)):
-        need = edits.select(F.nullif(column, F.lit("")).alias("uid")).filter("uid is not null").distinct()
-        known = known.select(F.col("uid").cast("string").alias("uid"), F.lit(True).alias("known")).distinct()
-        seen = need.join(known, "uid", "left")
-        total = seen.agg(F.count_if(F.col("known").isNull()).alias("missing"), F.count("*").alias("needed"))
-        few = seen.filter("known is null").orderBy("uid").limit(10).agg(F.array_join(F.array_sort(F.collect_list("uid")), ",").alias("sample"))
-        one = total.crossJoin(few).select(F.lit(kind).alias("kind"), "missing", "needed", "sample")  # one row on either side
-        out = one if out is None else out.union(one)
-    return out
+    targets = F.array(F.struct(F.lit("item").alias("kind"), F.col("dataset_item_uid").alias("uid")), F.struct(F.lit("sequence").alias("kind"), F.col("sequence_uid").alias("uid")))
+    need = edits.select(F.explode(targets).alias("t")).select("t.kind", "t.uid", F.lit(1).alias("needed")).filter("uid <> ''")
+    uids = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.col("uid").cast("string").alias("uid"), F.lit(0).alias("needed"))
+    each = need.union(uids(items, "item")).union(uids(sequences, "sequence")).groupBy("kind", "uid").agg(F.max("needed").alias("needed"), F.min("needed").alias("gone")).filter("needed = 1")
+    each = each.withColumn("gone", F.col("gone") == 1)
+    first = Window.partitionBy("kind", "gone").orderBy("uid")
+    few = each.filter("gone").withColumn("r", F.row_number().over(first)).filter("r <= 10").groupBy("kind").agg(F.array_join(F.array_sort(F.collect_list("uid")), ",").alias("sample"))
+    total = each.groupBy("kind").agg(F.count_if("gone").alias("missing"), F.count("*").alias("needed"))
+    kinds = edits.sparkSession.createDataFrame([("item",), ("sequence",)], "kind string")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return kinds.join(total, "kind", "left").join(few, "kind", "left").select("kind", zero("missing"), zero("needed"), F.coalesce("sample", F.lit("")).alias("sample"))
 
 
 def latest_edit(edits: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
-    """The last edit of each key. max_by keeps one row a key and task, where a window would sort all of them."""
+    """The last edit of each key. max_by keeps one row a key and task, so little is shuffled; rows of any type can't be hashed in place, so Spark sorts by
+    key before and after the shuffle."""
     rest = [c for c in edits.columns if c not in keys]
     got = edits.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("x"))
     return got.select(*keys, *[F.col("x")[c].alias(c) for c in rest])

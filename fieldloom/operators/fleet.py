@@ -24,19 +24,17 @@ def condition(rule: dict) -> Column:
 
 def rule_match(events: DataFrame, devices: DataFrame, rules: list[dict]) -> DataFrame:
     """(rule, event, device) of enabled rules whose scope is the device's type and whose condition holds. Rules are compiled into one projection of the
-    event, so there is no nested loop: an event's matching rules are an array, exploded."""
+    event, so there is no nested loop: an event's matching rules are an array, exploded. Without an enabled rule there are no rows."""
     dev = devices.select(F.col("uid").alias("device"), F.col("type").alias("device_type"))
     rows = events.join(dev, "device")
     hits = []
     for r in rules:
-        if not r.get("enabled", True):
-            continue
-        ok = condition(r)
+        ok = condition(r) & F.lit(bool(r.get("enabled", True)))
         if r.get("device_type") is not None:
             ok = ok & (F.col("device_type") == r["device_type"])
         hits.append(F.when(ok, F.struct(F.lit(r["uid"]).alias("rule"), F.lit(r.get("severity", "warning")).alias("alert_severity"), F.array(*[F.lit(a) for a in r.get("actions", ["alert"])]).alias("actions"))))
     if not hits:
-        raise ValueError("no enabled rule")
+        hits.append(F.lit(None).cast("struct<rule:string,alert_severity:string,actions:array<string>>"))
     return rows.withColumn("m", F.explode(F.array_compact(F.array(*hits)))).select("m.*", *events.columns, "device_type")
 
 

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+
 
 @dataclass(frozen=True)
 class Choices:
@@ -40,8 +42,9 @@ def annotator_pairs(boxes: DataFrame, cfg: Choices = OURS) -> DataFrame:
     """Pairs a < b of annotators of one item and task, with their IoU. Items below min_annotations go before the join. The pairs of an item grow
     with the square of its annotators, who are few people; Spark splits a hot item's join partition."""
     one = one_box(boxes)
-    enough = one.groupBy("item", "task").agg(F.count("*").alias("n")).filter(F.col("n") >= cfg.min_annotations).select("item", "task")
-    rows = one.join(enough, ["item", "task"], "left_semi")
+    rows = one
+    if cfg.min_annotations > 2:  # a pair has two
+        rows = one.join(one.groupBy("item", "task").agg(F.count("*").alias("n")).filter(F.col("n") >= cfg.min_annotations).select("item", "task"), ["item", "task"], "left_semi")
     side = lambda s: rows.select("item", "task", F.struct("annotator", "x0", "y0", "x1", "y1").alias(s))
     both = side("a").join(side("b"), ["item", "task"]).filter("a.annotator < b.annotator")
     return both.select("item", "task", F.col("a.annotator").alias("annotator_a"), F.col("b.annotator").alias("annotator_b"), iou("a", "b").alias("iou"))
@@ -56,7 +59,8 @@ def consensus_scores(boxes: DataFrame, cfg: Choices = OURS) -> DataFrame:
 
 
 def consensus_summary(scores: DataFrame, cfg: Choices = OURS) -> DataFrame:
-    """One row: mean, median, least, most, items, items with consensus, histogram and means by task as JSON text."""
+    """One row: mean, median, least, most, items, items with consensus, histogram and means by task as JSON text. The scores are stored once."""
+    scores = scratch.stored(scores)  # three aggregates read it
     n = cfg.histogram_buckets
     edge = lambda k: f"{k / n:.1f}"
     bucket = F.least(F.floor(F.col("score") * n), F.lit(n - 1))

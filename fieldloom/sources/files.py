@@ -27,8 +27,11 @@ def media_type(path: Column) -> Column:
 
 
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """path, relative_path, size_bytes of every file below root (a file maps to its own name); an empty tree is an error when read."""
+    """path, relative_path, size_bytes of every file below root (a file maps to its own name); a tree without files is an error. Spark's
+    file sources, which list in parallel, skip names that start with _ or a dot: such files are not listed here either."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size_bytes"))
+    if files.isEmpty():
+        raise ValueError(f"no files below {root}")
     base = re.escape(re.sub(r"^\w+:/*", "", root).strip("/"))
     below = F.regexp_replace("path", rf"^\w+:/+{base}/", "")
     return files.select("path", F.when(below == F.col("path"), F.element_at(F.split("path", "/"), -1)).otherwise(below).alias("relative_path"), "size_bytes")

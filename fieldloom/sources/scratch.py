@@ -5,10 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
-    """A new path under the shared folder that the cluster names; a temporary one where none is named, as in local tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    """A new path under the shared folder that the cluster names; a temporary one where none is named and the master is local, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/fieldloom-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, so that what reads it several times computes it once."""
+    path = folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

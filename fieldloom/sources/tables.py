@@ -52,12 +52,15 @@ def envelope_scan(df: DataFrame, schema: str, column: str = "json") -> DataFrame
 
 
 def edits_read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Edits of a JSON array, or of JSON lines when the suffix is .jsonl: blank lines don't count, a bad line is an error with its text."""
+    """Edits of a JSON array, or of JSON lines when the suffix is .jsonl: blank lines hold no edit, a bad line is an error with its text and its place: the
+    file, and the line counted from the byte where Spark's split of the file starts (byte 0 for a file of one split)."""
     if path.endswith(".jsonl"):
-        lines = spark.read.text(path).filter(F.trim("value") != "")
+        line = (F.monotonically_increasing_id() % F.lit(1 << 33) + 1).cast("string")
+        where = F.concat(F.lit("line "), line, F.lit(" from byte "), F.col("_metadata.file_block_start").cast("string"), F.lit(" of "), F.col("_metadata.file_path"))
+        lines = spark.read.text(path).select("value", where.alias("at")).filter(F.trim("value") != "")
         row = F.from_json("value", schema)
         bad = ~F.trim("value").startswith("{") | row.isNull()
-        return lines.select(F.when(bad, F.raise_error(F.concat(F.lit("not a JSON object: "), F.col("value")))).otherwise(row).alias("r")).select("r.*")
+        return lines.select(F.when(bad, F.raise_error(F.concat(F.lit("not a JSON object in "), F.col("at"), F.lit(": "), F.col("value")))).otherwise(row).alias("r")).select("r.*")
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
@@ -68,7 +71,8 @@ def episode_scan(spark: SparkSession, root: str, episodes: list[int] | None = No
     if missing:
         raise ValueError(f"no such features: {', '.join(missing)}")
     if episodes is not None:
-        total = (df.agg(F.max("episode_index")).first()[0] or -1) + 1
+        most = df.agg(F.max("episode_index")).first()[0]
+        total = 0 if most is None else most + 1
         bad = [e for e in episodes if not 0 <= e < total]
         if bad:
             raise ValueError(f"episodes out of range 0..{total - 1}: {bad}")

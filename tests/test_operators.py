@@ -102,7 +102,7 @@ def test_edit_rules(spark):
         ("delete", "cuboid", None, "", None, "no target"), ("delete", "cuboid 3d", None, "i", None, "item object_type"), ("delete", "cuboid", None, None, "s", "sequence object_type"), ("upsert", "point cloud polyline", "d", None, "s", None),
     ]
     df = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, action string, object_type string, object_data string, dataset_item_uid string, sequence_uid string, want string")
-    ok, bad = edits.edit_validate(df)
+    ok, bad = edits.edit_validate(df.withColumn("object_uuid", F.lit("u")))
     assert {r.k for r in ok.collect()} == {k for k, c in enumerate(cases) if c[-1] is None}
     assert all(r.reason == r.want for r in bad.collect())
 
@@ -314,3 +314,62 @@ def test_issue_names_are_given_each_on_its_own(spark):
     want = [(1, "box", "lidar", "late", "east"), (2, "box", "lidar", None, "east"), (3, "box", "lidar", None, None), (4, "line", "image", None, None), (5, None, None, None, "east"), (6, None, None, None, "east")]
     assert sorted(map(tuple, got.collect())) == want
     assert "project_name" not in quality.issue_enrich(issues, tools).columns
+
+
+def test_pages_by_text_and_mixed_keys(spark):
+    rows = spark.createDataFrame([(c, k) for c in ('a"b', "a,c", "d", "é") for k in range(5)], "uid string, k long")
+    for order in (["uid", "k"], ["k", "uid"]):
+        got, cursor = [], None
+        while True:
+            page = col.keyset_page(rows, order, 7, cursor).collect()
+            got += [(r.uid, r.k) for r in page]
+            cursor = page[0].next_cursor
+            if cursor is None:
+                break
+        assert got == [(r.uid, r.k) for r in rows.orderBy(*order).collect()]
+    one = col.keyset_page(rows.select("uid").distinct(), ["uid"], 2).collect()
+    assert col.decode_cursor(one[0].next_cursor) == ["a,c"]
+    assert [r.uid for r in col.keyset_page(rows.select("uid").distinct(), ["uid"], 2, one[0].next_cursor).collect()] == ["d", "é"]
+
+
+def test_first_episode_alone(spark, tmp_path):
+    out = str(tmp_path / "one")
+    spark.createDataFrame([(0, 0), (0, 1)], "episode_index int, frame_index int").write.partitionBy("episode_index").parquet(out)
+    assert tables.episode_scan(spark, out, [0]).count() == 2
+    with pytest.raises(ValueError):
+        tables.episode_scan(spark, out, [1])
+
+
+def test_edits_need_the_object_uuid_field(spark):
+    row = ("upsert", "1", None, "cuboid", "{}", None)
+    schema = "action string, dataset_item_uid string, sequence_uid string, object_type string, object_data string, object_uuid string"
+    whole = spark.createDataFrame([row], schema)
+    assert edits.edit_validate(whole)[0].count() == 1
+    assert [r.reason for r in edits.edit_validate(whole.drop("object_uuid"))[1].collect()] == ["object_uuid"]
+
+
+def test_no_enabled_rule_no_rows(spark):
+    ev, dev = spark.createDataFrame([(1, 7, 2.0)], "uid long, device long, value double"), spark.createDataFrame([(7, "arm")], "uid long, type string")
+    rule = {"uid": 5, "field": "value", "op": "gt", "value": 1}
+    assert fleet.rule_match(ev, dev, [rule]).count() == 1
+    for rules in ([], [rule | {"enabled": False}]):
+        assert fleet.rule_match(ev, dev, rules).collect() == []
+
+
+def test_empty_tree_is_an_error(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError):
+        files.file_inventory(spark, str(tmp_path / "empty"))
+
+
+def test_bad_line_tells_its_place(spark, tmp_path):
+    p = tmp_path / "e.jsonl"
+    p.write_text('{"a": 1}\n\n{"a": 2}\nnonsense\n')
+    with pytest.raises(Exception, match=r"line 4 from byte 0 of .*e\.jsonl: nonsense"):
+        tables.edits_read(spark, str(p), "a long").collect()
+
+
+def test_missing_refs_without_edits_of_a_kind(spark):
+    e = spark.createDataFrame([("1", None), ("2", None), ("2", None), ("", None)], "dataset_item_uid string, sequence_uid string")
+    known = spark.createDataFrame([(2,)], "uid long")
+    assert sorted(map(tuple, edits.missing_refs(e, known, known).collect())) == [("item", 1, 2, "1"), ("sequence", 0, 0, "")]
