@@ -1,12 +1,13 @@
 """Substring deduplication by level-wise doubling of repeated windows.
 
-Level 1 looks at windows of half the length. Of these only the smallest hash within each full
-window is sent to the shuffle: equal full windows have equal halves inside, so they agree on that
-one, and about one half-window in thirteen is sent. Those that several documents share alone are
-extended to twice the length (level 2), where a window goes on only if its level-1 window is repeated. What
-level 2 sends is pre-aggregated: of equal windows met in one task, only the smallest document's
+The first level looks at windows of the window's length halved as often as it goes without a remainder and without falling under SHORTEST words
+(at least once; 50 words have one shorter level, of 25, and 100 have two). Of a level's windows only the smallest hash within each full
+window is sent to the shuffle: equal full windows have equal shorter ones inside, so they agree on that
+one, and none is lost. Those that several documents share alone are extended to twice the length, the next level, where a full window goes on only
+if its window of the level before is repeated; and so on up to the full length, or until no candidates survive (then there is nothing to send). What the
+last level sends is pre-aggregated: of equal windows met in one task, only the smallest document's
 goes on, the others are settled on the spot; so a passage in a third of all rows costs a few rows
-from each task. Keys of level 2 are two 64-bit hashes (of the half and of the whole window).
+from each task. Its keys are two 64-bit hashes (of the half and of the whole window).
 
 Defined cases: a null text has no words. A null doc_id neither removes words elsewhere nor loses any.
 Repeated rows (same doc_id and text) get equal results; the same doc_id never counts as smaller
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 HELD = 2_000_000  # windows that a task holds before it sends them
+SHORTEST = 16  # words below which a level isn't halved further
 
 
 def _words(batch):
@@ -43,20 +45,39 @@ def _lowest(h: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(m[:n], m[span - width : span - width + n])
 
 
-def _windows(words, by, half):
-    """Hashes of the windows of 2 * half words, the smallest half-window in each, and their documents; windows inside one document only."""
-    n = len(words) - 2 * half + 1
+def _windows(words, by, window, length):
+    """Hashes of the windows, the smallest hash of `length` words in each, and their documents; windows inside one document only."""
+    n = len(words) - window + 1
     if n <= 0:
         z = np.zeros(0, np.uint64)
         return z, z, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    low = _lowest(C.window_hashes(words, half), half + 1)
+    low = _lowest(C.window_hashes(words, length), window - length + 1)
     doc = np.repeat(np.arange(len(by) - 1), np.diff(by))[:n]
     pos = np.arange(n) - by[doc]
-    good = np.arange(n) + 2 * half <= by[doc + 1]
-    return C.window_hashes(words, 2 * half)[good], low[good], doc[good], pos[good]
+    good = np.arange(n) + window <= by[doc + 1]
+    return C.window_hashes(words, window)[good], low[good], doc[good], pos[good]
 
 
-def _level1(half, parts, most):
+def _alive(batch, low, doc):
+    """The windows whose hash of the level before came back to their document."""
+    lists = batch.column("hs")
+    known, lens = lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy())
+    if not len(low) or not len(known):
+        return np.zeros(len(low), bool)
+    tag = np.repeat(np.arange(len(lens)), lens).astype(np.uint64) * C.U64(0x9E3779B97F4A7C15)
+    table = np.sort(known ^ tag)
+    probe = low ^ (doc.astype(np.uint64) * C.U64(0x9E3779B97F4A7C15))
+    return table[np.minimum(np.searchsorted(table, probe), len(table) - 1)] == probe
+
+
+def _texts(batches, extended):
+    """Chunks of text; of documents with candidates of the level before, if there was one."""
+    for batch in batches:
+        yield from C.chunks([batch.filter(batch.column("hs").is_valid())] if extended else [batch], "text")
+
+
+def _level(window, length, before, parts, most):
+    """A level below the last: hashes of `length` words, within full windows that the level before (of `before` words) has left."""
     schema = pa.schema([("part", pa.int32()), ("payload", pa.binary())])
 
     def send(held):
@@ -82,9 +103,12 @@ def _level1(half, parts, most):
 
     def run(batches):
         held, n = [], 0
-        for batch in C.chunks(batches, "text"):
+        for batch in _texts(batches, before):
             words, by = _words(batch)
-            _, low, doc, _ = _windows(words, by, half)
+            _, low, doc, _ = _windows(words, by, window, length)
+            if before and len(low):
+                live = _alive(batch, _windows(words, by, window, before)[1], doc)
+                low, doc = low[live], doc[live]
             if not len(low):
                 continue
             new = np.ones(len(low), bool)
@@ -102,7 +126,7 @@ def _level1(half, parts, most):
 
 
 def _repeated(batches):
-    """Level-1 hashes that several documents have, given back to each of these."""
+    """Hashes of a level that several documents have, given back to each of these."""
     schema = pa.schema([("doc_id", pa.int64()), ("rid", pa.int64()), ("h", pa.int64())])
     m, doc, rid, flag = C.gather(batches, "payload", "<u8", "<i8", "<i8", "<i1")
     away = flag == 2
@@ -131,11 +155,11 @@ def _settle(low, win, doc):
     return cut
 
 
-SEGMENT = 32  # windows in a segment: neighbours with one level-1 hash
+SEGMENT = 32  # windows in a segment: neighbours with one hash of the level before
 
 
 def _segments(low, doc, pos, rid):
-    """Starts of runs of neighbouring windows with one level-1 hash, at most SEGMENT long."""
+    """Starts of runs of neighbouring windows with one hash of the level before, at most SEGMENT long."""
     if not len(low):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     new = np.ones(len(low), bool)
@@ -147,7 +171,7 @@ def _segments(low, doc, pos, rid):
     return at, np.arange(len(low)) - np.repeat(at, np.diff(np.append(at, len(low))))
 
 
-def _level2(half, parts, most):
+def _last(window, length, parts, most):
     schema = pa.schema([("part", pa.int32()), ("payload", pa.binary())])
 
     def send(held):
@@ -177,27 +201,17 @@ def _level2(half, parts, most):
 
     def run(batches):
         held, n = [], 0
-        for batch in batches:
-            batch = batch.filter(batch.column("hs").is_valid())
-            for batch in C.chunks([batch], "text"):
-                words, by = _words(batch)
-                win, low, doc, pos = _windows(words, by, half)
-                lists = batch.column("hs")
-                known, lens = lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy())
-                if not len(low) or not len(known):
-                    continue
-                # a window survives if its document got its level-1 hash back
-                tag = np.repeat(np.arange(len(lens)), lens).astype(np.uint64) * C.U64(0x9E3779B97F4A7C15)
-                table = np.sort(known ^ tag)
-                probe = low ^ (doc.astype(np.uint64) * C.U64(0x9E3779B97F4A7C15))
-                live = table[np.minimum(np.searchsorted(table, probe), len(table) - 1)] == probe
-                win, low, doc, pos = win[live], low[live], doc[live], pos[live]
-                if len(low):
-                    held.append((win, low, batch.column("doc_id").to_numpy()[doc], pos, batch.column("rid").to_numpy()[doc]))
-                    n += len(low)
-                if n > most:
-                    yield send(held)
-                    held, n = [], 0
+        for batch in _texts(batches, True):
+            words, by = _words(batch)
+            win, low, doc, pos = _windows(words, by, window, length)
+            live = _alive(batch, low, doc)
+            win, low, doc, pos = win[live], low[live], doc[live], pos[live]
+            if len(low):
+                held.append((win, low, batch.column("doc_id").to_numpy()[doc], pos, batch.column("rid").to_numpy()[doc]))
+                n += len(low)
+            if n > most:
+                yield send(held)
+                held, n = [], 0
         if held:
             yield send(held)
 
@@ -251,20 +265,30 @@ def _cut(window, with_text):
     return run
 
 
+def lengths(window: int) -> list[int]:
+    """Words in the windows of each level; the last has the full window."""
+    out = [window // 2, window]
+    while out[0] % 2 == 0 and out[0] // 2 >= SHORTEST:
+        out.insert(0, out[0] // 2)
+    return out
+
+
 def remove_repeats(docs: DataFrame, window: int = 50, with_text: bool = False, held: int = HELD) -> DataFrame:
     """doc_id, text -> doc_id, n_words, n_removed, kept_sha256 (and kept_text): every word that is covered by a window
-    whose words also start in a document with a smaller doc_id goes. `window` is even: level 1 has half of it."""
+    whose words also start in a document with a smaller doc_id goes. `window` is even: the level before the last has half of it."""
     if window < 2 or window % 2:
-        raise ValueError("window must be even: level 1 has windows of half its length")
-    half, parts = window // 2, 4 * C.partitions(docs.sparkSession)
+        raise ValueError("window must be even: a level has windows of half its length")
     n = C.partitions(docs.sparkSession)
+    parts = 4 * n
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("rid"))
     known = rows.filter("doc_id is not null")
-    sent = known.mapInArrow(_level1(half, parts, held), "part int, payload binary").repartition(n, "part")
-    back = sent.mapInArrow(_repeated, "doc_id long, rid long, h long")
-    lists = back.groupBy("doc_id", "rid").agg(F.collect_list("h").alias("hs"))
-    live = rows.join(lists, ["doc_id", "rid"], "left").select("doc_id", "rid", "text", "hs")
-    sent = live.mapInArrow(_level2(half, parts, held), "part int, payload binary").repartition(n, "part")
+    live, before = known, None
+    for length in lengths(window)[:-1]:
+        sent = live.mapInArrow(_level(window, length, before, parts, held), "part int, payload binary").repartition(n, "part")
+        back = sent.mapInArrow(_repeated, "doc_id long, rid long, h long")
+        lists = back.groupBy("doc_id", "rid").agg(F.collect_list("h").alias("hs"))
+        live, before = rows.join(lists, ["doc_id", "rid"], "left").select("doc_id", "rid", "text", "hs"), length
+    sent = live.mapInArrow(_last(window, before, parts, held), "part int, payload binary").repartition(n, "part")
     cuts = sent.mapInArrow(_decide, "doc_id long, rid long, start int, mask long")
     cuts = cuts.groupBy("doc_id", "rid").agg(F.collect_list(F.struct("start", "mask")).alias("cuts"))
     out = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text

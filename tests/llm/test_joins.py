@@ -84,6 +84,15 @@ def test_repeats_match_brute_force(spark, hard, window):
     assert got == want
 
 
+@pytest.mark.parametrize(("window", "shortest", "levels"), [(100, 16, [25, 50, 100]), (40, 5, [5, 10, 20, 40])])
+def test_repeats_over_several_levels(spark, hard, window, shortest, levels, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SHORTEST", shortest)  # read on the driver
+    assert substring_dedup.lengths(window) == levels
+    want = brute.repeats(rows(hard), window)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(hard, window).collect()}
+    assert got == want and any(n for _, n, _ in got.values())
+
+
 def test_repeats_on_table_with_small_buffers(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(6)
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(docs, held=1000).collect()}
