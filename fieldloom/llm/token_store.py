@@ -5,11 +5,11 @@ writes shards. A shard image is a header, a minimal perfect hash index over the
 (bucket seeds by hash-and-displace; then, in slot order, a 32-bit fingerprint, offset and
 length), and the raw ids, two bytes each (four for vocabularies over 65,536). A key is looked up with
 two hashes and one fingerprint test. Images are rows of a table in the shared folder, so they go wherever
-Spark writes; a reader needs the row of the shard that holds a key's range.
+Spark writes; each row has the first and last key of its shard (the key-to-shard map), whose Parquet statistics let `lookup` read only the shards that may hold the keys asked for.
 
-Encoding. White space parts words for this tokenizer: encoding word by word and joining the ids
+Encoding. Where the tokenizer file lower-cases, makes white space single spaces and splits texts by the pattern PIECES, white space parts words: encoding word by word and joining the ids
 is the same as encoding the text (special tokens in a text have no white space either). So each worker process
-keeps the ids of words it has met (about CACHE words, then those met once go) and gives only new words to the library.
+keeps the ids of words it has met (about CACHE words, then those met once go) and gives only new words to the library. With any other file whole texts go to the library.
 
 Defined cases: a null text counts as empty and has the end id alone. A null doc_id comes first.
 Repeated doc_ids are separate documents, keyed by occurrence in the order of their texts.
@@ -18,6 +18,7 @@ An empty table gives no rows. Only doc_id and text are read, so further columns
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -39,12 +40,25 @@ U64 = C.U64
 HEADER = struct.Struct("<4sIIIIQQ")  # magic, version, documents, buckets, bytes an id, ids, hash seed
 MAGIC = b"FLTK"
 NULL_KEY = -(1 << 63)
+MOST_KEYS = 10_000  # keys of one look-up
+#: The normaliser steps and the split pattern of tokenizer files under which words can be encoded one by one.
+STEPS = ["NFC", "Replace", "Lowercase"]
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 
 
 # ------------------------------------------------------------------ encoding
 
 
+def parts_at_space(spec: dict) -> bool:
+    """Whether a tokenizer file has the normaliser and pre-tokenizer that `WordCoder` knows, and no added token with white space."""
+    norm = (spec.get("normalizer") or {}).get("normalizers") or []
+    pre = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    space = len(norm) == 3 and (norm[1].get("pattern"), norm[1].get("content")) == ({"Regex": r"\s+"}, " ")
+    split = pre[0].get("type") == "Split" and pre[0].get("pattern") == {"Regex": PIECES} and [p.get("type") for p in pre[1:]] == ["ByteLevel"]
+    return [n.get("type") for n in norm] == STEPS and space and split and not any(re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or [])
+
+
 class WordCoder:
     """Ids of texts by way of a cache of words."""
 
@@ -53,6 +67,7 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.by_words = parts_at_space(json.loads(self.tok.to_str()))
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
         vocab = self.tok.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -121,6 +136,8 @@ class WordCoder:
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the documents of a chunk and the offsets by document."""
+        if not self.by_words:
+            return self.whole(raw, off)
         if len(self.at) > CACHE:
             self.trim()
         if b"<|" not in raw.tobytes():  # else a special token in capitals would turn into one
@@ -145,10 +162,7 @@ class WordCoder:
             slot[new] = np.arange(len(self.at), len(self.at) + len(new))
             self.learn([keys[i] for i in new], second[new], words)
         if (self.second[slot] != second).any():  # two words with one 64-bit hash: whole texts instead
-            data = raw.tobytes()
-            texts = [data[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
-            coded = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-            return np.concatenate(coded), np.concatenate([[0], np.cumsum([len(c) for c in coded])])
+            return self.whole(raw, off)
         self.seen[slot] += 1
         slot = slot[back]
         lens = self.edge[slot + 1] - self.edge[slot]
@@ -156,6 +170,13 @@ class WordCoder:
         take = np.repeat(self.edge[slot] - to[:-1], lens) + np.arange(to[-1])
         return self.ids[take], to[by]
 
+    def whole(self, raw, off):
+        """Whole texts by the library."""
+        data = raw.tobytes()
+        texts = [data[a:b].decode() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+        coded = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *coded]), np.concatenate([[0], np.cumsum([len(c) for c in coded])]).astype(np.int64)
+
     @staticmethod
     def other_hash(raw, s, e):
         """Length, first and last eight bytes: a second look at words with equal hashes."""
@@ -281,7 +302,7 @@ class Shard:
 
 # ------------------------------------------------------------------ jobs
 
-SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("inside", pa.int64()), ("n_ids", pa.int64()), ("ids", pa.list_(pa.int64())), ("image", pa.binary())])
+SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("inside", pa.int64()), ("n_ids", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("first", pa.int64()), ("ids", pa.list_(pa.int64())), ("image", pa.binary())])
 
 
 def _write(path, end_id, per_shard):
@@ -293,10 +314,10 @@ def _write(path, end_id, per_shard):
             doc = [d for ds in docs for d, _ in ds]
             keys = np.array([(NULL_KEY if d is None else d, k) for ds in docs for d, k in ds], np.int64).reshape(-1, 2)
             off = np.concatenate([[0], np.cumsum(np.concatenate(lens))])
-            row = [part, seq, inside, int(off[-1]), doc, image(keys, np.concatenate(ids), off, code.width)]
+            row = [part, seq, inside, int(off[-1]), int(keys[0, 0]), int(keys[-1, 0]), int(keys[0, 1]), doc, image(keys, np.concatenate(ids), off, code.width)]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, SHARDS, strict=True)], schema=SHARDS)
 
-        for batch in C.chunks(batches, "text"):
+        for batch in C.chunks(batches, "text", min(C.CHUNK_BYTES, 4 * per_shard)):
             got, off = code.encode(*C.utf8(batch.column("text")))
             n = np.diff(off)
             full = np.insert(got, off[1:], end_id)
@@ -322,7 +343,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     n = C.partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(n, "doc_id")
     rows = rows.sortWithinPartitions("doc_id", "text")
-    made = rows.mapInArrow(_write(tokenizer, end_id, per_shard), "part int, seq int, inside long, n_ids long, ids array<long>, image binary")
+    made = rows.mapInArrow(_write(tokenizer, end_id, per_shard), "part int, seq int, inside long, n_ids long, lo long, hi long, first long, ids array<long>, image binary")
     made.write.option("compression", "zstd").parquet(folder)
 
 
@@ -355,6 +376,32 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     return rows.mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def lookup(spark: SparkSession, folder: str, keys: list[int]) -> DataFrame:
+    """doc_id, occurrence, ids (as stored, with the end id) of at most MOST_KEYS doc_ids; those that aren't there give no rows. Shards whose range holds none of the keys
+    aren't read; in a shard each key takes two hashes and a fingerprint test (32 bits: an absent key passes once in four thousand million)."""
+    keys = sorted(set(keys))
+    if len(keys) > MOST_KEYS:
+        raise ValueError(f"at most {MOST_KEYS} keys: join with read_documents for more")
+    schema = pa.schema([("doc_id", pa.int64()), ("occurrence", pa.int64()), ("ids", pa.list_(pa.int64()))])
+
+    def run(batches):
+        for b in batches:
+            for lo, hi, first, blob in zip(*(b.column(c).to_pylist() for c in ("lo", "hi", "first")), b.column("image"), strict=True):
+                shard, got = Shard(blob.as_buffer()), []
+                live = [(k, first if k == lo else 0) for k in keys if lo <= k <= hi]
+                while live:  # the next occurrence of those that had one
+                    found, at, size = shard.find(np.array(live, np.int64))
+                    got += [(k, n, shard.ids[a : a + m].astype(np.int64)) for (k, n), f, a, m in zip(live, found.tolist(), at.tolist(), size.tolist(), strict=True) if f]
+                    live = [(k, n + 1) for (k, n), f in zip(live, found.tolist(), strict=True) if f]
+                yield pa.RecordBatch.from_arrays([pa.array([g[j] for g in got], f.type) for j, f in enumerate(schema)], schema=schema)
+
+    some = F.lit(False)
+    for k in range(0, len(keys), max(1, len(keys) // 64)):  # at most 65 or so ranges for Parquet's statistics
+        part = keys[k : k + max(1, len(keys) // 64)]
+        some = some | ((F.col("lo") <= part[-1]) & (F.col("hi") >= part[0]))
+    return spark.read.parquet(folder).filter(some).select("lo", "hi", "first", "image").mapInArrow(run, "doc_id long, occurrence long, ids array<long>")
+
+
 def query(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers

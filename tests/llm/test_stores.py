@@ -242,3 +242,46 @@ def test_pipeline_stages(spark, sf_dir):
         left = {d: left[d] for d in got}
         frame = docs.filter(F.col("doc_id").isin(list(got)))
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_lookup_over_several_shards(spark, tmp_path):
+    """Keys in many shards, repeated ids over a shard's end, absent keys; shards out of range are pruned."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    rows = [(k, f"the text number {k} of a small table") for k in range(0, 400, 2)] + [(100, f"again {j}") for j in range(30)] + [(None, "nobody")]
+    out = str(tmp_path / "shards")
+    token_store.write_shards(spark.createDataFrame(rows, "doc_id long, text string"), out, path, per_shard=60)
+    assert spark.read.parquet(out).count() > 20
+    got = {}
+    for r in token_store.lookup(spark, out, [0, 7, 100, 398, 900]).collect():
+        got.setdefault(r.doc_id, []).append((r.occurrence, list(r.ids)))
+    ids = lambda t: tok.encode(t, add_special_tokens=False).ids + [token_store.END_ID]
+    texts = sorted(t for k, t in rows if k == 100)
+    assert {k: sorted(v) for k, v in got.items()} == {0: [(0, ids(rows[0][1]))], 100: [(n, ids(t)) for n, t in enumerate(texts)], 398: [(0, ids(rows[199][1]))]}
+    assert token_store.lookup(spark, out, []).collect() == []
+    with pytest.raises(ValueError):
+        token_store.lookup(spark, out, list(range(token_store.MOST_KEYS + 1)))
+
+
+def test_other_tokenizer_files_get_whole_texts(tmp_path):
+    """A file with another normaliser isn't encoded word by word, and its ids are the library's."""
+    import json
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    spec = json.load(open(public_tokenizers.path("word_bpe_49k.json")))
+    assert token_store.parts_at_space(spec)
+    spec["normalizer"] = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": "_"}, {"type": "Lowercase"}]}
+    p = tmp_path / "other.json"
+    p.write_text(json.dumps(spec))
+    assert not token_store.parts_at_space(spec)
+    texts = ["One two, three.", "", "a  b\nc"]
+    raw = [t.encode() for t in texts]
+    ids, off = token_store.WordCoder(str(p)).encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    tok = Tokenizer.from_file(str(p))
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
