@@ -1,12 +1,11 @@
 """Licence scans by a positional rare-token index. DataFrame functions only.
 
-Licence templates give postings: word -> (template, position). The words of the templates are the
-licence vocabulary, whose document frequencies are counted over all documents. Each template is indexed by the word
-of its mandatory key phrase with the highest inverse document frequency; a document's words of that index, its
-highest-IDF licence words, are looked up (no match can miss: its key phrase holds such a word); a place p of
-a word with template position t votes for (template, p - t), so equal relative positions meet in one offset. At
-each offset the template's words are compared in place; it counts when its mandatory key phrase stands
-at its place and LEAST of its words agree. Base phrases are found directly from the places of vocabulary words.
+Licence templates give postings: word -> (template, position), for the words of their mandatory key phrases, the
+licence words, whose document frequencies are counted over all documents. Each document's own licence words are ranked by inverse
+document frequency, and its TOP rarest are looked up. A place p of a word with template position t gives the relative position p - t; those
+of a template's looked-up words are intersected. The rarest word of each key phrase counts as looked up in any document that has it, so
+no match can be missed by the cut at TOP. At each relative position left the template's words are compared in place; it counts when its mandatory key phrase stands
+at its place and LEAST of its words agree. Base phrases are found directly from the places of licence words.
 
 Words are runs of letters a-z, digits and non-ASCII characters after lower-casing A-Z. A document
 goes on to the look-up only if it contains a word that every phrase or template needs at least one of; that
@@ -19,12 +18,12 @@ get their own result. An empty table gives no rows. Extra columns may have any n
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LEAST = 0.75
+TOP = 8  # licence words of a document that are looked up
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: ASCII characters that are in no word once A-Z are lower-cased.
 PARTING = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
@@ -50,10 +49,14 @@ TEMPLATES = [
     ("mit", "released under the mit license", "mit license", "license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "hereby granted free of charge", "hereby"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license", "license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "without limitation the rights to use copy", "without"),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license", "except in compliance with the license", "license"),
+    ("gpl-3.0", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "gnu general public license as published", "license"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", "must retain the above copyright notice", "must"),
     ("unlicense", "this is free and unencumbered software released into the public domain", "free and unencumbered software", "unencumbered"),
 ]
 
-VOCABULARY = sorted({w for _, t, _, _ in TEMPLATES for w in t.split()} | {w for p, _ in BASE for w in p.split()})
+VOCABULARY = sorted({w for *_, key, _ in TEMPLATES for w in key.split()} | {w for p, _ in BASE for w in p.split()})
 GATE = sorted({g for *_, g in TEMPLATES} | {"cc", "license", "reserved"})
 
 
@@ -83,12 +86,7 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document."""
     total, df = frequencies(docs)
     idf = {w: math.log((1 + total) / (1 + df.get(w, 0))) for w in VOCABULARY}
-    postings = defaultdict(list)
-    for k, (_, template, _, _) in enumerate(TEMPLATES):
-        for at, w in enumerate(template.split()):
-            postings[w].append((k, at))
-    post = F.create_map(*[x for w in sorted(postings) for x in (F.lit(w), _literal(postings[w], ("t", "at")))])
-    rare = sorted({max(key.split(), key=lambda w: (idf[w], w)) for *_, key, _ in TEMPLATES})
+    ranked = sorted(VOCABULARY, key=lambda w: (-idf[w], w))
     templates = F.array(*[F.array(*[F.lit(w) for w in t.split()]) for _, t, _, _ in TEMPLATES])
     keys = []
     for _, t, key, _ in TEMPLATES:
@@ -127,10 +125,27 @@ def scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     places = F.concat(*[F.col(f"base{k}") for k in range(len(base))])
     base_labels = F.array_compact(F.array(*[F.when(F.size(f"base{k}") > 0, F.lit(label)) for k, (_, label) in enumerate(base)]))
 
-    # the highest-IDF licence words of the document, all their places, and the offsets that they vote for
-    looked = F.filter("hits", lambda h: h.w.isin(rare))
-    votes = F.flatten(F.transform(looked, lambda h: F.transform(F.coalesce(F.element_at(post, h.w), F.array().cast("array<struct<t:int,at:int>>")), lambda q: F.struct(q.t.alias("t"), (h.p - q["at"]).alias("off")))))
-    out = out.withColumn("votes", F.array_distinct(F.filter(votes, lambda v: v.off > -8)))
+    # the highest-IDF licence words of the document: the ranked words that it has, in their order, cut at TOP
+    own = F.array_intersect(F.array(*[F.lit(w) for w in ranked]), F.transform("hits", lambda h: h.w))
+    out = out.withColumn("looked", F.when(F.size("hits") > 0, F.slice(own, 1, TOP)).otherwise(F.array().cast("array<string>")))
+
+    def starts(w: str, at: int) -> Column:
+        """Where a template starts by each place of its word number `at`."""
+        return F.transform(F.filter("hits", lambda h: h.w == w), lambda h: h.p - at)
+
+    def offsets(k: int) -> Column:
+        """Relative positions at which all looked-up key words of template k stand."""
+        t, key = TEMPLATES[k][1].split(), TEMPLATES[k][2].split()
+        (at, n), left = keys[k], None
+        for j, w in sorted(enumerate(key), key=lambda x: ranked.index(x[1])):  # the rarest first
+            here = starts(w, at + j)
+            left = here if left is None else F.when(F.array_contains("looked", w), F.array_intersect(left, here)).otherwise(left)
+        # a template's start may be cut off by a document's, if LEAST of it can still agree
+        left = F.filter(left, lambda o: o >= math.ceil(least * len(t)) - len(t))
+        return F.transform(F.array_distinct(left), lambda o: F.struct(F.lit(k).alias("t"), o.alias("off")))
+
+    votes = F.flatten(F.array(*[offsets(k) for k in range(len(TEMPLATES))]))
+    out = out.withColumn("votes", F.when(F.size("hits") > 0, votes).otherwise(F.array().cast("array<struct<t:int,off:int>>")))
 
     def agreement(v: Column) -> Column:
         """Share of the template's words that stand at their places; 0 without the key phrase."""
