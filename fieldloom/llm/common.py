@@ -6,8 +6,6 @@ bounded by a chunk (or by one document, if that is longer) and not by its input.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+
 CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 _rng = np.random.default_rng(20240229)
@@ -32,14 +32,7 @@ LOWER[65:91] += 32
 # ---------------------------------------------------------------- shared folder
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder that driver and executors all see: under spark.checkpoint.dir where the
-    cluster names one; a temporary folder where it is unset, as in local tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = getattr(shared_dir, "local", None) or tempfile.mkdtemp(prefix="spark-")
-        shared_dir.local = base
-    return f"{base.rstrip('/')}/fieldloom-{uuid.uuid4().hex}"
+shared_dir = scratch.folder  # a new folder that driver and executors all see; an error where none is named and the master isn't local
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
