@@ -11,6 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.llm import decontamination, langid, licences, pii
+from fieldloom.llm.pii_rows import labelled
+
+from . import pii_rows
 
 
 def low(t):
@@ -151,6 +154,18 @@ def test_pii_field_finds_more():
     assert good / len(table) > 0.93
 
 
+def test_pii_field_on_rows_labelled_by_hand():
+    """Recall and precision by kind: HELD_OUT rows were written after the training table, and measured once (the README has the figures)."""
+    model = pii.train(pii.training_table())
+    for rows, least in ((pii_rows.DEVELOPMENT, 0.9), (pii_rows.HELD_OUT, 0.7)):
+        table = labelled(rows)
+        spans = pii.added_spans(model, [t for t, _ in table], [[] for _ in table])
+        for kind in pii.FIELD_KINDS:
+            want = {(k, a, b) for k, (_, s) in enumerate(table) for a, b, x in s if x == kind}
+            have = {(k, a, b) for k, s in enumerate(spans) for x, a, b in s if x == kind}
+            assert len(want & have) / len(want) >= least and len(want & have) / len(have) >= least, (kind, want ^ have)
+
+
 def test_pii_field_reads_addresses_in_words_and_other_phones(spark):
     texts = ["write to anna at example dot org", "please contact anna dot berg at mail dot example dot com today", "call 555-0147", "call 0044 20 7946 0958 now"]
     plain = ["look at the dot on the page", "They met at noon. Then left at dusk.", "the years 2019-2020 and pages 100-1200", "on 2024-01-15 at home"]
