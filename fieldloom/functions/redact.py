@@ -28,8 +28,10 @@ PATTERNS = [
     ("resource_name", r"arn:aws[a-z0-9\-]*:[a-z0-9\-]*:[a-z0-9\-]*:[0-9]*:[A-Za-z0-9_\-./:*]+"),
 ]
 #: Normalised names of fields that hold secrets.
-SENSITIVE = """awssecretaccesskey secretaccesskey awsaccesskeyid accesskeyid awssessiontoken apikey authorization auth token
-accesstoken refreshtoken sessiontoken idtoken secret password passwd pwd credentials privatekey privatekeyid clientsecret""".split()
+SENSITIVE = [
+    "awssecretaccesskey", "secretaccesskey", "awsaccesskeyid", "accesskeyid", "awssessiontoken", "apikey", "authorization", "auth", "token",
+    "accesstoken", "refreshtoken", "sessiontoken", "idtoken", "secret", "password", "passwd", "pwd", "credentials", "privatekey", "privatekeyid", "clientsecret",
+]
 HEADER_KEY = re.compile(r"x[a-z]+apikey")
 #: One cheap test that every secret passes; clean rows skip the chain.
 ANY = r"(?i)eyJ|AKIA|ASIA|FwoG|IQoJ|1//|PRIVATE KEY|private_key_id|secret|[spke]k_|key_|token_|sk-|[a-f0-9]{40}|bearer|Api-Key|arn:aws"
@@ -39,7 +41,7 @@ def redact_text(col):
     """Every secret shape replaced; null stays null."""
     out = col
     for _, p in PATTERNS:
-        out = F.regexp_replace(out, p, TOKEN.replace("[", "[").replace("$", r"\$"))
+        out = F.regexp_replace(out, p, TOKEN)
     return F.when(col.rlike(ANY), out).otherwise(col)
 
 

@@ -98,6 +98,17 @@ def status_overview(organizations: DataFrame, members: DataFrame, lists: dict[st
     return out.union(fleet.select(F.lit("fleet"), F.lit("online"), "on")).union(fleet.select(F.lit("fleet"), F.lit("offline"), F.col("n") - F.col("on")))
 
 
+def status_lists(lists: dict[str, tuple[DataFrame, str]], n: int = 5) -> DataFrame:
+    """The newest n rows of each list: section, place from 1, uid. A list comes with the column of its time; ties go to the larger uid."""
+    out = None
+    for section, (df, at) in lists.items():
+        newest = df.select("uid", F.col(at).alias("at")).orderBy(F.desc("at"), F.desc("uid")).limit(n)
+        few = newest.agg(F.reverse(F.array_sort(F.collect_list(F.struct("at", "uid")))).alias("rs"))  # n rows at most
+        rows = few.select(F.lit(section).alias("section"), F.posexplode("rs").alias("i", "r")).select("section", (F.col("i") + 1).cast("long").alias("place"), F.col("r.uid").cast("string").alias("uid"))
+        out = rows if out is None else out.union(rows)
+    return out
+
+
 def org_rollup(organizations: DataFrame, **parts: DataFrame) -> DataFrame:
     """organization, name and a count of each part (members, teams, ...), which has a column organization."""
     out = organizations.select("organization", "name")

@@ -38,10 +38,17 @@ def rule_match(events: DataFrame, devices: DataFrame, rules: list[dict]) -> Data
     return rows.withColumn("m", F.explode(F.array_compact(F.array(*hits)))).select("m.*", *events.columns, "device_type")
 
 
-def alerts_of(matches: DataFrame) -> DataFrame:
-    """An open alert for each match with an alert action."""
+def alerts_of(matches: DataFrame, recording: str | None = None) -> DataFrame:
+    """An open alert for each match with an alert action; with the column that names the event's recording also that and a message."""
     one = matches.filter(F.array_contains("actions", "alert"))
-    return one.select("rule", F.col("uid").alias("event"), "device", F.col("alert_severity").alias("severity"), F.lit("open").alias("status"), F.col("ts").alias("triggered_at"))
+    more = [F.col(recording).alias("recording"), F.format_string("rule %s: event %s of device %s", *[F.col(c).cast("string") for c in ("rule", "uid", "device")]).alias("message")] if recording else []
+    return one.select("rule", F.col("uid").alias("event"), "device", F.col("alert_severity").alias("severity"), F.lit("open").alias("status"), F.col("ts").alias("triggered_at"), *more)
+
+
+def alert_enrich(alerts: DataFrame, rules: DataFrame, recordings: DataFrame, devices: DataFrame) -> DataFrame:
+    """Alerts with the name of their rule, their recording's status and their device's name and type, each null where it is unknown."""
+    named = rules.select(F.col("uid").alias("rule"), F.col("name").alias("rule_name"))
+    return fleet_enrich(alerts.join(named, "rule", "left"), recordings, devices)
 
 
 def rule_hits(matches: DataFrame) -> DataFrame:
@@ -50,13 +57,14 @@ def rule_hits(matches: DataFrame) -> DataFrame:
 
 def alert_lifecycle(actions: DataFrame) -> DataFrame:
     """An action log (alert, action, ts, tie, by) folded into states: open, acknowledged (first acknowledgement before the resolution), resolved (first). Resolving an
-    open alert is allowed; repeated and backward actions do nothing."""
+    open alert is allowed; repeated and backward actions do nothing. A column note gives resolution_note, the note of the resolution."""
     key = F.struct("ts", "tie")
     of = lambda a, c: F.min_by(F.when(F.col("action") == a, F.col(c)), F.when(F.col("action") == a, key))
-    got = actions.groupBy("alert").agg(of("acknowledge", "ts").alias("a_at"), of("acknowledge", "by").alias("a_by"), F.min(F.when(F.col("action") == "acknowledge", key)).alias("a_key"), of("resolve", "ts").alias("r_at"), F.min(F.when(F.col("action") == "resolve", key)).alias("r_key"))
+    note = [of("resolve", "note").alias("resolution_note")] if "note" in actions.columns else []
+    got = actions.groupBy("alert").agg(*note, of("acknowledge", "ts").alias("a_at"), of("acknowledge", "by").alias("a_by"), F.min(F.when(F.col("action") == "acknowledge", key)).alias("a_key"), of("resolve", "ts").alias("r_at"), F.min(F.when(F.col("action") == "resolve", key)).alias("r_key"))
     ack = F.col("a_key").isNotNull() & (F.col("r_key").isNull() | (F.col("a_key") < F.col("r_key")))
     status = F.when(F.col("r_key").isNotNull(), "resolved").when(ack, "acknowledged").otherwise("open")
-    return got.select("alert", status.alias("status"), F.when(ack, F.col("a_at")).alias("acknowledged_at"), F.when(ack, F.col("a_by")).alias("acknowledged_by"), F.col("r_at").alias("resolved_at"))
+    return got.select("alert", status.alias("status"), F.when(ack, F.col("a_at")).alias("acknowledged_at"), F.when(ack, F.col("a_by")).alias("acknowledged_by"), F.col("r_at").alias("resolved_at"), *["resolution_note" for _ in note])
 
 
 def device_last_seen(events: DataFrame, devices: DataFrame, as_of: Column, timeout_seconds: int) -> DataFrame:

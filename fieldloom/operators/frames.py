@@ -96,6 +96,39 @@ def feature_schema(frames: DataFrame, sequence: str = "sequence_uid", order_by:
     return frames.join(F.broadcast(first), at).groupBy("camera").agg(F.min("height").cast("long").alias("height"), F.min("width").cast("long").alias("width"))
 
 
+#: Names of an ego pose's numbers.
+POSE = ["x", "y", "z", "qw", "qx", "qy", "qz"]
+
+
+def _numbered(name: str, n: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit(f"{name}_"), i))
+
+
+def vector_features(frames: DataFrame, state: str | None = None, action: str | None = None, pose: str | None = None, sequence: str = "sequence_uid") -> DataFrame:
+    """The numeric features of the first frame of the first sequence: feature, dtype, dim, names. `state`, `action` and `pose` are columns with vectors; state and pose
+    are the same feature, so both at once are an error, as is a first frame without a wanted vector."""
+    if state and pose:
+        raise ValueError("give a state or an ego pose, not both: both are observation.state")
+    wanted = [(f, c, kind) for f, c, kind in (("observation.state", state, "state"), ("observation.state", pose, "pose"), ("action", action, "action")) if c]
+    if not wanted:
+        raise ValueError("name a state, an action or a pose")
+    first = frames.agg(F.min_by(F.struct(*[F.col(c).alias(kind) for _, c, kind in wanted]), F.struct(sequence, "frame_index")).alias("x"))
+    rows = []
+    for feature, c, kind in wanted:
+        dim = F.size(F.when(F.size(f"x.{kind}") > 0, F.col(f"x.{kind}")).otherwise(F.raise_error(F.lit(f"the first frame has no vector in {c}"))))
+        names = F.array(*[F.lit(n) for n in POSE]) if kind == "pose" else _numbered(kind, dim)
+        rows.append(F.struct(F.lit(feature).alias("feature"), F.lit("float32").alias("dtype"), dim.cast("long").alias("dim"), names.alias("names")))
+    return first.filter("x is not null").select(F.explode(F.array(*rows)).alias("f")).select("f.*")
+
+
+def choose_cameras(features: DataFrame, cameras: list[str]) -> DataFrame:
+    """The features of the named cameras; a name that no feature has is an error. One row a name comes to the driver."""
+    known = {r["camera"] for r in features.filter(F.col("camera").isin(cameras)).select("camera").distinct().collect()}
+    if gone := sorted(set(cameras) - known):
+        raise ValueError(f"no such cameras: {gone}")
+    return features.filter(F.col("camera").isin(cameras))
+
+
 def camera_set_diff(frames: DataFrame, cameras: DataFrame, sequence: str = "sequence_uid") -> DataFrame:
     """Per frame: cameras that are missing and extra against the schema's (a table of one row per camera)."""
     want = cameras.agg(F.array_sort(F.collect_set("camera")).alias("want"))
@@ -105,10 +138,10 @@ def camera_set_diff(frames: DataFrame, cameras: DataFrame, sequence: str = "sequ
 
 
 def schema_drift(frames: DataFrame, features: DataFrame, sequence: str = "sequence_uid", strict: bool = False) -> DataFrame:
-    """Violations of the feature schema: (sequence, frame_index, kind, camera, expected, actual). Feature tables have one row per camera, so they are broadcast."""
+    """Violations of the feature schema: (sequence, frame_index, kind, camera, expected, actual). Spark broadcasts the features where their size allows."""
     want = features.select("camera", F.col("height").alias("want_height"), F.col("width").alias("want_width"))
     size = lambda h, w: F.concat(F.col(h).cast("string"), F.lit("x"), F.col(w).cast("string"))
-    got = frames.join(F.broadcast(want), "camera", "left")
+    got = frames.join(want, "camera", "left")
     kind = F.when(F.col("want_height").isNull(), "unknown camera").when((F.col("height") != F.col("want_height")) | (F.col("width") != F.col("want_width")), "resolution")
     out = got.select(sequence, "frame_index", kind.alias("kind"), "camera", size("want_height", "want_width").alias("expected"), size("height", "width").alias("actual")).filter("kind is not null")
     if strict:
@@ -117,8 +150,9 @@ def schema_drift(frames: DataFrame, features: DataFrame, sequence: str = "sequen
 
 
 def vector_drift(frames: DataFrame, vector: str, length: int, *keys: str) -> DataFrame:
-    """Frames whose vector does not have the schema's length."""
-    return frames.filter(F.size(vector) != length).select(*keys, F.lit(f"{vector} length").alias("kind"), F.lit(length).cast("long").alias("expected"), F.size(vector).cast("long").alias("actual"))
+    """Frames whose vector does not have the schema's length (vector_features gives it); a null vector has none."""
+    have = F.coalesce(F.size(vector), F.lit(0))
+    return frames.filter(have != length).select(*keys, F.lit(f"{vector} length").alias("kind"), F.lit(length).cast("long").alias("expected"), have.cast("long").alias("actual"))
 
 
 def frame_time_ns(index: Column, fps: float, given: Column | None = None) -> Column:

@@ -100,17 +100,31 @@ def issue_enrich(issues: DataFrame, tools: DataFrame, projects: DataFrame | None
 
 
 def issue_metrics(issues: DataFrame, as_of: Column, sequence_uid=None, cfg: Choices = OURS) -> DataFrame:
-    """One row: counts by status, priority and severity (JSON), mean seconds to close and mean age of open issues (all and customers'), issues by problem."""
+    """One row: counts by status, priority and severity (JSON), mean seconds to close and mean age of open issues (all and customers'), objects by problem.
+    One pass over the issues: grouping sets count values within tasks, and what is left of each value is folded by name. A null value counts as `null`."""
     if sequence_uid is not None:
         issues = issues.filter(F.col("sequence_uid") == sequence_uid)
     customer = F.col("reporter_type") == cfg.customer
     took = F.when(F.col("closed_at").isNotNull(), F.unix_seconds("closed_at") - F.unix_seconds("created_at"))
     age = F.when(F.col("closed_at").isNull(), F.unix_seconds(as_of) - F.unix_seconds("created_at"))
-    out = issues.agg(F.avg(took).cast("long").alias("mean_seconds_close_time_all"), F.avg(F.when(customer, took)).cast("long").alias("mean_seconds_close_time_customer"), F.avg(age).cast("long").alias("mean_unresolved_issue_age_all"), F.avg(F.when(customer, age)).cast("long").alias("mean_unresolved_issue_age_customer"))
-    for column, name, value in (("status", "status_count", F.count("*")), ("priority", "priority_count", F.count("*")), ("severity", "severity_count", F.count("*")), ("problem_uid", "object_count_by_problem", F.count_distinct("object_uid"))):
-        part = issues.groupBy(F.col(column).cast("string").alias("k")).agg(value.alias("v")).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "v"))))).alias(name))
-        out = out.crossJoin(part)  # one row each
-    return out
+    counted = ["status", "priority", "severity", "problem_uid"]
+    means = {"mean_seconds_close_time_all": took, "mean_seconds_close_time_customer": F.when(customer, took), "mean_unresolved_issue_age_all": age, "mean_unresolved_issue_age_customer": F.when(customer, age)}
+    rows = issues.select(*[F.col(c).cast("string").alias(c) for c in counted], F.col("object_uid").alias("o"), *[x.alias(f"t{i}") for i, x in enumerate(means.values())])
+    sets = [["status"], ["priority"], ["severity"], ["problem_uid", "o"], []]
+    got = rows.groupingSets(sets, *counted, "o").agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n"), *[F.avg(f"t{i}").cast("long").alias(f"t{i}") for i in range(len(means))])
+    # bits of g from the left: status, priority, severity, problem_uid, o; 1 where the column is not in the set
+    kind = F.when(F.col("g") == 0b01111, "status_count").when(F.col("g") == 0b10111, "priority_count").when(F.col("g") == 0b11011, "severity_count").when(F.col("g") == 0b11100, "object_count_by_problem")
+    value = F.when(F.col("g") == 0b11100, F.col("o").isNotNull().cast("long")).otherwise(F.col("n"))
+    whole = F.col("g") == 0b11111
+    folded = got.groupBy(kind.alias("kind"), F.when(~whole, F.coalesce(*counted, F.lit("null"))).alias("k")).agg(F.sum(value).alias("v"), *[F.max(F.when(whole, F.col(f"t{i}"))).alias(f"t{i}") for i in range(len(means))])
+    text = lambda name: F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.when(F.col("kind") == name, F.struct("k", "v")))))).alias(name)
+    return folded.agg(*[F.max(f"t{i}").alias(c) for i, c in enumerate(means)], *[text(c) for c in ("status_count", "priority_count", "severity_count", "object_count_by_problem")])
+
+
+def dataset_sequences(sequences: DataFrame) -> DataFrame:
+    """The sequences of the datasets' health: frame count and calibration flags (null counts as none). A row each, as a dataset may have any number of them."""
+    flag = lambda c: F.coalesce(c, F.lit(False))
+    return sequences.select(F.col("dataset_uid").alias("dataset"), "uid", "key", "status", F.greatest(F.coalesce(F.size("frames"), F.lit(0)), F.lit(0)).cast("long").alias("frame_count"), flag("lidar_calibration_enabled").alias("has_lidar_calibration"), flag("camera_calibration_enabled").alias("has_camera_calibration"))
 
 
 def dataset_health(datasets: DataFrame, items: DataFrame, sequences: DataFrame, cfg: Choices = OURS) -> DataFrame:

@@ -124,6 +124,31 @@ def _(s, d):
     return frames.schema_drift(v, frames.feature_schema(v))
 
 
+def vectors(s, d):
+    """Vectors as frames: every 97th is one number short."""
+    v = view(s, d, "v_states").select(F.col("episode_index").alias("sequence_uid"), F.col("vec_id").alias("frame_index"), "state")
+    short = F.slice("state", F.lit(1), F.when(F.col("frame_index") % 97 == 96, F.size("state") - 1).otherwise(F.size("state")))
+    return v.select("sequence_uid", "frame_index", short.alias("state"), F.slice("state", 1, 3).alias("action"))
+
+
+LENGTH = "CAST(len(state) - CASE WHEN vec_id % 97 = 96 THEN 1 ELSE 0 END AS BIGINT)"
+LEAD = f"l AS (SELECT {LENGTH} AS n FROM v_states ORDER BY episode_index, vec_id LIMIT 1)"
+
+
+@query("feature_vectors", f"""
+    WITH {LEAD} SELECT 'observation.state' AS feature, 'float32' AS dtype, n AS dim, list_aggregate(list_transform(range(n), lambda i: concat('state_', CAST(i AS VARCHAR))), 'string_agg', ',') AS names FROM l
+    UNION ALL SELECT 'action', 'float32', CAST(3 AS BIGINT), 'action_0,action_1,action_2'""")
+def _(s, d):
+    return frames.vector_features(vectors(s, d), "state", "action").withColumn("names", F.array_join("names", ","))
+
+
+@query("vector_drift", f"WITH {LEAD} SELECT episode_index AS sequence_uid, vec_id AS frame_index, 'state length' AS kind, n AS expected, {LENGTH} AS actual FROM v_states, l WHERE {LENGTH} <> n")
+def _(s, d):
+    v = vectors(s, d)
+    dim = frames.vector_features(v, "state").first()["dim"]  # one row
+    return frames.vector_drift(v, "state", dim, "sequence_uid", "frame_index")
+
+
 @query("camera_set_diff", f"""
     WITH {FIRST} SELECT sequence_uid, frame_index, CASE WHEN camera = (SELECT min(camera) FROM f) THEN '' ELSE (SELECT min(camera) FROM f) END AS missing, CASE WHEN camera = (SELECT min(camera) FROM f) THEN '' ELSE camera END AS extra
     FROM (SELECT DISTINCT sequence_uid, frame_index, camera FROM v_frames)""")
@@ -312,7 +337,7 @@ def _(s, d):
     SELECT uid, round(max_by(v, (ts, tie)), 6) AS last_value, epoch_us(max(ts)) AS last_evaluated_us, max_by(b, (ts, tie)) AS is_breached, count(*) FILTER (WHERE b) AS breach_count, epoch_us(max(CASE WHEN b THEN ts END)) AS last_breached_us FROM e WHERE b IS NOT NULL GROUP BY uid""")
 def _(s, d):
     t = targets(s, d).select(F.col("uid").alias("t"), "operator", "threshold")
-    e = view(s, d, "v_events").join(F.broadcast(t), F.col("device") % 5 == F.col("t"))  # five targets
+    e = view(s, d, "v_events").join(t, F.col("device") % 5 == F.col("t"))
     evals = e.select(F.col("t").alias("uid"), "ts", F.col("uid").alias("tie"), F.col("value").alias("current_value"), quality.breached(F.col("value") * 100, F.col("operator"), F.col("threshold")).alias("is_breached"))
     got = quality.quality_history(evals)
     return got.select("uid", F.round("last_value", 6).alias("last_value"), F.unix_micros("last_evaluated_at").alias("last_evaluated_us"), "is_breached", "breach_count", F.unix_micros("last_breached_at").alias("last_breached_us"))
@@ -330,6 +355,15 @@ def _(s, d):
     return got.select("uid", "tool_uid", "problem_uid", F.when(F.col("problem_title").isNotNull(), F.col("tool_name")).alias("tool_name"), "problem_title")
 
 
+@query("issue_names", """
+    SELECT uid, tool_uid, problem_uid, r_name AS tool_name, CASE WHEN problem_uid <= 5 THEN concat('problem ', CAST(problem_uid AS VARCHAR)) END AS problem_title, n_name AS project_name
+    FROM v_issues LEFT JOIN region ON tool_uid = r_regionkey LEFT JOIN nation ON uid % 30 = n_nationkey""")
+def _(s, d):
+    projects = table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("uid"), F.col("n_name").alias("name"))
+    got = quality.issue_enrich(view(s, d, "v_issues").withColumn("project_uid", F.col("uid") % 30), tools(s, d), projects)
+    return got.select("uid", "tool_uid", "problem_uid", "tool_name", "problem_title", "project_name")
+
+
 def _counts(column, value="count(*)"):
     return f"""(SELECT concat('{{', string_agg(concat('"', k, '":', CAST(v AS VARCHAR)), ',' ORDER BY k), '}}') FROM (SELECT CAST({column} AS VARCHAR) AS k, {value} AS v FROM v_issues GROUP BY 1) q)"""
 
@@ -361,6 +395,13 @@ def _(s, d):
     return quality.dataset_health(datasets, items, seq).drop("last_updated_at")
 
 
+@query("dataset_sequences", """
+    SELECT sequence_uid % 5 AS dataset, sequence_uid AS uid, concat('seq', CAST(sequence_uid AS VARCHAR)) AS key, 'created' AS status, count(*) AS frame_count, sequence_uid % 2 = 0 AS has_lidar_calibration, false AS has_camera_calibration
+    FROM v_frames GROUP BY sequence_uid""")
+def _(s, d):
+    return quality.dataset_sequences(sequences(s, d))
+
+
 @query("autolabel_progress", """
     SELECT job, count(*) AS total_items, count(*) FILTER (WHERE quality IS NOT NULL) AS processed_items, count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS successful_items, count(*) FILTER (WHERE quality = 0) AS failed_items, count(*) FILTER (WHERE quality = 1 AND toxic <> 0) AS skipped_items,
       100.0 * count(*) FILTER (WHERE quality IS NOT NULL) / count(*) AS progress_pct FROM (SELECT dataset AS job, quality, toxic FROM v_items) GROUP BY job""")
@@ -419,6 +460,13 @@ def _(s, d):
     return col.status_overview(orgs, dev, {"recordings": rec}, rec, dev)
 
 
+@query("status_lists", """
+    SELECT 'recordings' AS section, row_number() OVER (ORDER BY started_at DESC, uid DESC) AS place, CAST(uid AS VARCHAR) AS uid FROM (SELECT * FROM v_recordings ORDER BY started_at DESC, uid DESC LIMIT 5) a
+    UNION ALL SELECT 'events', row_number() OVER (ORDER BY ts DESC, uid DESC), CAST(uid AS VARCHAR) FROM (SELECT * FROM v_events ORDER BY ts DESC, uid DESC LIMIT 5) b""")
+def _(s, d):
+    return col.status_lists({"recordings": (view(s, d, "v_recordings"), "started_at"), "events": (view(s, d, "v_events"), "ts")})
+
+
 @query("org_rollup", """
     WITH m AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1), t AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1), p AS (SELECT c_nationkey AS k, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1)
     SELECT n_nationkey AS organization, n_name AS name, coalesce(m.n, 0) AS member_count, coalesce(t.n, 0) AS team_count, coalesce(p.n, 0) AS project_count FROM nation LEFT JOIN m ON m.k = n_nationkey LEFT JOIN t ON t.k = n_nationkey LEFT JOIN p ON p.k = n_nationkey""")
@@ -503,6 +551,13 @@ def _(s, d):
     return files.inventory_summary(view(s, d, "v_items").select("key", F.col("n_chars").alias("size_bytes")), "key")
 
 
+@query("first_files", f"""
+    SELECT key, coalesce({MEDIA}, 'unknown') AS media_type, CASE WHEN n_chars < 1024 THEN printf('%.1f B', n_chars / 1.0) WHEN n_chars < 1048576 THEN printf('%.1f KB', n_chars / 1024.0) ELSE printf('%.1f MB', n_chars / 1048576.0) END AS size
+    FROM v_items ORDER BY key LIMIT 20""")
+def _(s, d):
+    return files.first_files(view(s, d, "v_items").select("key", F.col("n_chars").alias("size_bytes")), path="key")
+
+
 @query("file_inventory")
 def _(s, d):
     return files.file_inventory(s, d)
@@ -593,6 +648,23 @@ def _(s, d):
     return fleet.alerts_of(matches(s, d)).drop("triggered_at")
 
 
+@query("alert_enrich", f"""
+    WITH {MATCH} SELECT m.rule, m.uid AS event, m.device, concat('rule ', CAST(m.rule AS VARCHAR), ': event ', CAST(m.uid AS VARCHAR), ' of device ', CAST(m.device AS VARCHAR)) AS message,
+      CASE m.rule WHEN 1 THEN 'high' END AS rule_name, r.status AS recording_status, d.name AS device_name, dt AS device_type
+    FROM m LEFT JOIN v_recordings r ON m.uid = r.uid LEFT JOIN v_devices d ON m.device = d.uid WHERE m.rule IN (1, 2)""")
+def _(s, d):
+    rules = table(s, d, "region").filter("r_regionkey = 1").select(F.col("r_regionkey").alias("uid"), F.lit("high").alias("name"))  # rule 2 has no name
+    got = fleet.alert_enrich(fleet.alerts_of(matches(s, d), "uid"), rules, view(s, d, "v_recordings"), view(s, d, "v_devices"))
+    return got.select("rule", "event", "device", "message", "rule_name", "recording_status", "device_name", "device_type")
+
+
+@query("alert_resolution", """
+    WITH l AS (SELECT uid % 1000 AS alert, min(CASE WHEN type = 'error' THEN (epoch_us(ts), uid) END) AS r FROM v_events GROUP BY 1)
+    SELECT alert, CASE WHEN e.uid IS NOT NULL THEN concat('n', CAST(e.uid AS VARCHAR)) END AS resolution_note FROM l LEFT JOIN v_events e ON e.uid % 1000 = alert AND type = 'error' AND (epoch_us(ts), e.uid) = r""")
+def _(s, d):
+    return fleet.alert_lifecycle(actions(s, d).withColumn("note", F.concat(F.lit("n"), "tie"))).select("alert", "resolution_note")
+
+
 @query("rule_hits", f"WITH {MATCH} SELECT rule, count(*) AS hit_count, epoch_us(max(ts)) AS last_hit_us FROM m GROUP BY rule")
 def _(s, d):
     return fleet.rule_hits(matches(s, d)).select("rule", "hit_count", F.unix_micros("last_hit_at").alias("last_hit_us"))

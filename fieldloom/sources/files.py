@@ -55,6 +55,11 @@ def inventory_summary(files: DataFrame, path: str = "relative_path") -> DataFram
     return got.union(total).withColumn("size", readable(F.col("n_bytes").cast("double")))
 
 
+def first_files(files: DataFrame, n: int = 20, path: str = "relative_path") -> DataFrame:
+    """The first n files by path, which an inventory's summary shows: path, media type, readable size."""
+    return files.orderBy(path).limit(n).select(path, F.coalesce(media_type(F.col(path)), F.lit("unknown")).alias("media_type"), readable(F.col("size_bytes").cast("double")).alias("size"))
+
+
 def clean_csv(value: Column) -> Column:
     """Comma-separated values without padding and empty entries."""
     return F.array_join(F.filter(F.transform(F.split(value, ","), lambda x: F.trim(x)), lambda x: x != ""), ",")

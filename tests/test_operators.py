@@ -373,3 +373,47 @@ def test_missing_refs_without_edits_of_a_kind(spark):
     e = spark.createDataFrame([("1", None), ("2", None), ("2", None), ("", None)], "dataset_item_uid string, sequence_uid string")
     known = spark.createDataFrame([(2,)], "uid long")
     assert sorted(map(tuple, edits.missing_refs(e, known, known).collect())) == [("item", 1, 2, "1"), ("sequence", 0, 0, "")]
+
+
+def test_numeric_features(spark):
+    rows = spark.createDataFrame([(2, 0, [1.0], [1.0]), (1, 1, [9.0], [1.0]), (1, 0, [1.0, 2.0, 3.0], [0.1, 0.2]), (1, 2, None, [0.1])], "sequence_uid long, frame_index long, s array<double>, a array<double>")
+    got = {r.feature: (r.dim, r.names) for r in frames.vector_features(rows, state="s", action="a").collect()}
+    assert got == {"observation.state": (3, ["state_0", "state_1", "state_2"]), "action": (2, ["action_0", "action_1"])}
+    pose = frames.vector_features(rows.withColumn("p", F.array(*[F.lit(float(k)) for k in range(7)])), pose="p").first()
+    assert (pose.feature, pose.dim, pose.names) == ("observation.state", 7, frames.POSE)
+    with pytest.raises(ValueError, match="not both"):
+        frames.vector_features(rows, state="s", pose="a")
+    with pytest.raises(Exception, match="no vector"):
+        frames.vector_features(rows.filter("s is null"), state="s").collect()
+    assert frames.vector_features(rows.limit(0), state="s").collect() == []
+    drift = frames.vector_drift(rows, "s", 3, "sequence_uid", "frame_index").collect()
+    assert sorted((r.sequence_uid, r.frame_index, r.actual) for r in drift) == [(1, 1, 1), (1, 2, 0), (2, 0, 1)]
+
+
+def test_chosen_cameras_exist(spark):
+    features = spark.createDataFrame([("cam0", 6, 8), ("cam1", 6, 8)], "camera string, height long, width long")
+    assert [r.camera for r in frames.choose_cameras(features, ["cam1"]).collect()] == ["cam1"]
+    with pytest.raises(ValueError, match="cam7"):
+        frames.choose_cameras(features, ["cam0", "cam7"])
+
+
+def test_issue_metrics_of_nulls_and_nothing(spark):
+    schema = "status string, priority string, severity string, problem_uid long, object_uid long, reporter_type string, created_at timestamp, closed_at timestamp"
+    at = F.lit("2000-01-01 00:00:10").cast("timestamp")
+    t = lambda k: dt.datetime(2000, 1, 1, 0, 0, k)
+    rows = [("open", None, "minor", 1, 5, "customer", t(0), None), ("open", "p", "minor", 1, 5, "staff", t(4), None), ("closed", "p", "minor", 2, None, "staff", t(1), t(3))]
+    got = quality.issue_metrics(spark.createDataFrame(rows, schema), at).first()
+    assert (got.status_count, got.priority_count, got.object_count_by_problem) == ('{"closed":1,"open":2}', '{"null":1,"p":2}', '{"1":1,"2":0}')
+    assert (got.mean_seconds_close_time_all, got.mean_seconds_close_time_customer, got.mean_unresolved_issue_age_all, got.mean_unresolved_issue_age_customer) == (2, None, 8, 10)
+    none = quality.issue_metrics(spark.createDataFrame([], schema), at).first()
+    assert none.status_count == "{}" and none.mean_seconds_close_time_all is None
+
+
+def test_streamed_ingest_equals_batch(spark, sf_dir, tmp_path):
+    src = str(tmp_path / "in")
+    rows = registry.event_json(spark, sf_dir)
+    rows.repartition(3).write.parquet(src)
+    for k, (stream, batch) in enumerate(zip(jobs.event_ingest(jobs.read_files(spark, src, rows.schema, 1)), tables.typed_read(rows, "event"), strict=True)):
+        run = stream.writeStream.format("memory").queryName(f"ingest{k}").option("checkpointLocation", str(tmp_path / f"c{k}")).trigger(availableNow=True).start()
+        run.awaitTermination()
+        assert spark.table(f"ingest{k}").count() == batch.count() > 0
