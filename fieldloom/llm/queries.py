@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, exact_dedup, filter_audit, jaccard_join, langid, licences, packing, pii, source_divergence, substring_dedup, token_store, warc_audit
+from . import decontamination, exact_dedup, filter_audit, jaccard_join, langid, licences, packing, pii, source_divergence, substring_dedup, token_store, toxicity, warc_audit
 
 QUERIES = {
     "op1_jaccard_join": jaccard_join.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_language_id": langid.query,
     "op9_pii": pii.query,
     "op10_decontamination": decontamination.query,
+    "op11_toxicity": toxicity.query,
     "op12_source_divergence": source_divergence.query,
     "op13_filter_audit": filter_audit.query,
 }
