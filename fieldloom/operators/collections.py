@@ -47,34 +47,50 @@ def entity_get(df: DataFrame, strict: bool = False, **key) -> DataFrame:
     return got
 
 
-def encode_cursor(key: list) -> str:
+def encode_cursor(key: list | dict) -> str:
     return base64.urlsafe_b64encode(json.dumps(key, default=str).encode()).decode()
 
 
-def decode_cursor(cursor: str) -> list:
+def decode_cursor(cursor: str) -> list | dict:
     return json.loads(base64.urlsafe_b64decode(cursor))
 
 
+def _beyond(order_by: list[str], key: list, forward: bool) -> Column:
+    """Whether a row's key lies after (or before) a key, compared column by column."""
+    far, same = F.lit(False), F.lit(True)
+    for c, v in zip(order_by, key, strict=True):
+        step = F.col(c) > F.lit(v) if forward else F.col(c) < F.lit(v)
+        far = far | (same & step)
+        same = same & (F.col(c) == F.lit(v))
+    return far
+
+
 def keyset_page(df: DataFrame, order_by: list[str], limit: int, cursor: str | None = None) -> DataFrame:
-    """The page after a cursor: at most `limit` rows in order, each with has_more and next_cursor of the page (null at the end), and previous_cursor, the
-    cursor it was asked with. The keys must be unique and not null."""
+    """A page of at most `limit` rows in order, each with has_more, next_cursor and previous_cursor of the page (null where nothing lies that way). A cursor is
+    the key of a page's edge: `[key]` asks for what follows it, `{"before": [key]}` for what comes right before it, read as a key range in reverse order and turned
+    round; so walking back gives the pages that walking forward gave. Each page reads limit + 1 rows and, the other way, one. The keys must be unique and
+    not null. An empty page has no cursors."""
     if limit <= 0:
         raise ValueError("limit must be positive")
-    if cursor:
-        key = decode_cursor(cursor)
-        after, same = F.lit(False), F.lit(True)
-        for c, v in zip(order_by, key, strict=True):
-            after = after | (same & (F.col(c) > F.lit(v)))
-            same = same & (F.col(c) == F.lit(v))
-        df = df.filter(after)
-    rows = df.orderBy(*order_by).limit(limit + 1)
-    page = rows.agg(F.array_sort(F.collect_list(F.struct(*order_by, F.struct(*df.columns).alias("_r")))).alias("rs"))
-    last = F.get("rs", F.lit(limit - 1))
+    key = decode_cursor(cursor) if cursor else None
+    forward = not isinstance(key, dict)
+    key = key if forward else key["before"]
+    hit = F.lit(True) if key is None else _beyond(order_by, key, forward)
+    rows = df.filter(hit).orderBy(*[F.asc(c) if forward else F.desc(c) for c in order_by]).limit(limit + 1)
+    held = F.array_sort(F.collect_list(F.struct(*order_by, F.struct(*df.columns).alias("_r"))))
+    page = rows.agg(held.alias("all"))
+    more = F.size("all") > limit
+    page = page.select(more.alias("more"), F.slice("all", F.when(more & F.lit(not forward), 2).otherwise(1), limit).alias("rs"))
+    other = df.filter(~hit).limit(1).agg((F.count("*") > 0).alias("other"))  # a row on the far side of the cursor
+    page = page.crossJoin(other)  # one row each
     bare = lambda x: F.substr(x, F.lit(2), F.length(x) - 2)  # noqa: E731  a JSON array without its brackets
-    text = F.concat(F.lit("["), F.concat_ws(",", *[bare(F.to_json(F.array(last[c]))) for c in order_by]), F.lit("]"))
-    more = F.size("rs") > limit
-    out = page.select(F.explode(F.slice("rs", 1, limit)).alias("x"), more.alias("has_more"), F.when(more, F.translate(F.base64(F.encode(text, "utf-8")), "+/", "-_")).alias("next_cursor"))
-    return out.select("x._r.*", "has_more", "next_cursor", F.lit(cursor).cast("string").alias("previous_cursor"))
+    text = lambda r: F.concat(F.lit("["), F.concat_ws(",", *[bare(F.to_json(F.array(r[c]))) for c in order_by]), F.lit("]"))
+    safe = lambda x: F.translate(F.base64(F.encode(x, "utf-8")), "+/", "-_")
+    after, before = ("more", "other") if forward else ("other", "more")
+    following = F.when(F.col(after), safe(text(F.element_at("rs", -1))))
+    preceding = F.when(F.col(before), safe(F.concat(F.lit('{"before":'), text(F.element_at("rs", 1)), F.lit("}"))))
+    page = page.filter(F.size("rs") > 0).select("rs", F.col(after).alias("has_more"), following.alias("next_cursor"), preceding.alias("previous_cursor"))
+    return page.select(F.explode("rs").alias("x"), "has_more", "next_cursor", "previous_cursor").select("x._r.*", "has_more", "next_cursor", "previous_cursor")
 
 
 def latest_n(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources import scratch
@@ -77,6 +78,56 @@ def edit_merge(annotations: DataFrame, edits: DataFrame, keys: list[str], order_
     return got.select(*[F.when(edited, F.col(f"e_{k}")).otherwise(F.col(k)).alias(k) for k in keys], *[F.when(edited, F.col(f"e_{v}")).otherwise(F.col(v)).alias(v) for v in values])
 
 
+# ---------------------------------------------------------------- a store of annotations
+
+
+def _bucket(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def create_store(annotations: DataFrame, store: str, keys: list[str], buckets: int = 1024) -> None:
+    """Annotations as a table in key buckets, which merge_store changes bucket by bucket. A bucket has a marker row (`_live` false), so that one whose
+    annotations are all deleted is written too."""
+    rows = annotations.withColumns({"_live": F.lit(True), "_bucket": _bucket(keys, buckets)})
+    rows.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{store}/rows")
+    annotations.sparkSession.createDataFrame([(buckets, list(keys))], "buckets int, keys array<string>").coalesce(1).write.parquet(f"{store}/about")
+
+
+def read_store(spark: SparkSession, store: str) -> DataFrame:
+    return spark.read.parquet(f"{store}/rows").filter("_live").drop("_live", "_bucket")
+
+
+def merge_store(spark: SparkSession, store: str, edits: DataFrame, batch: str, order_by: list[Column], values: list[str]) -> int:
+    """Apply a batch of edits to a store: edits are dealt to the buckets of their keys and only these are read and written again; the other
+    files stay. Returns the number of buckets written. A batch has a name: once its marker is there, it is done and another call does nothing. A call that died before can be
+    repeated: the new buckets are staged first, each bucket is replaced whole, and an edit applied twice changes nothing."""
+    if _exists(spark, f"{store}/commits/{batch}/_SUCCESS"):
+        return 0
+    about = spark.read.parquet(f"{store}/about").first()
+    keys, n = list(about["keys"]), about["buckets"]
+    dealt = scratch.stored(edits.withColumn("_bucket", _bucket(keys, n)))
+    touched = [r[0] for r in dealt.select("_bucket").distinct().collect()]  # at most the store's buckets
+    if touched:
+        old = spark.read.parquet(f"{store}/rows")
+        columns = [c for c in old.columns if c not in ("_live", "_bucket")]
+        own = old.filter(F.col("_bucket").isin(touched) & F.col("_live")).select(*columns)
+        merged = edit_merge(own, dealt.drop("_bucket"), keys, order_by, values).select(*columns).withColumns({"_live": F.lit(True), "_bucket": _bucket(keys, n)})
+        marks = spark.createDataFrame([(b,) for b in touched], "_bucket int").select(*[F.lit(None).cast(old.schema[c].dataType).alias(c) for c in columns], F.lit(False).alias("_live"), "_bucket")
+        staged = scratch.stored(merged.select(*columns, "_live", "_bucket").union(marks))
+        staged.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(f"{store}/rows")
+    spark.createDataFrame([(len(touched),)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{store}/commits/{batch}")
+    return len(touched)
+
+
+# ---------------------------------------------------------------- order and chunks
+
+
 def global_index(df: DataFrame, order_by: list[str], name: str = "index") -> DataFrame:
     """A dense index from 0 in a given order, without a single-task window: range partitions, their counts, and offsets (a row for each partition
     comes to the driver)."""
@@ -105,6 +156,34 @@ def edit_chunks(edits: DataFrame, order_by: list[str], chunk_size: int = 500, re
     return got.filter(F.col("chunk_index") > resume_after)
 
 
+def deliver(edits: DataFrame, order_by: list[str], out: str, send, chunk_size: int = 500, wave: int = 1000) -> DataFrame:
+    """Hand the chunks of an edit set to `send(chunk_index, rows)` in tasks, `wave` chunks a job, and log what was handed over. The first call numbers the edits and keeps
+    them in `out`; a later call with the same `out` goes on with the chunks that the log lacks. Chunks go out in order of waves; those of a wave that died are sent again, so a receiver
+    sees an edit at least once (edits may be repeated: the last one of a key wins). `send` gets a list of dicts and returns how many it took. Returns the log: chunk_index, n_edits, taken."""
+    spark = edits.sparkSession
+    if not _exists(spark, f"{out}/edits/_SUCCESS"):
+        numbered = edit_chunks(edits, order_by, chunk_size)
+        numbered.repartitionByRange("chunk_index").sortWithinPartitions("chunk_index", "chunk_row").write.mode("overwrite").parquet(f"{out}/edits")
+    rows, log = spark.read.parquet(f"{out}/edits"), "chunk_index long, n_edits long, taken long"
+
+    def run(table):
+        table = table.sort_by("chunk_row")
+        chunk = table.column("chunk_index")[0].as_py()
+        taken = send(chunk, table.drop_columns(["chunk_index", "chunk_row"]).to_pylist())
+        return pa.table({"chunk_index": [chunk], "n_edits": [table.num_rows], "taken": [taken]})
+
+    most = rows.agg(F.max("chunk_index")).first()[0]
+    for first in range(0, 0 if most is None else most + 1, wave):
+        at = f"{out}/log/wave={first // wave}"
+        if _exists(spark, f"{at}/_SUCCESS"):
+            continue
+        mine = rows.filter(F.col("chunk_index").between(first, first + wave - 1))
+        mine.groupBy("chunk_index").applyInArrow(run, log).write.mode("overwrite").parquet(at)
+    if most is None:
+        return spark.createDataFrame([], log)
+    return spark.read.schema(log).option("recursiveFileLookup", True).parquet(f"{out}/log")
+
+
 def shard_assign(df: DataFrame, world: int, workers: int, order_by: list[str] | None = None, uid: str = "uid") -> DataFrame:
     """shard, rank and worker of each row: global index mod world * workers, or, without an order, a hash of the uid (no shuffle)."""
     n = world * workers

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+
 NS = 1_000_000_000
 
 
@@ -162,22 +164,91 @@ def frame_time_ns(index: Column, fps: float, given: Column | None = None) -> Col
     return seconds.cast("long")
 
 
-def episode_frames(rows: DataFrame, episode: str, order_by: list[str], fps: float, given: str | None = None) -> DataFrame:
-    """Frames numbered within their episode, with times. One shuffle by episode, one window."""
-    w = Window.partitionBy(episode).orderBy(*order_by)
-    got = rows.withColumn("frame_index", (F.row_number().over(w) - 1).cast("long"))
+#: A key with more rows than this is dealt to several tasks, in order.
+HOT_ROWS = 1_000_000
+
+
+def _is_hot(rows: DataFrame, keys: list[str], hot_rows: int) -> bool:
+    """Whether a key has more rows than one task should order; one count by key."""
+    most = rows.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return (most or 0) > hot_rows
+
+
+def segments(rows: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """The rows in ranges of (keys, order), one a task, stored with the number of their range in `_p`: a key with many rows lies in several ranges, each a
+    segment of it. The bounds are sampled by Spark, so even one key with all rows is dealt evenly; equal rows stay together."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the bounds are sampled anew in each job, so the dealt rows are kept where every later job finds them
+    return scratch.stored(rows.repartitionByRange(parts, *keys, *order_by).withColumn("_p", F.spark_partition_id()))
+
+
+def _same(keys: list[str], left: DataFrame, right: DataFrame):
+    """left joined with right on keys that may be null, and on the range."""
+    names = {k: f"_r_{k}" for k in keys}
+    right = right.select(*[F.col(k).alias(names.get(k, k)) for k in right.columns if k != "_p"], F.col("_p").alias("_rp"))
+    on = F.col("_p") == F.col("_rp")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(names[k]))
+    return left.join(right, on).drop("_rp", *names.values())
+
+
+def split_index(rows: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
+    """rows with `frame_index` from 0 within their keys, by a segmented prefix scan: rows are numbered within segments, and each segment begins where those before it
+    end. What is carried is a row for each segment (keys plus ranges at most)."""
+    dealt = segments(rows, keys, order_by)
+    upto = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    carry = dealt.groupBy(*keys, "_p").agg(F.count("*").alias("n")).withColumn("_base", F.coalesce(F.sum("n").over(upto), F.lit(0))).drop("n")
+    w = Window.partitionBy("_p", *keys).orderBy(*order_by)
+    got = _same(keys, dealt, carry).withColumn("frame_index", (F.col("_base") + F.row_number().over(w) - 1).cast("long"))
+    return got.select(*rows.columns, "frame_index")
+
+
+def episode_frames(rows: DataFrame, episode: str, order_by: list[str], fps: float, given: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Frames numbered within their episode, with times: one shuffle by episode and one window, or, where an episode has more than hot_rows rows, a segmented
+    prefix scan, so that no task holds a whole one."""
+    if _is_hot(rows, [episode], hot_rows):
+        got = split_index(rows, [episode], order_by)
+    else:
+        w = Window.partitionBy(episode).orderBy(*order_by)
+        got = rows.withColumn("frame_index", (F.row_number().over(w) - 1).cast("long"))
     return got.withColumn("timestamp_ns", frame_time_ns(F.col("frame_index"), fps, F.col(given) if given else None))
 
 
-def episode_runs(rows: DataFrame, stream: list[str], order_by: list[str], episode: str) -> DataFrame:
-    """Contiguous runs of one episode in an ordered stream: run, episode, rows, first and last; `repeated` marks an episode that has another run before. The
-    stream's key keeps the windows apart, so no window spans the table."""
-    w = Window.partitionBy(*stream).orderBy(*order_by)
-    change = F.when(F.lag(episode).over(w).eqNullSafe(F.col(episode)) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    runs = rows.withColumn("new", change).withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"))
+def split_runs(rows: DataFrame, stream: list[str], order_by: list[str], episode: str) -> DataFrame:
+    """rows with their `run` in the stream (from 1), by a segmented prefix scan: changes are counted within segments; what is carried from segment to
+    segment is the changes so far and the last episode, which tells whether the next segment begins a run."""
+    dealt = segments(rows, stream, order_by)
+    key = F.struct(*order_by)
+    w = Window.partitionBy("_p", *stream).orderBy(*order_by)
+    inner = (F.row_number().over(w) > 1) & ~F.lag(episode).over(w).eqNullSafe(F.col(episode))
+    marked = dealt.withColumn("_new", inner.cast("long"))
+    ends = marked.groupBy(*stream, "_p").agg(F.sum("_new").alias("n"), F.min_by(F.struct(F.col(episode).alias("e")), key).alias("first"), F.max_by(F.struct(F.col(episode).alias("e")), key).alias("last"))
+    by = Window.partitionBy(*stream).orderBy("_p")
+    opens = F.coalesce((~F.lag("last").over(by).eqNullSafe(F.col("first"))).cast("long"), F.lit(1))
+    carry = ends.withColumn("_open", F.when(F.row_number().over(by) == 1, 1).otherwise(opens))
+    # the run in which a segment begins: the runs opened before it, and its own where it opens one
+    upto = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = carry.select(*stream, "_p", (F.sum(F.col("n") + F.col("_open")).over(upto) - F.col("n")).alias("_base"))
+    within = F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return _same(stream, marked, carry).withColumn("run", (F.col("_base") + within).cast("long")).select(*rows.columns, "run")
+
+
+def episode_runs(rows: DataFrame, stream: list[str], order_by: list[str], episode: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Contiguous runs of one episode in an ordered stream: run, episode, rows; `repeated` marks an episode that has another run before. The
+    stream's key keeps the windows apart; a stream with more than hot_rows rows is scanned in segments."""
+    if _is_hot(rows, stream, hot_rows):
+        runs = split_runs(rows, stream, order_by, episode)
+    else:
+        w = Window.partitionBy(*stream).orderBy(*order_by)
+        change = F.when(F.lag(episode).over(w).eqNullSafe(F.col(episode)) & (F.row_number().over(w) > 1), 0).otherwise(1)
+        runs = rows.withColumn("new", change).withColumn("run", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("long"))
     got = runs.groupBy(*stream, "run", episode).agg(F.count("*").alias("n_frames"))
-    again = Window.partitionBy(*stream, episode).orderBy("run")
-    return got.withColumn("repeated", F.row_number().over(again) > 1)
+    # folded within tasks first, so that a stream of very many runs isn't in one window
+    first = got.groupBy(*stream, episode).agg(F.min("run").alias("_first")).select(*[F.col(k).alias(f"_r_{k}") for k in (*stream, episode)], "_first")
+    on = F.lit(True)
+    for k in (*stream, episode):
+        on = on & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return got.join(first, on).select(*got.columns, (F.col("run") > F.col("_first")).alias("repeated"))
 
 
 def episode_messages(frames: DataFrame, episode: str, cameras: dict[str, str], numeric: dict[str, str]) -> DataFrame:

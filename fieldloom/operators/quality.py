@@ -1,4 +1,4 @@
-"""Consensus, quality targets, issues, dataset health, jobs. Arithmetic that the service keeps to itself is a choice of ours, stated here and
+"""Quality targets, issues, dataset health, jobs. Arithmetic that the service keeps to itself is a choice of ours, stated here and
 collected in Choices."""
 
 from __future__ import annotations
@@ -8,15 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources import scratch
+from .consensus import annotator_pairs, consensus_scores, consensus_summary, iou  # noqa: F401  also by their earlier place
 
 
 @dataclass(frozen=True)
 class Choices:
-    iou_threshold: float = 0.5
-    min_agreement_ratio: float = 0.5
-    min_annotations: int = 2
-    histogram_buckets: int = 2
     customer: str = "customer"
     created: str = "created"
 
@@ -24,54 +20,6 @@ class Choices:
 OURS = Choices()
 
 
-def iou(a: str, b: str) -> Column:
-    """Intersection over union of two axis-aligned boxes (x0, y0, x1, y1) of struct columns."""
-    c = lambda s, f: F.col(f"{s}.{f}")
-    w = F.greatest(F.least(c(a, "x1"), c(b, "x1")) - F.greatest(c(a, "x0"), c(b, "x0")), F.lit(0.0))
-    h = F.greatest(F.least(c(a, "y1"), c(b, "y1")) - F.greatest(c(a, "y0"), c(b, "y0")), F.lit(0.0))
-    area = lambda s: (c(s, "x1") - c(s, "x0")) * (c(s, "y1") - c(s, "y0"))
-    return F.try_divide(w * h, area(a) + area(b) - w * h)
-
-
-def one_box(boxes: DataFrame) -> DataFrame:
-    """An annotator's boxes of one item and task as their mean box, so that pairs are of annotators."""
-    return boxes.groupBy("item", "task", "annotator").agg(*[F.avg(c).alias(c) for c in ("x0", "y0", "x1", "y1")])
-
-
-def annotator_pairs(boxes: DataFrame, cfg: Choices = OURS) -> DataFrame:
-    """Pairs a < b of annotators of one item and task, with their IoU. Items below min_annotations go before the join. The pairs of an item grow
-    with the square of its annotators, who are few people; Spark splits a hot item's join partition."""
-    one = one_box(boxes)
-    rows = one
-    if cfg.min_annotations > 2:  # a pair has two
-        rows = one.join(one.groupBy("item", "task").agg(F.count("*").alias("n")).filter(F.col("n") >= cfg.min_annotations).select("item", "task"), ["item", "task"], "left_semi")
-    side = lambda s: rows.select("item", "task", F.struct("annotator", "x0", "y0", "x1", "y1").alias(s))
-    both = side("a").join(side("b"), ["item", "task"]).filter("a.annotator < b.annotator")
-    return both.select("item", "task", F.col("a.annotator").alias("annotator_a"), F.col("b.annotator").alias("annotator_b"), iou("a", "b").alias("iou"))
-
-
-def consensus_scores(boxes: DataFrame, cfg: Choices = OURS) -> DataFrame:
-    """By item and task: mean IoU of the pairs, annotators, and whether enough pairs agree."""
-    pairs = annotator_pairs(boxes, cfg)
-    got = pairs.groupBy("item", "task").agg(F.avg("iou").alias("score"), F.count("*").alias("pairs"), F.count_if(F.col("iou") >= cfg.iou_threshold).alias("agree"))
-    people = (F.lit(1) + F.sqrt(F.lit(1) + 8 * F.col("pairs"))) / 2  # n annotators have n (n - 1) / 2 pairs
-    return got.select("item", "task", "score", F.round(people).cast("long").alias("annotator_count"), (F.col("agree") / F.col("pairs") >= cfg.min_agreement_ratio).alias("agreed"))
-
-
-def consensus_summary(scores: DataFrame, cfg: Choices = OURS) -> DataFrame:
-    """One row: mean, median, least, most, items, items with consensus, histogram and means by task as JSON text. The scores are stored once."""
-    scores = scratch.stored(scores)  # three aggregates read it
-    n = cfg.histogram_buckets
-    edge = lambda k: f"{k / n:.1f}"
-    bucket = F.least(F.floor(F.col("score") * n), F.lit(n - 1))
-    label = F.element_at(F.array(*[F.lit(f"{edge(k)}-{edge(k + 1)}") for k in range(n)]), (bucket + 1).cast("int"))
-    total = scores.agg(F.avg("score").alias("mean_score"), F.median("score").alias("median_score"), F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.count("*").alias("total_items"), F.count_if("agreed").alias("items_with_consensus"))
-    as_json = lambda rows, k, v: rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, v))))).alias("j"))
-    hist = as_json(scores.groupBy(label.alias("k")).agg(F.count("*").alias("v")), "k", "v").withColumnRenamed("j", "score_distribution")
-    tasks = as_json(scores.groupBy(F.col("task").alias("k")).agg(F.format_string("%.4f", F.avg("score")).alias("v")), "k", "v").withColumnRenamed("j", "by_task_name")
-    return total.crossJoin(hist).crossJoin(tasks)  # one row each
-
-
 def breached(value: Column, op: Column, threshold: Column) -> Column:
     """Not (value op threshold); null for a null value or an unknown operator."""
     holds = F.when(op == "gt", value > threshold).when(op == "gte", value >= threshold).when(op == "lt", value < threshold).when(op == "lte", value <= threshold)

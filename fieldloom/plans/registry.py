@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import redact, urls
 from ..operators import collections as col
-from ..operators import edits, fleet, frames, quality
+from ..operators import consensus, edits, fleet, frames, quality
 from ..sources import files, tables
 from . import sinks
 from .views import oracle, table, view
@@ -287,28 +287,40 @@ def _(s, d):
 
 # ---------------------------------------------------------------- quality
 
-ONE = "b AS (SELECT item, task, annotator, avg(x0) AS x0, avg(y0) AS y0, avg(x1) AS x1, avg(y1) AS y1 FROM v_boxes GROUP BY item, task, annotator)"
 IW, IH = "greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0)", "greatest(least(a.y1, b.y1) - greatest(a.y0, b.y0), 0)"
-PAIRS = f"p AS (SELECT a.item, a.task, a.annotator AS annotator_a, b.annotator AS annotator_b, {IW} * {IH} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {IW} * {IH}) AS iou FROM b a JOIN b ON a.item = b.item AND a.task = b.task AND a.annotator < b.annotator)"
-SCORES = "s AS (SELECT item, task, avg(iou) AS score, CAST(round((1 + sqrt(1 + 8 * count(*))) / 2) AS BIGINT) AS annotator_count, count(*) FILTER (WHERE iou >= 0.5) / count(*) >= 0.5 AS agreed FROM p GROUP BY item, task)"
+IOU = f"{IW} * {IH} / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - {IW} * {IH})"
+# All ways of matching two annotators' boxes one to one, box by box of the first (`used` has a bit for each box of the second that is taken); the best total counts.
+MATCHED = f"""n AS (SELECT *, row_number() OVER (PARTITION BY item, task, annotator ORDER BY uid) - 1 AS i, count(*) OVER (PARTITION BY item, task, annotator) AS n FROM v_boxes),
+    e AS (SELECT a.item, a.task, a.annotator AS annotator_a, b.annotator AS annotator_b, a.n AS na, b.n AS nb, a.i AS i, b.i AS j, {IOU} AS iou FROM n a JOIN n b ON a.item = b.item AND a.task = b.task AND a.annotator < b.annotator),
+    f AS (SELECT item, task, annotator_a, annotator_b, i, CAST(1 AS BIGINT) << CAST(j AS INT) AS bit, iou FROM e UNION ALL SELECT DISTINCT item, task, annotator_a, annotator_b, i, 0, 0.0 FROM e),
+    r AS (SELECT DISTINCT item, task, annotator_a, annotator_b, na, nb, CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS used, CAST(0 AS DOUBLE) AS total FROM e
+      UNION ALL SELECT r.item, r.task, r.annotator_a, r.annotator_b, na, nb, k + 1, used | bit, total + iou FROM r JOIN f ON r.item = f.item AND r.task = f.task AND r.annotator_a = f.annotator_a AND r.annotator_b = f.annotator_b AND f.i = r.k AND used & bit = 0),
+    p AS (SELECT item, task, annotator_a, annotator_b, na, nb, max(total) AS total, max(total) / greatest(na, nb) AS agreement FROM r GROUP BY item, task, annotator_a, annotator_b, na, nb)"""
+SCORES = """s AS (SELECT item, task, avg(agreement) AS score, CAST(round((1 + sqrt(1 + 8 * count(*))) / 2) AS BIGINT) AS annotator_count, count(*) FILTER (WHERE agreement >= 0.5) / count(*) >= 0.5 AS agreed,
+    concat('{', string_agg(concat('"', annotator_a, '-', annotator_b, '":', CAST(floor(agreement * 10000 + 0.5) AS BIGINT)), ',' ORDER BY annotator_a, annotator_b), '}') AS details FROM p GROUP BY item, task)"""
 
 
-@query("annotator_pairs", f"WITH {ONE}, {PAIRS} SELECT item, task, annotator_a, annotator_b, round(iou, 6) AS iou FROM p")
+@query("annotator_pairs", f"SELECT a.item, a.task, a.annotator AS annotator_a, b.annotator AS annotator_b, a.uid AS box_a, b.uid AS box_b, round({IOU}, 6) AS iou FROM v_boxes a JOIN v_boxes b ON a.item = b.item AND a.task = b.task AND a.annotator < b.annotator")
 def _(s, d):
-    return quality.annotator_pairs(view(s, d, "v_boxes")).withColumn("iou", F.round("iou", 6))
+    return consensus.annotator_pairs(view(s, d, "v_boxes")).withColumn("iou", F.round("iou", 6))
 
 
-@query("consensus_scores", f"WITH {ONE}, {PAIRS}, {SCORES} SELECT item, task, round(score, 6) AS score, annotator_count, agreed FROM s")
+@query("box_matches", f"WITH RECURSIVE {MATCHED} SELECT item, task, annotator_a, annotator_b, na AS boxes_a, nb AS boxes_b, round(total, 6) AS total, round(agreement, 6) AS agreement FROM p")
 def _(s, d):
-    return quality.consensus_scores(view(s, d, "v_boxes")).withColumn("score", F.round("score", 6))
+    return consensus.box_matches(view(s, d, "v_boxes")).drop("matches").withColumns({c: F.round(c, 6) for c in ("total", "agreement")})
+
+
+@query("consensus_scores", f"WITH RECURSIVE {MATCHED}, {SCORES} SELECT item, task, round(score, 6) AS score, annotator_count, agreed, details FROM s")
+def _(s, d):
+    return consensus.consensus_scores(view(s, d, "v_boxes")).withColumn("score", F.round("score", 6))
 
 
 @query("consensus_summary", f"""
-    WITH {ONE}, {PAIRS}, {SCORES} SELECT round(avg(score), 6) AS mean_score, round(median(score), 6) AS median_score, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score, count(*) AS total_items,
+    WITH RECURSIVE {MATCHED}, {SCORES} SELECT round(avg(score), 6) AS mean_score, round(median(score), 6) AS median_score, round(min(score), 6) AS min_score, round(max(score), 6) AS max_score, count(*) AS total_items,
       count(*) FILTER (WHERE agreed) AS items_with_consensus, (SELECT concat('{{', string_agg(concat('"', k, '":', CAST(v AS VARCHAR)), ',' ORDER BY k), '}}') FROM (SELECT CASE WHEN score >= 0.5 THEN '0.5-1.0' ELSE '0.0-0.5' END AS k, count(*) AS v FROM s GROUP BY 1) q) AS score_distribution,
       (SELECT concat('{{', string_agg(concat('"', task, '":"', printf('%.4f', m), '"'), ',' ORDER BY task), '}}') FROM (SELECT task, avg(score) AS m FROM s GROUP BY task) q) AS by_task_name FROM s""")
 def _(s, d):
-    got = quality.consensus_summary(quality.consensus_scores(view(s, d, "v_boxes")))
+    got = consensus.consensus_summary(consensus.consensus_scores(view(s, d, "v_boxes")))
     return got.withColumns({c: F.round(c, 6) for c in ("mean_score", "median_score", "min_score", "max_score")})
 
 
@@ -435,9 +447,25 @@ def _(s, d):
     return col.entity_get(view(s, d, "v_devices"), uid=42).select("uid", "name", "type", "status")
 
 
-@query("keyset_page", "SELECT uid, type, true AS has_more, replace(replace(to_base64(CAST(concat('[', CAST((SELECT max(uid) FROM (SELECT uid FROM v_events WHERE uid > 99 ORDER BY uid LIMIT 100) m) AS VARCHAR), ']') AS BLOB)), '+', '-'), '/', '_') AS next_cursor FROM v_events WHERE uid > 99 ORDER BY uid LIMIT 100")
+def _cursor(sql: str, shape: str = "[{}]") -> str:
+    """SQL of a cursor at the key that a query gives."""
+    left, right = shape.split("{}")
+    return f"replace(replace(to_base64(CAST(concat('{left}', CAST(({sql}) AS VARCHAR), '{right}') AS BLOB)), '+', '-'), '/', '_')"
+
+
+BEFORE = '{"before":[{}]}'
+PAGE = "SELECT uid FROM v_events WHERE uid > 99 ORDER BY uid LIMIT 100"
+BACK = "SELECT uid FROM v_events WHERE uid < 300 ORDER BY uid DESC LIMIT 100"
+
+
+@query("keyset_page", f"SELECT uid, type, true AS has_more, {_cursor(f'SELECT max(uid) FROM ({PAGE}) m')} AS next_cursor, {_cursor(f'SELECT min(uid) FROM ({PAGE}) m', BEFORE)} AS previous_cursor FROM v_events WHERE uid IN ({PAGE})")
+def _(s, d):
+    return col.keyset_page(view(s, d, "v_events").select("uid", "type"), ["uid"], 100, col.encode_cursor([99]))
+
+
+@query("keyset_back", f"SELECT uid, type, true AS has_more, {_cursor(f'SELECT max(uid) FROM ({BACK}) m')} AS next_cursor, {_cursor(f'SELECT min(uid) FROM ({BACK}) m', BEFORE)} AS previous_cursor FROM v_events WHERE uid IN ({BACK})")
 def _(s, d):
-    return col.keyset_page(view(s, d, "v_events").select("uid", "type"), ["uid"], 100, col.encode_cursor([99])).select("uid", "type", "has_more", "next_cursor")
+    return col.keyset_page(view(s, d, "v_events").select("uid", "type"), ["uid"], 100, col.encode_cursor({"before": [300]}))
 
 
 @query("latest_n", "SELECT uid, device, status FROM v_recordings ORDER BY started_at DESC, uid DESC LIMIT 5")

@@ -24,7 +24,7 @@ VIEWS = {
           CASE WHEN o_custkey % 2 = 0 THEN 'customer' ELSE 'staff' END AS reporter_type, o_custkey AS sequence_uid, o_custkey % 7 AS problem_uid, o_orderkey % 5 AS tool_uid, o_orderkey % 997 AS object_uid
         FROM {orders} LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS last_ship FROM {lineitem} GROUP BY l_orderkey) s ON o_orderkey = l_orderkey""",
     "v_boxes": """
-        SELECT l_partkey AS item, l_suppkey AS annotator, l_linestatus AS task, l_quantity AS x0, l_tax * 100 AS y0, l_quantity + 10 + l_discount * 100 AS x1, l_tax * 100 + 20 AS y1
+        SELECT l_orderkey * 10 + l_linenumber AS uid, l_partkey AS item, l_suppkey AS annotator, l_linestatus AS task, l_quantity AS x0, l_tax * 100 AS y0, l_quantity + 10 + l_discount * 100 AS x1, l_tax * 100 + 20 AS y1
         FROM {lineitem}""",
     "v_edits": """
         SELECT CAST(l_partkey AS STRING) AS object_uuid, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS dataset_item_uid,
@@ -78,6 +78,8 @@ def oracle(sql: str) -> str:
     body = sql.strip()
     if not ctes:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {', '.join(ctes)}, {body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {', '.join(ctes)}, {body[5:]}"
     return f"WITH {', '.join(ctes)} {body}"
