@@ -3,8 +3,8 @@
 Texts are lower-cased (A-Z) and their white space is made single spaces. A benchmark item is cut
 into passages: the whole item if it has at most WHOLE bytes, and every window of WINDOW bytes of an item longer than that, so that a part
 of an item is found wherever it starts. A document holds a passage when some region of it is within the passage's edit
-budget (BUDGET of its bytes). Lemma: a region within e edits of n bytes shares at least n - q + 1 - q * e of its
-q-grams, on diagonals that differ by at most e. So shared q-grams are counted by item in overlapping
+budget (BUDGET of its bytes, at every length). Lemma: a region within e edits of n bytes shares at least n - q + 1 - q * e of its
+q-grams, on diagonals that differ by at most e. For that to be one at least, q is Q or, for short items, n / (e + 1); items are indexed by their q. So shared q-grams are counted by item in overlapping
 diagonal bands; in bands that reach the bound, sums slid over the item's positions leave the passages that can hold, and banded
 alignment of these with the region decides.
 
@@ -12,8 +12,8 @@ The benchmark is a stated query set: it is searched in blocks of at most BLOCK_B
 broadcast; between blocks what was found is stored. A benchmark of one block takes one pass over the documents. Within a chunk of documents postings are expanded
 a bounded slice at a time: counts of bands in a hashed table, which can only be too large, come first, and only what passes these is counted exactly.
 
-Defined cases: null text and null items hold nothing; items below q bytes must occur exactly, as whole words; other items below EXACT bytes must occur without edits. Repeated rows each get their own result. An empty
-table gives no rows, an empty benchmark marks nothing. Extra columns may have any name.
+Defined cases: null text and null items hold nothing; items below Q bytes must occur exactly, as whole words. Repeated rows each get their own result; ids of equal items are
+all given, in order. A very long text is searched as a whole, its postings a slice at a time. An empty table gives no rows, an empty benchmark marks nothing. Extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -25,11 +25,10 @@ from pyspark.sql import functions as F
 
 from . import common as C
 
-Q = 8  # bytes in a q-gram: one 64-bit number
+Q = 8  # most bytes in a q-gram: one 64-bit number
 BUDGET = 0.1
 WHOLE = 160
 WINDOW = 128
-EXACT = 40
 BLOCK_BYTES = 16 << 20
 SLICE = 1 << 21  # postings that are expanded at once
 U64 = C.U64
@@ -49,20 +48,32 @@ def normal(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text[keep], off - np.searchsorted(np.flatnonzero(~keep), off)
 
 
-def grams(text: np.ndarray) -> np.ndarray:
-    """The Q bytes from each position on as a number."""
-    n = len(text) - Q + 1
-    return np.ndarray((n,), "<u8", np.ascontiguousarray(text), strides=(1,)) if n > 0 else np.zeros(0, np.uint64)
+def grams(text: np.ndarray, q: int = Q) -> np.ndarray:
+    """The q bytes from each position on as a number."""
+    n = len(text) - q + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    if q == Q:
+        return np.ndarray((n,), "<u8", np.ascontiguousarray(text), strides=(1,))
+    padded = np.concatenate([text, np.zeros(Q - q, np.uint8)])
+    return np.ndarray((n,), "<u8", padded, strides=(1,)) & U64((1 << 8 * q) - 1)
 
 
-def cuts(n: int, budget: float) -> list[tuple[np.ndarray, int, int, int]]:
-    """(starts, length, edits, least shared q-grams) of an item's passages, by length."""
-    out = []
+def gram_size(n: int, budget: float) -> int:
+    """The q of an item of n bytes: with it, any region within the budget shares a q-gram."""
+    return min([Q, *(m // (e + 1) for _, m, e in _cuts(n, budget))])
+
+
+def _cuts(n: int, budget: float):
     for starts, m in ((np.zeros(1, np.int64), n if n <= WHOLE else 0), (np.arange(n - WINDOW + 1), WINDOW if n > WINDOW else 0)):
         if m:
-            e = 0 if m < EXACT else min(int(m * budget), (m - Q) // Q)
-            out.append((starts, m, e, m - Q + 1 - Q * e))
-    return out
+            yield starts, m, min(int(m * budget), m - 1)
+
+
+def cuts(n: int, budget: float) -> list[tuple[np.ndarray, int, int, int]]:
+    """(starts, length, edits, least shared q-grams) of an item's passages, by length."""
+    q = gram_size(n, budget)
+    return [(starts, m, e, m - q + 1 - q * e) for starts, m, e in _cuts(n, budget)]
 
 
 def passages(n: int, budget: float) -> list[tuple[int, int, int, int]]:
@@ -71,59 +82,70 @@ def passages(n: int, budget: float) -> list[tuple[int, int, int, int]]:
 
 
 def index(items: list[tuple[int, str]], budget: float) -> dict:
-    """The sorted q-grams of the items with their postings."""
-    ids, texts, short = [], [], []
+    """Indexes of the items' q-grams, one for each q, and the short items."""
+    by: dict[int, tuple[list, list]] = {}
+    short = []
     for i, t in items:
         raw = np.frombuffer((t or "").encode(), np.uint8)
         text, _ = normal(raw, np.array([0, len(raw)], np.int64))
         text = np.frombuffer(text.tobytes().rstrip(), np.uint8)
         if len(text) >= Q:
+            ids, texts = by.setdefault(gram_size(len(text), budget), ([], []))
             ids.append(i)
             texts.append(text)
         elif len(text):
             short.append((text.tobytes(), i))
-    code = np.concatenate([grams(t) for t in texts]) if texts else np.zeros(0, np.uint64)
-    item = np.concatenate([np.full(len(t) - Q + 1, k) for k, t in enumerate(texts)]) if texts else np.zeros(0, np.int64)
-    pos = np.concatenate([np.arange(len(t) - Q + 1) for t in texts]) if texts else np.zeros(0, np.int64)
+    return {"by": [_index(q, *by[q], budget) for q in sorted(by)], "short": sorted(short, key=lambda x: (x[0], x[1] is None, x[1] or 0))}
+
+
+def _index(q: int, ids: list, texts: list, budget: float) -> dict:
+    """The sorted q-grams of the items with their postings."""
+    code = np.concatenate([grams(t, q) for t in texts])
+    item = np.concatenate([np.full(len(t) - q + 1, k) for k, t in enumerate(texts)])
+    pos = np.concatenate([np.arange(len(t) - q + 1) for t in texts])
     order = np.argsort(code, kind="stable")
     code, item, pos = code[order], item[order], pos[order]
     edges = C.runs(code)
     bits = np.zeros(1 << 22, bool)
     bits[_bucket(code)] = True
     parts = [cuts(len(t), budget) for t in texts]
-    width = 1 + max((e for p in parts for _, _, e, _ in p), default=0)
+    width = 1 + max(e for p in parts for _, _, e, _ in p)
     least = np.array([min(t for _, _, _, t in p) for p in parts], np.int64)
-    return {"ids": ids, "texts": texts, "code": code[edges[:-1]], "edges": edges, "item": item, "pos": pos, "bits": np.packbits(bits), "cuts": parts, "width": width, "least": least, "short": sorted(short, key=lambda x: (x[0], x[1] is None, x[1] or 0))}
+    return {"q": q, "ids": ids, "texts": texts, "code": code[edges[:-1]], "edges": edges, "item": item, "pos": pos, "bits": np.packbits(bits), "cuts": parts, "width": width, "least": least}
 
 
 def _bucket(code: np.ndarray) -> np.ndarray:
     return ((code * U64(0x9E3779B97F4A7C15)) >> U64(42)).astype(np.int64)
 
 
-def tables(ix: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Which places of the hash table of q-grams are taken, and by which code: -1 for several."""
-    place = _bucket(ix["code"])
-    slots = np.zeros(1 << 22, np.int32)
-    slots[place] = np.arange(len(place))
-    slots[place[slots[place] != np.arange(len(place))]] = -1
-    return np.unpackbits(ix["bits"]).astype(bool), slots
+def tables(ix: dict) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each q which places of the hash table of q-grams are taken, and by which code: -1 for several."""
+    bits, slots = [], []
+    for one in ix["by"]:
+        place = _bucket(one["code"])
+        taken = np.zeros(1 << 22, np.int32)
+        taken[place] = np.arange(len(place))
+        taken[place[taken[place] != np.arange(len(place))]] = -1
+        bits.append(np.unpackbits(one["bits"]).astype(bool))
+        slots.append(taken)
+    return bits, slots
 
 
-def likely(have: np.ndarray, starts: np.ndarray, m: int, edits: int, least: int) -> np.ndarray:
-    """The starts whose passage can be within its edits, by which of the item's q-grams are shared. An edit spoils at most Q grams in a row: so enough are
-    shared, and `edits` stretches of Q cover the others."""
-    n, last = len(have), starts + m - Q
+def likely(have: np.ndarray, starts: np.ndarray, m: int, edits: int, least: int, q: int = Q) -> np.ndarray:
+    """The starts whose passage can be within its edits, by which of the item's q-grams are shared. An edit spoils at most q grams in a row: so enough are
+    shared, and `edits` stretches of q cover the others."""
+    n, last = len(have), starts + m - q
     total = np.concatenate([[0], np.cumsum(have)])
     keep = total[last + 1] - total[starts] >= least
     starts, last = starts[keep], last[keep]
     if not len(starts):
         return starts
-    gap = np.full(n + 1, n + Q)  # the next q-gram that is not shared
+    gap = np.full(n + 1, n + q)  # the next q-gram that is not shared
     gap[:n][~have] = np.flatnonzero(~have)
     gap = np.minimum.accumulate(gap[::-1])[::-1]
     at = gap[starts]
     for _ in range(edits):
-        at = gap[np.minimum(at + Q, n)]
+        at = gap[np.minimum(at + q, n)]
     return starts[at > last]
 
 
@@ -181,28 +203,28 @@ def exact(short: list[tuple[bytes, int]], text: np.ndarray, off: np.ndarray) ->
     return found
 
 
-def search(ix: dict, bits: np.ndarray, slots: np.ndarray, raw: np.ndarray, off: np.ndarray) -> dict[int, set[int]]:
+def search(ix: dict, bits: list[np.ndarray], slots: list[np.ndarray], raw: np.ndarray, off: np.ndarray) -> dict[int, set[int]]:
     """Document of the chunk -> the ids of the items that it holds."""
     text, off = normal(raw, off)
     out = exact(ix["short"], text, off)
-    for d, items in _long(ix, bits, slots, text, off).items():
-        out.setdefault(d, set()).update(ix["ids"][i] for i in items)
+    for one, taken, codes in zip(ix["by"], bits, slots, strict=True):
+        for d, items in _long(one, taken, codes, text, off).items():
+            out.setdefault(d, set()).update(one["ids"][i] for i in items)
     return out
 
 
 def _long(ix: dict, bits: np.ndarray, slots: np.ndarray, text: np.ndarray, off: np.ndarray) -> dict[int, set[int]]:
     """Document -> the items (by number) of q bytes or more."""
     found: dict[int, set[int]] = {}
-    if not len(ix["code"]):
-        return found
-    code = grams(text)
+    q = ix["q"]
+    code = grams(text, q)
     place = _bucket(code)
     at = np.flatnonzero(bits[place])
     k = slots[place[at]]
     more = np.flatnonzero(k < 0)  # several codes in one place
     k[more] = np.minimum(np.searchsorted(ix["code"], code[at[more]]), len(ix["code"]) - 1)
     doc = np.searchsorted(off, at, "right") - 1
-    hit = (ix["code"][k] == code[at]) & (at + Q <= off[doc + 1])
+    hit = (ix["code"][k] == code[at]) & (at + q <= off[doc + 1])
     at, k, doc = at[hit], k[hit], doc[hit]
     n = ix["edges"][k + 1] - ix["edges"][k]
     ends = np.cumsum(n)
@@ -249,19 +271,19 @@ def _long(ix: dict, bits: np.ndarray, slots: np.ndarray, text: np.ndarray, off:
         if i in found.get(d, ()):
             continue
         p, diag = pos[mine], at[mine] - pos[mine]
-        have = np.zeros(len(ix["texts"][i]) - Q + 1, bool)
+        have = np.zeros(len(ix["texts"][i]) - q + 1, bool)
         have[p] = True
         for starts, m, edits, least in ix["cuts"][i]:
-            starts = likely(have, starts, m, edits, least)
+            starts = likely(have, starts, m, edits, least, q)
             if not len(starts):
                 continue
             total = np.concatenate([[0], np.cumsum(have)])
-            best = np.argmax(total[starts + m - Q + 1] - total[starts])
+            best = np.argmax(total[starts + m - q + 1] - total[starts])
             a, whole = int(starts[best]), ix["texts"][i]
-            if total[a + m - Q + 1] - total[a] == m - Q + 1 and whole[a : a + m].tobytes() in text[off[d] : off[d + 1]].tobytes():  # no edit at all
+            if total[a + m - q + 1] - total[a] == m - q + 1 and whole[a : a + m].tobytes() in text[off[d] : off[d + 1]].tobytes():  # no edit at all
                 found.setdefault(d, set()).add(i)
                 break
-            here = diag[(p >= starts[0]) & (p <= starts[-1] + m - Q)]
+            here = diag[(p >= starts[0]) & (p <= starts[-1] + m - q)]
             bounds = int(off[d]), int(off[d + 1]), int(here.min()), int(here.max())
             if within(ix["texts"][i], starts[best : best + 1], m, edits, text, *bounds) or (len(starts) > 1 and within(ix["texts"][i], starts, m, edits, text, *bounds)):
                 found.setdefault(d, set()).add(i)

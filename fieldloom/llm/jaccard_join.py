@@ -478,7 +478,9 @@ def _hot(spark: SparkSession, keys: DataFrame):
 
 
 def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: int = GROUP, held: int = HELD, block: int = BLOCK, split: int = SPLIT) -> DataFrame:
-    """doc_id, text -> doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), set_id (smallest doc_id with an equal set)."""
+    """doc_id, text -> doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), set_id (smallest doc_id with an equal set), text_hash
+    (xxhash64 of the text) and stays: true for one text of each component, and for rows that are linked with nothing (no doc_id, no shingle). Ids may repeat with several
+    texts, so a component is told by `stays`, not by its label."""
     spark = docs.sparkSession
     n, parts, base = C.partitions(spark), 4 * C.partitions(spark), C.shared_dir(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
@@ -602,12 +604,14 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
         settle(left, name)
 
     # the smallest doc_id of each component
-    label = labelled(sets.select("fp", "id", F.col("doc_id").alias("set_id")))
-    least = label.groupBy("component").agg(F.min("set_id").alias("component_id"))
-    label = label.join(least, "component").select("fp", "set_id", "component_id")
-    out = profile.filter("hot is null").select("doc_id", "n_shingles", "fp").join(label, "fp", "left")
+    label = labelled(sets.select("fp", "id", F.col("doc_id").alias("set_id"), F.col("th").alias("set_th")))
+    least = label.groupBy("component").agg(F.min(F.struct("set_id", "id")).alias("lead"))
+    label = label.join(least, "component").select("fp", "set_id", "set_th", F.col("lead.set_id").alias("component_id"), (F.col("lead.id") == F.col("id")).alias("leads"))
+    out = profile.filter("hot is null").select("doc_id", "n_shingles", "fp", "th").join(label, "fp", "left")
     own = lambda c: F.when(F.col("doc_id").isNotNull(), F.coalesce(c, "doc_id")).alias(c)
-    return out.select("doc_id", "n_shingles", own("component_id"), own("set_id"))
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    stays = alone | (F.col("leads") & (F.col("doc_id") == F.col("set_id")) & (F.col("th") == F.col("set_th")))
+    return out.select("doc_id", "n_shingles", own("component_id"), own("set_id"), F.col("th").alias("text_hash"), F.coalesce(stays, F.lit(True)).alias("stays"))
 
 
 def _any(df: DataFrame) -> bool:

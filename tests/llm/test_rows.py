@@ -271,6 +271,24 @@ def test_decontamination_short_items_and_common_grams(spark, monkeypatch):
     assert one == want and {docs[d][0]: ",".join(map(str, sorted(x))) for d, x in whole.items()} == {d: x for d, x in want.items() if x}
 
 
+def test_decontamination_of_items_of_every_short_length(spark):
+    """One rule at every length: an edit for each ten bytes. Items of 8 to 60 bytes, each with one edit less than, as many as and one more than it may have."""
+    r = random.Random(77)
+    items, docs = [], []
+    for n in range(8, 61):
+        text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n - 1))
+        text = text[: n // 2] + " " + text[n // 2 :]
+        items.append((n, text))
+        for k in {max(0, n // 10 - 1), n // 10, n // 10 + 1}:
+            w = list(text)
+            for at in r.sample(range(1, n - 1), min(k, n - 2)):
+                w[at] = r.choice(["", "0", w[at] + "0"])
+            docs.append((len(docs), "0123 " * r.randint(0, 3) + "".join(w).upper() + " 456" * r.randint(0, 3)))
+    want = {d: ",".join(str(i) for i, t in items if edits(norm(t), norm(x)) <= len(t) // 10) for d, x in docs}
+    got = {x.doc_id: x.item_ids for x in decontamination.mark(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == want and 60 < sum(bool(x) for x in want.values()) < len(docs)
+
+
 def test_decontamination_blocks_and_empty(spark, empty, sf_dir, monkeypatch):
     docs, bench = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     one = sorted(map(tuple, decontamination.mark(docs, bench).collect()))
