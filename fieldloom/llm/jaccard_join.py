@@ -48,6 +48,9 @@ BLOCK = 1024  # members in a block of a large group
 TOGETHER = 4096  # documents in a bucket of lists
 COARSE, FINE = 1.5, 6  # bits of a sketch for each shingle, in the first round and later
 BUCKET = 512  # pairs that are verified together
+BLOCK_BYTES = 64 << 20  # sketches in a block of a large group
+STEP_BYTES = 64 << 20  # sketches that are compared at once
+PART_SHINGLES = 4_000_000  # shingles of a shuffle partition
 U64 = C.U64
 
 
@@ -316,20 +319,23 @@ def _neighbours(batches):
 PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("s", pa.int64())])
 
 
-def _folded(blobs: list[bytes]) -> dict[int, np.ndarray]:
-    """The sketches as rows of words, folded to each length (in bytes) that one of them has; shorter ones are left out as zeros."""
+def _folded(blobs: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By each length (in bytes) that a sketch has: the rows of words of all sketches that are at least so long, folded to it, and where each sketch's row is (-1 for shorter
+    ones). A sketch takes at most twice its own length in all, so one very long text among many short ones costs what it weighs."""
     size = np.array([len(x) for x in blobs])
     out, below = {}, None
     for n in sorted(set(size.tolist()), reverse=True):
-        m = np.zeros((len(blobs), n // 8), np.uint64)
+        have = np.flatnonzero(size >= n)
+        m = np.zeros((len(have), n // 8), np.uint64)
         if below is not None:
             wide = below
             while wide.shape[1] > n // 8:
                 wide = wide[:, : wide.shape[1] // 2] ^ wide[:, wide.shape[1] // 2 :]
-            m = wide.copy()
-        mine = np.flatnonzero(size == n)
-        m[mine] = np.frombuffer(b"".join(blobs[k] for k in mine), np.uint64).reshape(-1, n // 8)
-        out[n] = below = m
+            m[size[have] > n] = wide
+        m[size[have] == n] = np.frombuffer(b"".join(blobs[k] for k in have[size[have] == n]), np.uint64).reshape(-1, n // 8)
+        place = np.full(len(blobs), -1, np.int64)
+        place[have] = np.arange(len(have))
+        out[n], below = (place, m), m
     return out
 
 
@@ -387,9 +393,11 @@ def _compare(percent, group, nearest):
             least = np.minimum(size[x], size[y])
             for w in np.unique(least):
                 mine = np.flatnonzero(least == w)
-                for k in range(0, len(mine), 20_000):
-                    p, q = x[mine[k : k + 20_000]], y[mine[k : k + 20_000]]
-                    far = np.bitwise_count(words[int(w)][p] ^ words[int(w)][q]).sum(1, dtype=np.int64)
+                place, rows = words[int(w)]
+                step = max(1, min(20_000, STEP_BYTES // int(w)))
+                for k in range(0, len(mine), step):
+                    p, q = x[mine[k : k + step]], y[mine[k : k + step]]
+                    far = np.bitwise_count(rows[place[p]] ^ rows[place[q]]).sum(1, dtype=np.int64)
                     ok = near(n, p, q, far)
                     xs.append(p[ok])
                     ys.append(q[ok])
@@ -450,11 +458,13 @@ def _between(percent, nearest):
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         blk, ids, comp, size = (t.column(k).to_numpy() for k in ("blk", "id", "component", "n"))
         blobs = t.column("sketch").to_pylist()
-        sk = min(_folded(blobs).items())[1]
+        sk = min(_folded(blobs).items())[1][1]  # of the shortest length, that all have
         left, right, out = np.flatnonzero(blk == i), np.flatnonzero(blk == j), [np.zeros((3, 0), np.int64)]
-        for at in range(0, len(left), 32):
-            x = left[at : at + 32]
-            far = np.bitwise_count(sk[x][:, None] ^ sk[right][None]).sum(2, dtype=np.int64)
+        wide = max(1, STEP_BYTES // (8 * sk.shape[1]))  # comparisons at once
+        step = max(1, min(32, wide // max(1, len(right))))
+        for at in range(0, len(left), step):
+            x = left[at : at + step]
+            far = np.concatenate([np.bitwise_count(sk[x][:, None] ^ sk[right[k : k + wide]][None]).sum(2, dtype=np.int64) for k in range(0, max(1, len(right)), wide)], 1)
             n = size[x][:, None] + size[right][None]
             ok = (comp[x][:, None] != comp[right][None]) & (far * (100 + percent) <= (100 - percent) * n)
             ok &= (size[x][:, None] * 100 >= percent * size[right][None]) & (size[right][None] * 100 >= percent * size[x][:, None])
@@ -482,9 +492,12 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
     (xxhash64 of the text) and stays: true for one text of each component, and for rows that are linked with nothing (no doc_id, no shingle). Ids may repeat with several
     texts, so a component is told by `stays`, not by its label."""
     spark = docs.sparkSession
-    n, parts, base = C.partitions(spark), 4 * C.partitions(spark), C.shared_dir(spark)
+    base = C.shared_dir(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     profile = C.stored(rows.mapInArrow(_profile(width, percent, held), "doc_id long, th long, n_shingles long, fp binary, sketch binary, hot binary"), f"{base}/profile")
+    # a partition's keys are held by its task, so there are as many as the shingles need
+    n = max(C.partitions(spark), -(-(profile.agg(F.sum("n_shingles")).first()[0] or 0) // PART_SHINGLES))
+    parts = 4 * n
     common = profile.filter("hot is not null").select("hot").mapInArrow(_unpack_hot, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     hot = _hot(spark, common.filter(F.col("n") > group).withColumn("order", F.col("n")))
 
@@ -579,12 +592,15 @@ def link_components(docs: DataFrame, width: int = 5, percent: int = 75, group: i
         spread = own.join(mixed.select("key"), "key").join(fine, "id")
         kind = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent))).cast("int")
         spread = spread.select("key", "id", "component", "n", "sketch", F.explode(F.array(kind, kind + 1)).alias("kind"))
-        sizes = spread.groupBy("key", "kind").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-        spread = spread.join(sizes.select("key", "kind", F.ceil(F.col("m") / block).cast("int").alias("nb")), ["key", "kind"])
+        sizes = spread.groupBy("key", "kind").agg(F.count("*").alias("m"), F.sum(F.length("sketch")).alias("bytes"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+        nb = F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+        sizes = C.stored(sizes.select("key", "kind", "m", "bytes", nb.alias("nb")), C.shared_dir(spark))
+        total = sizes.agg(F.sum(F.col("m") * F.col("nb")).alias("rows"), F.sum(F.col("bytes") * F.col("nb")).alias("bytes")).first()
+        buckets = max(1, (total.rows or 0) // TOGETHER, (total.bytes or 0) // (2 * BLOCK_BYTES))
+        spread = spread.join(sizes.select("key", "kind", "nb"), ["key", "kind"])
         spread = spread.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
         spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
         spread = spread.select("key", "kind", "id", "component", "n", "sketch", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"))
-        buckets = max(1, spread.count() // TOGETHER)
         return spread.groupBy(F.pmod(F.xxhash64("key", "kind", "i", "j"), F.lit(buckets))).applyInArrow(_between(percent, nearest), "a long, b long, s long")
 
     # three rounds: the nearest, the nearest of another component, all of other components

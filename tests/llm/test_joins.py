@@ -64,6 +64,36 @@ def test_components_many_templates_share_a_passage(spark):
     assert got == want
 
 
+def test_sketches_of_very_long_texts_cost_what_they_weigh():
+    """Two megabyte sketches among two thousand short ones."""
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    blobs = [r.bytes(256) for _ in range(2046)] + [r.bytes(1 << 20) for _ in range(2)] + [r.bytes(1024) for _ in range(20)]
+    got = jaccard_join._folded(blobs)
+    assert sum(m.nbytes for _, m in got.values()) < 3 * sum(map(len, blobs))
+    place, rows = got[256]
+    wide = np.frombuffer(blobs[2047], np.uint64).reshape(-1, 32)
+    assert np.array_equal(rows[place[2047]], np.bitwise_xor.reduce(wide, 0)) and np.array_equal(rows[place[5]], np.frombuffer(blobs[5], np.uint64))
+    assert (got[1 << 20][0] >= 0).sum() == 2 and (got[1024][0] >= 0).sum() == 22
+
+
+def test_components_of_very_long_near_copies(spark):
+    """Two long near copies in one group with many short documents; sketches are cut into steps of few bytes."""
+    long = " ".join(f"w{k * 7919 % 100_003}" for k in range(60_000))
+    rows = [(1, long), (2, long + " and a little more"), *((10 + k, f"w0 w7919 w15838 w23757 w31676 x{k} y{k} z{k} a{k} b{k}") for k in range(300))]
+    got = {r.doc_id: r.component_id for r in jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string"), group=4, block=50).collect()}
+    assert got[1] == got[2] == 1 and all(got[d] == d for d, _ in rows[2:])
+
+
+def test_components_in_small_steps(spark, hard, monkeypatch):
+    want = brute.components(rows(hard))
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 3000)  # read on the driver
+    monkeypatch.setattr(jaccard_join, "PART_SHINGLES", 5000)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.link_components(hard, group=2, block=5).collect()}
+    assert got == want
+
+
 def test_components_on_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.query(spark, sf_dir).collect()}
