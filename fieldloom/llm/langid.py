@@ -3,7 +3,7 @@
 A text's vector is the mean of the embeddings of its byte 3- and 5-grams (A-Z lower-cased, other
 ASCII signs as spaces, edges padded), hashed into BUCKETS rows; a linear softmax on it gives the
 languages. Both are trained by stochastic gradient descent in numpy on the driver, from a
-bounded sample: the SAMPLE labelled training documents with the smallest hashes of their ids, whole texts and short spans of them.
+bounded sample: the labelled training documents with the smallest hashes of their ids, SAMPLE of them and SAMPLE_BYTES of text at most, whole texts and short spans of them.
 A fifth of the sample is held back to calibrate: the temperature of the softmax, and
 the two bounds of rejection (probability; share of 3-grams known from training), which refuse at
 most one in five hundred of these. Tasks get the product of embedding and softmax, so a text
@@ -13,7 +13,7 @@ Training takes rows with text, lang and doc_id, where crc32(doc_id as text) mod
 
 Defined cases: null text, or text without a letter: `und`, score 0, rejected. Without any training
 row every text is `und`. Ties go to the language that sorts first. A null doc_id is not held out and not trained on.
-An empty table gives no rows. Extra columns may have any name.
+Rows that repeat an id are all judged, and one of them may be trained on. A very long text is counted as a whole. An empty table gives no rows. Extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 SAMPLE = 3000
+SAMPLE_BYTES = 64 << 20
 BUCKETS = 1 << 12
 DIM = 16
 GRAMS = (3, 5)  # the first is the one that `known` is about
@@ -161,15 +162,20 @@ def predict(model: dict | None, known: np.ndarray | None, texts: pa.Array):
     return [model["langs"][k] if h else "und" for k, h in zip(best, has, strict=True)], score, rejected
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """Train on the labelled documents with the smallest id hashes; `sample` bounds what comes to the driver."""
+def fit(docs: DataFrame, sample: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> dict | None:
+    """Train on the labelled documents with the smallest id hashes: at most `sample` of them, and no more than `most_bytes` of text (but one text at least). Of rows that repeat an id
+    the one with the smallest (text, lang) is taken."""
     rows = docs.select(F.col("doc_id").cast("string").alias("id"), "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("text is not null and lang is not null and crc32(id) % 4 <> 2").withColumn("h", F.xxhash64("id"))
-    last = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    last = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     if last is None:
         return None
-    got = rows.filter(F.col("h") <= last).select("text", "lang", "h", "id").limit(2 * sample).collect()
-    return train([(r.text, r.lang) for r in sorted(got, key=lambda r: (r.h, r.id, r.lang, r.text))])
+    size = rows.filter(F.col("h") <= last).groupBy("h").agg(F.max(F.octet_length("text")).alias("n")).orderBy("h").limit(sample).collect()
+    fit_in = np.flatnonzero(np.cumsum([r.n for r in size]) <= most_bytes)
+    last = size[int(fit_in[-1]) if len(fit_in) else 0].h
+    one = rows.filter(F.col("h") <= last).groupBy("h", "id").agg(F.min(F.struct("text", "lang")).alias("x"))
+    got = one.select("h", "id", "x.text", "x.lang").collect()  # at most `sample` rows and `most_bytes`
+    return train([(r.text, r.lang) for r in sorted(got, key=lambda r: (r.h, r.id))])
 
 
 def _model(shared):
