@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..sources import scratch
 
 CHUNK_BYTES = 1 << 20
+LINKS = 2_000_000  # links of a task
 U64 = np.uint64
 _rng = np.random.default_rng(20240229)
 BYTE_CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
@@ -224,8 +225,8 @@ def _stars(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
     """(a, b) links of long ids -> (id, component): the smallest id that each linked id reaches.
 
-    First each task replaces its own links by stars about the smallest ids that these reach, so long chains are short before
-    anything is shuffled. Then alternating large-star and small-star rounds; each round is two aggregations and two joins on
+    First each task replaces its own links, about LINKS of them, by stars about the smallest ids that these reach, so long chains are short before
+    anything is shuffled; links that one task holds are done with that. Then alternating large-star and small-star rounds; each round is two aggregations and two joins on
     edges only, its result is a table in the shared folder, and nothing but a count and a checksum
     comes to the driver. Hubs: the minimum is aggregated before the shuffle, and the join that
     gives it back has one row for each id on one side, so Spark can split a hub's partition.
@@ -233,7 +234,11 @@ def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
     spark = links.sparkSession
     base = shared_dir(spark)
     pair = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
-    edges, seen = stored(stored(pair, f"{base}/pairs").mapInArrow(_stars, "u long, v long").distinct(), f"{base}/0"), None
+    pair = stored(pair, f"{base}/pairs")
+    tasks = max(1, -(-pair.count() // LINKS))
+    edges, seen = stored(pair.coalesce(tasks).mapInArrow(_stars, "u long, v long").distinct(), f"{base}/0"), None
+    if tasks == 1:
+        return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
     for k in range(1, most_rounds + 1):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -94,6 +94,18 @@ def test_components_in_small_steps(spark, hard, monkeypatch):
     assert got == want
 
 
+@pytest.mark.parametrize("links", [10**6, 40])
+def test_components_of_chains_and_stars(spark, monkeypatch, links):
+    """Links of one task, and of several, in one long chain, a star and scattered pairs."""
+    from fieldloom.llm import common
+
+    monkeypatch.setattr(common, "LINKS", links)  # read on the driver
+    pairs = [(k, k + 1) for k in range(100, 400)] + [(1000, k) for k in range(1001, 1100)] + [(k, k + 5000) for k in range(2000, 2040)] + [(7, 7)]
+    got = {r.id: r.component for r in common.components(spark.createDataFrame(pairs, "a long, b long").repartition(4)).collect()}
+    want = {k: 100 for k in range(100, 401)} | {k: 1000 for k in range(1000, 1100)} | {k: k for k in range(2000, 2040)} | {k + 5000: k for k in range(2000, 2040)}
+    assert got == want
+
+
 def test_components_on_table(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.query(spark, sf_dir).collect()}
