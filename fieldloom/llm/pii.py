@@ -108,13 +108,14 @@ SPELLED = re.compile(r"[(\[]\s*at\s*[)\]]", re.I)  # an at-sign in words
 SAID = re.compile(r"(?<![A-Za-z])(?:at|dot)(?![A-Za-z])", re.I)  # signs of an address as words
 CUES = frozenset(
     "phone tel telephone call mobile cell fax ring dial email mail contact write reach ssn passport id number no licence license social security at dot com org net edu gov io info co uk "
+    "sms text whatsapp mobil handy telefon telefono movil portable nummer numero hotline voicemail office home work insurance taxpayer passeport ausweis dni nummer order invoice room page total "
     "the a an this that is are was to from me us my your his her or and by with for of in on he she they we you it not if".split()
 )
 
 
 def shape(token: str) -> str:
-    if token[0] in "0123456789":
-        return f"d{min(len(token), 9)}"
+    if token[0] in "0123456789":  # national numbers start with 0 in most countries
+        return f"{'z' if token[0] == '0' and len(token) > 1 else 'd'}{min(len(token), 11)}"
     if token[0].isascii() and token[0].isalpha():
         return ("X" if token[0].isupper() else "x") + ("X" if len(token) > 1 and token.isupper() else "x") * (len(token) > 1)
     return token
@@ -255,7 +256,7 @@ def viterbi(model: dict, items: list[list[list[int]]]) -> list[list[int]]:
 
 def fits(kind: str, text: str) -> bool:
     digits = sum(c.isdigit() for c in text)
-    return {"phone": 7 <= digits <= 15, "id": 7 <= digits <= 12, "email": "dot" in text.lower() or "." in text}[kind]
+    return {"phone": 7 <= digits <= 15, "id": 7 <= digits <= 15, "email": "dot" in text.lower() or "." in text}[kind]
 
 
 def can_hold(text: str) -> bool:
@@ -263,9 +264,14 @@ def can_hold(text: str) -> bool:
     return "." in text or "dot" in text.lower() or any(map(str.isdigit, text))
 
 
+#: Kinds of the slots that hold personal data; a run of ten digits is a phone only where the sentence says so.
+FILLED = {"p": "phone", "s": "phone", "g": "phone", "u": "phone", "h": "phone", "e": "email", "d": "email", "E": "email", "i": "id", "j": "id"}
+UNNAMED = re.compile(r"order|invoice|item|file|^\{h\}")
+
+
 def labelled_table(seed: int = 3) -> list[tuple[str, list[tuple[int, int, str]]]]:
-    """The small labelled table's filled part: sentences with slots, filled from a seeded generator. {p} phone, {s} a short or long one, {g} a long one in one run, {e} e-mail, {d} one in
-    words without digits, {i} identity number; {w} and {W} are words, {n} and the rest numbers that are none."""
+    """The small labelled table's filled part: sentences with slots, filled from a seeded generator. {p} phone, {s} a short or long one, {g} a long one in one run, {u} one in the national form of one of thirteen
+    countries, {h} ten digits in a run, {e} e-mail, {d} one in words without digits, {i} identity number, {j} one with spaces; {w} and {W} are words, {n} and the rest numbers that are none."""
     #: The sentences.
     sentences = [
         "Call {p} today.", "phone: {p}", "Tel. {p}, ask for Ann.", "You can reach me at {p} after noon", "my number is {p}", "Fax {p}", "mobile {p} or {p}", "for help dial {p} now",
@@ -278,12 +284,36 @@ def labelled_table(seed: int = 3) -> list[tuple[str, list[tuple[int, int, str]]]
         "write to {d}", "Please contact {d} for details.", "email: {d}", "my address is {d}, thanks", "{w} or mail {d} and call {p}.", "reach us through {d} today", "{d}", "{d} is my mail", "{d}, {w}", "{W} {w} {d} {w} {w}",
         "pages {a}-{f} of it", "from {y}-{y} in {w}", "lines {a}-{f}", "the {w} {y}-{m}-{m} {w}", "{w} {f}-{f} {w} {w}", "{w} {a}-{f} {w}", "{f} {f} {f} {f} {w}", "{w} {f} {f} units",
         "look at the dot on the {w}", "{w} at a dot of {w} in the {w}", "{W} was at {w}. {W} {w}", "{w} {w} at {w} {w} {w}.", "{w} at {w}.{W} {w}", "the dot {w} at {w} {w}", "{w} at the {w}. {W} {w} at {w}, {w}", "{W} at {w}. {w}", "at {w} the dot and the {w} dot {w}",
+        "ring {u}", "Tel: {u}, {W}", "Mobil {u}", "{W}: {u}", "call {u} after six", "phone {u}", "Fax {u}", "her cell is {u}", "Telefon {u} ({W})", "{u} or {u}", "You can get us at {u}.", "{W} {W}, {u}", "Please text {u} instead.", "Handy: {u}", "numero {u}", "{w} {w} {u} {w}.", "home {u}, work {u}", "office: {u}; mobile: {u}",
+        "sms {h}", "call {h} now", "phone: {h}", "Text me on {h}.", "whatsapp {h}", "my number is {h}", "Tel {h}", "SSN {j}", "ssn: {j}", "social security number {j}", "insurance number {j}, {W}", "her SSN was {j}.", "taxpayer id {j}",
+        "Send a message to {h} to confirm.", "{h} is my cell, {W}", "Text {h} when {w} {w}", "the SSN ({i}) of {W}", "his ssn ({j}) {w}", "ssn {j} {w} {w} {w}", "the insurance number, {j}, {w} {w}", "{W} {W}: {u}, {w}", "{w} {w} ({u})", "({d})", "{W} {W} ({d}) {w} {w}", "({E})", "{w} ({e}) {w}",
+        "{m} {m} {m} {m} {m} and {n}", "draw {m} {m} {m} {m} {m} {m}", "sizes {m} {m} {m}", "{W} {m} {m} {m} {w}", "LOOK AT THE DOT OF {W}", "THE {W} AT {W} WAS {W}", "{W} AT {W}. {W}", "weight {a} {a} {w}", "{a} {a} {a} {w}", "number {a} {w} {f} {w}",
+        "WRITE TO {E}", "Mail {E} please", "{W}, {E}", "{E} for details", "contact {E}.", "my mail is {E}",
+        "on {m} {m} {y} in {w}", "{m} {m} {m} {m} {w}", "row {m} {m} {m} {m} {m}", "order {h} was sent", "invoice {h}", "item {h} {w}", "total {f} {f}", "codes {f} {f} {f}", "{w} 0.{m} and 0.{a}", "{w} {a} {m} {f} {w}", "lot {a} {m} {f} sold", "from {m} to {m} {w}", "the file has {h} bytes", "{h} {w} {w}", "{m}-{m}-{y} {w}", "on page {a} {m} lines", "{W} LOOKED AT {W}", "THE DOT {W} AT {W}",
     ]
     r = np.random.default_rng(seed)
     num = lambda k: "".join(str(int(d)) for d in r.integers(0, 10, k))
     name = lambda: "".join(r.choice(list("abcdefghilmnorstu"), int(r.integers(3, 9))))
     end = lambda: r.choice(["com", "org", "net", "edu", "info", "fr", "se"])
+    one = lambda *digits: str(r.choice(digits))
     make = {
+        "u": lambda: r.choice([
+            f"07{num(3)} {num(6)}", f"020 {num(4)} {num(4)}", f"01{num(2)} {num(3)} {num(4)}",  # United Kingdom
+            f"0{one(1, 2, 3, 4, 5, 6, 9)} {num(2)} {num(2)} {num(2)} {num(2)}", f"0{one(1, 4, 6)}.{num(2)}.{num(2)}.{num(2)}.{num(2)}",  # France
+            f"01{num(2)} {num(7)}", f"0{num(2)}/{num(7)}", f"0{num(2)} {num(8)}", f"01{num(2)}-{num(7)}",  # Germany
+            f"(0{one(2, 3, 7, 8)}) {num(4)} {num(4)}", f"04{num(2)} {num(3)} {num(3)}",  # Australia
+            f"{one(6, 9)}{num(2)} {num(2)} {num(2)} {num(2)}", f"6{num(2)} {num(3)} {num(3)}",  # Spain
+            f"06 {num(4)} {num(4)}", f"02 {num(7)}", f"3{num(2)} {num(7)}",  # Italy
+            f"08-{num(3)} {num(3)} {num(2)}", f"07{one(0, 2, 3, 6)}-{num(3)} {num(2)} {num(2)}",  # Sweden
+            f"03-{num(4)}-{num(4)}", f"090-{num(4)}-{num(4)}",  # Japan
+            f"9{num(4)} {num(5)}", f"0{num(2)}-{num(8)}",  # India
+            f"0{num(2)}-{num(7)}", f"06-{num(8)}",  # Netherlands
+            f"{one(1, 2, 3, 4, 5, 6)}{num(1)} {num(3)} {num(2)} {num(2)}", f"5{num(2)} {num(3)} {num(3)}",  # Poland
+            f"{one(1, 2, 3)}{num(1)} {num(4)} {num(4)}", f"({num(2)}) 9{num(4)}-{num(4)}",  # Brazil
+            f"0{one(2, 3, 9)} {num(3)} {num(2)} {num(2)}", f"04{num(2)} {num(2)} {num(2)} {num(2)}",  # Belgium
+        ]),
+        "h": lambda: one(2, 3, 4, 5, 6, 7, 8, 9) + num(9), "j": lambda: r.choice([f"{num(3)} {num(2)} {num(4)}", f"{num(3)} {num(3)} {num(3)}"]),
+        "E": lambda: r.choice([f"{name()} AT {name()} DOT {end()}", f"{name()}.{name()} AT {name()} DOT {end()}", f"{name()} AT {name()} DOT {end()}".upper(), f"{name()}.{name()} AT {name()} DOT {end()}".upper(), f"{name()}_{name()} AT {name()} DOT {end()}", f"{name()}{num(2)} AT {name()} DOT {end()}"]),
         "p": lambda: r.choice([f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"({num(3)}) {num(3)} {num(4)}", f"{num(3)}.{num(3)}.{num(4)}"]),
         "e": lambda: r.choice([f"{name()} (at) {name()} (dot) com", f"{name()} [at] {name()}.org", f"{name()}{num(2)} at {name()} dot net", f"{name()} (at) {name()}.com"]),
         "s": lambda: r.choice([f"{num(3)}-{num(4)}", f"{num(3)} {num(4)}", f"{num(4)}-{num(4)}", f"{num(4)} {num(4)}", f"00{num(2)} {num(2)} {num(4)} {num(4)}", f"00{num(2)}-{num(3)}-{num(4)}-{num(4)}", f"00{num(2)} {num(3)} {num(3)} {num(3)}"]),
@@ -301,8 +331,8 @@ def labelled_table(seed: int = 3) -> list[tuple[str, list[tuple[int, int, str]]]
             for part in re.split(r"(\{\w\})", sentence):
                 if re.fullmatch(r"\{\w\}", part):
                     got = str(make[part[1]]())
-                    if part[1] in "psgedi":
-                        spans.append((len(text), len(text) + len(got), {"p": "phone", "s": "phone", "g": "phone", "e": "email", "d": "email", "i": "id"}[part[1]]))
+                    if kind := FILLED.get(part[1]) if not (part[1] == "h" and UNNAMED.search(sentence)) else None:
+                        spans.append((len(text), len(text) + len(got), kind))
                     text += got
                 else:
                     text += part

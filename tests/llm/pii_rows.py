@@ -137,3 +137,133 @@ The vote was 219-212.
 Seats 114 and 115 are taken.
 Call for papers: 1 May 2023.
 """.strip().splitlines()
+
+#: Rows in other national forms. They were held out when first measured (email 1.00 and 0.86, phone 0.79 and 0.82, id 0.67 and 1.00); after that forms and
+#: sentences were added to the generator, so they are development rows now.
+OTHER_FORMS = """
+Ring <<phone|07700 900123>> if the gate is shut.
+Tel: <<phone|01 42 68 53 00>>, Paris
+Our Sydney desk, <<phone|(02) 9374 4000>>, opens at nine.
+Mobil <<phone|0171 1234567>>
+Send an SMS to <<phone|4155552671>> to confirm.
+The studio: <<phone|020 7946 0018>>.
+Bitte unter <<phone|030/9018200>> melden.
+Telefon <<phone|089 12345678>>, Herr Braun
+Appelez le <<phone|06 12 34 56 78>> avant midi.
+Le cabinet, <<phone|04.91.13.89.00>>, est ferme.
+Llame al <<phone|912 34 56 78>> por favor.
+Movil <<phone|612 345 678>>
+Sportello: <<phone|06 6982 1234>>
+Ring receptionen, <<phone|08-508 290 00>>.
+Tokyo office <<phone|03-3201-3331>>
+The driver's mobile is <<phone|98765 43210>>.
+Bel <<phone|020-6245678>> voor kaarten.
+His cell is <<phone|0412 345 678>> when he travels.
+Dublin: <<phone|01 677 8899>>
+Zentrale <<phone|044 668 18 00>>, Zürich
+Zadzwoń: <<phone|22 621 02 51>>
+Auckland <<phone|09 355 1234>> or <<phone|021 555 678>>
+Ligue <<phone|11 3091 1234>> hoje.
+Secretariat <<phone|02 524 97 97>>, Bruxelles
+Text <<phone|2125550187>> once you land.
+Call <<phone|0161 496 0345>> for the parts list.
+For bookings, phone <<phone|0131 225 4303>> by Friday.
+SSN <<id|123 45 6789>>
+The applicant's social security number is <<id|509 22 8411>>.
+Her insurance number, <<id|418 660 275>>, was missing.
+Please check SSN <<id|331 08 7754>> again.
+ssn <<id|662 51 9034>> on the second page
+Taxpayer id <<id|204 77 1190>>
+<<email|john.smith AT gmail DOT com>>
+Contact <<email|MARIA AT LAKEHOUSE DOT ORG>> for keys.
+Mail <<email|tom_b AT riverside DOT net>> about it.
+Write to <<email|anna.l AT studio DOT de>>, please.
+Editor: <<email|NEWS AT VALLEYPOST DOT COM>>
+<<email|pete77 AT hillcrest DOT info>> answers fast.
+The draw was 04 11 23 35 42 and 7.
+On 14 07 1989 the square was full.
+Sizes 36 38 40 42 are in stock.
+Order 4155012671 was shipped.
+Item 8812003456 is back.
+Call sign 7 was heard at 0430 hours.
+Bus lines 020 and 021 stop here.
+Grid 0412 to 0688 is closed.
+The meter read 0017 4432 on Monday.
+Coordinates 51 30 26 and 0 7 39.
+He ran 100 m in 10.52 and 200 m in 21.30.
+Codes 3310 and 5580 are older phones.
+THE PARTY AT NOON WAS LOUD
+LOOK AT THE DOT IN THE MIDDLE
+Lottery number 33 won 4500 times less.
+Volume 612 has 345 pages and 78 plates.
+""".strip().splitlines()
+
+#: Held-out rows in national forms, written after the generator's last change and measured once. Finland, Portugal, Ireland, Switzerland, Denmark and South
+#: Africa have no form in training.
+HELD_OUT_FORMS = """
+The night porter picks up <<phone|020 7811 4207>>.
+Leave a word on <<phone|07911 512843>>, will you?
+Phone <<phone|0113 327 8840>> about the piano.
+Le plombier: <<phone|01 53 77 20 46>>.
+Joignez Claire au <<phone|06.78.41.90.33>>, merci
+Atelier <<phone|04 78 62 11 95>>
+Praxis <<phone|0221 4567812>>, Köln
+Handy <<phone|0176-4412093>>
+Die Werkstatt hat <<phone|040/3345671>>.
+Brisbane branch <<phone|(07) 3221 8846>>
+Her Melbourne mobile is <<phone|0433 918 207>>.
+La tienda tiene el <<phone|934 17 82 60>>.
+Taller <<phone|655 902 318>>, preguntar por Luis
+Officina <<phone|02 7654321>>
+Växel <<phone|08-701 44 20>>, öppet till fem
+Osaka <<phone|06-6341-2290>>
+Delhi desk <<phone|011-23456701>>
+Kantoor <<phone|030-2345678>>
+Warszawa <<phone|22 845 31 70>>
+Loja <<phone|21 2533 8807>>, centro
+Gent: <<phone|09 233 48 12>>
+Helsinki <<phone|09 612 3456>>
+Lisboa <<phone|213 456 789>> das nove as cinco
+Galway <<phone|091 563 081>>
+Luzern <<phone|041 227 17 17>>
+Ring <<phone|33 12 45 67>> in Copenhagen.
+Cape Town <<phone|021 424 7715>>
+Send word to <<phone|6175550143>> by six.
+Whatsapp <<phone|3105550172>> for the address.
+Call <<phone|0151 709 3789>> or write.
+Her SSN, <<id|418 22 7705>>, was typed twice.
+SSN <<id|290 61 3318>> belongs to a dead man.
+social security number <<id|512 09 8846>>
+Insurance number <<id|704 118 265>> on the slip
+The SSN (<<id|365-41-9027>>) had been crossed out.
+Passport <<id|318405522>> was valid.
+ssn: <<id|233 90 4471>>
+Taxpayer id <<id|645 30 1298>> was refused.
+id number <<id|590213847>>
+<<email|clara.m AT bluebarn DOT org>> takes orders.
+Say hello to <<email|DESK AT HARBOURVIEW DOT COM>>.
+The choir (<<email|sing at oldchapel dot net>>) needs tenors.
+<<email|rob.t at quarry dot io>>
+Mail <<email|lists [at] finch.org>>, subject help.
+For refunds <<email|money (at) tallpine (dot) com>>
+Ask <<email|greta AT northlight DOT se>> first.
+<<email|office.k at bakers dot co dot uk>>, mornings only
+Bingo called 07 19 33 48 51 tonight.
+They met on 03 09 1977 in Oslo.
+Trains 0614 and 0729 are late.
+Parcel 7730015528 is on its way.
+Invoice 2209114387 was paid in cash.
+Shoes in 38 39 40 and 41 only.
+He scored 101 in 97 balls.
+Locker 020 is next to 021.
+The tin weighs 340 grams, the jar 455.
+Highway 66 runs 2448 miles.
+WE STOOD AT THE GATE
+THE DOT AT THE END IS MISSING
+She waited at the stop. Rain fell.
+Lines 100 to 180 and 210 to 233.
+Between 1914 and 1918 the mill stood still.
+The lens is 50 mm, the other 85 mm.
+A score of 34 28 at the break.
+Chapter 3 has 12 pictures and 4 maps.
+""".strip().splitlines()
