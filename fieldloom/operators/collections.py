@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: The filters of each listing. `~` marks a case-insensitive substring.
@@ -157,6 +157,19 @@ def related_items(items: DataFrame, uid: str = "uid", sequence: str = "related_s
     return items.select(uid, sequence).join(by, sequence, "left").select(uid, sequence, (F.col("n_items") - 1).alias("n_siblings"), "first_uid", "last_uid")
 
 
+def item_siblings(items: DataFrame, sequences: DataFrame, most: int = 20, uid: str = "uid", sequence: str = "related_sequence_uid") -> DataFrame:
+    """Each item with its sequence as a struct (null where there is none of that uid), the number of its siblings, and the `most` smallest sibling uids in order. The list is
+    the only limit: of each sequence most + 1 uids are taken, within tasks first, so a sequence of any size makes no pairs."""
+    w = Window.partitionBy(sequence).orderBy(uid)
+    few = items.filter(F.col(sequence).isNotNull()).select(sequence, uid).withColumn("r", F.row_number().over(w)).filter(F.col("r") <= most + 1)
+    few = few.groupBy(sequence).agg(F.array_sort(F.collect_list(uid)).alias("few"))
+    size = items.groupBy(sequence).agg(F.count("*").alias("n"))
+    seq = sequences.select(F.struct(*sequences.columns).alias("sequence"), F.col("uid").alias(sequence))
+    got = items.select(uid, sequence).join(size, sequence, "left").join(few, sequence, "left").join(seq, sequence, "left")
+    others = F.slice(F.filter("few", lambda x: x != F.col(uid)), 1, most)
+    return got.select(uid, sequence, "sequence", F.coalesce(F.col("n") - 1, F.lit(0)).alias("n_siblings"), F.coalesce(others, F.array().cast(f"array<{dict(items.dtypes)[uid]}>")).alias("siblings"))
+
+
 def annotation_export(items: DataFrame, project: str | None = None, dataset: str | None = None, tasks: DataFrame | None = None) -> DataFrame:
     """Annotated items of one project or one dataset."""
     if (project is None) == (dataset is None):

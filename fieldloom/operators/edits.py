@@ -67,7 +67,8 @@ def latest_edit(edits: DataFrame, keys: list[str], order_by: list[Column]) -> Da
 
 
 def edit_merge(annotations: DataFrame, edits: DataFrame, keys: list[str], order_by: list[Column], values: list[str]) -> DataFrame:
-    """Annotations after the edits: the last edit of a key wins, delete removes. Running it again changes nothing. Null keys meet each other."""
+    """Annotations after the edits: the last edit of a key wins, delete removes. Running it again changes nothing. Null keys meet each other. Any other action than delete
+    puts the row, so edits go through edit_validate first where they may be wrong."""
     last = latest_edit(edits, keys, order_by).select(*[F.col(k).alias(f"e_{k}") for k in keys], F.col("action").alias("e_action"), *[F.col(v).alias(f"e_{v}") for v in values])
     on = None
     for k in keys:

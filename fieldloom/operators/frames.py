@@ -6,6 +6,8 @@ Validation gives violation rows; strict variants raise.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,10 +94,13 @@ def ego_pose(frames: DataFrame, *keys: str, strict: bool = False) -> DataFrame:
 
 
 def feature_schema(frames: DataFrame, sequence: str = "sequence_uid", order_by: str = "sequence_uid") -> DataFrame:
-    """Features by camera of frame 0 of the first sequence that has frames: camera, height, width. `frames` is long: one row per frame and camera."""
+    """Features by camera of frame 0 of the first sequence that has frames: camera, height, width. `frames` is long: one row per frame and camera; two rows of one
+    camera there are an error."""
     first = frames.agg(F.min(F.struct(order_by, "frame_index")).alias("x")).select("x.*").withColumnsRenamed({order_by: "first_sequence", "frame_index": "first_frame"})
     at = (frames[order_by] == first["first_sequence"]) & (frames["frame_index"] == first["first_frame"])
-    return frames.join(F.broadcast(first), at).groupBy("camera").agg(F.min("height").cast("long").alias("height"), F.min("width").cast("long").alias("width"))
+    got = frames.join(F.broadcast(first), at).groupBy("camera").agg(F.min("height").cast("long").alias("height"), F.min("width").cast("long").alias("width"), F.count("*").alias("n"))
+    camera = F.when(F.col("n") > 1, F.raise_error(F.concat(F.lit("camera names collide: "), F.col("camera").cast("string")))).otherwise(F.col("camera"))
+    return got.select(camera.cast(frames.schema["camera"].dataType).alias("camera"), "height", "width")
 
 
 #: Names of an ego pose's numbers.
@@ -262,10 +267,16 @@ def episode_messages(frames: DataFrame, episode: str, cameras: dict[str, str], n
     return got.select(episode, "m.topic", "timestamp_ns", "m.schema_name", "m.frame_id", "m.value")
 
 
-def episode_export(frames: DataFrame, out: str, fps: float, task: str, episode: str = "episode_index", order: str = "frame_index") -> None:
-    """Frame rows of each episode, one folder an episode. One shuffle; a failed task leaves no _SUCCESS."""
+def episode_export(frames: DataFrame, out: str, fps: float, task: str, episode: str = "episode_index", order: str = "frame_index", features: dict | None = None) -> None:
+    """Frame rows of each episode, one folder an episode. One shuffle; a failed task leaves no _SUCCESS. With features (name -> {dtype, ...}) the dataset gets
+    metadata in `_meta`, which episode_scan resolves names, rate and episodes by."""
     rows = frames.withColumn("timestamp", F.col(order) / F.lit(float(fps))).withColumn("task", F.lit(task))
     rows.repartition(episode).sortWithinPartitions(episode, order).write.partitionBy(episode).parquet(out)
+    if features is not None:
+        spark = frames.sparkSession
+        most = spark.read.parquet(out).agg(F.max(episode)).first()[0]
+        text = json.dumps({"features": features, "fps": fps, "total_episodes": 0 if most is None else int(most) + 1})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{out}/_meta")
 
 
 # ---------------------------------------------------------------- sensor messages

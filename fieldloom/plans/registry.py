@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import redact, urls
 from ..operators import collections as col
-from ..operators import consensus, edits, fleet, frames, quality
+from ..operators import consensus, edits, fleet, frames, quality, rules
 from ..sources import files, tables
 from . import sinks
 from .views import oracle, table, view
@@ -187,6 +187,19 @@ def _(s, d):
     return tables.episode_scan(s, out, [0, 2, 3], ["vec_id"]).select(F.col("episode_index").cast("long").alias("episode_index"), "frame_index", "vec_id")
 
 
+FEATURES = {"observation.images.front": {"dtype": "video"}, "observation.images.rear": {"dtype": "image"}, "observation.state": {"dtype": "float32"}, "note": {"dtype": "string"}}
+
+
+@query("episode_features", "SELECT CAST(episode_index AS BIGINT) AS episode_index, frame_index, CAST(trunc(CAST(frame_index AS DOUBLE) / 10.0 * 1e9) AS BIGINT) AS timestamp_ns, concat('r', CAST(vec_id AS VARCHAR)) AS rear, len(state) AS dim FROM (SELECT *, row_number() OVER (PARTITION BY episode_index ORDER BY vec_id) - 1 AS frame_index FROM v_states) WHERE episode_index IN (1, 4)")
+def _(s, d):
+    rows = frames.episode_frames(view(s, d, "v_states"), "episode_index", ["vec_id"], 30)
+    named = {"observation.images.front": F.concat(F.lit("f"), "vec_id"), "observation.images.rear": F.concat(F.lit("r"), "vec_id"), "observation.state": F.col("state"), "note": F.lit("n")}
+    out = sinks.folder(s)
+    frames.episode_export(rows.select("episode_index", "frame_index", *[c.alias(k) for k, c in named.items()]), out, 30, "t", features=FEATURES)
+    got = tables.episode_scan(s, out, [1, 4], camera_keys=["observation.images.rear"], fps=10)
+    return got.select(F.col("episode_index").cast("long").alias("episode_index"), "frame_index", "timestamp_ns", F.col("`observation.images.rear`").alias("rear"), F.size("`observation.state`").cast("long").alias("dim"))
+
+
 # ---------------------------------------------------------------- messages
 
 IMAGE = "msgtype IN ('sensor_msgs/Image', 'sensor_msgs/msg/Image', 'sensor_msgs/CompressedImage', 'sensor_msgs/msg/CompressedImage')"
@@ -197,7 +210,9 @@ IN_WANTED = "topic IN ('/camera/0/image', '/camera/1/image', '/camera/2/image')"
 
 @query("message_scan", "SELECT event_id, topic, msgtype, log_time_ns FROM v_messages")
 def _(s, d):
-    return view(s, d, "v_messages").select("event_id", "topic", "msgtype", "log_time_ns")
+    out = sinks.folder(s)
+    view(s, d, "v_messages").write.parquet(out)
+    return tables.message_scan(s, out).select("event_id", "topic", "msgtype", "log_time_ns")
 
 
 @query("message_shape", """
@@ -262,16 +277,36 @@ def _(s, d):
     return edits.latest_edit(e, ["k2", "k1"], [F.col(c) for c in ("ts", "k3", "k4", "k5")]).select("k2", "k1", "action", "object_name", "k3", "k4")
 
 
-@query("edit_merge", """
+MERGED = """
     WITH a AS (SELECT o_orderkey AS k1, o_custkey % 2000 AS k2, 'old' AS object_name FROM orders),
     e AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k2, k1 ORDER BY ts DESC, k3 DESC, k4 DESC, k5 DESC) AS r FROM v_edits) q WHERE r = 1)
     SELECT coalesce(e.k1, a.k1) AS k1, coalesce(e.k2, a.k2) AS k2, CASE WHEN e.k1 IS NULL THEN a.object_name ELSE e.object_name END AS object_name
-    FROM a FULL OUTER JOIN e ON a.k1 = e.k1 AND a.k2 = e.k2 WHERE e.action IS NULL OR e.action <> 'delete'""")
+    FROM a FULL OUTER JOIN e ON a.k1 = e.k1 AND a.k2 = e.k2 WHERE e.action IS NULL OR e.action <> 'delete'"""
+
+
+@query("edit_merge", MERGED)
 def _(s, d):
     old = table(s, d, "orders").select(F.col("o_orderkey").alias("k1"), (F.col("o_custkey") % 2000).alias("k2"), F.lit("old").alias("object_name"))
     return edits.edit_merge(old, view(s, d, "v_edits"), ["k1", "k2"], [F.col(c) for c in ("ts", "k3", "k4", "k5")], ["object_name"])
 
 
+@query("edit_store", MERGED)
+def _(s, d):
+    """The same merge in a store of key buckets, in two batches."""
+    out, keys = sinks.folder(s), ["k1", "k2"]
+    old = table(s, d, "orders").select(F.col("o_orderkey").alias("k1"), (F.col("o_custkey") % 2000).alias("k2"), F.lit("old").alias("object_name"))
+    edits.create_store(old, out, keys, 16)
+    order, e = [F.col(c) for c in ("ts", "k3", "k4", "k5")], view(s, d, "v_edits").withColumn("half", F.xxhash64("k1", "k2") % 2)
+    edits.merge_store(s, out, e.filter("half = 0"), "1", order, ["object_name"])
+    edits.merge_store(s, out, e.filter("half <> 0"), "2", order, ["object_name"])
+    return edits.read_store(s, out).select("k1", "k2", "object_name")
+
+
+@query("edit_delivery", "SELECT CAST(i // 500 AS BIGINT) AS chunk_index, count(*) AS n_edits, count(*) AS taken FROM (SELECT row_number() OVER (ORDER BY ts, event_id) - 1 AS i FROM events) q GROUP BY 1")
+def _(s, d):
+    return edits.deliver(table(s, d, "events").select("event_id", "ts"), ["ts", "event_id"], sinks.folder(s), lambda chunk, rows: len(rows))
+
+
 @query("edit_chunks", "SELECT event_id, CAST((r - 1) // 500 AS BIGINT) AS chunk_index, CAST((r - 1) % 500 AS BIGINT) AS chunk_row FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) AS r FROM events)")
 def _(s, d):
     return edits.edit_chunks(table(s, d, "events").select("event_id", "ts"), ["ts", "event_id"]).select("event_id", "chunk_index", "chunk_row")
@@ -363,7 +398,7 @@ def tools(s, d):
 @query("issue_enrich", "SELECT uid, tool_uid, problem_uid, CASE WHEN problem_uid <= 5 THEN r_name END AS tool_name, CASE WHEN problem_uid <= 5 THEN concat('problem ', CAST(problem_uid AS VARCHAR)) END AS problem_title FROM v_issues LEFT JOIN region ON tool_uid = r_regionkey")
 def _(s, d):
     got = quality.issue_enrich(view(s, d, "v_issues"), tools(s, d))
-    # The operator names every known tool; the query's SQL, which is held fixed, names it only with a listed problem.
+    # The operator names every known tool; this query's SQL, which is held fixed, names it only with a listed problem: `issue_names` is the query that is right.
     return got.select("uid", "tool_uid", "problem_uid", F.when(F.col("problem_title").isNotNull(), F.col("tool_name")).alias("tool_name"), "problem_title")
 
 
@@ -407,6 +442,17 @@ def _(s, d):
     return quality.dataset_health(datasets, items, seq).drop("last_updated_at")
 
 
+@query("dataset_updates", """
+    WITH q AS (SELECT device, device % 20 AS k, count(*) AS actual, count(*) + CASE WHEN device % 50 = 7 THEN 1 ELSE 0 END AS declared, max(ts) AS t FROM v_events GROUP BY device)
+    SELECT concat('set', CAST(k AS VARCHAR)) AS dataset, CAST(sum(actual) AS BIGINT) AS total_frames, epoch_us(max(t)) AS last_updated_us, count(*) FILTER (WHERE actual <> declared) = 0 AS ingest_ok FROM q GROUP BY k""")
+def _(s, d):
+    q = view(s, d, "v_events").groupBy("device").agg(F.count("*").alias("actual"), F.max("ts").alias("updated_at"))
+    seq = q.select(F.concat(F.lit("set"), F.col("device") % 20).alias("dataset"), "actual", (F.col("actual") + F.when(F.col("device") % 50 == 7, 1).otherwise(0)).alias("declared"), "updated_at")
+    datasets = seq.select("dataset", F.lit("created").alias("status")).distinct()
+    got = quality.dataset_health(datasets, seq.limit(0).select("dataset"), seq)
+    return got.select("dataset", "total_frames", F.unix_micros("last_updated_at").alias("last_updated_us"), "ingest_ok")
+
+
 @query("dataset_sequences", """
     SELECT sequence_uid % 5 AS dataset, sequence_uid AS uid, concat('seq', CAST(sequence_uid AS VARCHAR)) AS key, 'created' AS status, count(*) AS frame_count, sequence_uid % 2 = 0 AS has_lidar_calibration, false AS has_camera_calibration
     FROM v_frames GROUP BY sequence_uid""")
@@ -505,6 +551,14 @@ def _(s, d):
     return col.org_rollup(orgs, member=members, team=table(s, d, "supplier").select(F.col("s_nationkey").alias("organization")), project=projects)
 
 
+@query("org_counts", """
+    SELECT n_nationkey AS organization, n_name AS name, (SELECT count(*) FROM part WHERE p_partkey % 25 = n_nationkey) AS dataset_count, (SELECT count(*) FROM v_states WHERE vec_id % 40 = n_nationkey) AS slice_count FROM nation""")
+def _(s, d):
+    orgs = table(s, d, "nation").select(F.col("n_nationkey").alias("organization"), F.col("n_name").alias("name"))
+    datasets = table(s, d, "part").select((F.col("p_partkey") % 25).alias("organization"))
+    return col.org_rollup(orgs, dataset=datasets, slice=view(s, d, "v_states").select((F.col("vec_id") % 40).alias("organization")))
+
+
 @query("random_selection", "SELECT uid FROM v_items ORDER BY md5(concat(CAST(uid AS VARCHAR), 'seed')), uid LIMIT 50")
 def _(s, d):
     return col.random_selection(view(s, d, "v_items").select("uid"), 50, "seed")
@@ -521,6 +575,16 @@ def _(s, d):
     return col.related_items(view(s, d, "v_items").select("uid", "related_sequence_uid"))
 
 
+@query("item_siblings", """
+    SELECT v.uid, related_sequence_uid, (SELECT count(*) FROM v_items w WHERE w.related_sequence_uid = v.related_sequence_uid) - 1 AS n_siblings,
+      (SELECT string_agg(CAST(uid AS VARCHAR), ',' ORDER BY uid) FROM (SELECT uid FROM v_items w WHERE w.related_sequence_uid = v.related_sequence_uid AND w.uid <> v.uid ORDER BY uid LIMIT 3) q) AS siblings, q.key AS sequence_key
+    FROM v_items v LEFT JOIN (SELECT sequence_uid AS uid, concat('seq', CAST(sequence_uid AS VARCHAR)) AS key FROM v_frames GROUP BY 1) q ON q.uid = v.related_sequence_uid""")
+def _(s, d):
+    got = col.item_siblings(view(s, d, "v_items"), sequences(s, d).select("uid", "key"), 3)
+    joined = F.nullif(F.array_join(F.transform("siblings", lambda x: x.cast("string")), ","), F.lit(""))
+    return got.select("uid", "related_sequence_uid", "n_siblings", joined.alias("siblings"), F.col("sequence.key").alias("sequence_key"))
+
+
 @query("item_samples", "SELECT uid, key, label, text FROM v_items WHERE dataset = 'src1'")
 def _(s, d):
     return tables.item_samples(view(s, d, "v_items"), dataset="src1")
@@ -671,6 +735,19 @@ def _(s, d):
     return matches(s, d).select("rule", "uid", "device", "device_type")
 
 
+@query("rule_table", """
+    WITH r AS (SELECT p_partkey AS uid, p_partkey % 7 <> 3 AS enabled, p_partkey % 5 AS op, CASE WHEN p_partkey % 5 < 2 THEN 490.0 - p_size ELSE p_size / 50.0 END AS v, CASE WHEN p_partkey % 2 = 0 THEN 'BUILDING' END AS scope FROM part),
+    h AS (SELECT r.uid AS rule, e.uid FROM v_events e JOIN v_devices d ON e.device = d.uid JOIN r ON enabled AND (scope IS NULL OR scope = d.type) AND CASE op WHEN 0 THEN value > v WHEN 1 THEN value >= v WHEN 2 THEN value < v WHEN 3 THEN value <= v ELSE value = v END)
+    SELECT rule, count(*) AS hit_count, CAST(sum(uid) AS BIGINT) AS uids FROM h GROUP BY rule""")
+def _(s, d):
+    """As many rules as parts, with thresholds near the ends of the values."""
+    k, op = F.col("p_partkey"), F.array(*[F.lit(o) for o in ("gt", "gte", "lt", "lte", "eq")])
+    value = F.when(k % 5 < 2, F.lit(490.0) - F.col("p_size")).otherwise(F.col("p_size") / 50.0).cast("string")
+    table_of = table(s, d, "part").select(k.alias("uid"), (k % 7 != 3).alias("enabled"), F.lit("value").alias("field"), F.get(op, (k % 5).cast("int")).alias("op"), value.alias("value"), F.when(k % 2 == 0, "BUILDING").alias("device_type"), F.lit(None).cast("string").alias("severity"), F.lit(None).cast("array<string>").alias("actions"))
+    got = rules.rule_match(view(s, d, "v_events"), view(s, d, "v_devices"), table_of)
+    return got.groupBy("rule").agg(F.count("*").alias("hit_count"), F.sum("uid").alias("uids"))
+
+
 @query("rule_alerts", f"WITH {MATCH} SELECT rule, uid AS event, device, CASE rule WHEN 1 THEN 'warning' ELSE 'critical' END AS severity, 'open' AS status FROM m WHERE rule IN (1, 2)")
 def _(s, d):
     return fleet.alerts_of(matches(s, d)).drop("triggered_at")
@@ -721,6 +798,14 @@ def _(s, d):
     return got.select("device", F.unix_micros("last_seen_at").alias("last_seen_us"), "status")
 
 
+@query("device_presence", """
+    WITH m AS (SELECT max(ts) AS now FROM v_events), e AS (SELECT device, max(ts) AS t FROM v_events GROUP BY device)
+    SELECT e.device, epoch_us(t) AS last_seen_us, CASE WHEN floor(epoch(now)) - floor(epoch(t)) <= 172800 THEN 'online' ELSE 'offline' END AS status FROM e JOIN v_devices d ON d.uid = e.device, m""")
+def _(s, d):
+    """The stream form, with timers in event time."""
+    return sinks.present(s, view(s, d, "v_events"), view(s, d, "v_devices"), 172800)
+
+
 def event_json(s, d):
     v = view(s, d, "v_events")
     when = F.when(F.col("uid") % 50 == 7, "soon").when(F.col("uid") % 50 != 9, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
@@ -741,6 +826,12 @@ def _(s, d):
     return ok.agg(F.count("*").alias("created")).crossJoin(bad.agg(F.count("*").alias("rejected")))  # one row each
 
 
+@query("event_stream", "SELECT count(*) FILTER (WHERE uid % 50 NOT IN (3, 7, 9)) AS created, 2 * count(*) FILTER (WHERE uid % 50 IN (3, 7, 9)) AS rejected, count(*) FILTER (WHERE uid % 50 NOT IN (3, 7, 9)) AS events, count(*) FILTER (WHERE uid % 50 IN (3, 7, 9)) AS bad_rows FROM v_events")
+def _(s, d):
+    """The stream form, with every row twice."""
+    return sinks.ingested(s, event_json(s, d))
+
+
 @query("ingest_resume")
 def _(s, d):
     return sinks.resumed(s, table(s, d, "events").select("event_id", "user_id", "event_type", "value"))

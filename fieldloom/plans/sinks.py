@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.scratch import folder
 from ..streaming import jobs
@@ -25,3 +26,31 @@ def resumed(spark: SparkSession, rows: DataFrame) -> DataFrame:
     rows.filter("event_id % 2 = 1").write.mode("append").parquet(source)
     jobs.ingest_resume(spark, source, rows.schema, out, checkpoint, 2)
     return spark.read.schema(rows.schema).parquet(out)
+
+
+STATES = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def streamed(spark: SparkSession, rows: DataFrame, files: int = 2) -> DataFrame:
+    """The rows as a stream of a folder's files, one a micro-batch."""
+    source = folder(spark)
+    rows.repartition(files).write.parquet(source)
+    return jobs.read_files(spark, source, rows.schema, 1)
+
+
+def ingested(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Counts of a streamed ingest in which every file comes twice."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATES)
+    out = folder(spark)
+    jobs.ingest(streamed(spark, rows.union(rows)), out, folder(spark), "3650 days").awaitTermination()
+    events, bad = spark.read.parquet(f"{out}/events"), spark.read.parquet(f"{out}/quarantine")
+    counts = spark.read.parquet(f"{out}/counts").agg(F.sum("created").alias("created"), F.sum("rejected").alias("rejected"))
+    return counts.crossJoin(events.agg(F.count("*").alias("events"))).crossJoin(bad.select("json").distinct().agg(F.count("*").alias("bad_rows")))  # one row each
+
+
+def present(spark: SparkSession, events: DataFrame, devices: DataFrame, timeout_seconds: int) -> DataFrame:
+    """States of seen devices out of a stream of their events, as of the newest one. They come in one file, as events behind the watermark would be left out."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATES)
+    out = folder(spark)
+    jobs.presence_table(streamed(spark, events.select("device", "ts"), 1), timeout_seconds, out, folder(spark)).awaitTermination()
+    return jobs.with_maintenance(jobs.current_presence(spark, out), devices)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Suffixes that are indexed, by data type.
 SUFFIXES = {
@@ -26,10 +29,88 @@ def media_type(path: Column) -> Column:
     return out
 
 
+class FolderReader(DataSourceReader):
+    """Lists a tree folder by folder: the driver opens folders level by level until there are enough of them, and each of these is walked by a task."""
+
+    LEAST, DEEPEST = 64, 6
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def _open(self):
+        if re.match(r"\w+:", self.root):
+            return fs.FileSystem.from_uri(self.root)
+        return fs.LocalFileSystem(), self.root
+
+    def partitions(self) -> list[InputPartition]:
+        store, base = self._open()
+        level, files = [base], []
+        for _ in range(self.DEEPEST):
+            below = []
+            for folder in level:
+                for info in store.get_file_info(fs.FileSelector(folder)):
+                    (below if info.type == fs.FileType.Directory else files).append(info.path if info.type == fs.FileType.Directory else (info.path, info.size))
+            level = below
+            if not level or len(level) >= self.LEAST:
+                break
+        loose = [InputPartition(("files", files[k : k + 10_000])) for k in range(0, len(files), 10_000)]
+        return [*loose, *(InputPartition(("folder", f)) for f in level)] or [InputPartition(("files", []))]
+
+    def read(self, partition: InputPartition):
+        kind, what = partition.value
+        schema = pa.schema([("path", pa.string()), ("size_bytes", pa.int64())])
+        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], schema=schema)
+        if kind == "files":
+            yield batch(what)
+            return
+        store, _ = self._open()
+        rest = [what]
+        while rest:
+            rows = []
+            for info in store.get_file_info(fs.FileSelector(rest.pop())):
+                if info.type == fs.FileType.Directory:
+                    rest.append(info.path)
+                elif info.type == fs.FileType.File:
+                    rows.append((info.path, info.size))
+            if rows:
+                yield batch(rows)
+
+
+class FolderSource(DataSource):
+    """path, size_bytes of every file below `path`, hidden ones too."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "folder_inventory"
+
+    def schema(self) -> str:
+        return "path string, size_bytes long"
+
+    def reader(self, schema) -> FolderReader:
+        return FolderReader(self.options["path"])
+
+
+#: Stores that tasks can list by themselves; others are listed by Spark's file sources.
+LISTED = ["file", "s3", "gs", "hdfs"]
+
+
 def file_inventory(spark: SparkSession, root: str) -> DataFrame:
-    """path, relative_path, size_bytes of every file below root (a file maps to its own name); a tree without files is an error. Spark's
-    file sources, which list in parallel, skip names that start with _ or a dot: such files are not listed here either."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size_bytes"))
+    """path, relative_path, size_bytes of every file below root (a file maps to its own name); a tree without files is an error. Folders are listed in parallel by
+    a data source, names that start with _ or a dot too. In a store that only Spark reads, Spark's file sources list, which skip such names."""
+    scheme = (re.match(r"(\w+):", root) or [None, "file"])[1]
+    if scheme in LISTED:
+        store, at = FolderReader(root)._open()
+        info = store.get_file_info(at)
+        if info.type == fs.FileType.File:
+            files = spark.createDataFrame([(info.path, info.size)], "path string, size_bytes long")
+        elif info.type == fs.FileType.Directory:
+            spark.dataSource.register(FolderSource)
+            files = spark.read.format("folder_inventory").option("path", root).load()
+        else:
+            raise ValueError(f"no files below {root}")
+        files = files.withColumn("path", F.concat(F.lit("file:" if scheme == "file" else f"{scheme}://"), F.col("path")))
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("size_bytes"))
     if files.isEmpty():
         raise ValueError(f"no files below {root}")
     base = re.escape(re.sub(r"^\w+:/*", "", root).strip("/"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,3 +24,16 @@ def stored(df: DataFrame) -> DataFrame:
     path = folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sweep(spark: SparkSession, hours: float = 48.0) -> int:
+    """Delete intermediate folders of this library in the shared folder that nothing has written to for `hours`; returns how many. A query's result may be read from its folders as long as
+    it is used, so they aren't deleted when it is built: call this from time to time, with more hours than the longest job takes."""
+    base = folder(spark).rpartition("/")[0]
+    at = spark._jvm.org.apache.hadoop.fs.Path(base)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone, before = 0, (time.time() - 3600 * hours) * 1000
+    for entry in store.listStatus(at):
+        if entry.getPath().getName().startswith("fieldloom-") and max([entry.getModificationTime(), *(x.getModificationTime() for x in (store.listStatus(entry.getPath()) if entry.isDirectory() else []))]) < before:
+            gone += bool(store.delete(entry.getPath(), True))
+    return gone

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,20 +80,78 @@ def edits_read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
-def episode_scan(spark: SparkSession, root: str, episodes: list[int] | None = None, columns: list[str] | None = None) -> DataFrame:
-    """Frames of the wanted episodes of a dataset partitioned by episode_index; unknown columns and episodes are errors."""
+#: Columns of a stored sensor message; the first three must be there, the others are null where they are not.
+MESSAGE = "topic string, msgtype string, log_time_ns long, header_sec long, header_nanosec long, frame_id string, encoding string, format string, data binary"
+
+
+def message_scan(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """Decoded sensor messages of a folder in one schema (Parquet or JSON lines): wanted columns only, so the scan reads no others. A set without topic, msgtype or
+    log_time_ns is an error; the payload stays as it is. Further columns come last."""
+    df = spark.read.format(kind).load(path)
+    wanted = [f.split(" ") for f in MESSAGE.split(", ")]
+    if missing := [name for name, _ in wanted[:3] if name not in df.columns]:
+        raise ValueError(f"no messages: {', '.join(missing)} missing")
+    have = [(F.col(name) if name in df.columns else F.lit(None)).cast(t).alias(name) for name, t in wanted]
+    return df.select(*have, *[c for c in df.columns if c not in {name for name, _ in wanted}])
+
+
+#: Kinds of a camera's feature, and the numeric features that are taken where none are named.
+CAMERA_KINDS = ["image", "video"]
+STATES = ["observation.state", "action"]
+
+
+def episode_meta(spark: SparkSession, root: str) -> dict | None:
+    """What a dataset says of itself (features by name, fps, total_episodes), or None where it has no `_meta`."""
+    try:
+        text = spark.read.text(f"{root}/_meta", wholetext=True).first()
+    except AnalysisException:
+        return None
+    return json.loads(text[0]) if text else None
+
+
+def _chosen(named: list[str] | None, known: list[str], usual: list[str], what: str) -> list[str]:
+    if named is None:
+        return usual
+    if unknown := [k for k in named if k not in known]:
+        raise ValueError(f"unknown {what} keys {unknown}; there are {sorted(known)}")
+    return list(named)
+
+
+def episode_scan(spark: SparkSession, root: str, episodes: list[int] | None = None, columns: list[str] | None = None, camera_keys: list[str] | None = None, state_keys: list[str] | None = None, fps: float | None = None) -> DataFrame:
+    """Frames of the wanted episodes of a dataset partitioned by episode_index; unknown columns and episodes are errors. Where the dataset has metadata (or camera_keys or
+    state_keys are named), cameras and numeric features are checked against it: all cameras and the usual numeric features unless some are named, no camera is an error;
+    frames then come with timestamp_ns by their own time or by the frame rate, given or the metadata's. Only those columns and episodes are read."""
     df = spark.read.parquet(root)
     missing = sorted(set(columns or []) - set(df.columns))
     if missing:
         raise ValueError(f"no such features: {', '.join(missing)}")
+    meta = episode_meta(spark, root)
     if episodes is not None:
-        most = df.agg(F.max("episode_index")).first()[0]
-        total = 0 if most is None else most + 1
+        if meta is not None:
+            total = int(meta["total_episodes"])
+        else:
+            most = df.agg(F.max("episode_index")).first()[0]
+            total = 0 if most is None else most + 1
         bad = [e for e in episodes if not 0 <= e < total]
         if bad:
             raise ValueError(f"episodes out of range 0..{total - 1}: {bad}")
+        if not episodes:
+            raise ValueError("no episodes selected")
         df = df.filter(F.col("episode_index").isin(episodes))
-    return df.select("episode_index", "frame_index", *columns) if columns else df
+    if columns:
+        return df.select("episode_index", "frame_index", *columns)
+    if meta is None and camera_keys is None and state_keys is None:
+        return df
+    if meta is None:
+        raise ValueError("cameras and states are told by metadata, and this dataset has none")
+    features = meta["features"]
+    cameras = _chosen(camera_keys, known := [k for k, f in features.items() if f["dtype"] in CAMERA_KINDS], known, "camera")
+    if not cameras:
+        raise ValueError("the dataset has no camera; name camera_keys")
+    states = _chosen(state_keys, list(features), [k for k in STATES if k in features], "state")
+    by_rate = F.col("frame_index").cast("double") / F.lit(float(fps if fps is not None else meta["fps"])) * F.lit(1e9)
+    time = F.coalesce(F.col("timestamp").cast("double") * F.lit(1e9), by_rate) if "timestamp" in df.columns and fps is None else by_rate
+    return df.select("episode_index", "frame_index", time.cast("long").alias("timestamp_ns"), *[F.col(f"`{k}`") for k in dict.fromkeys(cameras + states)])
 
 
 def item_samples(items: DataFrame, **where) -> DataFrame:

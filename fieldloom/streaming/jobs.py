@@ -130,6 +130,19 @@ def presence(events: DataFrame, timeout_seconds: int, delay: str = "0 seconds")
     return rows.groupBy("device").transformWithStateInPandas(Presence(timeout_seconds), outputStructType="device long, last_seen_us long, status string", outputMode="Update", timeMode="EventTime")
 
 
+def presence_table(events: DataFrame, timeout_seconds: int, out: str, checkpoint: str, delay: str = "0 seconds"):
+    """Start a stream of presence states into a folder for each micro-batch; returns the started query (availableNow). current_presence has the state of each device."""
+    write = lambda rows, batch: rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    return presence(events, timeout_seconds, delay).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current_presence(spark: SparkSession, out: str) -> DataFrame:
+    """device, last_seen_us, status: the last state that presence_table wrote of each device."""
+    latest = F.struct("batch", "last_seen_us", (F.col("status") == "offline").alias("off"))
+    got = spark.read.parquet(out).groupBy("device").agg(F.max_by(F.struct("last_seen_us", "status"), latest).alias("x"))
+    return got.select("device", "x.last_seen_us", "x.status")
+
+
 def with_maintenance(states: DataFrame, devices: DataFrame) -> DataFrame:
     """States of known devices; a stored maintenance stays."""
     stored = devices.select(F.col("uid").alias("device"), F.col("status").alias("_stored"))

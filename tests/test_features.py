@@ -14,7 +14,7 @@ from fieldloom.functions import redact
 from fieldloom.operators import collections as col
 from fieldloom.operators import consensus, edits, fleet, frames, rules
 from fieldloom.plans import sinks, views
-from fieldloom.sources import tables
+from fieldloom.sources import files, scratch, tables
 
 # ---------------------------------------------------------------- consensus
 
@@ -319,3 +319,81 @@ def test_text_gates_lose_nothing(spark):
     assert df.select(redact.redact_text(F.col("t")).alias("a"), chain.alias("b")).filter("a <> b").count() == 0
     want = {n: sum(r[0] > 0 for r in df.select(F.regexp_count("t", F.lit(p))).collect()) for n, p in redact.PATTERNS}
     assert {r.pattern: r.n_rows for r in redact.secret_report(df, "t").collect()} == want
+
+
+# ---------------------------------------------------------------- files, messages, episodes, items
+
+
+def test_inventory_equals_a_plain_walk(spark, tmp_path):
+    r = random.Random(5)
+    for k in range(120):
+        folder = tmp_path.joinpath(*[r.choice(["a", ".b", "_c", "d e", "é=1"]) for _ in range(r.randint(0, 9))])
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / r.choice([f"f{k}.jpg", f".hidden{k}", f"_{k}"])).write_bytes(b"x" * r.randint(0, 50))
+    (tmp_path / "empty").mkdir()
+    want = {(os.path.relpath(os.path.join(d, n), tmp_path), os.path.getsize(os.path.join(d, n))) for d, _, names in os.walk(tmp_path) for n in names}
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        got = files.file_inventory(spark, root)
+        assert {(x.relative_path, x.size_bytes) for x in got.collect()} == want and len(want) == 120
+        assert all(x.path.startswith(f"file:{tmp_path}/") for x in got.collect())
+    assert got.rdd.getNumPartitions() > 8  # folders are walked by several tasks
+
+
+def test_messages_in_one_schema(spark, tmp_path):
+    out = str(tmp_path / "m")
+    spark.createDataFrame([("t", "m", 5, "x", 1)], "topic string, msgtype string, log_time_ns int, frame_id string, more int").write.parquet(out)
+    got = tables.message_scan(spark, out)
+    assert got.columns == [*(f.split(" ")[0] for f in tables.MESSAGE.split(", ")), "more"] and got.first().header_sec is None and dict(got.dtypes)["log_time_ns"] == "bigint"
+    assert "ReadSchema: struct<topic:string>" in got.select("topic")._jdf.queryExecution().toString()
+    spark.createDataFrame([("t", 1)], "topic string, log_time_ns long").write.parquet(out + "2")
+    with pytest.raises(ValueError, match="msgtype missing"):
+        tables.message_scan(spark, out + "2")
+
+
+def test_episode_keys_against_metadata(spark):
+    rows = spark.createDataFrame([(e, k, f"u{k}", [1.0, 2.0], "n") for e in range(3) for k in range(4)], "episode_index int, frame_index long, `observation.images.a` string, `observation.state` array<double>, note string")
+    known = {"observation.images.a": {"dtype": "video"}, "observation.state": {"dtype": "float32"}, "note": {"dtype": "string"}}
+    out = sinks.folder(spark)
+    frames.episode_export(rows, out, 20, "t", features=known)
+    got = tables.episode_scan(spark, out, [2])
+    assert got.columns == ["episode_index", "frame_index", "timestamp_ns", "observation.images.a", "observation.state"]
+    assert sorted(x.timestamp_ns for x in got.collect()) == [0, 50_000_000, 100_000_000, 150_000_000]
+    assert sorted(x.timestamp_ns for x in tables.episode_scan(spark, out, [0], fps=10).collect())[1] == 100_000_000
+    assert tables.episode_scan(spark, out, state_keys=["note"]).columns[-1] == "note"
+    for wrong, said in (({"camera_keys": ["observation.images.z"]}, "unknown camera keys"), ({"camera_keys": ["note"]}, "unknown camera keys"), ({"state_keys": ["x"]}, "unknown state keys"), ({"camera_keys": []}, "no camera"), ({"episodes": [3]}, "out of range"), ({"episodes": []}, "no episodes")):
+        with pytest.raises(ValueError, match=said):
+            tables.episode_scan(spark, out, **wrong)
+    bare = sinks.folder(spark)
+    frames.episode_export(rows, bare, 20, "t")
+    with pytest.raises(ValueError, match="has none"):
+        tables.episode_scan(spark, bare, camera_keys=["observation.images.a"])
+
+
+def test_two_rows_of_one_camera_are_an_error(spark):
+    rows = [(1, 0, "a", 480, 640), (1, 0, "b", 480, 640), (1, 0, "a", 720, 640), (2, 0, "a", 1, 1)]
+    df = spark.createDataFrame(rows, "sequence_uid long, frame_index long, camera string, height int, width int")
+    with pytest.raises(Exception, match="camera names collide: a"):
+        frames.feature_schema(df).collect()
+    assert frames.feature_schema(df.filter("height < 700")).count() == 2
+
+
+def test_siblings_of_large_and_odd_sequences(spark):
+    items = spark.createDataFrame([(k, 1) for k in range(500)] + [(900, 2), (901, None), (902, 3), (903, 3)], "uid long, related_sequence_uid long")
+    seq = spark.createDataFrame([(1, "one"), (3, "three")], "uid long, key string")
+    got = {x.uid: (x.sequence and x.sequence.key, x.n_siblings, x.siblings) for x in col.item_siblings(items, seq, 4).collect()}
+    assert len(got) == 504 and got[0] == ("one", 499, [1, 2, 3, 4]) and got[2] == ("one", 499, [0, 1, 3, 4]) and got[300] == ("one", 499, [0, 1, 2, 3])
+    assert got[900] == (None, 0, []) and got[901] == (None, 0, []) and got[902] == ("three", 1, [903])
+
+
+def test_old_scratch_folders_are_swept(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch.tempfile, "gettempdir", lambda: str(tmp_path))
+    kept = scratch.stored(spark.range(3))
+    other = tmp_path / "mine"
+    other.mkdir()
+    assert scratch.sweep(spark, 1) == 0 and kept.count() == 3
+    old = scratch.folder(spark)
+    spark.range(2).write.parquet(old)
+    for root, _, names in os.walk(old):
+        for n in [root, *(os.path.join(root, x) for x in names)]:
+            os.utime(n, (1, 1))
+    assert scratch.sweep(spark, 1) == 1 and not os.path.exists(old) and kept.count() == 3 and other.exists()
