@@ -26,10 +26,10 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sweep(spark: SparkSession, hours: float = 48.0) -> int:
-    """Delete intermediate folders of this library in the shared folder that nothing has written to for `hours`; returns how many. A query's result may be read from its folders as long as
+def sweep(spark: SparkSession, hours: float = 48.0, base: str | None = None) -> int:
+    """Delete intermediate folders of this library in the shared folder (or in `base`) that nothing has written to for `hours`; returns how many. A query's result may be read from its folders as long as
     it is used, so they aren't deleted when it is built: call this from time to time, with more hours than the longest job takes."""
-    base = folder(spark).rpartition("/")[0]
+    base = base or folder(spark).rpartition("/")[0]
     at = spark._jvm.org.apache.hadoop.fs.Path(base)
     store = at.getFileSystem(spark._jsc.hadoopConfiguration())
     gone, before = 0, (time.time() - 3600 * hours) * 1000

@@ -385,15 +385,15 @@ def test_siblings_of_large_and_odd_sequences(spark):
     assert got[900] == (None, 0, []) and got[901] == (None, 0, []) and got[902] == ("three", 1, [903])
 
 
-def test_old_scratch_folders_are_swept(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(scratch.tempfile, "gettempdir", lambda: str(tmp_path))
-    kept = scratch.stored(spark.range(3))
-    other = tmp_path / "mine"
-    other.mkdir()
-    assert scratch.sweep(spark, 1) == 0 and kept.count() == 3
-    old = scratch.folder(spark)
-    spark.range(2).write.parquet(old)
-    for root, _, names in os.walk(old):
-        for n in [root, *(os.path.join(root, x) for x in names)]:
-            os.utime(n, (1, 1))
-    assert scratch.sweep(spark, 1) == 1 and not os.path.exists(old) and kept.count() == 3 and other.exists()
+def test_old_scratch_folders_are_swept(spark, tmp_path):
+    """In a folder of its own, so that no one else's are touched."""
+    kept, old, other = (tmp_path / name for name in ("fieldloom-kept", "fieldloom-old", "mine"))
+    for path in (kept, old, other):
+        spark.range(2).write.parquet(str(path))
+    assert scratch.sweep(spark, 1, str(tmp_path)) == 0
+    for top in (old, other):
+        for root, _, names in os.walk(top):
+            for n in [root, *(os.path.join(root, x) for x in names)]:
+                os.utime(n, (1, 1))
+    assert scratch.sweep(spark, 1, str(tmp_path)) == 1
+    assert kept.exists() and other.exists() and not old.exists()
