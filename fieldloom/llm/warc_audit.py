@@ -7,24 +7,27 @@ file's root. The audit compares the roots of two replicas and descends, level by
 below nodes that differ, carrying each node's start offset (its parent's start plus
 its elder siblings' lengths), down to the records.
 
-Trees are tables in the shared folder, a level each, so an audit after a lost executor starts from these.
+Trees are tables in the shared folder, a level each, so an audit after a lost executor starts from these. A level's rows are written in order of slots, and a step of the descent asks only for the
+ranges of slots below differing nodes (RANGES of them at most, each from its first to its last differing node), which reach the scan: what lies outside is skipped by the statistics of its files, so damage in one place costs
+one place's bytes.
 
 Several records in one slot (repeated page_id) are one leaf: its digest is over their number and the sums of
 four parts of their digests, aggregated before the shuffle, so a slot with a third of all rows costs one row a task.
 
 Defined cases: null page_id is a slot of its own (NULL_SLOT). Null url or html counts as empty. An empty
-replica has every record of the other as missing or extra; two empty ones give no rows. Extra columns may have any name.
+replica has every record of the other as missing or extra; two empty ones give no rows. Very long records are hashed as a whole. Extra columns may have any name.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as C
 
 FAN_BITS = 4
 LEVELS = 3
+RANGES = 64  # of slots that a step of the descent reads
 NULL_SLOT = -(1 << 60)
 
 
@@ -52,13 +55,27 @@ def parents(nodes: DataFrame) -> DataFrame:
 
 
 def build_tree(archive: DataFrame, folder: str) -> list[DataFrame]:
-    """The levels of a replica's tree, leaves first, each a table in `folder`."""
-    levels = [C.stored(leaves(archive), f"{folder}/0")]
+    """The levels of a replica's tree, leaves first, each a table in `folder`, in order of slots."""
+    ordered = lambda nodes: nodes.repartitionByRange("slot").sortWithinPartitions("slot")
+    levels = [C.stored(ordered(leaves(archive)), f"{folder}/0")]
     for k in range(1, LEVELS + 1):
-        levels.append(C.stored(parents(levels[-1]), f"{folder}/{k}"))
+        levels.append(C.stored(ordered(parents(levels[-1])), f"{folder}/{k}"))
     return levels
 
 
+def below_any(nodes: DataFrame) -> Column:
+    """A condition on the slots one level down that all children of the nodes meet, as at most RANGES ranges; the null slot's nodes are negative and lie apart."""
+    own = nodes.select("slot").filter("slot >= 0")
+    lo, hi, apart = nodes.agg(F.min(F.when(F.col("slot") >= 0, F.col("slot"))), F.max("slot"), F.count_if(F.col("slot") < 0)).first()
+    hit = F.col("slot") < 0 if apart else F.lit(False)
+    if lo is None:
+        return hit
+    step = F.call_function("div", F.col("slot") - F.lit(lo), F.lit(-(-(hi - lo + 1) // RANGES)))
+    for r in own.groupBy(step.alias("k")).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).collect():  # at most RANGES rows
+        hit = hit | F.col("slot").between(r.lo << FAN_BITS, ((r.hi + 1) << FAN_BITS) - 1)
+    return hit
+
+
 def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
     a = a.select("slot", F.col("n_bytes").alias("bytes_a"), F.col("n_records").alias("records_a"), F.col("digest").alias("digest_a"))
     b = b.select("slot", F.col("n_bytes").alias("bytes_b"), F.col("n_records").alias("records_b"), F.col("digest").alias("digest_b"))
@@ -67,12 +84,14 @@ def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def audit(a: list[DataFrame], b: list[DataFrame]) -> DataFrame:
     """Slots that differ between two trees: file, slot, kind (changed, missing or extra in b), their bytes in either, and where the slot starts in a's and b's file."""
+    base = C.shared_dir(a[0].sparkSession)
     bad = _differing(a[-1], b[-1]).select("slot", F.lit(0).cast("long").alias("start_a"), F.lit(0).cast("long").alias("start_b"))
     for level in range(LEVELS - 1, -1, -1):
-        up = bad.select(F.col("slot").alias("up"), "start_a", "start_b")
+        bad = C.stored(bad, f"{base}/{level}")
+        up, inside = bad.select(F.col("slot").alias("up"), "start_a", "start_b"), below_any(bad)
 
-        def below(nodes, side, up=up):
-            kids = nodes.withColumn("up", F.shiftright("slot", FAN_BITS)).join(up.select("up"), "up", "left_semi")
+        def below(nodes, side, up=up, inside=inside):
+            kids = nodes.filter(inside).withColumn("up", F.shiftright("slot", FAN_BITS)).join(up.select("up"), "up", "left_semi")
             return kids.select("up", "slot", "n_bytes", "n_records", "digest", F.lit(side).alias("side"))
 
         # both replicas' children of a differing node: at most 32 rows, so its siblings' lengths are added up in place

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.llm import exact_dedup, packing, token_store, warc_audit
+from fieldloom.llm import common, exact_dedup, packing, token_store, warc_audit
 
 from . import brute
 
@@ -180,6 +180,29 @@ def plain_audit(a, b):
     return out
 
 
+def test_warc_audit_reads_what_lies_below_damage(spark):
+    """Damage in one place: each step's ranges reach the scan of the level below, which lies in order of slots."""
+    rows = spark.range(20_000).select(F.col("id").alias("slot"), F.concat(F.lit("r"), "id").alias("record"))
+    hurt = rows.withColumn("record", F.when(F.col("slot").isin(777, 780, 9000), "x").otherwise(F.col("record"))).union(spark.createDataFrame([(warc_audit.NULL_SLOT, "null")], "slot long, record string"))
+    base = common.shared_dir(spark)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows come into one file
+    try:
+        a, b = warc_audit.build_tree(rows, f"{base}/a"), warc_audit.build_tree(hurt, f"{base}/b")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r.slot, r.kind) for r in warc_audit.audit(a, b).collect()} == {(777, "changed"), (780, "changed"), (9000, "changed"), (warc_audit.NULL_SLOT, "extra")}
+    up = spark.createDataFrame([(777 >> 4,), (9000 >> 4,)], "slot long")
+    got = b[0].filter(warc_audit.below_any(up))
+    assert got.count() == 32 and "PushedFilters: [Or(" in got._jdf.queryExecution().toString()
+    spans = b[0].groupBy(F.input_file_name()).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).orderBy("lo").collect()
+    assert len(spans) > 3 and all(x.hi < y.lo for x, y in zip(spans, spans[1:]))
+    none = spark.createDataFrame([], "slot long")
+    assert b[0].filter(warc_audit.below_any(none)).count() == 0
+    many = spark.range(0, 5000, 7).select(F.col("id").alias("slot"))
+    inside = spark.range(100_000).select(F.col("id").alias("slot")).filter(warc_audit.below_any(many))
+    assert spark.range(0, 5000, 7).select(F.explode(F.sequence(F.col("id") * 16, F.col("id") * 16 + 15)).alias("slot")).join(inside, "slot", "left_anti").count() == 0
+
+
 def test_warc_audit_matches_brute_force(spark, sf_dir):
     from fieldloom.llm import common
 
