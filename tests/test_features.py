@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions import redact
 from fieldloom.operators import collections as col
 from fieldloom.operators import consensus, edits, fleet, frames, rules
-from fieldloom.plans import sinks, views
+from fieldloom.plans import registry, sinks, views
 from fieldloom.sources import files, scratch, tables
 
 # ---------------------------------------------------------------- consensus
@@ -132,6 +132,30 @@ def test_rule_table_equals_nested_loop(spark):
     assert {(x.alert_severity, tuple(x.actions)) for x in got.select("alert_severity", "actions").distinct().collect()} == {(s, a) for s in ("warning", "critical") for a in (("alert",), ("tag",))}
 
 
+def test_rule_totals_equal_pairs_without_making_them(spark, monkeypatch):
+    r = random.Random(4)
+    number = lambda: r.choice([float("nan"), -0.0, 0.0, 3.0, float(r.randint(0, 9)), r.uniform(-9, 9)])
+    events = [(k, r.randint(1, 4), r.choice([None, number()]), r.choice([None, "", "error", "é"]), r.randint(0, 9), r.random() < 0.5) for k in range(300)]
+    ev = spark.createDataFrame(events, "uid long, device long, value double, type string, n int, flag boolean").repartition(3)
+    dev = spark.createDataFrame([(1, "arm"), (2, "cart"), (3, None)], "uid long, type string")
+    value = {"value": lambda: str(number()), "n": lambda: r.choice(["0", "4.5", "-1", "NaN"]), "type": lambda: r.choice(["", "d", "error", "é"]), "flag": lambda: r.choice(["True", "F"])}
+    table = [(k % 800, r.choice([True, None, False]), f, r.choice(rules.OPS), r.choice([None, value[f](), value[f]()]), r.choice(["arm", "cart", None]), None, None) for k in range(900) for f in [r.choice(list(value))]]
+    rule = spark.createDataFrame(table, rules.RULES)
+    want = rules.rule_match(ev, dev, rule).groupBy("rule").agg(F.count("*").alias("hit_count"), F.sum("uid").alias("uid")).collect()
+    got = rules.rule_totals(ev, dev, rule, ("uid",)).collect()
+    assert sorted(got) == sorted(want) and len(got) > 250
+    plain = rule.filter("field <> 'flag'")
+    want = rules.rule_match(ev, dev, plain).groupBy("rule").count().collect()
+    monkeypatch.setattr(rules, "match_batch", None)
+    assert sorted(rules.rule_totals(ev, dev, plain).collect()) == sorted(want)
+    assert rules.rule_totals(ev, dev, rule.limit(0)).collect() == [] and rules.rule_totals(ev.limit(0), dev, plain).collect() == []
+
+
+def test_rule_table_makes_no_pairs(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(rules, "rule_match", None)
+    assert registry.QUERIES["rule_table"](spark, sf_dir).count() > 0
+
+
 def test_rule_table_has_one_plan(spark):
     ev = spark.createDataFrame([(1, 1, 5.0)], "uid long, device long, value double")
     dev = spark.createDataFrame([(1, "arm")], "uid long, type string")
