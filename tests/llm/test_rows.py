@@ -146,6 +146,13 @@ def plain_language(model, text):
     return model["langs"][best], p[best], p[best] < model["least_p"] or hit / max(grams, 1) < model["least_known"]
 
 
+def test_langid_trains_in_a_task(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(langid, "train", None)  # the driver's
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert langid.fit(docs, 40)["langs"]
+    assert langid.fit(docs.limit(0)) is None
+
+
 def test_language_equals_a_plain_version(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     docs = docs.union(spark.createDataFrame([(9001, "q", "en"), (9002, "Éa 1", "fr"), (9003, "the and " * 40_000, "en"), (9004, "xq zj kv", "en")], "doc_id long, text string, lang string"))
