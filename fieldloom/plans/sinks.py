@@ -31,15 +31,16 @@ def resumed(spark: SparkSession, rows: DataFrame) -> DataFrame:
 STATES = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def streamed(spark: SparkSession, rows: DataFrame, files: int = 2) -> DataFrame:
-    """The rows as a stream of a folder's files, one a micro-batch."""
+def streamed(spark: SparkSession, rows: DataFrame, batches: int = 2) -> DataFrame:
+    """The rows as a stream of a folder's files, as many as the rows have partitions, in so many micro-batches (less where there are fewer files)."""
     source = folder(spark)
-    rows.repartition(files).write.parquet(source)
-    return jobs.read_files(spark, source, rows.schema, 1)
+    rows.write.parquet(source)
+    files = len(spark.read.schema(rows.schema).parquet(source).inputFiles())
+    return jobs.read_files(spark, source, rows.schema, max(1, -(-files // batches)))
 
 
 def ingested(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Counts of a streamed ingest in which every file comes twice."""
+    """Counts of a streamed ingest in which every row comes twice."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATES)
     out = folder(spark)
     jobs.ingest(streamed(spark, rows.union(rows)), out, folder(spark), "3650 days").awaitTermination()
@@ -49,7 +50,7 @@ def ingested(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def present(spark: SparkSession, events: DataFrame, devices: DataFrame, timeout_seconds: int) -> DataFrame:
-    """States of seen devices out of a stream of their events, as of the newest one. They come in one file, as events behind the watermark would be left out."""
+    """States of seen devices out of a stream of their events, as of the newest one. They come in one micro-batch, as events behind the watermark would be left out."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATES)
     out = folder(spark)
     jobs.presence_table(streamed(spark, events.select("device", "ts"), 1), timeout_seconds, out, folder(spark)).awaitTermination()

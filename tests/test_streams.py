@@ -106,3 +106,13 @@ def test_rule_table_changes_between_batches(spark, tmp_path):
     got = sorted((r.rule, r.event, r.severity, r.message) for r in spark.read.parquet(f"{out}/alerts").collect())
     assert got == [(1, 1, "critical", "rule 1: event 1 of device 1"), (1, 5, "critical", "rule 1: event 5 of device 1"), (2, 4, "warning", "rule 2: event 4 of device 2")]
     assert {r.rule: r.hit_count for r in jobs.hit_counts(spark, out).collect()} == {1: 2, 2: 1}
+
+
+@pytest.mark.parametrize(("batches", "want"), [(2, [3, 2]), (1, [5])])
+def test_streamed_rows_keep_their_partitions(spark, tmp_path, batches, want):
+    """No task of the source holds more than a partition of the rows, however many micro-batches they come in."""
+    rows, seen = spark.range(50).repartition(5), []
+    stream = sinks.streamed(spark, rows, batches)
+    write = lambda got, k: seen.append((got.select(F.input_file_name()).distinct().count(), got.count()))
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [n for n, _ in seen] == want and sum(n for _, n in seen) == 50
