@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,12 +160,97 @@ def box_matches(boxes: DataFrame, cfg: Choices = OURS) -> DataFrame:
 # ---------------------------------------------------------------- scores
 
 
+def _agreement(x: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Agreement of pairs of people; a person's boxes are the rows at[k] to at[k + 1] of x."""
+    size = np.diff(at)
+    a, b = x[at[left]], x[at[right]]
+    w, h = (np.maximum(np.minimum(a[:, k + 2], b[:, k + 2]) - np.maximum(a[:, k], b[:, k]), 0.0) for k in (0, 1))
+    area = lambda y: (y[:, 2] - y[:, 0]) * (y[:, 3] - y[:, 1])
+    union = area(a) + area(b) - w * h
+    got = np.nan_to_num(np.divide(w * h, union, out=np.zeros(len(left)), where=union != 0))
+    for k in np.flatnonzero((size[left] > 1) | (size[right] > 1)):
+        i, j = left[k], right[k]
+        got[k] = best_match(x[at[i] : at[i + 1]], x[at[j] : at[j + 1]])[2].sum() / max(size[i], size[j])
+    return got
+
+
+def _starts(columns: list[pa.Array]) -> np.ndarray:
+    """Rows that differ from the one before in some column, the first one included."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= pc.not_equal(c.slice(1), c.slice(0, max(0, len(c) - 1))).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+PAIRS = 500_000  # pairs of people that are compared at a time
+
+
+def _scored(rows: pa.Table, threshold: float):
+    """Scores of whole items out of rows in order of item, task and annotator."""
+    column = lambda c: pa.concat_arrays(rows.column(c).chunks)
+    item, task, name = column("item"), column("task"), column("annotator")
+    x = np.stack([column(c).to_numpy(zero_copy_only=False) for c in SIDES], 1)
+    own = _starts([item, task, name])
+    at = np.append(own, len(x))
+    first = np.searchsorted(own, _starts([item, task]))  # people before each item's
+    n = np.diff(np.append(first, len(own)))
+    first, n = first[n > 1], n[n > 1]
+    pairs = n * (n - 1) // 2
+    upto, k, corners = np.cumsum(pairs), 0, {}
+    while k < len(n):
+        to = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + PAIRS, "right")))
+        for c in set(n[k:to].tolist()) - corners.keys():
+            corners[c] = np.triu_indices(c, 1)
+        left, right = (np.concatenate([corners[c][side] + f for c, f in zip(n[k:to].tolist(), first[k:to], strict=True)]) for side in (0, 1))
+        got = np.concatenate([_agreement(x, at, left[i : i + PAIRS], right[i : i + PAIRS]) for i in range(0, len(left), PAIRS)])
+        edge = np.concatenate([[0], np.cumsum(pairs[k:to])])
+        score = np.add.reduceat(got, edge[:-1]) / pairs[k:to]
+        agree = np.add.reduceat((got >= threshold).astype(np.int64), edge[:-1])
+        of = lambda p: name.take(pa.array(own[p]))
+        each = pa.StructArray.from_arrays([of(left), of(right), pa.array(np.floor(got * 10000 + 0.5).astype(np.int64))], ["annotator_a", "annotator_b", "v"])
+        row = pa.array(own[first[k:to]])
+        yield pa.RecordBatch.from_arrays([item.take(row), task.take(row), pa.array(score), pa.array(pairs[k:to].astype(np.int64)), pa.array(agree), pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), each)], names=["item", "task", "score", "pairs", "agree", "d"])
+        k = to
+
+
+def _score_rows(threshold: float):
+    def run(batches):
+        held = []  # rows of an item that may go on in the next batch
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = [pa.concat_arrays([*([held[-1].column(c).slice(held[-1].num_rows - 1)] if held else []), b.column(c)]) for c in ("item", "task")]
+            new = _starts(keys)[1:] - 1 if held else _starts(keys)[1:]
+            if len(new):
+                yield from _scored(pa.Table.from_batches([*held, b.slice(0, new[-1])]), threshold)
+                held, b = [], b.slice(new[-1])
+            held.append(b)
+        if held:
+            yield from _scored(pa.Table.from_batches(held), threshold)
+
+    return run
+
+
+def _pair_scores(boxes: DataFrame, cfg: Choices) -> DataFrame:
+    """item, task, score, pairs, agree and the agreements of the pairs, in one shuffle of the boxes: an item's rows stand together in one order, and what a task holds at a time
+    is items of a batch. An item's boxes are no more than its list of pairs in the result or the matrix of gains of two people."""
+    rows = _enough(boxes, cfg).filter("item is not null and task is not null and annotator is not null")
+    rows = rows.select("item", "task", "annotator", "uid", *SIDES).repartition("item", "task")
+    rows = rows.sortWithinPartitions("item", "task", "annotator", F.col("uid").cast("string")).select("item", "task", "annotator", *[F.col(c).cast("double").alias(c) for c in SIDES])
+    kinds = dict(rows.dtypes)
+    person = kinds["annotator"]
+    return rows.mapInArrow(_score_rows(cfg.iou_threshold), f"item {kinds['item']}, task {kinds['task']}, score double, pairs long, agree long, d array<struct<annotator_a:{person},annotator_b:{person},v:long>>")
+
+
 def consensus_scores(boxes: DataFrame, cfg: Choices = OURS, matches: DataFrame | None = None) -> DataFrame:
     """By item and task: mean agreement of the pairs of annotators, annotators, whether enough pairs agree, and details: the agreement of each pair
     `a-b` in ten-thousandths, as JSON text. `matches` takes box_matches that are there already."""
-    pairs = box_matches(boxes, cfg) if matches is None else matches
-    each = F.struct("annotator_a", "annotator_b", F.floor(F.col("agreement") * 10000 + 0.5).cast("long").alias("v"))
-    got = pairs.groupBy("item", "task").agg(F.avg("agreement").alias("score"), F.count("*").alias("pairs"), F.count_if(F.col("agreement") >= cfg.iou_threshold).alias("agree"), F.array_sort(F.collect_list(each)).alias("d"))
+    if matches is None:
+        got = _pair_scores(boxes, cfg)
+    else:
+        each = F.struct("annotator_a", "annotator_b", F.floor(F.col("agreement") * 10000 + 0.5).cast("long").alias("v"))
+        got = matches.groupBy("item", "task").agg(F.avg("agreement").alias("score"), F.count("*").alias("pairs"), F.count_if(F.col("agreement") >= cfg.iou_threshold).alias("agree"), F.array_sort(F.collect_list(each)).alias("d"))
     people = (F.lit(1) + F.sqrt(F.lit(1) + 8 * F.col("pairs"))) / 2  # n annotators have n (n - 1) / 2 pairs
     details = F.to_json(F.map_from_entries(F.transform("d", lambda x: F.struct(F.concat_ws("-", x["annotator_a"].cast("string"), x["annotator_b"].cast("string")), x["v"]))))
     return got.select("item", "task", "score", F.round(people).cast("long").alias("annotator_count"), (F.col("agree") / F.col("pairs") >= cfg.min_agreement_ratio).alias("agreed"), details.alias("details"))
@@ -184,8 +270,8 @@ def consensus_objects(boxes: DataFrame, cfg: Choices = OURS, matches: DataFrame
 
 
 def consensus_summary(scores: DataFrame, cfg: Choices = OURS) -> DataFrame:
-    """One row: mean, median, least, most, items, items with consensus, histogram and means by task as JSON text. The scores are stored once."""
-    scores = scratch.stored(scores)  # three aggregates read it
+    """One row: mean, median, least, most, items, items with consensus, histogram and means by task as JSON text. The scores are stored once, without their details."""
+    scores = scratch.stored(scores.select("task", "score", "agreed"))  # three aggregates read it
     n = cfg.histogram_buckets
     edge = lambda k: f"{k / n:.1f}"
     bucket = F.least(F.floor(F.col("score") * n), F.lit(n - 1))

@@ -100,6 +100,29 @@ def test_pages_there_and_back(spark, order):
     assert col.keyset_page(rows, order, 5, col.encode_cursor({"before": [0] if order == ["k"] else ["", 0]})).collect() == []
 
 
+def test_scores_in_one_shuffle_equal_those_of_the_matches(spark, monkeypatch):
+    r = random.Random(3)
+    side = lambda: [x := r.uniform(0, 9), y := r.uniform(0, 9), x + r.choice([0.0, 3.0, 6.0]), y + 4.0]  # noqa: E731,F841
+    rows = [(k, r.randint(1, 40) if k % 3 else 7, r.choice(["t", "u"]), f"p{r.randint(1, 30)}" if k % 50 else None, *side()) for k in range(900)]
+    df = spark.createDataFrame(rows, "uid long, item long, task string, annotator string, x0 double, y0 double, x1 double, y1 double").repartition(5)
+    rounded = lambda x: sorted(map(tuple, x.withColumn("score", F.round("score", 6)).collect()))
+    want = rounded(consensus.consensus_scores(df, matches=consensus.box_matches(df)))
+    monkeypatch.setattr(consensus, "box_matches", None)
+    got = consensus.consensus_scores(df)
+    assert rounded(got) == want and len(want) > 50
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    batches = [b for i in range(0, 30, 7) for b in consensus.pa.table({c: [float(k // 11) if c in ("item", "task") else float(k % 11) for k in range(i, min(i + 7, 30))] for c in ("item", "task", "annotator", *consensus.SIDES)}).to_batches()]
+    monkeypatch.setattr(consensus, "PAIRS", 10)
+    assert [(x["item"], x["pairs"], len(x["d"])) for b in consensus._score_rows(0.5)(iter(batches)) for x in b.to_pylist()] == [(0.0, 55, 55), (1.0, 55, 55), (2.0, 28, 28)]
+
+
+def test_summary_stores_no_details(spark, sf_dir, monkeypatch):
+    kept = []
+    monkeypatch.setattr(consensus.scratch, "stored", lambda df: kept.append(df.columns) or df)
+    assert registry.QUERIES["consensus_summary"](spark, sf_dir).count() == 1
+    assert kept == [["task", "score", "agreed"]]
+
+
 # ---------------------------------------------------------------- rules
 
 
