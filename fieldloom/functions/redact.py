@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,14 +150,28 @@ def redact_json_text(text: str | None) -> str | None:
 _KEYS = re.compile('"[^"]*(?:' + "|".join(r"[^a-z0-9\"]*".join(k) for k in ["secret", "token", "auth", "pass", "pwd", "credential", "privatekey", "apikey", "accesskeyid"]) + ")")
 
 
+PIECE = 1 << 20  # bytes of JSON text that are Python strings at a time
+
+
+def _pieces(b: pa.RecordBatch, k: int):
+    """Slices of a batch with about PIECE bytes in column k, or a single longer row."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(b.column(k)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < b.num_rows:
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PIECE, "right")))
+        yield b.slice(at, to - at)
+        at = to
+
+
 def redact_json(df: DataFrame, column: str) -> DataFrame:
-    """The JSON text column redacted at any depth, batch by batch; text that is no JSON is redacted as text, null stays. Rows without a secret keep their bytes, and of
+    """The JSON text column redacted at any depth, in pieces of about a megabyte; text that is no JSON is redacted as text, null stays. Rows without a secret keep their bytes, and of
     the others all bytes but the secrets': numbers, spaces, order and repeated keys are as they were."""
 
     def run(batches):
-        for b in batches:
-            k = b.schema.get_field_index(column)
-            out = [redact_json_text(text) for text in b.column(k).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(out, c.type) if i == k else c for i, c in enumerate(b.columns)], schema=b.schema)
+        for whole in batches:
+            k = whole.schema.get_field_index(column)
+            for b in _pieces(whole, k):
+                out = [redact_json_text(text) for text in b.column(k).to_pylist()]
+                yield pa.RecordBatch.from_arrays([pa.array(out, c.type) if i == k else c for i, c in enumerate(b.columns)], schema=b.schema)
 
     return df.mapInArrow(run, df.schema)
