@@ -58,23 +58,39 @@ def edit_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame,
     """JSON lines -> (file, r: the parsed edit; quarantine of file, line, text). Blank lines hold no edit; a line
     that is no JSON object, or whose fields don't fit the schema, is bad. Lines are numbered from 1 in their file by a prefix sum:
     within a split rows keep their order, and the lines of the splits before it are added; only bad lines are numbered."""
-    read = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
-    row = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    bad = ~F.trim("value").startswith("{") | row.isNull() | row["_corrupt_record"].isNotNull()
-    some = F.trim(F.regexp_replace("value", r"\s", " ")) != ""
+    read = _lines(spark, path)
+    bad = _parsed(read.filter(_some()), schema).filter("r is null").select("file", "block", "id", "value")
     splits = read.groupBy("file", "block").agg(F.min("id").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.select("file", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
-    wrong = read.filter(some & bad).join(splits, ["file", "block"]).select("file", (F.col("id") + F.col("shift")).alias("line"), F.col("value").alias("text"))
-    return read.filter(some & ~bad).select("file", row.dropFields("_corrupt_record").alias("r")), wrong
+    wrong = bad.join(splits, ["file", "block"]).select("file", (F.col("id") + F.col("shift")).alias("line"), F.col("value").alias("text"))
+    return _parsed(read.filter(_some()), schema).filter("r is not null").select("file", "r"), wrong
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+
+
+def _some() -> Column:
+    """Lines that aren't blank."""
+    return F.col("value").rlike(r"[^\s]")
+
+
+def _parsed(lines: DataFrame, schema: str) -> DataFrame:
+    """The lines with `r`, the parsed edit, null where a line is bad. Each line is parsed once: what comes after reads the generator's row, so no filter is moved below it with a copy of the parser."""
+    row = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    good = lambda r: r.isNotNull() & r["_corrupt_record"].isNull()
+    once = F.transform(F.array(F.when(F.ltrim("value").startswith("{"), row)), lambda r: F.when(good(r), r.dropFields("_corrupt_record")))
+    return lines.select("*", F.explode(once).alias("r"))
 
 
 def edits_read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Edits of a JSON array, or of JSON lines when the suffix is .jsonl: blank lines hold no edit; a bad line is an error with its text and its place, the line
-    counted from the beginning of its file. Lines are looked through once before they are read; edit_lines has both kinds apart."""
+    counted from the beginning of its file. Lines are looked through once before they are read, and numbered only where one is bad; edit_lines has both kinds apart."""
     if path.lower().endswith(".jsonl"):
         good, bad = edit_lines(spark, path, schema)
-        if first := bad.orderBy("file", "line").limit(1).collect():
+        if _parsed(_lines(spark, path).filter(_some()), schema).filter("r is null").count():
+            first = bad.orderBy("file", "line").limit(1).collect()
             raise ValueError(f"not a JSON object in line {first[0].line} from byte 0 of {first[0].file}: {first[0].text}")
         return good.select("r.*")
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
@@ -118,7 +134,7 @@ def _chosen(named: list[str] | None, known: list[str], usual: list[str], what: s
 
 
 def episode_scan(spark: SparkSession, root: str, episodes: list[int] | None = None, columns: list[str] | None = None, camera_keys: list[str] | None = None, state_keys: list[str] | None = None, fps: float | None = None) -> DataFrame:
-    """Frames of the wanted episodes of a dataset partitioned by episode_index; unknown columns and episodes are errors. Where the dataset has metadata (or camera_keys or
+    """Frames of the wanted episodes of a dataset with a column episode_index, in its files or as its partitions; unknown columns and episodes are errors. Where the dataset has metadata (or camera_keys or
     state_keys are named), cameras and numeric features are checked against it: all cameras and the usual numeric features unless some are named, no camera is an error;
     frames then come with timestamp_ns by their own time or by the frame rate, given or the metadata's. Only those columns and episodes are read."""
     df = spark.read.parquet(root)
