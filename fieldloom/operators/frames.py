@@ -268,10 +268,11 @@ def episode_messages(frames: DataFrame, episode: str, cameras: dict[str, str], n
 
 
 def episode_export(frames: DataFrame, out: str, fps: float, task: str, episode: str = "episode_index", order: str = "frame_index", features: dict | None = None) -> None:
-    """Frame rows of each episode, one folder an episode. One shuffle; a failed task leaves no _SUCCESS. With features (name -> {dtype, ...}) the dataset gets
+    """Frame rows in order of episode and frame, dealt to files by ranges: a file has many short episodes or a piece of a long one, so files grow in number with the rows
+    and not with the episodes, and a scan of some episodes skips what lies outside their ranges. One shuffle; a failed task leaves no _SUCCESS. With features (name -> {dtype, ...}) the dataset gets
     metadata in `_meta`, which episode_scan resolves names, rate and episodes by."""
     rows = frames.withColumn("timestamp", F.col(order) / F.lit(float(fps))).withColumn("task", F.lit(task))
-    rows.repartition(episode).sortWithinPartitions(episode, order).write.partitionBy(episode).parquet(out)
+    rows.repartitionByRange(episode, order).sortWithinPartitions(episode, order).write.parquet(out)
     if features is not None:
         spark = frames.sparkSession
         most = spark.read.parquet(out).agg(F.max(episode)).first()[0]

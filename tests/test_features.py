@@ -444,3 +444,31 @@ def test_old_scratch_folders_are_swept(spark, tmp_path):
                 os.utime(n, (1, 1))
     assert scratch.sweep(spark, 1, str(tmp_path)) == 1
     assert kept.exists() and other.exists() and not old.exists()
+
+
+def test_json_is_redacted_in_pieces(monkeypatch):
+    monkeypatch.setattr(redact, "PIECE", 30)
+    texts = ['{"token":"a"}', None, "x" * 50, "", '{"a":1}', '{"a":"b"}', "y" * 31, None]
+    batch = redact.pa.RecordBatch.from_pydict({"j": texts, "k": list(range(8))})
+    got = [b.column(0).to_pylist() for b in redact._pieces(batch, 0)]
+    assert [x for b in got for x in b] == texts and [len(b) for b in got] == [2, 1, 3, 1, 1]
+    assert list(redact._pieces(batch.slice(0, 0), 0)) == []
+
+
+def test_export_files_follow_the_rows(spark):
+    out = sinks.folder(spark)
+    rows = spark.range(3000).selectExpr("id div 3 as episode_index", "id % 3 as frame_index", "id as v")
+    frames.episode_export(rows, out, 10, "t")
+    assert len(spark.read.parquet(out).inputFiles()) <= 16  # a thousand episodes
+    got = tables.episode_scan(spark, out, [7, 999], ["v"])
+    assert sorted(r.v for r in got.collect()) == [21, 22, 23, 2997, 2998, 2999]
+    long = sinks.folder(spark)
+    frames.episode_export(spark.range(200_000).selectExpr("5L as episode_index", "id as frame_index", "uuid() as v"), long, 10, "t")
+    assert len(spark.read.parquet(long).inputFiles()) > 1  # a long episode is no one task's
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    (tmp_path / "e.jsonl").write_text('{"a":1}\n \n{"a":2}\n')
+    got = tables.edits_read(spark, str(tmp_path / "e.jsonl"), "a long")
+    assert sorted(r.a for r in got.collect()) == [1, 2]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
